@@ -77,23 +77,25 @@ def shift(x: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def invert_ma(poly: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Divide by the moving-average polynomial: ``out_t = x_t - sum_k m_k out_(t-k)``."""
-    lags = np.flatnonzero(np.any(poly[:, 1:] != 0, axis=0)) + 1
-    if not len(lags):
+def divide(coef: np.ndarray, step: int, x: np.ndarray) -> np.ndarray:
+    """Divide by ``1 + coef_1 B^step + ...``, one block of ``step`` days at a time."""
+    lanes = np.flatnonzero(np.any(coef != 0, axis=1))
+    if not len(lanes):
         return x
-    out = x.copy()
-    tail = (1,) * (x.ndim - 2)
-    coef = [(int(k), poly[:, k].reshape(-1, *tail)) for k in lags]
-    step = np.empty(x.shape[1:])
-    for t in range(1, len(x)):
-        now = out[t]
-        for k, c in coef:
-            if k > t:
+    out = np.ascontiguousarray(x[:, lanes])
+    terms = [c.reshape(-1, *(1,) * (x.ndim - 2)) for c in coef[lanes].T]
+    buffer = np.empty((step, *out.shape[1:]))
+    for t in range(step, len(x), step):
+        block = out[t : t + step]
+        for j, c in enumerate(terms, 1):
+            if t < j * step:
                 break
-            np.multiply(c, out[t - k], out=step)
-            now -= step
-    return out
+            part = buffer[: len(block)]
+            np.multiply(c, out[t - j * step : t - j * step + len(block)], out=part)
+            block -= part
+    x = x.copy()
+    x[:, lanes] = out
+    return x
 
 
 def difference(x: np.ndarray, orders: np.ndarray, s: int) -> np.ndarray:
@@ -112,31 +114,60 @@ def warmup(p: int, d: int, sp: int, sd: int, s: int) -> int:
 
 def _innovations(params, w, x, scored, lay):
     """Innovations of each lane and what the derivatives need."""
+    theta, stheta = params[:, lay.at["ma"]], params[:, lay.at["sma"]]
     ar = lag_polynomial(params[:, lay.at["ar"]], -1.0, 1)
     sar = lag_polynomial(params[:, lay.at["sar"]], -1.0, lay.s)
-    ma = lag_polynomial(params[:, lay.at["ma"]], 1.0, 1)
-    sma = lag_polynomial(params[:, lay.at["sma"]], 1.0, lay.s)
     u = w - np.einsum("tlk,lk->tl", x, params[:, lay.at["beta"]])
     rhs = (apply_polynomial(multiply(ar, sar), u) - params[:, lay.at["const"]].T) * scored
-    return invert_ma(multiply(ma, sma), rhs), u, ar, sar, ma, sma
+    e = divide(theta, 1, divide(stheta, lay.s, rhs))
+    return e, u, ar, sar, theta, stheta
 
 
 def _jacobian(parts, x, scored, lay):
-    e, u, ar, sar, ma, sma = parts
+    e, u, ar, sar, theta, stheta = parts
     cols = np.zeros(e.shape + (lay.size,))
     cols[:, :, lay.at["beta"]] = -apply_polynomial(multiply(ar, sar), x)
     cols[:, :, lay.at["const"]] = -1.0
     for name, source in (
         ("ar", -apply_polynomial(sar, u)),
         ("sar", -apply_polynomial(ar, u)),
-        ("ma", -apply_polynomial(sma, e)),
-        ("sma", -apply_polynomial(ma, e)),
+        ("ma", -apply_polynomial(lag_polynomial(stheta, 1.0, lay.s), e)),
+        ("sma", -apply_polynomial(lag_polynomial(theta, 1.0, 1), e)),
     ):
         step = lay.s if name.startswith("s") else 1
         for j, col in enumerate(range(lay.at[name].start, lay.at[name].stop)):
             cols[:, :, col] = shift(source, step * (j + 1))
     cols *= scored[:, :, None]
-    return invert_ma(multiply(ma, sma), cols)
+    return divide(theta, 1, divide(stheta, lay.s, cols))
+
+
+def _least_squares(design, target):
+    """Per-lane regression of ``target [T, lanes]`` on ``design [T, lanes, k]``."""
+    a = np.ascontiguousarray(design.transpose(1, 0, 2))
+    gram = a.transpose(0, 2, 1) @ a
+    diag = np.einsum("lkk->lk", gram)
+    gram += np.where(diag > 0, diag * 1e-9, 1.0)[:, :, None] * np.eye(gram.shape[1])
+    return np.linalg.solve(gram, np.einsum("ltk,tl->lk", a, target)[:, :, None])[:, :, 0]
+
+
+def _first_guess(w, x, scored, free, lay):
+    """Hannan-Rissanen start: innovations of a long autoregression stand in for ``e``."""
+    lags = [shift(w, k) for k in range(1, 2 * lay.s + 3)]
+    design = np.concatenate([x, np.stack(lags, axis=2)], axis=2) * scored[:, :, None]
+    long_ar = _least_squares(design, w * scored)
+    e = w * scored - np.einsum("tlk,lk->tl", design, long_ar)
+    cols = [x, np.ones((*w.shape, 1))]
+    for source, step, n in ((w, 1, lay.p), (w, lay.s, lay.sp), (e, 1, lay.q), (e, lay.s, lay.sq)):
+        cols += [shift(source, step * j)[:, :, None] for j in range(1, n + 1)]
+    design = np.concatenate(cols, axis=2) * scored[:, :, None] * free
+    guess = _least_squares(design, w * scored) * free
+    return np.clip(guess, -0.95, 0.95, where=~_linear(lay), out=guess)
+
+
+def _linear(lay):
+    mask = np.zeros(lay.size, bool)
+    mask[lay.at["beta"]] = mask[lay.at["const"]] = True
+    return mask
 
 
 def fit(y, x, orders, start, s=7, max_iter=50, tol=1e-8):
@@ -160,8 +191,9 @@ def fit(y, x, orders, start, s=7, max_iter=50, tol=1e-8):
     eye = np.eye(lay.size)
     active = np.arange(len(orders))
     step = np.zeros_like(params)
+    opening = _first_guess(w, xd, scored, free, lay)
     with np.errstate(all="ignore"):
-        for _ in range(max_iter):
+        for turn in range(max_iter):
             trial = params[active] + step[active]
             parts = _innovations(trial, w[:, active], xd[:, active], scored[:, active], lay)
             new = np.einsum("tl,tl->l", parts[0], parts[0])
@@ -176,10 +208,13 @@ def fit(y, x, orders, start, s=7, max_iter=50, tol=1e-8):
                 gram[won] = jac.transpose(0, 2, 1) @ jac
                 grad[won] = np.einsum("ltk,tl->lk", jac, kept[0])
             damp[active] = np.where(better, np.maximum(damp[active] / 10, 1e-9), damp[active] * 10)
-            settled = (better & (gain < tol)) | (damp[active] > 1e8) | ~np.isfinite(sse[active])
+            settled = (better & (gain < tol)) | (damp[active] > 1e6) | ~np.isfinite(sse[active])
             active = active[~settled]
             if not len(active):
                 break
+            if turn == 0:
+                step[active] = opening[active]
+                continue
             diag = np.einsum("lkk->lk", gram[active])
             ridge = np.where(diag > 0, diag * damp[active][:, None], 1.0)
             step[active] = -np.linalg.solve(
@@ -219,7 +254,8 @@ def forecast(y, x, x_future, params, orders, start, lay):
             ar = multiply(ar, unit)
     z = y - np.einsum("tlk,lk->tl", x, beta)
     scored = np.arange(len(y))[:, None] >= start
-    e = invert_ma(ma, (apply_polynomial(ar, z) - const) * scored)
+    e = (apply_polynomial(ar, z) - const) * scored
+    e = divide(params[:, lay.at["ma"]], 1, divide(params[:, lay.at["sma"]], s, e))
     z = np.vstack([z, np.zeros((steps, z.shape[1]))])
     e = np.vstack([e, np.zeros((steps, e.shape[1]))])
     for t in range(len(y), len(z)):
