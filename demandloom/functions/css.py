@@ -78,23 +78,42 @@ def shift(x: np.ndarray, k: int) -> np.ndarray:
 
 
 def divide(coef: np.ndarray, step: int, x: np.ndarray) -> np.ndarray:
-    """Divide by ``1 + coef_1 B^step + ...``, one block of ``step`` days at a time."""
+    """Divide by ``1 + coef_1 B^step + ...``: ``out_t = x_t - sum_j coef_j out_(t - j step)``.
+
+    Time is cut into chunks that run side by side from zero; what each chunk inherits from
+    the one before is added through the polynomial's response to its last values.
+    """
     lanes = np.flatnonzero(np.any(coef != 0, axis=1))
     if not len(lanes):
         return x
-    out = np.ascontiguousarray(x[:, lanes])
-    terms = [c.reshape(-1, *(1,) * (x.ndim - 2)) for c in coef[lanes].T]
-    buffer = np.empty((step, *out.shape[1:]))
-    for t in range(step, len(x), step):
-        block = out[t : t + step]
-        for j, c in enumerate(terms, 1):
-            if t < j * step:
-                break
-            part = buffer[: len(block)]
-            np.multiply(c, out[t - j * step : t - j * step + len(block)], out=part)
-            block -= part
+    n, rest = coef.shape[1], (1,) * (x.ndim - 2)
+    rows = -(-len(x) // step)
+    size = max(n, int(rows**0.5))
+    chunks = -(-rows // size)
+    out = np.zeros((chunks * size * step, len(lanes), *x.shape[2:]))
+    out[: len(x)] = x[:, lanes]
+    y = out.reshape(chunks, size, step, *out.shape[1:])
+    c = coef[lanes].T
+    response = np.zeros((n, n + size, len(lanes)))  # [lag of the unit, time + n, lane]
+    response[np.arange(n), n - 1 - np.arange(n)] = 1.0
+    for b in range(size):
+        for j in range(1, n + 1):
+            response[:, n + b] -= c[j - 1] * response[:, n + b - j]
+            if j <= b:
+                y[:, b] -= c[j - 1].reshape(-1, *rest) * y[:, b - j]
+    response = response[:, n:].reshape(n, size, len(lanes), *rest)
+    inherited = np.zeros((chunks, n, *y.shape[2:]))
+    for i in range(1, chunks):
+        for j in range(1, n + 1):
+            inherited[i, j - 1] = y[i - 1, size - j] + np.sum(
+                response[:, size - j, None] * inherited[i - 1], axis=0
+            )
+    for j in range(n):
+        y += response[j, None, :, None] * inherited[:, j, None]
+    if len(lanes) == x.shape[1]:
+        return out[: len(x)]
     x = x.copy()
-    x[:, lanes] = out
+    x[:, lanes] = out[: len(x)]
     return x
 
 
@@ -146,7 +165,7 @@ def _least_squares(design, target):
     a = np.ascontiguousarray(design.transpose(1, 0, 2))
     gram = a.transpose(0, 2, 1) @ a
     diag = np.einsum("lkk->lk", gram)
-    gram += np.where(diag > 0, diag * 1e-9, 1.0)[:, :, None] * np.eye(gram.shape[1])
+    gram += np.where(diag > 0, diag * 1e-12, 1.0)[:, :, None] * np.eye(gram.shape[1])
     return np.linalg.solve(gram, np.einsum("ltk,tl->lk", a, target)[:, :, None])[:, :, 0]
 
 
@@ -170,7 +189,7 @@ def _linear(lay):
     return mask
 
 
-def fit(y, x, orders, start, s=7, max_iter=50, tol=1e-8):
+def fit(y, x, orders, start, s=7, max_iter=50, tol=1e-7):
     """Levenberg-Marquardt on every lane at once; returns ``params, sse, ok``.
 
     ``y [T, lanes]``, ``x [T, lanes, n_exog]``, ``orders [lanes, 7]``, ``start [lanes]``.

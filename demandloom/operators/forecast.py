@@ -22,7 +22,7 @@ def _score_block(block: pd.DataFrame, n_exog: int, s: int, warmup: int) -> list:
     params = np.zeros((len(block), lay.size))
     params[lay.free(orders)] = np.concatenate(block["params"].to_list())
     y, x, pad = stack_lanes(block["y"], block["x"], n_exog)
-    steps = block["x_future"].map(lambda f: len(f[0])).to_numpy()
+    steps = block["steps"].to_numpy()
     ahead = np.zeros((steps.max(), len(block), n_exog))
     for lane, future in enumerate(block["x_future"]):
         for k in range(n_exog):
@@ -53,7 +53,7 @@ def forecast_series(
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for columns in batches:
             pdf = pd.DataFrame(
-                dict(zip(("y", "x", "x_future", "orders", "params"), columns))
+                dict(zip(("steps", "y", "x", "x_future", "orders", "params"), columns))
             ).reset_index(drop=True)
             out = pd.Series([None] * len(pdf), dtype=object)
             known = pdf.index[pdf["params"].notna() & pdf["y"].notna()]
@@ -71,7 +71,7 @@ def forecast_series(
         future.select(*keys, "dates", F.col("x").alias("x_future"))
         .join(models.select(*keys, orders.alias("orders"), "params"), keys, "left")
         .join(history.select(*keys, "y", "x"), keys, "left")
-        .select(*keys, "dates", score("y", "x", "x_future", "orders", "params").alias("f"))
+        .select(*keys, "dates", score(F.size("dates"), "y", "x", "x_future", "orders", "params").alias("f"))
     )
     return scored.select(*keys, F.posexplode("dates").alias("pos", "date"), "f").select(
         *keys,

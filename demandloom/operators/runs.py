@@ -174,12 +174,12 @@ def latest_version(registry: DataFrame, name: str) -> dict:
 
 
 def fetch_log(
-    events: DataFrame, filters: dict[str, str], time: str, max_entries: int = 50
+    events: DataFrame, filters: dict[str, object], order: list[str], max_entries: int = 50
 ) -> DataFrame:
     """First entries of a step log that match every filter."""
     for column, value in filters.items():
         events = events.where(F.col(column) == value)
-    return events.orderBy(time).limit(max_entries)
+    return events.orderBy(*order).limit(max_entries)
 
 
 def with_position(df: DataFrame, order: list[str]) -> DataFrame:

@@ -24,7 +24,8 @@ def pack_series(
     )
     out = [F.col("d.date").alias("dates")]
     out += [F.col("d.__y").alias("y")] if target is not None else []
-    return packed.select(*keys, *out, F.array(*[F.col(f"d.{c}") for c in exog]).alias("x"))
+    x = F.array(*[F.col(f"d.{c}") for c in exog]).cast("array<array<double>>")
+    return packed.select(*keys, *out, x.alias("x"))
 
 
 def number_steps(rows: DataFrame, keys: list[str] = ()) -> DataFrame:

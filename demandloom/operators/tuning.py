@@ -33,7 +33,7 @@ FALLBACK = {"p": 1, "d": 1, "q": 1, "seasonal_p": 1, "seasonal_d": 1, "seasonal_
 MAX_ITER = 50
 
 ORDER_COLS = list(SPACE)
-LANE_CELLS = 600_000  # days x lanes one kernel call holds
+LANE_CELLS = 150_000  # days x lanes one kernel call holds
 RESULT = struct(
     trial_id=INT, **dict.fromkeys(ORDER_COLS, INT), intercept=INT, n_obs=INT, aic=DOUBLE,
     bic=DOUBLE, sigma2=DOUBLE, converged=BOOLEAN, params=T.ArrayType(DOUBLE),
@@ -266,10 +266,17 @@ def _moves() -> list[tuple[int, ...]]:
 
 
 def stepwise_search(
-    packed: DataFrame, keys: list[str], n_exog: int, s: int = SEASON, max_rounds: int = 40
+    packed: DataFrame,
+    keys: list[str],
+    n_exog: int,
+    blocks: int = 1,
+    s: int = SEASON,
+    max_rounds: int = 40,
 ) -> DataFrame:
     """Walk from four first orders to the neighbour with the lowest AIC, all series at once.
 
+    ``blocks`` tasks share the orders of one series and round, worth it when series are few.
+
     One Spark round per step: expand the neighbours of the series that improved, drop those
     tried before with an anti join, fit the rest, update the incumbents. Rounds are cut by
     checkpoints of the small trial table; the packed series are persisted, not moved again
@@ -285,8 +292,10 @@ def stepwise_search(
 
     def fit_round(orders: DataFrame, offset: int) -> DataFrame:
         row = F.array(F.col("trial_id"), *names)
-        wanted = orders.groupBy(*keys).agg(F.collect_list(row).alias("trials"))
-        fitted = fit_trials(packed.join(wanted, keys).repartition(parts), n_exog, skip, s)
+        block = F.pmod("trial_id", F.lit(blocks)).alias("block")
+        wanted = orders.groupBy(*keys, block).agg(F.collect_list(row).alias("trials"))
+        spread = packed.join(wanted.drop("block"), keys).repartition(parts)
+        fitted = fit_trials(spread, n_exog, skip, s)
         return checkpointed(fitted.withColumn("round", F.lit(offset)))
 
     first = F.posexplode(F.array(*[order_struct(t) for t in STEP_STARTS])).alias("trial_id", "o")

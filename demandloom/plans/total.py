@@ -70,7 +70,8 @@ def total_forecast(
     train, val = train_rows(tagged), validation_rows(tagged)
     exog = CALENDAR_EXOG
     packed = pack_series(train, KEY, "total_cashflow", exog)
-    trials = stepwise_search(packed, KEY, len(exog))
+    cores = days.sparkSession.sparkContext.defaultParallelism
+    trials = stepwise_search(packed, KEY, len(exog), blocks=cores)
     model = checkpointed(best_trials(trials, KEY))
     skip = stepwise_warmup()
 

@@ -59,22 +59,25 @@ def request(spark: SparkSession, sf_dir: str, h: int = HORIZON) -> DataFrame:
     return sales_panel(spark, sf_dir).where(F.col("date") > cutoff).drop("sales")
 
 
+def _due_day() -> Column:
+    """Orders fall due 95 days on, the longest time to ship, so calendars reach the last day."""
+    return F.date_add(F.col("o_orderdate").cast("date"), 95)
+
+
 def oil(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lowest order total of each weekday as its price; unknown on days 10, 20 and 30."""
-    day = F.col("o_orderdate").cast("date")
+    """Lowest order total due on each weekday as its price; unknown on days 10, 20 and 30."""
     known = ~F.dayofmonth("date").isin(10, 20, 30)
     return (
         table(spark, sf_dir, "orders")
-        .where(monday_based(day) < 5)
-        .groupBy(day.alias("date"))
+        .where(monday_based(_due_day()) < 5)
+        .groupBy(_due_day().alias("date"))
         .agg(F.min("o_totalprice").alias("price"))
         .select("date", F.when(known, F.col("price")).alias("dcoilwtico"))
     )
 
 
 def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of the 1st, 15th and 25th as calendar entries; some moved, some without a type."""
-    day = F.col("o_orderdate").cast("date")
+    """Orders due on the 1st, 15th and 25th as calendar entries; some moved, some untyped."""
     priority = F.col("o_orderpriority")
     kind = (
         F.when(priority == "1-URGENT", "Holiday")
@@ -84,8 +87,10 @@ def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         table(spark, sf_dir, "orders")
-        .where(F.dayofmonth(day).isin(1, 15, 25))
+        .where(F.dayofmonth(_due_day()).isin(1, 15, 25))
         .select(
-            day.alias("date"), kind.alias("type"), (F.col("o_orderstatus") == "F").alias("transferred")
+            _due_day().alias("date"),
+            kind.alias("type"),
+            (F.col("o_orderstatus") == "F").alias("transferred"),
         )
     )
