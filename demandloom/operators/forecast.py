@@ -40,7 +40,8 @@ def forecast_series(
     warmup: int | None = None,
     s: int = SEASON,
 ) -> DataFrame:
-    """``keys, step, date, forecast`` for every requested date of every series.
+    """``keys, step, date, forecast`` for every requested date of every series; ``actual`` too
+    if ``future`` carries the target.
 
     All three sides hold one row per series, and the key join carries nothing else. The
     parameters stay as fitted; only the innovations are recomputed on ``history``. Step k is
@@ -67,17 +68,21 @@ def forecast_series(
             yield out
 
     orders = F.array(*[F.col(c).cast("int") for c in ORDER_COLS], F.col("intercept").cast("int"))
+    known = [F.col("y").alias("actuals")] if "y" in future.columns else []
+    actual = [F.get("actuals", F.col("pos")).alias("actual")] if known else []
     scored = (
-        future.select(*keys, "dates", F.col("x").alias("x_future"))
+        future.select(*keys, "dates", F.col("x").alias("x_future"), *known)
         .join(models.select(*keys, orders.alias("orders"), "params"), keys, "left")
         .join(history.select(*keys, "y", "x"), keys, "left")
-        .select(*keys, "dates", score(F.size("dates"), "y", "x", "x_future", "orders", "params").alias("f"))
+        .withColumn("f", score(F.size("dates"), "y", "x", "x_future", "orders", "params"))
+        .drop("y", "x", "x_future", "orders", "params")
     )
-    return scored.select(*keys, F.posexplode("dates").alias("pos", "date"), "f").select(
+    return scored.select("*", F.posexplode("dates").alias("pos", "date")).select(
         *keys,
         (F.col("pos") + 1).alias("step"),
         "date",
         F.get("f", F.col("pos")).alias("forecast"),
+        *actual,
     )
 
 

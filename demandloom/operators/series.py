@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -13,21 +13,46 @@ def pack_series(
     """Date-ordered arrays of each series: ``dates``, ``y`` and ``x`` (one array per regressor).
 
     Rows must be at day grain, so an array is never longer than the calendar. Days with an
-    unknown target are left out of a history.
+    unknown target are left out of a history. Rows tagged by a holdout also give ``n_train``,
+    the length of the training part, so one packed row serves fit, evaluation and forecast.
     """
     values = [F.col(c).cast("double").alias(c) for c in exog]
     if target is not None:
         rows = rows.where(F.col(target).isNotNull())
         values = [F.col(target).cast("double").alias("__y"), *values]
+    counted = []
+    if "split" in rows.columns:
+        counted = [F.count_if(F.col("split") == "train").cast("int").alias("n_train")]
     packed = rows.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("date", *values))).alias("d")
+        F.array_sort(F.collect_list(F.struct("date", *values))).alias("d"), *counted
     )
     out = [F.col("d.date").alias("dates")]
     out += [F.col("d.__y").alias("y")] if target is not None else []
+    out += ["n_train"] if counted else []
     x = F.array(*[F.col(f"d.{c}") for c in exog]).cast("array<array<double>>")
     return packed.select(*keys, *out, x.alias("x"))
 
 
+def _slice(packed: DataFrame, start: Column, length: Column) -> DataFrame:
+    return packed.withColumns(
+        {
+            "dates": F.slice("dates", start, length),
+            "y": F.slice("y", start, length),
+            "x": F.transform("x", lambda values: F.slice(values, start, length)),
+        }
+    ).drop("n_train")
+
+
+def train_part(packed: DataFrame) -> DataFrame:
+    return _slice(packed, F.lit(1), F.col("n_train"))
+
+
+def validation_part(packed: DataFrame) -> DataFrame:
+    """The days after the training part; series without any are left out."""
+    rest = F.size("dates") - F.col("n_train")
+    return _slice(packed.where(rest > 0), F.col("n_train") + 1, F.greatest(rest, F.lit(0)))
+
+
 def number_steps(rows: DataFrame, keys: list[str] = ()) -> DataFrame:
     """Position of each date in its series, from 1. ``rows`` is at day grain."""
     return rows.withColumn("step", F.row_number().over(W.partitionBy(*keys).orderBy("date")))

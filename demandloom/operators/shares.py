@@ -2,32 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.columns import non_negative
+from demandloom.operators.runs import checkpointed
 from demandloom.schemas import PAIR
 
 
-def trailing_window(sales: DataFrame, days: int = 30) -> DataFrame:
-    """Rows from ``max(date) - days`` on, both ends included (31 dates on dense data)."""
-    last = sales.agg(F.max("date").alias("last")).scalar()
+def trailing_window(sales: DataFrame, days: int = 30, last: Column | None = None) -> DataFrame:
+    """Rows from ``max(date) - days`` on, both ends included (31 dates on dense data).
+
+    A known newest day can be passed as ``last`` to spare the scan for it.
+    """
+    if last is None:
+        last = sales.agg(F.max("date").alias("last")).scalar()
     return sales.where(F.col("date") >= F.date_sub(last, days))
 
 
-def trailing_shares(sales: DataFrame, days: int = 30) -> DataFrame:
+def trailing_shares(sales: DataFrame, days: int = 30, last: Column | None = None) -> DataFrame:
     """Share of every pair in the recent total; equal shares over all pairs if that is not > 0.
 
-    The recent total is fetched as one number: only the fallback reads the pairs of the whole
-    history, and no plan without that number can leave that scan out.
+    The window is read once: its sums per pair are materialised, and their total is fetched
+    as one number. Only the fallback reads the pairs of the whole history, and no plan made
+    without that number could leave that scan out.
     """
-    recent = trailing_window(sales, days)
-    total = recent.agg(F.sum("sales").cast("double")).first()[0]
+    sums = trailing_window(sales, days, last).groupBy(*PAIR).agg(F.sum("sales").alias("s"))
+    sums = checkpointed(sums)
+    total = sums.agg(F.sum("s").cast("double")).first()[0]
     if total is not None and total > 0:
         known = F.col("store_nbr").isNotNull() & F.col("family").isNotNull()
-        by_pair = recent.where(known).groupBy(*PAIR).agg(F.sum("sales").cast("double").alias("s"))
-        share = F.coalesce("s", F.lit(0.0)) / F.lit(total)
-        return by_pair.select(*PAIR, share.alias("proportion"))
+        share = F.coalesce(F.col("s").cast("double"), F.lit(0.0)) / F.lit(total)
+        return sums.where(known).select(*PAIR, share.alias("proportion"))
     pairs = sales.select(*PAIR).distinct()
     count = pairs.agg(F.count(F.lit(1)).alias("n")).scalar()
     return pairs.select(*PAIR, (F.lit(1.0) / count).alias("proportion"))

@@ -149,6 +149,13 @@ def fit_trials(
     return packed.mapInPandas(run, T.StructType([*keys, *RESULT]))
 
 
+def task_count(packed: DataFrame, blocks: int = 1, rows_per_task: int = 64) -> int:
+    """Tasks for a fit: one per core at least, and short enough to be cheap to lose."""
+    rows = packed.count() * blocks
+    cores = packed.sparkSession.sparkContext.defaultParallelism
+    return max(cores, min(-(-rows // rows_per_task), 100_000))
+
+
 def grid_search(
     packed: DataFrame,
     keys: list[str],
@@ -161,12 +168,13 @@ def grid_search(
     """All trials of the grid for every packed series.
 
     With many series one block of orders per series moves each series once. With few, more
-    blocks spread the grid over the cores at the price of as many copies of the series. The
-    explicit partition count keeps tiny but slow rows from being merged into one task.
+    blocks spread the grid over the cores at the price of as many copies of the series. An
+    explicit partition count keeps tiny but slow rows from being merged into one task; left
+    out, it comes from a count of ``packed``, which is then best persisted.
     """
     n = grid_size(space)
     blocks = min(blocks, n)
-    parts = partitions or packed.sparkSession.sparkContext.defaultParallelism
+    parts = partitions or task_count(packed, blocks)
     trial = lambda t: F.array(
         t.cast("int"), *order_columns(t, space), F.lit(0)
     )
@@ -214,6 +222,10 @@ def best_trials(trials: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def contains_fallback(space: dict[str, list[int]]) -> bool:
+    return all(FALLBACK[name] in values for name, values in space.items())
+
+
 def fit_orders(
     packed: DataFrame,
     orders: DataFrame,
@@ -288,7 +300,7 @@ def stepwise_search(
     order_struct = lambda t: F.struct(*[F.lit(v).alias(n) for n, v in zip(names, t)])
     skip = stepwise_warmup(s)
     packed = packed.select(*keys, "y", "x").persist()
-    parts = packed.sparkSession.sparkContext.defaultParallelism
+    parts = task_count(packed, blocks)
 
     def fit_round(orders: DataFrame, offset: int) -> DataFrame:
         row = F.array(F.col("trial_id"), *names)
@@ -320,6 +332,6 @@ def stepwise_search(
         made = fit_round(fresh, turn)
         if made.isEmpty():
             break
-        trials = checkpointed(trials.unionByName(made))
+        trials = trials.unionByName(made)
     packed.unpersist()
     return trials

@@ -152,7 +152,7 @@ _SELECTS = {
               FROM generate_series(1, {HORIZON}) AS g(k))
         LEFT JOIN oil USING (date) LEFT JOIN holiday USING (date)""",
     "differenced_series": """SELECT store_nbr, family, date,
-        ROUND(s1 - LAG(s1, 7) OVER (PARTITION BY store_nbr, family ORDER BY date), 3) AS sales
+        ROUND(s1 - LAG(s1, 7) OVER (PARTITION BY store_nbr, family ORDER BY date), 4) AS sales
         FROM (SELECT store_nbr, family, date, CAST(sales AS DOUBLE)
           - LAG(CAST(sales AS DOUBLE)) OVER (PARTITION BY store_nbr, family ORDER BY date) AS s1 FROM panel)""",
     "latest_days": "SELECT * FROM feat ORDER BY date DESC LIMIT 15",
@@ -195,11 +195,19 @@ _SELECTS = {
           FROM (SELECT *, SUM(y * y1) OVER (PARTITION BY store_nbr, family)
               / SUM(y1 * y1) OVER (PARTITION BY store_nbr, family) AS phi
             FROM numbered WHERE rn > 17) GROUP BY store_nbr, family, phi)""",
-    "last_week_model": """SELECT v.store_nbr, v.family, v.step, v.date, ROUND(t.sales, 3) AS forecast
+    "last_week_model": """SELECT v.store_nbr, v.family, v.step, v.date, ROUND(t.sales, 4) AS forecast
         FROM val v LEFT JOIN train t ON v.store_nbr = t.store_nbr AND v.family = t.family
           AND t.rn = t.n - 7 + ((v.step - 1) % 7) + 1""",
     "evaluate_metrics": """SELECT store_nbr, family, val_rows, ROUND(mae, 3) AS mae,
         ROUND(rmse, 3) AS rmse, ROUND(mape, 3) AS mape FROM naive""",
+    "seasonal_lag_metrics": f"""SELECT COUNT(*) AS val_rows, ROUND(AVG(ABS(a - f)), 3) AS mae,
+        ROUND(SQRT(AVG((a - f) * (a - f))), 3) AS rmse, ROUND(AVG(ABS((a - f) / a)) * 100, 3) AS mape
+        FROM (SELECT v.total_cashflow AS a, t.total_cashflow AS f
+          FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY date) AS k FROM daily
+                WHERE date > (SELECT MAX(date) FROM daily) - {HORIZON}) v
+          JOIN (SELECT *, ROW_NUMBER() OVER (ORDER BY date) AS rn, COUNT(*) OVER () AS n FROM daily
+                WHERE date <= (SELECT MAX(date) FROM daily) - {HORIZON}) t
+            ON t.rn = t.n - 7 + ((v.k - 1) % 7) + 1 WHERE v.k <= {HORIZON})""",
     "run_leaderboard": """SELECT 'final-evaluation-' || store_nbr || '/' || family AS run_id,
         'evaluation' AS stage, ROUND(rmse, 3) AS val_rmse FROM naive ORDER BY rmse, run_id""",
     "trial_plan": f"""SELECT *, CAST(p * 48 + d * 24 + q * 8 + seasonal_p * 4 + seasonal_d * 2
@@ -212,11 +220,13 @@ _SELECTS = {
     "run_summary": f"""SELECT 'grid-search-best-' || store_nbr || '/' || family AS run_id,
         CAST(p AS VARCHAR) AS best_p, CAST(successful_trials AS VARCHAR) AS successful_fits,
         {_SAFE.format(c="aic")} AS best_aic FROM chosen""",
-    "jsonl_flatten": """SELECT id AS line, NULL::BIGINT AS id, CAST(sales AS DOUBLE) AS sales FROM panel WHERE id % 5 IN (0, 1)
-        UNION ALL SELECT id, NULL, NULL FROM panel WHERE id % 5 IN (1, 3)
-        UNION ALL SELECT id, NULL, 7 FROM panel WHERE id % 5 = 1
-        UNION ALL SELECT id, id, CAST(sales AS DOUBLE) FROM panel WHERE id % 5 IN (2, 4)
-        UNION ALL SELECT id, id, CAST(sales AS DOUBLE) FROM panel WHERE id % 5 = 4""",
+    "jsonl_flatten": """SELECT id AS line, 0 AS place, NULL::BIGINT AS id, CAST(sales AS DOUBLE) AS sales
+          FROM panel WHERE id % 5 IN (0, 1)
+        UNION ALL SELECT id, 1, NULL, NULL FROM panel WHERE id % 5 = 1
+        UNION ALL SELECT id, 0, NULL, NULL FROM panel WHERE id % 5 = 3
+        UNION ALL SELECT id, 2, NULL, 7 FROM panel WHERE id % 5 = 1
+        UNION ALL SELECT id, 0, id, CAST(sales AS DOUBLE) FROM panel WHERE id % 5 IN (2, 4)
+        UNION ALL SELECT id, 1, id, CAST(sales AS DOUBLE) FROM panel WHERE id % 5 = 4""",
     "quarantined": "SELECT id AS line FROM panel WHERE id % 5 IN (1, 3)",
     "submission_by_position": "SELECT id + 1 AS id, CAST(sales AS DOUBLE) AS sales FROM panel",
     "data_profile": """SELECT COUNT(*) AS rows, 6 AS columns, COUNT_IF(id IS NULL) AS nulls_id,

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.columns import non_negative
-from demandloom.operators.evaluate import error_metrics, pair_with_actuals
+from demandloom.operators.evaluate import error_metrics
 from demandloom.operators.features import pair_features, pair_request_instances
 from demandloom.operators.forecast import forecast_series
-from demandloom.operators.series import pack_series
-from demandloom.operators.split import tag_holdout, train_rows, validation_rows
+from demandloom.operators.series import pack_series, train_part, validation_part
+from demandloom.operators.split import tag_holdout
 from demandloom.operators.tuning import SPACE
 from demandloom.plans.total import tune
 from demandloom.schemas import EXOG, HORIZON, PAIR
@@ -32,12 +32,12 @@ def pair_forecasts(
     ``history="train"`` runs ahead from the end of the training days instead of the last day.
     """
     tagged = tag_holdout(pair_features(sales, oil, holidays), h, PAIR)
-    train, val = train_rows(tagged), validation_rows(tagged)
-    packed = pack_series(train, PAIR, "sales", EXOG).persist()
-    model = tune(packed, PAIR, len(EXOG), space, blocks)
-    on_holdout = forecast_series(model, packed, pack_series(val, PAIR, None, EXOG), PAIR, len(EXOG))
-    past = packed if history == "train" else pack_series(tagged, PAIR, "sales", EXOG)
-    instances = pair_request_instances(request, oil, holidays)
+    packed = pack_series(tagged, PAIR, "sales", EXOG).persist()
+    train = train_part(packed)
+    model = tune(train, PAIR, len(EXOG), space, blocks)
+    on_holdout = forecast_series(model, train, validation_part(packed), PAIR, len(EXOG))
+    past = packed if history == "full" else train
+    instances = pair_request_instances(request.persist(), oil, holidays)
     days = instances.groupBy(*PAIR, "date").agg(
         F.min("id").alias("id"),
         F.sum("onpromotion").alias("onpromotion"),
@@ -47,7 +47,7 @@ def pair_forecasts(
     named = instances.select("id", *PAIR, "date").join(ahead, [*PAIR, "date"])
     return {
         "model": model,
-        "metrics": error_metrics(pair_with_actuals(on_holdout, val, "sales", PAIR, h), PAIR),
+        "metrics": error_metrics(on_holdout.where(F.col("step") <= h), PAIR),
         "forecast": named.withColumn(
             "sales", F.when(F.col("forecast").isNotNull(), non_negative(F.col("forecast")))
         ).select("id", "date", *PAIR, "step", "sales"),

@@ -25,7 +25,7 @@ from demandloom.sources import requests, star
 
 TARGET = (1, "PROMO")
 SMALL_SPACE = {
-    "p": [0, 1], "d": [0, 1], "q": [1], "seasonal_p": [0], "seasonal_d": [0, 1], "seasonal_q": [1],
+    "p": [1], "d": [0, 1], "q": [1], "seasonal_p": [0, 1], "seasonal_d": [0, 1], "seasonal_q": [1],
 }
 
 
@@ -91,7 +91,7 @@ def future_calendar(spark, sf):
 def differenced_series(spark, sf):
     days = features.pair_days(star.sales_panel(spark, sf)).select(*PAIR, "date", "sales")
     out = series.difference(days, PAIR, "sales", [1, 7])
-    return out.withColumn("sales", F.round("sales", 3))
+    return out.withColumn("sales", F.round("sales", 4))
 
 
 def latest_days(spark, sf):
@@ -162,7 +162,8 @@ def request_lists(spark, sf):
 
 
 def proportions(spark, sf):
-    return shares.trailing_shares(star.sales_panel(spark, sf))
+    last = star.last_day(spark, sf)
+    return shares.trailing_shares(star.sales_panel(spark, sf), last=last)
 
 
 def proportions_uniform(spark, sf):
@@ -171,7 +172,7 @@ def proportions_uniform(spark, sf):
 
 
 def share_check(spark, sf):
-    return shares.share_check(shares.trailing_shares(star.sales_panel(spark, sf)))
+    return shares.share_check(proportions(spark, sf))
 
 
 def seasonal_lag_forecast(spark, sf):
@@ -182,7 +183,8 @@ def seasonal_lag_forecast(spark, sf):
 
 
 def disaggregate(spark, sf):
-    return topdown.seasonal_top_down(*_asked(spark, sf))
+    last = star.history_last_day(spark, sf)
+    return topdown.seasonal_top_down(*_asked(spark, sf), last=last)
 
 
 def submission(spark, sf):
@@ -199,11 +201,6 @@ def reconcile(spark, sf):
 # --- models with a closed form ------------------------------------------------------------
 
 
-def _pair_train(spark, sf):
-    days = features.pair_days(star.sales_panel(spark, sf))
-    return split.tag_holdout(days, HORIZON, PAIR)
-
-
 def _fixed_order(packed, order: dict[str, int], n_exog: int) -> DataFrame:
     base = dict.fromkeys(tuning.ORDER_COLS, 0) | order
     orders = packed.select(*PAIR, *[F.lit(v).alias(k) for k, v in base.items()])
@@ -212,7 +209,7 @@ def _fixed_order(packed, order: dict[str, int], n_exog: int) -> DataFrame:
 
 def ols_exog_fit(spark, sf):
     days = features.pair_days(star.sales_panel(spark, sf))
-    packed = series.pack_series(days, PAIR, "sales", ["onpromotion"])
+    packed = series.pack_series(days, PAIR, "sales", ["onpromotion"]).persist()
     fit = _fixed_order(packed, {}, 1)
     return fit.select(
         *PAIR,
@@ -225,7 +222,7 @@ def ols_exog_fit(spark, sf):
 
 def ar1_fit(spark, sf):
     days = features.pair_days(star.sales_panel(spark, sf))
-    packed = series.pack_series(days, PAIR, "sales", [])
+    packed = series.pack_series(days, PAIR, "sales", []).persist()
     fit = _fixed_order(packed, {"p": 1}, 0)
     return fit.select(
         *PAIR, F.round(F.get("params", F.lit(0)), 6).alias("phi"), F.round("aic", 4).alias("aic")
@@ -233,24 +230,21 @@ def ar1_fit(spark, sf):
 
 
 def _fixed_forecast(spark, sf, order):
-    tagged = _pair_train(spark, sf)
-    packed = series.pack_series(split.train_rows(tagged), PAIR, "sales", [])
-    val = split.validation_rows(tagged)
-    ahead = forecast.forecast_series(
-        _fixed_order(packed, order, 0), packed, series.pack_series(val, PAIR, None, []), PAIR, 0
-    )
-    return ahead, val
+    tagged = split.tag_holdout(features.pair_days(star.sales_panel(spark, sf)), HORIZON, PAIR)
+    packed = series.pack_series(tagged, PAIR, "sales", []).persist()
+    train = series.train_part(packed)
+    model = _fixed_order(train, order, 0)
+    return forecast.forecast_series(model, train, series.validation_part(packed), PAIR, 0)
 
 
 def last_week_model(spark, sf):
-    ahead, _ = _fixed_forecast(spark, sf, {"seasonal_d": 1})
-    return ahead.withColumn("forecast", F.round("forecast", 3))
+    ahead = _fixed_forecast(spark, sf, {"seasonal_d": 1})
+    return ahead.drop("actual").withColumn("forecast", F.round("forecast", 4))
 
 
 def _naive_metrics(spark, sf):
-    ahead, val = _fixed_forecast(spark, sf, {"d": 1})
-    paired = evaluate.pair_with_actuals(ahead, val, "sales", PAIR)
-    return evaluate.error_metrics(paired, PAIR)
+    ahead = _fixed_forecast(spark, sf, {"d": 1})
+    return evaluate.error_metrics(ahead.where(F.col("step") <= HORIZON), PAIR)
 
 
 def evaluate_metrics(spark, sf):
@@ -258,6 +252,16 @@ def evaluate_metrics(spark, sf):
     return _naive_metrics(spark, sf).select(*PAIR, "val_rows", *rounded)
 
 
+def seasonal_lag_metrics(spark, sf):
+    """Day totals of the holdout against the last training week repeated."""
+    tagged = split.tag_holdout(features.daily_totals(star.sales_panel(spark, sf)), HORIZON)
+    train, val = split.train_rows(tagged), split.validation_rows(tagged)
+    ahead = series.seasonal_lag_forecast(train, val, "total_cashflow")
+    paired = evaluate.pair_with_actuals(ahead, val, "total_cashflow", [])
+    rounded = [F.round(c, 3).alias(c) for c in ("mae", "rmse", "mape")]
+    return evaluate.error_metrics(paired).select("val_rows", *rounded)
+
+
 def run_leaderboard(spark, sf):
     logged = runs.evaluation_runs(_naive_metrics(spark, sf), PAIR, "pairs", HORIZON)
     board = runs.compare_runs(logged, "val_rmse", "evaluation")
@@ -338,7 +342,7 @@ def grid_total(spark, sf):
     """All 144 orders on the day totals."""
     days = total.keyed(features.total_features(*_past(spark, sf)))
     train = split.train_rows(split.tag_holdout(days, HORIZON))
-    packed = series.pack_series(train, total.KEY, "total_cashflow", EXOG)
+    packed = series.pack_series(train, total.KEY, "total_cashflow", EXOG).persist()
     cores = spark.sparkContext.defaultParallelism
     return tuning.grid_search(packed, total.KEY, len(EXOG), blocks=cores).drop("params")
 
@@ -346,14 +350,15 @@ def grid_total(spark, sf):
 def grid_best(spark, sf):
     """Best of a small grid for every pair."""
     tagged = split.tag_holdout(features.pair_features(*_past(spark, sf)), HORIZON, PAIR)
-    packed = series.pack_series(split.train_rows(tagged), PAIR, "sales", EXOG)
+    packed = series.pack_series(split.train_rows(tagged), PAIR, "sales", EXOG).persist()
     trials = tuning.grid_search(packed, PAIR, len(EXOG), SMALL_SPACE)
     return tuning.best_trials(trials, PAIR).drop("params")
 
 
 def pair_fit(spark, sf):
     """One given order with all regressors for every pair."""
-    packed = series.pack_series(features.pair_features(*_past(spark, sf)), PAIR, "sales", EXOG)
+    days = features.pair_features(*_past(spark, sf))
+    packed = series.pack_series(days, PAIR, "sales", EXOG).persist()
     return _fixed_order(packed, {"p": 1, "q": 1, "seasonal_d": 1, "seasonal_q": 1}, len(EXOG)).drop("params")
 
 
@@ -370,7 +375,8 @@ def pair_evaluation(spark, sf):
 
 
 def tuned_submission(spark, sf):
-    return topdown.top_down(*_asked(spark, sf), space=SMALL_SPACE)["submission"]
+    last = star.history_last_day(spark, sf)
+    return topdown.top_down(*_asked(spark, sf), space=SMALL_SPACE, last=last)["submission"]
 
 
 def auto_order(spark, sf):
@@ -488,7 +494,7 @@ QUERIES = {
         latest_days, batch_input, batch_input_pair, request_daily_exog, request_parse,
         request_lists, proportions, proportions_uniform, share_check, seasonal_lag_forecast,
         disaggregate, submission, reconcile, ols_exog_fit, ar1_fit, last_week_model,
-        evaluate_metrics, run_leaderboard, trial_plan, trial_selection, run_log, run_summary,
+        evaluate_metrics, seasonal_lag_metrics, run_leaderboard, trial_plan, trial_selection, run_log, run_summary,
         grid_total, grid_best, pair_fit, pair_forecast, pair_forecast_train_history,
         pair_evaluation, tuned_submission, auto_order, total_forecast, jsonl_flatten,
         quarantined, submission_by_position, data_profile, oil_profile, date_range,

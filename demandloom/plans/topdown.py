@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.columns import non_negative
-from demandloom.operators.evaluate import error_metrics, pair_with_actuals
+from demandloom.operators.evaluate import error_metrics
 from demandloom.operators.features import (
     daily_totals,
     request_daily_exog,
@@ -15,9 +15,14 @@ from demandloom.operators.features import (
 )
 from demandloom.operators.forecast import day_totals, forecast_series
 from demandloom.operators.predictions import submission
-from demandloom.operators.series import pack_series, seasonal_lag_forecast
+from demandloom.operators.series import (
+    pack_series,
+    seasonal_lag_forecast,
+    train_part,
+    validation_part,
+)
 from demandloom.operators.shares import disaggregate, trailing_shares
-from demandloom.operators.split import tag_holdout, train_rows, validation_rows
+from demandloom.operators.split import tag_holdout
 from demandloom.operators.tuning import SPACE, grid_size
 from demandloom.plans.total import KEY, keyed, tune
 from demandloom.schemas import EXOG, HORIZON
@@ -28,12 +33,11 @@ def score_request(
 ) -> DataFrame:
     """Rows of a request with their share and forecast sales.
 
-    ``past`` is the day-level history to re-apply; the whole request counts as one, so steps
-    and promotion sums do not depend on how its rows are delivered.
+    ``past`` is the packed day-level history to re-apply; the whole request counts as one, so
+    steps and promotion sums do not depend on how its rows are delivered.
     """
-    future = pack_series(keyed(request_daily_exog(instances)), KEY, None, EXOG)
-    packed = pack_series(keyed(past), KEY, "total_cashflow", EXOG)
-    ahead = forecast_series(model, packed, future, KEY, len(EXOG))
+    asked = pack_series(keyed(request_daily_exog(instances)), KEY, None, EXOG)
+    ahead = forecast_series(model, past, asked, KEY, len(EXOG))
     return disaggregate(instances, day_totals(ahead), shares)
 
 
@@ -45,34 +49,37 @@ def top_down(
     h: int = HORIZON,
     space: dict[str, list[int]] = SPACE,
     history: str = "full",
+    last: Column | None = None,
 ) -> dict[str, DataFrame]:
     """Grid-tuned day totals split by trailing shares: ``model``, ``metrics``, ``scored``,
-    ``submission``."""
-    days = total_features(sales, oil, holidays).persist()
-    tagged = keyed(tag_holdout(days, h))
-    train, val = train_rows(tagged), validation_rows(tagged)
-    packed = pack_series(train, KEY, "total_cashflow", EXOG)
-    cores = days.sparkSession.sparkContext.defaultParallelism
-    model = tune(packed, KEY, len(EXOG), space, blocks=min(cores, grid_size(space)))
-    on_holdout = forecast_series(
-        model, packed, pack_series(val, KEY, None, EXOG), KEY, len(EXOG)
-    )
-    past = days if history == "full" else train.drop("series")
-    instances = request_instances(request, oil, holidays)
-    scored = score_request(model, past, instances, trailing_shares(sales))
+    ``submission``. ``last`` is the newest day of ``sales``, if known."""
+    tagged = keyed(tag_holdout(total_features(sales, oil, holidays), h))
+    packed = pack_series(tagged, KEY, "total_cashflow", EXOG).persist()
+    train = train_part(packed)
+    cores = packed.sparkSession.sparkContext.defaultParallelism
+    model = tune(train, KEY, len(EXOG), space, blocks=min(cores, grid_size(space)))
+    on_holdout = forecast_series(model, train, validation_part(packed), KEY, len(EXOG))
+    instances = request_instances(request.persist(), oil, holidays)
+    past = packed if history == "full" else train
+    scored = score_request(model, past, instances, trailing_shares(sales, last=last))
     return {
         "model": model,
-        "metrics": error_metrics(pair_with_actuals(on_holdout, val, "total_cashflow", KEY, h), KEY),
+        "metrics": error_metrics(on_holdout.where(F.col("step") <= h), KEY),
         "scored": scored,
         "submission": submission(scored),
     }
 
 
 def seasonal_top_down(
-    sales: DataFrame, request: DataFrame, oil: DataFrame, holidays: DataFrame
+    sales: DataFrame,
+    request: DataFrame,
+    oil: DataFrame,
+    holidays: DataFrame,
+    last: Column | None = None,
 ) -> DataFrame:
-    """The same split with the last week repeated as the day totals: no fitting, one plan."""
+    """The same split with the last week repeated as the day totals: no fitting."""
+    request = request.persist()
     ahead = seasonal_lag_forecast(daily_totals(sales), request, "total_cashflow")
     instances = request_instances(request, oil, holidays)
     totals = ahead.select("date", non_negative(F.col("forecast")).alias("predicted_total"))
-    return disaggregate(instances, totals, trailing_shares(sales))
+    return disaggregate(instances, totals, trailing_shares(sales, last=last))

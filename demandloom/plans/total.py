@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.operators.calendar import future_calendar
-from demandloom.operators.evaluate import error_metrics, pair_with_actuals
+from demandloom.operators.evaluate import error_metrics
 from demandloom.operators.features import total_features
 from demandloom.operators.forecast import batch_forecast, forecast_series
 from demandloom.operators.runs import checkpointed
-from demandloom.operators.series import pack_series
-from demandloom.operators.split import tag_holdout, train_rows, validation_rows
+from demandloom.operators.series import pack_series, train_part, validation_part
+from demandloom.operators.split import tag_holdout
 from demandloom.operators.tuning import (
     SPACE,
     best_trials,
+    contains_fallback,
     fit_orders,
     grid_search,
     stepwise_search,
@@ -37,16 +38,16 @@ def tune(
     space: dict[str, list[int]] = SPACE,
     blocks: int = 1,
 ) -> DataFrame:
-    """Best model per series with its parameters. Trials are materialised: they are dear."""
-    trials = checkpointed(grid_search(packed, keys, n_exog, space, blocks))
-    return best_models(packed, trials, keys, n_exog)
+    """Best model per series with its parameters. Trials are materialised: they are dear.
 
-
-def best_models(packed: DataFrame, trials: DataFrame, keys: list[str], n_exog: int) -> DataFrame:
-    """Best trials with parameters; series without a finite trial are fitted with the fallback."""
-    best = best_trials(trials, keys)
-    missing = fit_orders(packed, best.where("params IS NULL"), keys, n_exog)
-    extra = missing.select(*keys, F.col("params").alias("fallback_params"))
+    A series without any finite trial gets the fallback order, fitted here unless the grid
+    has tried it already.
+    """
+    best = best_trials(checkpointed(grid_search(packed, keys, n_exog, space, blocks)), keys)
+    if contains_fallback(space):
+        return best
+    refit = fit_orders(packed, best.where("params IS NULL"), keys, n_exog)
+    extra = refit.select(*keys, F.col("params").alias("fallback_params"))
     return (
         best.join(extra, keys, "left")
         .withColumn("params", F.coalesce("params", "fallback_params"))
@@ -66,31 +67,21 @@ def total_forecast(
     ``history="train"`` runs ahead from the end of the training days instead of the last day.
     """
     days = keyed(total_features(sales, oil, holidays, with_dow=False)).persist()
-    tagged = tag_holdout(days, h)
-    train, val = train_rows(tagged), validation_rows(tagged)
     exog = CALENDAR_EXOG
-    packed = pack_series(train, KEY, "total_cashflow", exog)
+    packed = pack_series(tag_holdout(days, h), KEY, "total_cashflow", exog).persist()
+    train = train_part(packed)
     cores = days.sparkSession.sparkContext.defaultParallelism
-    trials = stepwise_search(packed, KEY, len(exog), blocks=cores)
+    trials = stepwise_search(train, KEY, len(exog), blocks=cores)
     model = checkpointed(best_trials(trials, KEY))
     skip = stepwise_warmup()
-
-    def ahead(past: DataFrame, future: DataFrame) -> DataFrame:
-        return forecast_series(
-            model,
-            pack_series(past, KEY, "total_cashflow", exog),
-            pack_series(keyed(future), KEY, None, exog),
-            KEY,
-            len(exog),
-            skip,
-        )
-
-    on_holdout = ahead(train, val)
-    calendar = future_calendar(days, oil, holidays, h)
-    future = ahead(days if history == "full" else train, calendar)
+    on_holdout = forecast_series(model, train, validation_part(packed), KEY, len(exog), skip)
+    calendar = future_calendar(days, oil, holidays, h).persist()
+    asked = pack_series(keyed(calendar), KEY, None, exog)
+    past = packed if history == "full" else train
+    future = forecast_series(model, past, asked, KEY, len(exog), skip)
     return {
         "trials": trials,
         "model": model,
-        "metrics": error_metrics(pair_with_actuals(on_holdout, val, "total_cashflow", KEY, h), KEY),
+        "metrics": error_metrics(on_holdout.where(F.col("step") <= h), KEY),
         "forecast": batch_forecast(future, calendar),
     }

@@ -58,12 +58,20 @@ def parse_exog_lists(requests: DataFrame, body: str = "body") -> DataFrame:
 
 
 def read_result_lines(spark: SparkSession, directory: str) -> DataFrame:
-    """Lines of the result files of a scoring job, with the place each came from."""
+    """Lines of the result files of a scoring job, with the place each came from.
+
+    Lines of one block are read in order, so ``line`` rises with the place in it.
+    """
     return (
         spark.read.option("pathGlobFilter", "*prediction.results*")
         .option("recursiveFileLookup", True)
         .text(directory)
-        .select("value", "_metadata.file_path", "_metadata.file_block_start")
+        .select(
+            "value",
+            "_metadata.file_path",
+            "_metadata.file_block_start",
+            F.monotonically_increasing_id().alias("line"),
+        )
     )
 
 
@@ -71,7 +79,8 @@ def flatten_results(lines: DataFrame, value: str = "value") -> DataFrame:
     """One row per prediction: ``prediction`` if that key is there, else ``predictions``.
 
     A list gives many rows and anything else one. Predictions are plain numbers, or objects
-    with ``id`` and ``sales``. A null prediction stays as a row with null ``sales``.
+    with ``id`` and ``sales``. A null prediction stays as a row with null ``sales``. ``place``
+    is the position within the line.
     """
     parsed = F.from_json(F.col(value), "map<string,string>")
     others = [c for c in lines.columns if c != value]
@@ -86,8 +95,9 @@ def flatten_results(lines: DataFrame, value: str = "value") -> DataFrame:
     ).otherwise(F.array("v"))
     row = F.from_json("item", "id bigint, sales double")
     number = F.col("item").try_cast("double")
-    return picked.select(*others, F.explode(items).alias("item")).select(
+    return picked.select(*others, F.posexplode(items).alias("place", "item")).select(
         *others,
+        "place",
         F.when(F.col("item").startswith("{"), row["id"]).alias("id"),
         F.when(F.col("item").startswith("{"), row["sales"]).otherwise(number).alias("sales"),
     )

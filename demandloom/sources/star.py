@@ -49,6 +49,14 @@ def last_day(spark: SparkSession, sf_dir: str) -> Column:
     return line.agg(F.max(F.col("l_shipdate").cast("date")).alias("last")).scalar()
 
 
+def history_last_day(spark: SparkSession, sf_dir: str, h: int = HORIZON) -> Column:
+    """Newest day of :func:`history`."""
+    day = F.col("l_shipdate").cast("date")
+    line = table(spark, sf_dir, "lineitem")
+    known = line.where(day <= F.date_sub(last_day(spark, sf_dir), h))
+    return known.agg(F.max(day).alias("last")).scalar()
+
+
 def history(spark: SparkSession, sf_dir: str, h: int = HORIZON) -> DataFrame:
     cutoff = F.date_sub(last_day(spark, sf_dir), h)
     return sales_panel(spark, sf_dir).where(F.col("date") <= cutoff)
