@@ -34,13 +34,12 @@ def pack_series(
 
 
 def _slice(packed: DataFrame, start: Column, length: Column) -> DataFrame:
-    return packed.withColumns(
-        {
-            "dates": F.slice("dates", start, length),
-            "y": F.slice("y", start, length),
-            "x": F.transform("x", lambda values: F.slice(values, start, length)),
-        }
-    ).drop("n_train")
+    """Bounds get their own columns first: inside one projection a lambda would see the
+    arrays already cut."""
+    bounded = packed.withColumns({"__start": start, "__length": length})
+    cut = lambda values: F.slice(values, F.col("__start"), F.col("__length"))
+    arrays = {"dates": cut(F.col("dates")), "y": cut(F.col("y")), "x": F.transform("x", cut)}
+    return bounded.withColumns(arrays).drop("n_train", "__start", "__length")
 
 
 def train_part(packed: DataFrame) -> DataFrame:
