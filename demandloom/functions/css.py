@@ -117,6 +117,16 @@ def divide(coef: np.ndarray, step: int, x: np.ndarray) -> np.ndarray:
     return x
 
 
+def invertible(coef: np.ndarray) -> np.ndarray:
+    """Whether ``1 + coef_1 z + ...`` has all roots outside the unit circle, per lane."""
+    a, ok = coef.copy(), np.ones(len(coef), bool)
+    for k in range(coef.shape[1], 0, -1):
+        last = a[:, [k - 1]]
+        ok &= np.abs(last[:, 0]) < 1
+        a = (a[:, : k - 1] - last * a[:, : k - 1][:, ::-1]) / np.where(last**2 < 1, 1 - last**2, 1)
+    return ok
+
+
 def difference(x: np.ndarray, orders: np.ndarray, s: int) -> np.ndarray:
     out = x.copy()
     for lag, col in ((1, D_), (s, SD)):
@@ -126,8 +136,9 @@ def difference(x: np.ndarray, orders: np.ndarray, s: int) -> np.ndarray:
     return out
 
 
-def warmup(p: int, d: int, sp: int, sd: int, s: int) -> int:
-    """Days every trial of a search skips, so that all are scored on the same sample."""
+def warmup(p, d, sp, sd, s):
+    """Days an order needs before its first innovation. A search skips what its largest order
+    needs for every trial, so that all are scored on the same sample."""
     return p + d + s * (sp + sd)
 
 
@@ -190,7 +201,10 @@ def _linear(lay):
 
 
 def fit(y, x, orders, start, s=7, max_iter=50, tol=1e-7):
-    """Levenberg-Marquardt on every lane at once; returns ``params, sse, ok``.
+    """Levenberg-Marquardt on every lane at once; returns ``params, sse, ok, layout``.
+
+    Steps that leave the invertible region are refused: beyond it the conditional sum has no
+    use, since innovations of another history would grow without bound. Stationarity is free.
 
     ``y [T, lanes]``, ``x [T, lanes, n_exog]``, ``orders [lanes, 7]``, ``start [lanes]``.
     """
@@ -217,6 +231,7 @@ def fit(y, x, orders, start, s=7, max_iter=50, tol=1e-7):
             parts = _innovations(trial, w[:, active], xd[:, active], scored[:, active], lay)
             new = np.einsum("tl,tl->l", parts[0], parts[0])
             better = np.isfinite(new) & (new < sse[active])
+            better &= invertible(trial[:, lay.at["ma"]]) & invertible(trial[:, lay.at["sma"]])
             gain = (sse[active] - new) / np.maximum(new, 1e-300)
             won = active[better]
             if len(won):
@@ -253,7 +268,8 @@ def information_criteria(sse, n, k):
 
 
 def forecast(y, x, x_future, params, orders, start, lay):
-    """Re-filter each lane's history with frozen parameters, then run ahead."""
+    """Re-filter each lane's history with frozen parameters, then run ahead ``len(x_future)``
+    days."""
     s = lay.s
     steps = len(x_future)
     beta = params[:, lay.at["beta"]]

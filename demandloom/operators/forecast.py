@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from demandloom.functions import css
 from demandloom.functions.columns import is_finite, non_negative
-from demandloom.operators.tuning import LANE_CELLS, ORDER_COLS, search_warmup, stack_lanes
+from demandloom.operators.tuning import LANE_CELLS, ORDER_COLS, stack_lanes
 from demandloom.schemas import SEASON
 
 
-def _score_block(block: pd.DataFrame, n_exog: int, s: int, warmup: int) -> list:
+def _score_block(block: pd.DataFrame, n_exog: int, s: int) -> list:
     orders = np.array(block["orders"].tolist(), dtype=int)
     widths = [orders[:, c].max(initial=0) for c in (css.P_, css.Q_, css.SP, css.SQ)]
     lay = css.Layout(n_exog, *map(int, widths), s)
@@ -27,7 +27,8 @@ def _score_block(block: pd.DataFrame, n_exog: int, s: int, warmup: int) -> list:
     for lane, future in enumerate(block["x_future"]):
         for k in range(n_exog):
             ahead[: steps[lane], lane, k] = future[k]
-    out = css.forecast(y, x, ahead, params, orders, pad + warmup, lay)
+    needed = css.warmup(*(orders[:, c] for c in (css.P_, css.D_, css.SP, css.SD)), s)
+    out = css.forecast(y, x, ahead, params, orders, pad + needed, lay)
     return [list(out[:n, lane]) for lane, n in enumerate(steps)]
 
 
@@ -37,7 +38,6 @@ def forecast_series(
     future: DataFrame,
     keys: list[str],
     n_exog: int,
-    warmup: int | None = None,
     s: int = SEASON,
 ) -> DataFrame:
     """``keys, step, date, forecast`` for every requested date of every series; ``actual`` too
@@ -48,7 +48,6 @@ def forecast_series(
     the k-th requested date, whatever the date is. A series without a usable model or history
     keeps its rows with a null forecast.
     """
-    skip = search_warmup(s=s) if warmup is None else warmup
 
     @F.pandas_udf("array<double>")
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
@@ -63,7 +62,7 @@ def forecast_series(
             for at in range(0, len(known), width):
                 block = known[at : at + width]
                 out.loc[block] = pd.Series(
-                    _score_block(pdf.loc[block], n_exog, s, skip), index=block, dtype=object
+                    _score_block(pdf.loc[block], n_exog, s), index=block, dtype=object
                 )
             yield out
 

@@ -19,7 +19,6 @@ from demandloom.operators.tuning import (
     fit_orders,
     grid_search,
     stepwise_search,
-    stepwise_warmup,
 )
 from demandloom.schemas import CALENDAR_EXOG, HORIZON
 
@@ -73,12 +72,11 @@ def total_forecast(
     cores = days.sparkSession.sparkContext.defaultParallelism
     trials = stepwise_search(train, KEY, len(exog), blocks=cores)
     model = checkpointed(best_trials(trials, KEY))
-    skip = stepwise_warmup()
-    on_holdout = forecast_series(model, train, validation_part(packed), KEY, len(exog), skip)
+    on_holdout = forecast_series(model, train, validation_part(packed), KEY, len(exog))
     calendar = future_calendar(days, oil, holidays, h).persist()
     asked = pack_series(keyed(calendar), KEY, None, exog)
     past = packed if history == "full" else train
-    future = forecast_series(model, past, asked, KEY, len(exog), skip)
+    future = forecast_series(model, past, asked, KEY, len(exog))
     return {
         "trials": trials,
         "model": model,
