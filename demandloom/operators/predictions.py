@@ -28,7 +28,8 @@ def match_by_position(
 
     Stops at the shorter side. Null predictions keep their place.
     """
-    ids = with_position(instances.select("id", *[c for c in instance_order if c != "id"]), instance_order)
+    others = [c for c in instance_order if c != "id"]
+    ids = with_position(instances.select("id", *others), instance_order)
     values = with_position(predictions.select("sales", *order), order)
     return values.select("position", "sales").join(ids.select("position", "id"), "position")
 

@@ -45,7 +45,7 @@ def _text_map(values: dict[str, Column]) -> Column:
 
 def _metric_map(values: dict[str, Column]) -> Column:
     pairs = [part for k, v in values.items() for part in (F.lit(k), logged_metric(v.cast("double")))]
-    return F.create_map(*pairs)
+    return F.create_map(*pairs).cast("map<string,double>")
 
 
 def run_rows(
@@ -121,6 +121,35 @@ def evaluation_runs(metrics: DataFrame, keys: list[str], experiment: str, h: int
     )
 
 
+def registration_runs(registered: DataFrame, experiment: str) -> DataFrame:
+    """A run per registry row."""
+    return run_rows(
+        registered,
+        experiment,
+        "registration",
+        F.concat_ws("-", F.lit("model-registration"), "display_name", F.col("version")),
+        {
+            "model_display_name": F.col("display_name"),
+            "model_version": F.col("version"),
+            "artifact_uri": F.col("artifact"),
+        },
+        {},
+    )
+
+
+def batch_runs(counts: DataFrame, experiment: str, name: str, version: int) -> DataFrame:
+    """A run per scored batch, from its row counts."""
+    counted = ("input_rows", "output_rows", "prediction_count")
+    return run_rows(
+        counts,
+        experiment,
+        "batch_inference",
+        F.lit(f"batch-{name}-{version}"),
+        {"model_display_name": F.lit(name), "model_version": F.lit(version)},
+        {c: F.col(c) for c in counted},
+    )
+
+
 def append_rows(rows: DataFrame, path: str) -> None:
     """Append runs or registry rows to their table."""
     rows.write.mode("append").parquet(path)

@@ -44,7 +44,7 @@ def pair_forecasts(
         *[F.max(c).alias(c) for c in EXOG[1:]],
     )
     ahead = forecast_series(model, past, pack_series(days, PAIR, None, EXOG), PAIR, len(EXOG))
-    named = instances.select("id", *PAIR, "date").join(ahead, [*PAIR, "date"])
+    named = instances.select("id", *PAIR, "date").join(ahead, [*PAIR, "date"], "left")
     return {
         "model": model,
         "metrics": error_metrics(on_holdout.where(F.col("step") <= h), PAIR),

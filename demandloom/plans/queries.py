@@ -387,7 +387,8 @@ def auto_order(spark, sf):
     trials = tuning.stepwise_search(
         packed, total.KEY, len(total.CALENDAR_EXOG), blocks=cores
     )
-    return tuning.best_trials(trials, total.KEY).drop("params")
+    best = tuning.best_trials(trials, total.KEY)
+    return best.withColumn("n_params", F.size("params")).drop("params")
 
 
 def total_forecast(spark, sf):

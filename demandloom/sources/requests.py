@@ -22,9 +22,9 @@ def parse_instances(requests: DataFrame, body: str = "body") -> DataFrame:
     item = (
         requests.select(F.from_json(body, "instances array<string>").alias("r"))
         .select(F.explode("r.instances").alias("item"))
-        .withColumn("by_name", F.from_json("item", "map<string,string>"))
-        .withColumn("by_place", F.from_json("item", "array<string>"))
         .withColumn("listed", F.col("item").startswith("["))
+        .withColumn("by_name", F.when(~F.col("listed"), F.from_json("item", "map<string,string>")))
+        .withColumn("by_place", F.when(F.col("listed"), F.from_json("item", "array<string>")))
     )
     raw = item.select(
         *[
@@ -82,22 +82,30 @@ def flatten_results(lines: DataFrame, value: str = "value") -> DataFrame:
     with ``id`` and ``sales``. A null prediction stays as a row with null ``sales``. ``place``
     is the position within the line.
     """
-    parsed = F.from_json(F.col(value), "map<string,string>")
     others = [c for c in lines.columns if c != value]
-    picked = lines.where(F.trim(value) != "").select(
+    keys = F.col("keys")
+    parsed = lines.where(F.trim(value) != "").select(
+        *others, F.from_json(value, "map<string,string>").alias("keys")
+    )
+    picked = parsed.select(
         *others,
-        F.when(F.map_contains_key(parsed, "prediction"), F.try_element_at(parsed, F.lit("prediction")))
-        .otherwise(F.try_element_at(parsed, F.lit("predictions")))
+        F.when(
+            F.map_contains_key(keys, "prediction"), F.try_element_at(keys, F.lit("prediction"))
+        )
+        .otherwise(F.try_element_at(keys, F.lit("predictions")))
         .alias("v"),
     )
     items = F.when(
         F.col("v").startswith("["), F.from_json("v", "array<string>")
     ).otherwise(F.array("v"))
-    row = F.from_json("item", "id bigint, sales double")
-    number = F.col("item").try_cast("double")
-    return picked.select(*others, F.posexplode(items).alias("place", "item")).select(
-        *others,
-        "place",
-        F.when(F.col("item").startswith("{"), row["id"]).alias("id"),
-        F.when(F.col("item").startswith("{"), row["sales"]).otherwise(number).alias("sales"),
+    row = F.when(F.col("item").startswith("{"), F.from_json("item", "id bigint, sales double"))
+    return (
+        picked.select(*others, F.posexplode(items).alias("place", "item"))
+        .withColumn("row", row)
+        .select(
+            *others,
+            "place",
+            F.col("row.id").alias("id"),
+            F.coalesce("row.sales", F.col("item").try_cast("double")).alias("sales"),
+        )
     )

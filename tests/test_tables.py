@@ -6,6 +6,7 @@ from conftest import SALES, frame
 from pyspark.sql import functions as F
 
 from demandloom.operators import classify, evaluate, features, predictions, runs
+from demandloom.plans import results
 from demandloom.schemas import BEAN_FEATURES, EXOG, INSTANCE_COLS, PAIR
 from demandloom.sources import requests, sinks, tables
 
@@ -138,6 +139,20 @@ def test_ids_by_position(spark, tmp_path):
     assert got == {100 + k: float(k) for k in range(25)}
 
 
+def test_results_to_submission(spark, tmp_path):
+    lines = [{"prediction": 5.0}, {"prediction": None}, {"predictions": [-1.0, 2.0]}]
+    (tmp_path / "prediction.results-00000-of-00001").write_text("\n".join(map(json.dumps, lines)))
+    ids = spark.createDataFrame([(10,), (11,), (12,), (13,), (14,)], "id bigint")
+    out = results.results_to_submission(spark, str(tmp_path), ids, ["id"], with_ids=False)
+    assert {r.id: r.sales for r in out["submission"].collect()} == {10: 5.0, 12: 0.0, 13: 2.0}
+    assert [r.id for r in out["quarantine"].collect()] == [11]
+    counts = out["counts"].first()
+    assert (counts.input_rows, counts.prediction_count, counts.output_rows) == (5, 4, 3)
+    assert (counts.ids_without_output, counts.unexpected_ids) == (2, 0)
+    logged = runs.batch_runs(out["counts"], "batch", "total", 2).first()
+    assert logged.metrics == {"input_rows": 5.0, "output_rows": 3.0, "prediction_count": 4.0}
+
+
 def test_position_is_global(spark):
     df = spark.range(1000).select(F.xxhash64("id").alias("k"))
     rows = runs.with_position(df, ["k"]).orderBy("k").collect()
@@ -169,6 +184,8 @@ def test_runs_and_registry(spark, tmp_path):
     registry = spark.read.schema(runs.REGISTRY).parquet(path)
     newest = runs.latest_version(registry, "total")
     assert newest["version"] == 2 and newest["artifact"] == "m/1"
+    logged = runs.registration_runs(registry.where("version = 2"), "models").first()
+    assert logged.params["artifact_uri"] == "m/1" and logged.metrics == {}
     with pytest.raises(ValueError, match="not found"):
         runs.latest_version(registry, "missing")
 
