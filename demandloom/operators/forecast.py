@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from demandloom.functions import css
 from demandloom.functions.columns import is_finite, non_negative
+from demandloom.operators.series import holdout_rows
 from demandloom.operators.tuning import LANE_CELLS, ORDER_COLS, stack_lanes
 from demandloom.schemas import SEASON
 
@@ -32,29 +33,15 @@ def _score_block(block: pd.DataFrame, n_exog: int, s: int) -> list:
     return [list(out[:n, lane]) for lane, n in enumerate(steps)]
 
 
-def forecast_series(
-    models: DataFrame,
-    history: DataFrame,
-    future: DataFrame,
-    keys: list[str],
-    n_exog: int,
-    s: int = SEASON,
-) -> DataFrame:
-    """``keys, step, date, forecast`` for every requested date of every series; ``actual`` too
-    if ``future`` carries the target.
-
-    All three sides hold one row per series, and the key join carries nothing else. The
-    parameters stay as fitted; only the innovations are recomputed on ``history``. Step k is
-    the k-th requested date, whatever the date is. A series without a usable model or history
-    keeps its rows with a null forecast.
-    """
+def _score(rows: DataFrame, keys: list[str], n_exog: int, s: int) -> DataFrame:
+    """``keys, step, date, forecast`` (and ``actual``, if known) from rows with a history
+    ``y, x``, a model ``orders, params`` and the asked ``dates, x_future``."""
 
     @F.pandas_udf("array<double>")
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for columns in batches:
-            pdf = pd.DataFrame(
-                dict(zip(("steps", "y", "x", "x_future", "orders", "params"), columns))
-            ).reset_index(drop=True)
+            names = ("steps", "y", "x", "x_future", "orders", "params")
+            pdf = pd.DataFrame(dict(zip(names, columns))).reset_index(drop=True)
             out = pd.Series([None] * len(pdf), dtype=object)
             known = pdf.index[pdf["params"].notna() & pdf["y"].notna()]
             longest = max((len(y) for y in pdf.loc[known, "y"]), default=1)
@@ -66,16 +53,10 @@ def forecast_series(
                 )
             yield out
 
-    orders = F.array(*[F.col(c).cast("int") for c in ORDER_COLS], F.col("intercept").cast("int"))
-    known = [F.col("y").alias("actuals")] if "y" in future.columns else []
-    actual = [F.get("actuals", F.col("pos")).alias("actual")] if known else []
-    scored = (
-        future.select(*keys, "dates", F.col("x").alias("x_future"), *known)
-        .join(models.select(*keys, orders.alias("orders"), "params"), keys, "left")
-        .join(history.select(*keys, "y", "x"), keys, "left")
-        .withColumn("f", score(F.size("dates"), "y", "x", "x_future", "orders", "params"))
-        .drop("y", "x", "x_future", "orders", "params")
-    )
+    actual = [F.get("actuals", F.col("pos")).alias("actual")] if "actuals" in rows.columns else []
+    scored = rows.withColumn(
+        "f", score(F.size("dates"), "y", "x", "x_future", "orders", "params")
+    ).drop("y", "x", "x_future", "orders", "params")
     return scored.select("*", F.posexplode("dates").alias("pos", "date")).select(
         *keys,
         (F.col("pos") + 1).alias("step"),
@@ -85,6 +66,46 @@ def forecast_series(
     )
 
 
+def _parameters(models: DataFrame, keys: list[str]) -> DataFrame:
+    orders = F.array(*[F.col(c).cast("int") for c in ORDER_COLS], F.col("intercept").cast("int"))
+    return models.select(*keys, orders.alias("orders"), "params")
+
+
+def forecast_holdout(
+    models: DataFrame, packed: DataFrame, keys: list[str], n_exog: int, s: int = SEASON
+) -> DataFrame:
+    """Forecast the validation days of each packed series from the end of its training days.
+
+    History and asked days come from one row, so only the small models are joined.
+    """
+    return _score(
+        holdout_rows(packed).join(_parameters(models, keys), keys, "left"), keys, n_exog, s
+    )
+
+
+def forecast_series(
+    models: DataFrame,
+    history: DataFrame,
+    future: DataFrame,
+    keys: list[str],
+    n_exog: int,
+    s: int = SEASON,
+) -> DataFrame:
+    """``keys, step, date, forecast`` for every requested date of every series.
+
+    All three sides hold one row per series, and the key join carries nothing else. The
+    parameters stay as fitted; only the innovations are recomputed on ``history``. Step k is
+    the k-th requested date, whatever the date is. A series without a usable model or history
+    keeps its rows with a null forecast.
+    """
+    rows = (
+        future.select(*keys, "dates", F.col("x").alias("x_future"))
+        .join(_parameters(models, keys), keys, "left")
+        .join(history.select(*keys, "y", "x"), keys, "left")
+    )
+    return _score(rows, keys, n_exog, s)
+
+
 def day_totals(forecasts: DataFrame) -> DataFrame:
     """Day-level forecast floored at zero, as the split takes it."""
     return forecasts.select("date", non_negative(F.col("forecast")).alias("predicted_total"))

@@ -52,6 +52,26 @@ def validation_part(packed: DataFrame) -> DataFrame:
     return _slice(packed.where(rest > 0), F.col("n_train") + 1, F.greatest(rest, F.lit(0)))
 
 
+def holdout_rows(packed: DataFrame) -> DataFrame:
+    """Training arrays and the validation days of the same series side by side, one row each:
+    ``y`` and ``x`` to fit on, ``dates``, ``x_future`` and ``actuals`` to forecast."""
+    rest = F.size("dates") - F.col("n_train")
+    bounded = packed.where(rest > 0).withColumns(
+        {"__cut": F.col("n_train"), "__rest": F.greatest(rest, F.lit(0))}
+    )
+    head = lambda values: F.slice(values, F.lit(1), F.col("__cut"))
+    tail = lambda values: F.slice(values, F.col("__cut") + 1, F.col("__rest"))
+    return bounded.withColumns(
+        {
+            "x_future": F.transform("x", tail),
+            "actuals": tail(F.col("y")),
+            "dates": tail(F.col("dates")),
+            "x": F.transform("x", head),
+            "y": head(F.col("y")),
+        }
+    ).drop("n_train", "__cut", "__rest")
+
+
 def number_steps(rows: DataFrame, keys: list[str] = ()) -> DataFrame:
     """Position of each date in its series, from 1. ``rows`` is at day grain."""
     return rows.withColumn("step", F.row_number().over(W.partitionBy(*keys).orderBy("date")))

@@ -228,22 +228,24 @@ def contains_fallback(space: dict[str, list[int]]) -> bool:
 
 def fit_orders(
     packed: DataFrame,
-    orders: DataFrame,
+    orders: DataFrame | dict[str, int],
     keys: list[str],
     n_exog: int,
     warmup: int | None = None,
     s: int = SEASON,
 ) -> DataFrame:
-    """Fit one given order per series; ``orders`` has the keys and the order columns."""
-    chosen = orders.select(
-        *keys,
-        F.array(
-            F.array(F.lit(0), *[F.col(c).cast("int") for c in ORDER_COLS], F.lit(0))
-        ).alias("trials"),
-    )
-    joined = packed.select(*keys, "y", "x").join(chosen, keys)
+    """Fit one given order per series: the same for all, or a table with the keys and the
+    order columns."""
+    series = packed.select(*keys, "y", "x")
+    if isinstance(orders, dict):
+        values = [F.lit(orders.get(c, 0)) for c in ORDER_COLS]
+        rows = series.withColumn("trials", F.array(F.array(F.lit(0), *values, F.lit(0))))
+    else:
+        values = [F.col(c).cast("int") for c in ORDER_COLS]
+        trial = F.array(F.array(F.lit(0), *values, F.lit(0))).alias("trials")
+        rows = series.join(orders.select(*keys, trial), keys)
     skip = search_warmup(s=s) if warmup is None else warmup
-    return fit_trials(joined, n_exog, skip, s).drop("trial_id")
+    return fit_trials(rows, n_exog, skip, s).drop("trial_id")
 
 
 # Bounds of the stepwise search, its four first orders
@@ -294,7 +296,7 @@ def stepwise_search(
     checkpoints of the small trial table; the packed series are persisted, not moved again
     once a series has settled. Returns all trials, numbered in the order they were made.
     """
-    from demandloom.operators.runs import checkpointed
+    from demandloom.operators.runs import checkpointed  # runs builds on this module
 
     names = list(STEP_BOUNDS)
     order_struct = lambda t: F.struct(*[F.lit(v).alias(n) for n, v in zip(names, t)])

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from demandloom.functions.columns import non_negative
 from demandloom.operators.evaluate import error_metrics
 from demandloom.operators.features import pair_features, pair_request_instances
-from demandloom.operators.forecast import forecast_series
-from demandloom.operators.series import pack_series, train_part, validation_part
+from demandloom.operators.forecast import forecast_holdout, forecast_series
+from demandloom.operators.series import pack_series, train_part
 from demandloom.operators.split import tag_holdout
 from demandloom.operators.tuning import SPACE
 from demandloom.plans.total import tune
@@ -35,7 +35,7 @@ def pair_forecasts(
     packed = pack_series(tagged, PAIR, "sales", EXOG).persist()
     train = train_part(packed)
     model = tune(train, PAIR, len(EXOG), space, blocks)
-    on_holdout = forecast_series(model, train, validation_part(packed), PAIR, len(EXOG))
+    on_holdout = forecast_holdout(model, packed, PAIR, len(EXOG))
     past = packed if history == "full" else train
     instances = pair_request_instances(request.persist(), oil, holidays)
     days = instances.groupBy(*PAIR, "date").agg(

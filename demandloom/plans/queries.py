@@ -201,16 +201,10 @@ def reconcile(spark, sf):
 # --- models with a closed form ------------------------------------------------------------
 
 
-def _fixed_order(packed, order: dict[str, int], n_exog: int) -> DataFrame:
-    base = dict.fromkeys(tuning.ORDER_COLS, 0) | order
-    orders = packed.select(*PAIR, *[F.lit(v).alias(k) for k, v in base.items()])
-    return tuning.fit_orders(packed, orders, PAIR, n_exog)
-
-
 def ols_exog_fit(spark, sf):
     days = features.pair_days(star.sales_panel(spark, sf))
-    packed = series.pack_series(days, PAIR, "sales", ["onpromotion"]).persist()
-    fit = _fixed_order(packed, {}, 1)
+    packed = series.pack_series(days, PAIR, "sales", ["onpromotion"])
+    fit = tuning.fit_orders(packed, {}, PAIR, 1)
     return fit.select(
         *PAIR,
         "n_obs",
@@ -222,8 +216,8 @@ def ols_exog_fit(spark, sf):
 
 def ar1_fit(spark, sf):
     days = features.pair_days(star.sales_panel(spark, sf))
-    packed = series.pack_series(days, PAIR, "sales", []).persist()
-    fit = _fixed_order(packed, {"p": 1}, 0)
+    packed = series.pack_series(days, PAIR, "sales", [])
+    fit = tuning.fit_orders(packed, {"p": 1}, PAIR, 0)
     return fit.select(
         *PAIR, F.round(F.get("params", F.lit(0)), 6).alias("phi"), F.round("aic", 4).alias("aic")
     )
@@ -232,9 +226,8 @@ def ar1_fit(spark, sf):
 def _fixed_forecast(spark, sf, order):
     tagged = split.tag_holdout(features.pair_days(star.sales_panel(spark, sf)), HORIZON, PAIR)
     packed = series.pack_series(tagged, PAIR, "sales", []).persist()
-    train = series.train_part(packed)
-    model = _fixed_order(train, order, 0)
-    return forecast.forecast_series(model, train, series.validation_part(packed), PAIR, 0)
+    model = tuning.fit_orders(series.train_part(packed), order, PAIR, 0)
+    return forecast.forecast_holdout(model, packed, PAIR, 0)
 
 
 def last_week_model(spark, sf):
@@ -358,8 +351,9 @@ def grid_best(spark, sf):
 def pair_fit(spark, sf):
     """One given order with all regressors for every pair."""
     days = features.pair_features(*_past(spark, sf))
-    packed = series.pack_series(days, PAIR, "sales", EXOG).persist()
-    return _fixed_order(packed, {"p": 1, "q": 1, "seasonal_d": 1, "seasonal_q": 1}, len(EXOG)).drop("params")
+    packed = series.pack_series(days, PAIR, "sales", EXOG)
+    order = {"p": 1, "q": 1, "seasonal_d": 1, "seasonal_q": 1}
+    return tuning.fit_orders(packed, order, PAIR, len(EXOG)).drop("params")
 
 
 def pair_forecast(spark, sf):

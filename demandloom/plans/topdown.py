@@ -13,13 +13,12 @@ from demandloom.operators.features import (
     request_instances,
     total_features,
 )
-from demandloom.operators.forecast import day_totals, forecast_series
+from demandloom.operators.forecast import day_totals, forecast_holdout, forecast_series
 from demandloom.operators.predictions import submission
 from demandloom.operators.series import (
     pack_series,
     seasonal_lag_forecast,
     train_part,
-    validation_part,
 )
 from demandloom.operators.shares import disaggregate, trailing_shares
 from demandloom.operators.split import tag_holdout
@@ -58,7 +57,7 @@ def top_down(
     train = train_part(packed)
     cores = packed.sparkSession.sparkContext.defaultParallelism
     model = tune(train, KEY, len(EXOG), space, blocks=min(cores, grid_size(space)))
-    on_holdout = forecast_series(model, train, validation_part(packed), KEY, len(EXOG))
+    on_holdout = forecast_holdout(model, packed, KEY, len(EXOG))
     instances = request_instances(request.persist(), oil, holidays)
     past = packed if history == "full" else train
     scored = score_request(model, past, instances, trailing_shares(sales, last=last))

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from demandloom.operators.calendar import future_calendar
 from demandloom.operators.evaluate import error_metrics
 from demandloom.operators.features import total_features
-from demandloom.operators.forecast import batch_forecast, forecast_series
+from demandloom.operators.forecast import batch_forecast, forecast_holdout, forecast_series
 from demandloom.operators.runs import checkpointed
-from demandloom.operators.series import pack_series, train_part, validation_part
+from demandloom.operators.series import pack_series, train_part
 from demandloom.operators.split import tag_holdout
 from demandloom.operators.tuning import (
     SPACE,
@@ -72,7 +72,7 @@ def total_forecast(
     cores = days.sparkSession.sparkContext.defaultParallelism
     trials = stepwise_search(train, KEY, len(exog), blocks=cores)
     model = checkpointed(best_trials(trials, KEY))
-    on_holdout = forecast_series(model, train, validation_part(packed), KEY, len(exog))
+    on_holdout = forecast_holdout(model, packed, KEY, len(exog))
     calendar = future_calendar(days, oil, holidays, h).persist()
     asked = pack_series(keyed(calendar), KEY, None, exog)
     past = packed if history == "full" else train

@@ -174,6 +174,7 @@ def future_days(spark, steps=15):
 
 
 def one_order(spark, **order):
+    """The order as a table, one row per series."""
     base = dict.fromkeys(tuning.ORDER_COLS, 0) | order
     return spark.range(1).select(F.lit("total").alias("series"), *[F.lit(v).alias(k) for k, v in base.items()])
 
@@ -301,6 +302,10 @@ def test_packed_parts(spark):
     train = {r.series: r for r in series.train_part(packed).collect()}
     val = {r.series: r for r in series.validation_part(packed).collect()}
     assert train["a"].y == [1.0, 2.0, 3.0] and val["a"].x == [[4.0, 5.0]] and "b" not in val
+    assert train["b"].x == [[1.0]]
+    (both,) = series.holdout_rows(packed).collect()
+    assert both.y == [1.0, 2.0, 3.0] and both.x == [[1.0, 2.0, 3.0]]
+    assert both.x_future == [[4.0, 5.0]] and both.actuals == [4.0, 5.0] and len(both.dates) == 2
 
 
 # --- plans --------------------------------------------------------------------------------
