@@ -111,7 +111,7 @@ ranked AS (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY store_nbr, family ORDER BY aic, trial_id) AS place
   FROM made WHERE aic IS NOT NULL AND isfinite(aic)),
 counts AS (
-  SELECT store_nbr, family, COUNT(*) AS total_trials, COUNT_IF(converged) AS successful_trials
+  SELECT store_nbr, family, COUNT(*) AS total_trials, CAST(COUNT_IF(converged) AS BIGINT) AS successful_trials
   FROM made GROUP BY store_nbr, family),
 chosen AS (
   SELECT c.store_nbr, c.family, trial_id, COALESCE(p, 1) AS p, COALESCE(d, 1) AS d, COALESCE(q, 1) AS q,
@@ -168,7 +168,8 @@ _SELECTS = {
         CAST(sales AS DOUBLE) AS oil_price, 0.0::DOUBLE AS is_holiday,
         CAST(isodow(date) - 1 AS INTEGER) AS day_of_week FROM panel""",
     "request_lists": """SELECT store_nbr, family, CAST(date_trunc('month', date) AS DATE) AS month,
-        ROW_NUMBER() OVER (PARTITION BY store_nbr, family, date_trunc('month', date) ORDER BY date) AS step,
+        CAST(ROW_NUMBER() OVER (PARTITION BY store_nbr, family, date_trunc('month', date) ORDER BY date)
+          AS INTEGER) AS step,
         CAST(onpromotion AS DOUBLE) AS onpromotion, CAST(sales AS DOUBLE) AS oil_price,
         0.0::DOUBLE AS is_holiday, CAST(isodow(date) - 1 AS DOUBLE) AS day_of_week FROM panel""",
     "proportions": """SELECT store_nbr, family, CAST(SUM(sales) AS DOUBLE)
@@ -179,12 +180,12 @@ _SELECTS = {
     "share_check": """SELECT COUNT(*) AS pairs, ROUND(SUM(s / t), 6) AS share_sum FROM (
         SELECT CAST(SUM(sales) AS DOUBLE) AS s, (SELECT CAST(SUM(sales) AS DOUBLE) FROM recent) AS t
         FROM recent GROUP BY store_nbr, family)""",
-    "seasonal_lag_forecast": "SELECT date, step, forecast FROM lagged",
+    "seasonal_lag_forecast": "SELECT date, CAST(step AS INTEGER) AS step, forecast FROM lagged",
     "disaggregate": "SELECT * FROM scored",
     "submission": "SELECT id, sales FROM scored",
     "reconcile": """SELECT (SELECT COUNT(*) FROM req) AS input_rows, COUNT(*) AS prediction_count,
-        COUNT(*) AS output_rows, 0 AS ids_without_output, 0 AS unexpected_ids FROM scored""",
-    "ols_exog_fit": f"""SELECT store_nbr, family, n AS n_obs, ROUND(beta, 3) AS beta,
+        COUNT(*) AS output_rows, 0::BIGINT AS ids_without_output, 0::BIGINT AS unexpected_ids FROM scored""",
+    "ols_exog_fit": f"""SELECT store_nbr, family, CAST(n AS INTEGER) AS n_obs, ROUND(beta, 3) AS beta,
         ROUND(m * ({_LN2PI}) + 2 * 2, 4) AS aic, ROUND(m * ({_LN2PI}) + 2 * LN(m), 4) AS bic
         FROM (SELECT store_nbr, family, n, beta, COUNT(*) AS m, SUM((y - beta * x) * (y - beta * x)) AS sse
           FROM (SELECT *, SUM(x * y) OVER (PARTITION BY store_nbr, family)
@@ -195,7 +196,7 @@ _SELECTS = {
           FROM (SELECT *, SUM(y * y1) OVER (PARTITION BY store_nbr, family)
               / SUM(y1 * y1) OVER (PARTITION BY store_nbr, family) AS phi
             FROM numbered WHERE rn > 17) GROUP BY store_nbr, family, phi)""",
-    "last_week_model": """SELECT v.store_nbr, v.family, v.step, v.date, ROUND(t.sales, 4) AS forecast
+    "last_week_model": """SELECT v.store_nbr, v.family, CAST(v.step AS INTEGER) AS step, v.date, ROUND(t.sales, 4) AS forecast
         FROM val v LEFT JOIN train t ON v.store_nbr = t.store_nbr AND v.family = t.family
           AND t.rn = t.n - 7 + ((v.step - 1) % 7) + 1""",
     "evaluate_metrics": """SELECT store_nbr, family, val_rows, ROUND(mae, 3) AS mae,
@@ -229,17 +230,17 @@ _SELECTS = {
         UNION ALL SELECT id, 1, id, CAST(sales AS DOUBLE) FROM panel WHERE id % 5 = 4""",
     "quarantined": "SELECT id AS line FROM panel WHERE id % 5 IN (1, 3)",
     "submission_by_position": "SELECT id + 1 AS id, CAST(sales AS DOUBLE) AS sales FROM panel",
-    "data_profile": """SELECT COUNT(*) AS rows, 6 AS columns, COUNT_IF(id IS NULL) AS nulls_id,
-        COUNT_IF(date IS NULL) AS nulls_date, COUNT_IF(store_nbr IS NULL) AS nulls_store_nbr,
-        COUNT_IF(family IS NULL) AS nulls_family, COUNT_IF(sales IS NULL) AS nulls_sales,
-        COUNT_IF(onpromotion IS NULL) AS nulls_onpromotion, CAST(MIN(sales) AS DOUBLE) AS min,
+    "data_profile": """SELECT COUNT(*) AS rows, 6 AS columns, CAST(COUNT_IF(id IS NULL) AS BIGINT) AS nulls_id,
+        CAST(COUNT_IF(date IS NULL) AS BIGINT) AS nulls_date, CAST(COUNT_IF(store_nbr IS NULL) AS BIGINT) AS nulls_store_nbr,
+        CAST(COUNT_IF(family IS NULL) AS BIGINT) AS nulls_family, CAST(COUNT_IF(sales IS NULL) AS BIGINT) AS nulls_sales,
+        CAST(COUNT_IF(onpromotion IS NULL) AS BIGINT) AS nulls_onpromotion, CAST(MIN(sales) AS DOUBLE) AS min,
         CAST(MAX(sales) AS DOUBLE) AS max, ROUND(AVG(CAST(sales AS DOUBLE)), 4) AS mean,
         ROUND(STDDEV_SAMP(CAST(sales AS DOUBLE)), 4) AS std FROM panel""",
-    "oil_profile": """SELECT COUNT(*) AS rows, 2 AS columns, COUNT_IF(date IS NULL) AS nulls_date,
-        COUNT_IF(dcoilwtico IS NULL) AS nulls_dcoilwtico, MIN(dcoilwtico) AS min, MAX(dcoilwtico) AS max
+    "oil_profile": """SELECT COUNT(*) AS rows, 2 AS columns, CAST(COUNT_IF(date IS NULL) AS BIGINT) AS nulls_date,
+        CAST(COUNT_IF(dcoilwtico IS NULL) AS BIGINT) AS nulls_dcoilwtico, MIN(dcoilwtico) AS min, MAX(dcoilwtico) AS max
         FROM oil_raw""",
     "date_range": "SELECT MIN(date) AS first_date, MAX(date) AS last_date FROM panel",
-    "negatives_floored": """SELECT COUNT(*) AS forecast_length, COUNT_IF(s1 < 0) AS negative_values_floored
+    "negatives_floored": """SELECT COUNT(*) AS forecast_length, CAST(COUNT_IF(s1 < 0) AS BIGINT) AS negative_values_floored
         FROM (SELECT CAST(sales AS DOUBLE)
           - LAG(CAST(sales AS DOUBLE)) OVER (PARTITION BY store_nbr, family ORDER BY date) AS s1 FROM panel)""",
     "latest_model": """SELECT 'model-' || o_custkey AS display_name, o_orderkey AS version,
