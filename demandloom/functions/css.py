@@ -153,22 +153,29 @@ def _innovations(params, w, x, scored, lay):
     return e, u, ar, sar, theta, stheta
 
 
-def _jacobian(parts, x, scored, lay):
+def _jacobian(parts, x, scored, lay, used):
+    """Derivatives of the innovations with respect to the ``used`` parameters.
+
+    Innovations are zero before their first day, so those for the moving averages are lags of
+    one series each. The others start from what lies before that day and are divided out.
+    """
     e, u, ar, sar, theta, stheta = parts
-    cols = np.zeros(e.shape + (lay.size,))
-    cols[:, :, lay.at["beta"]] = -apply_polynomial(multiply(ar, sar), x)
-    cols[:, :, lay.at["const"]] = -1.0
-    for name, source in (
-        ("ar", -apply_polynomial(sar, u)),
-        ("sar", -apply_polynomial(ar, u)),
-        ("ma", -apply_polynomial(lag_polynomial(stheta, 1.0, lay.s), e)),
-        ("sma", -apply_polynomial(lag_polynomial(theta, 1.0, 1), e)),
-    ):
-        step = lay.s if name.startswith("s") else 1
-        for j, col in enumerate(range(lay.at[name].start, lay.at[name].stop)):
-            cols[:, :, col] = shift(source, step * (j + 1))
-    cols *= scored[:, :, None]
-    return divide(theta, 1, divide(stheta, lay.s, cols))
+    wide = [-apply_polynomial(multiply(ar, sar), x)]
+    if used[lay.at["const"]].any():
+        wide.append(-np.ones((*e.shape, 1)))
+    for source, step, n in ((sar, 1, lay.p), (ar, lay.s, lay.sp)):
+        lags = -apply_polynomial(source, u)
+        wide += [shift(lags, step * j)[:, :, None] for j in range(1, n + 1)]
+    wide = np.concatenate(wide, axis=2) * scored[:, :, None]
+    cols = np.zeros((*e.shape, lay.size))
+    before = np.flatnonzero(used[: lay.at["ma"].start])
+    cols[:, :, before] = divide(theta, 1, divide(stheta, lay.s, wide))
+    for name, coef, step in (("ma", theta, 1), ("sma", stheta, lay.s)):
+        if lay.at[name].stop > lay.at[name].start:
+            lags = -divide(coef, step, e)
+            for j, col in enumerate(range(lay.at[name].start, lay.at[name].stop), 1):
+                cols[:, :, col] = shift(lags, step * j)
+    return cols[:, :, used]
 
 
 def _least_squares(design, target):
@@ -216,12 +223,15 @@ def fit(y, x, orders, start, s=7, max_iter=50, tol=1e-7):
     xd = difference(x / x_unit, orders, s)
 
     free = lay.free(orders)
+    used = np.ones(lay.size, bool)
+    used[lay.at["const"]] = free[:, lay.at["const"]].any()
+    width = int(used.sum())
     params = np.zeros((len(orders), lay.size))
     sse = np.full(len(orders), np.inf)
     damp = np.full(len(orders), 1e-3)
-    gram = np.zeros((len(orders), lay.size, lay.size))
-    grad = np.zeros((len(orders), lay.size))
-    eye = np.eye(lay.size)
+    gram = np.zeros((len(orders), width, width))
+    grad = np.zeros((len(orders), width))
+    eye = np.eye(width)
     active = np.arange(len(orders))
     step = np.zeros_like(params)
     opening = _first_guess(w, xd, scored, free, lay)
@@ -237,8 +247,9 @@ def fit(y, x, orders, start, s=7, max_iter=50, tol=1e-7):
             if len(won):
                 params[won], sse[won] = trial[better], new[better]
                 kept = [a[:, better] if i < 2 else a[better] for i, a in enumerate(parts)]
-                jac = _jacobian(kept, xd[:, won], scored[:, won], lay).transpose(1, 0, 2)
-                jac = np.ascontiguousarray(jac) * free[won][:, None, :]
+                jac = _jacobian(kept, xd[:, won], scored[:, won], lay, used)
+                jac = np.ascontiguousarray(jac.transpose(1, 0, 2))
+                jac *= free[won][:, None, used]
                 gram[won] = jac.transpose(0, 2, 1) @ jac
                 grad[won] = np.einsum("ltk,tl->lk", jac, kept[0])
             damp[active] = np.where(better, np.maximum(damp[active] / 10, 1e-9), damp[active] * 10)
@@ -251,7 +262,7 @@ def fit(y, x, orders, start, s=7, max_iter=50, tol=1e-7):
                 continue
             diag = np.einsum("lkk->lk", gram[active])
             ridge = np.where(diag > 0, diag * damp[active][:, None], 1.0)
-            step[active] = -np.linalg.solve(
+            step[np.ix_(active, used)] = -np.linalg.solve(
                 gram[active] + ridge[:, :, None] * eye, grad[active][:, :, None]
             )[:, :, 0]
     ok = np.isfinite(sse) & (sse > 0)
