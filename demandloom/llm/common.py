@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def words(text: Column) -> Column:
     """Array of the words of a text; null and blank texts give an empty array."""
-    parts = F.split(F.coalesce(text, F.lit("")), BLANKS)
-    return F.filter(parts, lambda w: w != "")
+    inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\f\r"))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, BLANKS))
+
+
+def runs(items: Column, width: int, of: Callable[[Column], Column]) -> Column:
+    """``of(i)`` for every start i of ``width`` neighbours in an array; empty if it is shorter."""
+    last = F.size(items) - width
+    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), of)).otherwise(
+        F.array().cast("array<bigint>")
+    )
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from demandloom.llm import bpe, chat, langid, pii, toxicity
+from demandloom.llm import bpe, chat, decontamination, langid, pii, quality, toxicity, urls
 from demandloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,108 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "severity", (F.col("severity") >= TOXIC_FROM).alias("toxic"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    weights = quality.bucket_weights(docs, trusted)
+    return quality.judge(docs, weights).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio"
+    )
+
+
+def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return urls.judge(pages, urls.page_links(pages)).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP6_SQL = r"""
+with recursive named as (
+  select page_id, html,
+    coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+    coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') as path,
+    case when contains(url, '://') then url end as url
+  from pages
+), ruled as (
+  select *,
+    case
+      when (host = 'example.org' or host like '%.example.org') and starts_with(path, '/en/1') then 'example.org/en/1'
+      when (host = 'example.org' or host like '%.example.org') and starts_with(path, '/es/') then 'example.org/es/'
+      when (host = 'com' or host like '%.com') and starts_with(path, '/de/') then 'com/de/'
+      when (host = 'com' or host like '%.com') and starts_with(path, '/fr/') then 'com/fr/'
+      when (host = 'org' or host like '%.org') and starts_with(path, '/') then 'org/'
+    end as rule,
+    regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '')
+      || regexp_extract(url, '^[^?#]*(\?[^#]*)', 1, 's') as address
+  from named
+), found as (
+  select address, unnest([
+    regexp_extract(regexp_extract(html, '<link[^>]*rel\s*=\s*["'']?canonical[^>]*>', 0, 'is'),
+      'href\s*=\s*["'']?([^"''\s>]+)', 1, 'is'),
+    regexp_extract(regexp_extract(html, '<meta[^>]*http-equiv\s*=\s*["'']?refresh[^>]*>', 0, 'is'),
+      'url\s*=\s*["'']?([^"''\s>;]+)', 1, 'is')]) as target
+  from ruled
+), links as (
+  select address as u,
+    regexp_replace(translate(regexp_extract(target, '^.*?://([^/?#]*)', 1, 's'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '^www\.', '')
+    || regexp_replace(regexp_extract(target, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '/+$', '')
+    || regexp_extract(target, '^[^?#]*(\?[^#]*)', 1, 's') as v
+  from found where address is not null and contains(target, '://')
+), both_ways as (select u, v from links union select v, u from links),
+reach as (
+  select distinct address as start, address as now from ruled where rule in ('com/de/', 'example.org/es/', 'example.org/en/1')
+  union
+  select start, v from reach join both_ways on now = u
+), blocked as (select distinct now as address from reach)
+select page_id, host, path, rule,
+  case when rule in ('org/', 'com/fr/') then 'allow' when rule is not null then 'block'
+    when address in (select address from blocked) then 'block' else 'allow' end as verdict
+from ruled
+"""
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontamination.overlaps(docs, items)
+    return decontamination.mark(docs, found).select("doc_id", "n_items", "first_item", "best_match", "contaminated")
+
+
+OP7_SQL = r"""
+with bench as (
+  select item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w from benchmark
+), docs as (
+  select doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w from documents
+), masks(m, span, o) as (
+  values (0, 6, [0, 1, 2, 3, 4, 5]), (1, 10, [0, 1, 3, 5, 6, 9]), (2, 10, [0, 3, 4, 6, 8, 9])
+), item_seeds as (
+  select item_id, i, m, list_transform(o, lambda x: w[i + x]) as seed
+  from bench, masks, unnest(range(1, len(w) - span + 2)) as t(i)
+), doc_seeds as (
+  select doc_id, i, m, list_transform(o, lambda x: w[i + x]) as seed
+  from docs, masks, unnest(range(1, len(w) - span + 2)) as t(i)
+), hits as (
+  select distinct d.doc_id, s.item_id, d.i - s.i as place from doc_seeds d join item_seeds s using (m, seed)
+), aligned as (
+  select doc_id, item_id, place, least(len(b.w), 16) as width,
+    list_transform(range(1, len(b.w) + 1),
+      lambda k: case when k + place between 1 and len(d.w) and d.w[k + place] = b.w[k] then 1 else 0 end) as agree
+  from hits join docs d using (doc_id) join bench b using (item_id)
+), counted as (
+  select doc_id, item_id, width,
+    list_max(list_transform(range(1, len(agree) - width + 2), lambda s: list_sum(agree[s:s + width - 1]))) as matched
+  from aligned
+), found as (
+  select doc_id, count(distinct item_id) as n_items, min(item_id) as first_item,
+    max(floor(100 * matched / width)) as best_match
+  from counted where 100 * matched >= 80 * width group by doc_id
+)
+select d.doc_id, coalesce(n_items, 0)::bigint as n_items, first_item,
+  coalesce(best_match, 0)::bigint as best_match, n_items is not null as contaminated
+from documents d left join found f using (doc_id)
+"""
+
+
 def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % 5 == 0
 
@@ -114,11 +216,16 @@ def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op3_toxicity": op3_toxicity,
+    "op4_quality": op4_quality,
     "op5_language": op5_language,
+    "op6_urls": op6_urls,
+    "op7_decontamination": op7_decontamination,
     "op8_bpe": op8_bpe,
     "op9_pseudonyms": op9_pseudonyms,
 }
 
 ORACLES: dict[str, str] = {
     "op1_chat_format": OP1_SQL,
+    "op6_urls": OP6_SQL,
+    "op7_decontamination": OP7_SQL,
 }
