@@ -59,8 +59,9 @@ def _place(pos: Column, n: Column, masks: list[str]) -> Column:
 
 def _positions(rows: DataFrame, keys: list[str], masks: list[str]) -> DataFrame:
     """``keys``, hash and place of every mask at every position of the column ``own``."""
-    coded = rows.select(*keys, F.transform("own", lambda t: F.xxhash64(t)).alias("coded"))
-    spread = coded.select(*keys, F.size("coded").alias("n"), F.posexplode(_hashes(F.col("coded"), masks)).alias("pos", "hash"))
+    # n stands beside the array, so that the spread rows do not carry the array along
+    coded = rows.select(*keys, F.size("own").alias("n"), F.transform("own", lambda t: F.xxhash64(t)).alias("coded"))
+    spread = coded.select(*keys, "n", F.posexplode(_hashes(F.col("coded"), masks)).alias("pos", "hash"))
     return spread.select(*keys, "hash", _place(F.col("pos"), F.col("n"), masks).alias("place"))
 
 
