@@ -7,6 +7,8 @@ rows stay small: texts join only the paths that were chosen.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -41,8 +43,9 @@ def _unescape_role(role: Column) -> Column:
 
 
 def _reach(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """Per round k: every node with its ancestor 2^k steps up. And the finished paths: depth and
-    total score from the root to each node; nodes on or below a cycle never finish."""
+    """Per round k: the nodes that have an ancestor 2^k steps up, with it. And all finished nodes
+    with depth and total score from the root; nodes on or below a cycle never finish. Only nodes
+    that still climb take part in a round."""
     a, b = messages.alias("a"), messages.select("tree", "node").alias("b")
     start = a.join(
         b, F.col("a.tree").eqNullSafe(F.col("b.tree")) & (F.col("a.parent") == F.col("b.node")), "left"
@@ -50,22 +53,21 @@ def _reach(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         "a.tree", "a.node", F.col("b.node").alias("up"),
         F.lit(1).cast("long").alias("depth"), F.col("a.score").alias("total"),
     )
-    rounds, now = [], checkpointed(start)
-    n_nodes = None
+    now = checkpointed(start)
+    pieces, rounds, n_nodes = [], [], now.count()
     while True:
-        rounds.append(now)
-        if now.filter("up is not null").isEmpty():
-            return rounds, now
-        n_nodes = n_nodes or now.count()
-        if 2 ** len(rounds) > 2 * n_nodes:  # only cycles are left
-            return rounds, now.filter("up is null")
-        a, b = now.alias("a"), now.alias("b")
+        pieces.append(now.filter("up is null"))
+        climbing = now.filter("up is not null")
+        # twice as far as there are messages: what still climbs goes round in a cycle
+        if climbing.isEmpty() or 2 ** len(rounds) > 2 * n_nodes:
+            return rounds, reduce(DataFrame.unionByName, pieces)
+        rounds.append(climbing)
+        a, b = climbing.alias("a"), reduce(DataFrame.unionByName, [climbing, *pieces]).alias("b")
         now = checkpointed(
-            a.join(b, F.col("a.tree").eqNullSafe(F.col("b.tree")) & (F.col("a.up") == F.col("b.node")), "left")
-            .select(
+            a.join(b, F.col("a.tree").eqNullSafe(F.col("b.tree")) & (F.col("a.up") == F.col("b.node"))).select(
                 "a.tree", "a.node", F.col("b.up").alias("up"),
-                (F.col("a.depth") + F.coalesce(F.col("b.depth"), F.lit(0))).alias("depth"),
-                (F.col("a.total") + F.coalesce(F.col("b.total"), F.lit(0.0))).alias("total"),
+                (F.col("a.depth") + F.col("b.depth")).alias("depth"),
+                (F.col("a.total") + F.col("b.total")).alias("total"),
             )
         )
 
@@ -97,12 +99,14 @@ def branches(messages: DataFrame, best: int | None = None) -> DataFrame:
         .select("tree", "node", "m.*")
     )
     rounds, done = _reach(nodes)
-    parents = rounds[0].filter("up is not null").select("tree", F.col("up").alias("node")).distinct()
-    leaves = done.alias("a").join(
-        parents.alias("b"),
-        F.col("a.tree").eqNullSafe(F.col("b.tree")) & (F.col("a.node") == F.col("b.node")),
-        "left_anti",
-    )
+    leaves = done
+    if rounds:
+        parents = rounds[0].select("tree", F.col("up").alias("node")).distinct()
+        leaves = done.alias("a").join(
+            parents.alias("b"),
+            F.col("a.tree").eqNullSafe(F.col("b.tree")) & (F.col("a.node") == F.col("b.node")),
+            "left_anti",
+        )
     order = Window.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("depth")), "node")
     leaves = leaves.withColumn("rank", F.row_number().over(order))
     if best is not None:
@@ -111,7 +115,7 @@ def branches(messages: DataFrame, best: int | None = None) -> DataFrame:
         "tree", F.col("node").alias("leaf"), "rank", "node", F.col("depth").alias("position")
     )
     for k in reversed(range(len(rounds))):
-        step = rounds[k].filter("up is not null").select(F.col("tree").alias("t"), F.col("node").alias("n"), "up")
+        step = rounds[k].select(F.col("tree").alias("t"), F.col("node").alias("n"), "up")
         above = paths.join(step, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n"))).select(
             "tree", "leaf", "rank", F.col("up").alias("node"), (F.col("position") - 2**k).alias("position")
         )
