@@ -30,6 +30,17 @@ def runs(items: Column, width: int, of: Callable[[Column], Column]) -> Column:
     )
 
 
+def row_key(docs: DataFrame, key: str, text: str) -> list[Column]:
+    """Rows with the same key and text share what is found in them; others never do."""
+    return [F.col(key).alias("__key"), F.xxhash64(F.col(key), F.col(text)).alias("__text")]
+
+
+def same_row(left: str, right: str) -> Column:
+    return F.col(f"{left}.__key").eqNullSafe(F.col(f"{right}.__key")) & (
+        F.col(f"{left}.__text") == F.col(f"{right}.__text")
+    )
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, ``spark.checkpoint.dir``; one of our own in local mode."""
     context = spark.sparkContext

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.columns import checked_broadcast
-from demandloom.llm.common import runs
+from demandloom.llm.common import row_key, runs, same_row
 
 #: Fixed masks, six tokens each: a plain run, and two spaced ones. 1 is picked, 0 is ignored.
 MASKS = ("111111", "1101011001", "1001101011")
@@ -65,17 +65,6 @@ def _positions(rows: DataFrame, keys: list[str], masks: list[str]) -> DataFrame:
     return spread.select(*keys, "hash", _place(F.col("pos"), F.col("n"), masks).alias("place"))
 
 
-def _row_key(docs: DataFrame, key: str, text: str) -> list[Column]:
-    """Rows with the same key and text share their overlaps; others never do."""
-    return [F.col(key).alias("__key"), F.xxhash64(F.col(key), F.col(text)).alias("__text")]
-
-
-def _same_row(left: str, right: str) -> Column:
-    return F.col(f"{left}.__key").eqNullSafe(F.col(f"{right}.__key")) & (
-        F.col(f"{left}.__text") == F.col(f"{right}.__text")
-    )
-
-
 def overlaps(
     docs: DataFrame,
     items: DataFrame,
@@ -97,7 +86,7 @@ def overlaps(
     masks = _masks(shortest)
     named = bench.select("item", F.size("own").alias("n_item"), F.xxhash64("own").alias("code"), "own")
     seeds = _positions(named, ["item", "n_item", "code"], masks).withColumnRenamed("place", "item_place")
-    texts = docs.select(*_row_key(docs, key, text), F.col(text).alias("__whole"))
+    texts = docs.select(*row_key(docs, key, text), F.col(text).alias("__whole"))
     hits = _positions(
         texts.select("__key", "__text", tokens(F.col("__whole")).alias("own")), ["__key", "__text"], masks
     ).join(checked_broadcast(seeds.distinct(), BROADCAST_HASHES), "hash")
@@ -114,7 +103,7 @@ def overlaps(
     )
     cut = (
         texts.alias("a")
-        .join(per_text.alias("b"), _same_row("a", "b"))
+        .join(per_text.alias("b"), same_row("a", "b"))
         .select("a.__key", "a.__text", tokens(F.col("__whole")).alias("own"), "hits")
         .select("__key", "__text", F.explode(part).alias("h"))
         .select("__key", "__text", "h.*")
@@ -158,9 +147,9 @@ def mark(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "te
     )
     kept = [c for c in docs.columns if c not in new]
     return (
-        docs.select(*kept, *_row_key(docs, key, text))
+        docs.select(*kept, *row_key(docs, key, text))
         .alias("a")
-        .join(sums.alias("b"), _same_row("a", "b"), "left")
+        .join(sums.alias("b"), same_row("a", "b"), "left")
         .select(
             *(F.col(f"a.{c}") for c in kept),
             F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),

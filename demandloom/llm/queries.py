@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from demandloom.llm import bpe, chat, decontamination, langid, pii, quality, toxicity, urls
+from demandloom.llm import bpe, chat, decontamination, langid, lines, pii, quality, toxicity, urls
 from demandloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,55 @@ from joined
 """
 
 
+def op2_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.drop_lines(docs).select("doc_id", "text", "n_lines", "n_dropped")
+
+
+OP2_SQL = r"""
+with docs as (select distinct doc_id, text from documents),
+raw as (
+  select doc_id, text, unnest(string_split(text, chr(10))) as own, generate_subscripts(string_split(text, chr(10)), 1) as line
+  from docs
+), worded as (
+  select doc_id, text, line, list_filter(regexp_split_to_array(own, '[\x20\x09-\x0D]+'), lambda w: w <> '') as own from raw
+), masked as (
+  select doc_id, text, line, len(own) as n,
+    list_transform(own, lambda w: case when regexp_matches(w, '[0-9]') then '<*>' else w end) as masked
+  from worded where len(own) >= 3
+), lines as (select *, masked[1:4] as leaf from masked),
+busy as (select n, leaf from lines group by all having count(*) >= 5),
+distinct_lines as (
+  select n, leaf, masked, count(distinct (doc_id, text)) as documents
+  from lines semi join busy using (n, leaf) group by all
+), places as (
+  select n, leaf, masked, documents, unnest(masked) as word, generate_subscripts(masked, 1) as place from distinct_lines
+), constant as (
+  select n, leaf, place, word from places where word <> '<*>' group by all having sum(documents) >= 5
+), named as (
+  select n, leaf, masked, list((place, word) order by place) as template
+  from places semi join constant using (n, leaf, place, word) group by all
+), found as (
+  select doc_id, text, line, n, (n, leaf, template) as template
+  from lines join named using (n, leaf, masked) where len(template) >= 0.5 * n
+), often as (
+  select * from found where template in (select template from found group by 1 having count(distinct (doc_id, text)) >= 5)
+), copies as (
+  select doc_id, text from often group by all
+  having sum(n) > 0.5 * len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> ''))
+), final as (
+  select template from often anti join copies using (doc_id, text) group by 1 having count(distinct (doc_id, text)) >= 5
+), gone as (
+  select doc_id, text, list(line) as gone from often where template in (select template from final) group by all
+)
+select d.doc_id,
+  case when gone is null then d.text else array_to_string(
+    list_filter(string_split(d.text, chr(10)), lambda l, i: not list_contains(gone, i)), chr(10)) end as text,
+  coalesce(len(string_split(d.text, chr(10))), 0) as n_lines, coalesce(len(gone), 0) as n_dropped
+from documents d left join gone g on d.doc_id is not distinct from g.doc_id and d.text = g.text
+"""
+
+
 def severity_grades(labels: DataFrame) -> DataFrame:
     """Grade 0: not toxic; 1: toxic; 2: toxic and of low quality. One row per document."""
     grade = F.when(F.col("toxic") == 1, F.when(F.col("quality") == 0, 2).otherwise(1)).when(F.col("toxic") == 0, 0)
@@ -215,6 +264,7 @@ def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
+    "op2_line_templates": op2_line_templates,
     "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
     "op5_language": op5_language,
@@ -226,6 +276,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "op1_chat_format": OP1_SQL,
+    "op2_line_templates": OP2_SQL,
     "op6_urls": OP6_SQL,
     "op7_decontamination": OP7_SQL,
 }
