@@ -12,7 +12,7 @@ documents, and whole-document dedup is left to decide about them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.llm.common import row_key, same_row, words
@@ -26,7 +26,7 @@ LEAST_WORDS = 3
 LEAST_DOCUMENTS = 5
 #: Part of a template's places that must be constant.
 LEAST_CONSTANT = 0.5
-#: Documents with a larger part of their words in recurring lines are no evidence.
+#: Documents with a larger part of their lines' words in recurring lines are no evidence.
 COPY_SHARE = 0.5
 VARIABLE = "<*>"
 
@@ -34,35 +34,42 @@ ROW = ["__key", "__text"]
 LEAF = ["n", "leaf"]
 
 
-def _masked(own: Column) -> Column:
-    return F.transform(own, lambda w: F.when(w.rlike("[0-9]"), F.lit(VARIABLE)).otherwise(w))
-
-
 def split_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every line with enough words: row key, line (from 0), n (words), leaf, code, masked.
 
     ``leaf`` and ``code`` are 64-bit hashes of the leading words and of the whole masked line.
     """
-    lines = docs.select(*row_key(docs, key, text), F.posexplode(F.split(F.col(text), "\n")).alias("line", "own"))
-    own = lines.select(*ROW, "line", words(F.col("own")).alias("own")).filter(F.size("own") >= LEAST_WORDS)
-    masked = own.select(*ROW, "line", F.size("own").alias("n"), _masked(F.col("own")).alias("masked"))
+    lines = docs.select(*row_key(docs, key, text), F.posexplode(F.split(F.col(text), "\n")).alias("line", "whole"))
+    own = lines.select(*ROW, "line", "whole", words(F.col("whole")).alias("own")).filter(F.size("own") >= LEAST_WORDS)
+    variable = F.transform("own", lambda w: F.when(w.rlike("[0-9]"), F.lit(VARIABLE)).otherwise(w))
+    masked = own.select(
+        *ROW, "line", F.size("own").alias("n"),
+        F.when(F.col("whole").rlike("[0-9]"), variable).otherwise(F.col("own")).alias("masked"),
+    )
     return masked.select(
         *ROW, "line", "n", F.xxhash64(F.slice("masked", 1, DEPTH)).alias("leaf"),
         F.xxhash64("masked").alias("code"), "masked",
     )
 
 
-def _templates(lines: DataFrame) -> DataFrame:
-    """n, leaf, code -> template of every distinct line whose leaf may hold a recurring one."""
-    busy = lines.groupBy(*LEAF).agg(F.count("*").alias("lines")).filter(F.col("lines") >= LEAST_DOCUMENTS)
-    near = lines.join(busy.select(*LEAF), LEAF, "left_semi")
+def _templates(lines: DataFrame, codes: DataFrame) -> DataFrame:
+    """n, leaf, code -> template of every distinct line whose leaf may hold a recurring one.
+
+    ``lines`` has the words, ``codes`` the same lines without them, written.
+    """
+    busy = checkpointed(
+        codes.groupBy(*LEAF).agg(F.count("*").alias("lines")).filter(F.col("lines") >= LEAST_DOCUMENTS).select(*LEAF)
+    )
     # one row per distinct line: a very common line is one row from here on
-    distinct = checkpointed(
-        near.groupBy(*ROW, *LEAF, "code")
-        .agg(F.first("masked").alias("masked"))
+    documents = (
+        codes.join(busy, LEAF, "left_semi")
+        .select(*ROW, *LEAF, "code")
+        .distinct()
         .groupBy(*LEAF, "code")
-        .agg(F.count("*").alias("documents"), F.first("masked").alias("masked"))
+        .agg(F.count("*").alias("documents"))
     )
+    named = lines.join(busy, LEAF, "left_semi").groupBy(*LEAF, "code").agg(F.first("masked").alias("masked"))
+    distinct = checkpointed(named.join(documents, [*LEAF, "code"]))
     places = distinct.select(*LEAF, "code", "documents", F.posexplode("masked").alias("place", "word"))
     constant = (
         places.filter(F.col("word") != VARIABLE)
@@ -83,23 +90,26 @@ def _templates(lines: DataFrame) -> DataFrame:
 def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Lines to drop: row key and line number, of every line whose template recurs."""
     lines = split_lines(docs, key, text)
-    named = checkpointed(_templates(lines))
-    found = checkpointed(lines.select(*ROW, "line", *LEAF, "code").join(named, [*LEAF, "code"]).select(*ROW, "line", "n", "template"))
+    codes = checkpointed(lines.select(*ROW, "line", *LEAF, "code"))
+    named = checkpointed(_templates(lines, codes))
+    found = checkpointed(codes.join(named, [*LEAF, "code"]).select(*ROW, "line", "n", "template"))
 
     def recurring(rows: DataFrame) -> DataFrame:
         documents = rows.select("template", *ROW).distinct().groupBy("template").agg(F.count("*").alias("d"))
-        return documents.filter(F.col("d") >= LEAST_DOCUMENTS).select("template")
-
-    often = found.join(checkpointed(recurring(found)), "template", "left_semi")
-    shares = (
-        often.groupBy(*ROW).agg(F.sum("n").alias("recurring")).alias("a")
-        .join(docs.select(*row_key(docs, key, text), F.size(words(F.col(text))).alias("n")).distinct().alias("b"), same_row("a", "b"))
-        .select("a.__key", "a.__text", (F.col("recurring") > COPY_SHARE * F.col("b.n")).alias("copy"))
-    )
-    copies = checkpointed(shares.filter("copy").select(*ROW))
+        return checkpointed(documents.filter(F.col("d") >= LEAST_DOCUMENTS).select("template"))
+
+    often = checkpointed(found.join(recurring(found), "template", "left_semi"))
+    # repeated rows have repeated lines in both sums
+    words_in = codes.groupBy(*ROW).agg(F.sum("n").alias("all"))
+    recurring_in = often.groupBy(*ROW).agg(F.sum("n").alias("part"))
+    copies = checkpointed(
+        recurring_in.alias("a")
+        .join(words_in.alias("b"), same_row("a", "b"))
+        .filter(F.col("part") > COPY_SHARE * F.col("all"))
+        .select("a.__key", "a.__text")
+    )
     evidence = often.alias("a").join(copies.alias("b"), same_row("a", "b"), "left_anti")
-    final = checkpointed(recurring(evidence))
-    return often.join(final, "template", "left_semi").select(*ROW, "line")
+    return often.join(recurring(evidence), "template", "left_semi").select(*ROW, "line")
 
 
 def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -108,9 +108,9 @@ distinct_lines as (
   from lines join named using (n, leaf, masked) where len(template) >= 0.5 * n
 ), often as (
   select * from found where template in (select template from found group by 1 having count(distinct (doc_id, text)) >= 5)
-), copies as (
-  select doc_id, text from often group by all
-  having sum(n) > 0.5 * len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> ''))
+), sizes as (select doc_id, text, sum(n) as n_all from lines group by all),
+copies as (
+  select doc_id, text from often join sizes using (doc_id, text) group by all having sum(n) > 0.5 * any_value(n_all)
 ), final as (
   select template from often anti join copies using (doc_id, text) group by 1 having count(distinct (doc_id, text)) >= 5
 ), gone as (
