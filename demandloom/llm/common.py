@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,3 +52,11 @@ def shared_folder(spark: SparkSession) -> str:
         shared = tempfile.mkdtemp(prefix="shared-")
         context.setCheckpointDir(shared)
     return shared
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write a table as Parquet in the shared folder and read it again: a cut in the lineage that
+    survives lost executors and is smaller than a checkpoint of rows."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from demandloom.llm import bpe, chat, decontamination, langid, lines, pii, quality, toxicity, urls
+from demandloom.llm import bpe, chat, decontamination, jaccard, langid, lines, pii, quality, toxicity, urls
 from demandloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -262,6 +262,37 @@ def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "text", F.size("found").cast("long").alias("n_found"))
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP10_SQL = r"""
+with recursive docs as (
+  select doc_id, list_filter(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda w: w <> '') as w
+  from documents
+), sets as (
+  select doc_id, coalesce(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')] else list_distinct(
+    list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end, []) as own
+  from docs
+), shingles as (select doc_id, len(own) as n, unnest(own) as shingle from sets),
+links as (
+  select a.doc_id as u, b.doc_id as v
+  from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id
+  where 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), both_ways as (select u, v from links union select v, u from links),
+reach as (
+  select doc_id as start, doc_id as now from sets
+  union
+  select start, v from reach join both_ways on now = u
+)
+select s.doc_id, len(own) as n_shingles, c.component_id
+from sets s join (select start, min(now) as component_id from reach group by 1) c on s.doc_id = c.start
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op2_line_templates": op2_line_templates,
@@ -272,6 +303,7 @@ QUERIES: dict[str, Query] = {
     "op7_decontamination": op7_decontamination,
     "op8_bpe": op8_bpe,
     "op9_pseudonyms": op9_pseudonyms,
+    "op10_jaccard": op10_jaccard,
 }
 
 ORACLES: dict[str, str] = {
@@ -279,4 +311,5 @@ ORACLES: dict[str, str] = {
     "op2_line_templates": OP2_SQL,
     "op6_urls": OP6_SQL,
     "op7_decontamination": OP7_SQL,
+    "op10_jaccard": OP10_SQL,
 }
