@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.functions.shipping import ship_package
-from demandloom.llm import bpe, toxicity
+from demandloom.llm import bpe, decontamination, jaccard, lines, toxicity
 from demandloom.llm.common import shared_folder, table
 from demandloom.llm.queries import TOXIC_FROM, severity_grades, vocabulary_path
 
@@ -23,6 +23,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).filter(F.col("severity") < TOXIC_FROM).select(*docs.columns)
 
 
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines whose template recurs; every document stays."""
+    ship_package(spark)
+    return lines.drop_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of similar ones; columns as they came."""
+    ship_package(spark)
+    return jaccard.keep_first(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark; columns as they came."""
+    ship_package(spark)
+    found = decontamination.overlaps(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.mark(docs, found).filter(~F.col("contaminated")).select(*docs.columns)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids (little-endian unsigned 32-bit integers) and n_tokens of every document."""
     ship_package(spark)
@@ -31,6 +50,9 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
+    ("line_dedup", drop_lines),
+    ("near_copies", drop_near_copies),
+    ("decontamination", drop_contaminated),
     ("bpe", encode),
 ]
 

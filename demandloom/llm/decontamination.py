@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.columns import checked_broadcast
-from demandloom.llm.common import row_key, runs, same_row
+from demandloom.llm.common import row_key, runs, same_row, written
 
 #: Fixed masks, six tokens each: a plain run, and two spaced ones. 1 is picked, 0 is ignored.
 MASKS = ("111111", "1101011001", "1001101011")
@@ -22,6 +22,8 @@ WINDOW = 16
 LEAST_PERCENT = 80
 #: Item hashes that go to every task at most; more of them join by shuffle.
 BROADCAST_HASHES = 2_000_000
+#: Marked documents that go to every task at most; more of them join by shuffle.
+BROADCAST_ROWS = 500_000
 
 
 def tokens(text: Column) -> Column:
@@ -146,6 +148,7 @@ def mark(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "te
         F.lit(True).alias("contaminated"),
     )
     kept = [c for c in docs.columns if c not in new]
+    sums = checked_broadcast(written(sums), BROADCAST_ROWS)
     return (
         docs.select(*kept, *row_key(docs, key, text))
         .alias("a")

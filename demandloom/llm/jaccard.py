@@ -363,3 +363,20 @@ def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     return sets.join(found.withColumnRenamed("node", "doc"), "doc", "left").select(
         F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id")
     )
+
+
+def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row of every group of similar documents, the one with the smallest key; columns as
+    they came. Of rows that share a key, the least text stays (null before others). Rows with a
+    null key stay."""
+    groups = written(similar_groups(docs, text, key))
+    again = groups.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows")).filter("rows > 1")
+    gone = groups.filter(F.col(key) != F.col("component_id")).select(key).distinct()
+    again = written(again.join(gone, key, "left_anti").select(key))
+    touched = written(gone.unionByName(again))
+    alone = docs.join(checked_broadcast(touched, BROADCAST_IDS), key, "left_anti")
+    order = Window.partitionBy(key).orderBy(text)
+    first = docs.join(checked_broadcast(again, BROADCAST_IDS), key, "left_semi").withColumn(
+        "__place", F.row_number().over(order)
+    )
+    return alone.unionByName(first.filter("__place = 1").drop("__place")).select(*docs.columns)
