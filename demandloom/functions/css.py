@@ -208,7 +208,8 @@ def _linear(lay):
 
 
 def fit(y, x, orders, start, s=7, max_iter=50, tol=1e-7):
-    """Levenberg-Marquardt on every lane at once; returns ``params, sse, ok, layout``.
+    """Levenberg-Marquardt on every lane at once; returns ``params, sse, ok, running, layout``,
+    where ``running`` lanes had not settled after ``max_iter`` steps.
 
     Steps that leave the invertible region are refused: beyond it the conditional sum has no
     use, since innovations of another history would grow without bound. Stationarity is free.
@@ -266,9 +267,10 @@ def fit(y, x, orders, start, s=7, max_iter=50, tol=1e-7):
                 gram[active] + ridge[:, :, None] * eye, grad[active][:, :, None]
             )[:, :, 0]
     ok = np.isfinite(sse) & (sse > 0)
+    running = np.isin(np.arange(len(orders)), active)
     params[:, lay.at["beta"]] *= (y_unit / x_unit.T).T
     params[:, lay.at["const"]] *= y_unit[:, None]
-    return params, sse * y_unit**2, ok, lay
+    return params, sse * y_unit**2, ok, running, lay
 
 
 def information_criteria(sse, n, k):

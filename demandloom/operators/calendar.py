@@ -23,8 +23,9 @@ def fill_gaps(df: DataFrame, column: str, keys: list[str] = (), order: str = "da
 
 
 def clean_oil(oil: DataFrame) -> DataFrame:
-    """Gap-free price quotes. The window holds the quotes of one daily series."""
-    return fill_gaps(oil.select("date", F.col("dcoilwtico").alias("oil_price")), "oil_price")
+    """Gap-free price quotes, one row per day: of several quotes on a day the lowest known one
+    counts. So the window holds a calendar at most, however many quotes there are."""
+    return fill_gaps(oil.groupBy("date").agg(F.min("dcoilwtico").alias("oil_price")), "oil_price")
 
 
 def holiday_flags(holidays: DataFrame) -> DataFrame:

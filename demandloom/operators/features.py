@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.functions.columns import checked_broadcast, first_valid, monday_based
+from demandloom.functions.columns import first_valid, monday_based
 from demandloom.operators.calendar import clean_oil, fill_gaps, join_calendar
 from demandloom.schemas import CALENDAR_EXOG, EXOG, INSTANCE_COLS, PAIR
 
@@ -57,9 +57,9 @@ def pair_features(sales: DataFrame, oil: DataFrame, holidays: DataFrame) -> Data
     """Series of every store and family with its exogenous columns.
 
     The price fill runs over the days of each pair. Joins here never shuffle the pair rows:
-    the price side is broadcast once counted to be a calendar.
+    the price side has a row per calendar day, which bounds its broadcast.
     """
-    joined = join_calendar(pair_days(sales), checked_broadcast(clean_oil(oil)), holidays)
+    joined = join_calendar(pair_days(sales), F.broadcast(clean_oil(oil)), holidays)
     return (
         fill_gaps(joined, "oil_price", PAIR)
         .withColumn("day_of_week", monday_based("date"))
@@ -71,12 +71,12 @@ def request_instances(request: DataFrame, oil: DataFrame, holidays: DataFrame) -
     """Request rows with exogenous columns, all pairs in one request.
 
     Prices are filled over the request's own dates only. The fill runs on its distinct
-    dates and comes back by date, so the request rows are not shuffled.
+    dates and comes back by date, a row per day, so the request rows are not shuffled.
     """
     dates = request.where(F.col("date").isNotNull()).select("date").distinct()
     days = fill_gaps(join_calendar(dates, clean_oil(oil), holidays), "oil_price")
     return (
-        request.join(checked_broadcast(days), "date", "left")
+        request.join(F.broadcast(days), "date", "left")
         .withColumn("day_of_week", monday_based("date"))
         .select(*INSTANCE_COLS)
     )
@@ -85,7 +85,7 @@ def request_instances(request: DataFrame, oil: DataFrame, holidays: DataFrame) -
 def pair_request_instances(request: DataFrame, oil: DataFrame, holidays: DataFrame) -> DataFrame:
     """Request rows with exogenous columns, prices filled within each pair's own dates."""
     pair_dates = request.where(F.col("date").isNotNull()).select(*PAIR, "date").distinct()
-    joined = join_calendar(pair_dates, checked_broadcast(clean_oil(oil)), holidays)
+    joined = join_calendar(pair_dates, F.broadcast(clean_oil(oil)), holidays)
     days = fill_gaps(joined, "oil_price", PAIR)
     return (
         request.join(days, [*PAIR, "date"], "left")

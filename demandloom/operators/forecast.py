@@ -54,6 +54,8 @@ def _score(rows: DataFrame, keys: list[str], n_exog: int, s: int) -> DataFrame:
             yield out
 
     actual = [F.get("actuals", F.col("pos")).alias("actual")] if "actuals" in rows.columns else []
+    # rows are few and small but slow, so they are spread before they could be merged
+    rows = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism * 4, *keys)
     scored = rows.withColumn(
         "f", score(F.size("dates"), "y", "x", "x_future", "orders", "params")
     ).drop("y", "x", "x_future", "orders", "params")

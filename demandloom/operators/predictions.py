@@ -34,14 +34,17 @@ def match_by_position(
     return values.select("position", "sales").join(ids.select("position", "id"), "position")
 
 
-def reconcile(
-    instances: DataFrame, predictions: DataFrame, output: DataFrame
-) -> DataFrame:
-    """Row counts of a request, its predictions and its submission, and ids on one side only."""
+def reconcile(instances: DataFrame, predictions: DataFrame) -> DataFrame:
+    """Row counts of a request, its predictions and its submission, and ids on one side only.
+
+    The submission is made of the predictions that are not null, so it is counted from them and
+    nothing is scored twice.
+    """
     sides = (
         instances.select("id", F.lit(1).alias("i"), F.lit(0).alias("p"), F.lit(0).alias("o"))
-        .unionAll(predictions.select("id", F.lit(0), F.lit(1), F.lit(0)))
-        .unionAll(output.select("id", F.lit(0), F.lit(0), F.lit(1)))
+        .unionAll(
+            predictions.select("id", F.lit(0), F.lit(1), F.col("sales").isNotNull().cast("int"))
+        )
         .groupBy("id")
         .agg(*[F.sum(c).alias(c) for c in "ipo"])
     )

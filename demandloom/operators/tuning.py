@@ -8,7 +8,8 @@ to one packed series runs in Python, on numpy.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import product
+from itertools import count, product
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -36,10 +37,34 @@ ORDER_COLS = list(SPACE)
 LANE_CELLS = 150_000  # days x lanes one kernel call holds
 RESULT = struct(
     trial_id=INT, **dict.fromkeys(ORDER_COLS, INT), intercept=INT, n_obs=INT, aic=DOUBLE,
-    bic=DOUBLE, sigma2=DOUBLE, converged=BOOLEAN, params=T.ArrayType(DOUBLE),
+    bic=DOUBLE, sigma2=DOUBLE, converged=BOOLEAN, at_iteration_limit=BOOLEAN,
+    params=T.ArrayType(DOUBLE),
 )
 
 
+class Sample(NamedTuple):
+    """Days a search may skip before the ones it scores, largest first, and the most parameters
+    any of its orders has. The orders of one series are compared on the same days: those behind
+    the largest number of skipped days that still leaves more days than parameters. Orders that
+    need more days first than that are refused for that series."""
+
+    warmups: tuple[int, ...]
+    most_params: int
+
+    def skipped(self, days: np.ndarray) -> np.ndarray:
+        out = np.full(len(days), self.warmups[-1])
+        for warmup in reversed(self.warmups):
+            out = np.where(days - warmup > self.most_params, warmup, out)
+        return out
+
+
+def search_sample(space: dict[str, list[int]], n_exog: int, s: int = SEASON) -> Sample:
+    lags = ("p", "d", "seasonal_p", "seasonal_d")
+    warmups = {css.warmup(*values, s) for values in product(*(space[k] for k in lags))}
+    width = sum(max(space[k]) for k in ("p", "q", "seasonal_p", "seasonal_q"))
+    return Sample(tuple(sorted(warmups, reverse=True)), n_exog + width + max(space.get("intercept", [0])) + 1)
+
+
 def grid_size(space: dict[str, list[int]] = SPACE) -> int:
     return int(np.prod([len(v) for v in space.values()]))
 
@@ -62,11 +87,6 @@ def plan_trials(series: DataFrame, space: dict[str, list[int]] = SPACE) -> DataF
     )
 
 
-def search_warmup(space: dict[str, list[int]] = SPACE, s: int = SEASON) -> int:
-    top = {k: max(v) for k, v in space.items()}
-    return css.warmup(top["p"], top["d"], top["seasonal_p"], top["seasonal_d"], s)
-
-
 def _lane_blocks(pdf: pd.DataFrame) -> Iterator[list[tuple[int, np.ndarray]]]:
     """Cut the (row, order) lanes of a batch into kernel-sized blocks."""
     block, longest = [], 0
@@ -94,31 +114,34 @@ def stack_lanes(ys, xs, n_exog: int):
     return y, x, len(y) - sizes
 
 
-def _fit_block(pdf, block, n_exog, s, warmup, max_iter) -> pd.DataFrame:
+def _fit_block(pdf, block, n_exog, s, sample, max_iter) -> pd.DataFrame:
     rows = np.array([i for i, _ in block])
     trials = np.array([t for _, t in block])
     orders = trials[:, 1:]
     y, x, pad = stack_lanes(pdf["y"].iloc[rows], pdf["x"].iloc[rows], n_exog)
     usable = np.isfinite(y).all(axis=0) & np.isfinite(x).all(axis=(0, 2))
-    n = len(y) - pad - warmup
+    own = css.warmup(*(orders[:, c] for c in (css.P_, css.D_, css.SP, css.SD)), s)
+    skip = sample.skipped(len(y) - pad) if sample else own
+    n = len(y) - pad - skip
     k = n_exog + orders[:, [css.P_, css.Q_, css.SP, css.SQ, css.CONST]].sum(axis=1) + 1
-    usable &= n > np.maximum(k, 3 * s - warmup)
+    usable &= (n > k) & (own <= skip)
     out = pdf.iloc[rows].drop(columns=["y", "x", "trials"]).reset_index(drop=True)
     out[RESULT.names[:8]] = trials
     out["n_obs"] = len(y) - pad
     out["aic"] = out["bic"] = out["sigma2"] = np.nan
-    out["converged"] = False
+    out["converged"] = out["at_iteration_limit"] = False
     out["params"] = None
     fit = np.flatnonzero(usable)
     if len(fit):
-        params, sse, ok, lay = css.fit(
-            y[:, fit], x[:, fit], orders[fit], pad[fit] + warmup, s, max_iter
+        params, sse, ok, running, lay = css.fit(
+            y[:, fit], x[:, fit], orders[fit], (pad + skip)[fit], s, max_iter
         )
         aic, bic = css.information_criteria(sse, n[fit], k[fit])
         free = lay.free(orders[fit])
         for name, values in (("aic", aic), ("bic", bic), ("sigma2", sse / n[fit])):
             out.loc[fit, name] = np.where(ok, values, np.nan)
         out.loc[fit, "converged"] = ok
+        out.loc[fit, "at_iteration_limit"] = running
         kept = [list(p[m]) if good else None for p, m, good in zip(params, free, ok)]
         out["params"] = pd.Series(kept, index=fit, dtype=object).reindex(out.index)
     for name in ("aic", "bic", "sigma2"):
@@ -130,12 +153,16 @@ def _fit_block(pdf, block, n_exog, s, warmup, max_iter) -> pd.DataFrame:
 def fit_trials(
     packed: DataFrame,
     n_exog: int,
-    warmup: int,
+    sample: Sample | None = None,
     s: int = SEASON,
     max_iter: int = MAX_ITER,
 ) -> DataFrame:
     """Fit each order in ``trials`` (``[trial_id, p, d, q, P, D, Q, intercept]``) of each row.
 
+    A search passes the ``sample`` its orders share; without one, each order is fitted on all
+    days but those that its own lags need. An order is refused only if no more days than
+    parameters are left. ``converged`` says that the sum of squares is finite,
+    ``at_iteration_limit`` that it was still falling after ``max_iter`` steps.
     ``packed`` has key columns, ``y``, ``x`` and ``trials``. ``params`` lists the estimated
     values in the order regressors, intercept, AR, seasonal AR, MA, seasonal MA.
     """
@@ -144,7 +171,7 @@ def fit_trials(
     def run(batches):
         for pdf in batches:
             for block in _lane_blocks(pdf):
-                yield _fit_block(pdf, block, n_exog, s, warmup, max_iter)
+                yield _fit_block(pdf, block, n_exog, s, sample, max_iter)
 
     return packed.mapInPandas(run, T.StructType([*keys, *RESULT]))
 
@@ -187,7 +214,7 @@ def grid_search(
         .drop("block")
         .repartition(parts)
     )
-    return fit_trials(spread, n_exog, search_warmup(space, s), s)
+    return fit_trials(spread, n_exog, search_sample(space, n_exog, s), s)
 
 
 def best_trials(trials: DataFrame, keys: list[str]) -> DataFrame:
@@ -222,30 +249,35 @@ def best_trials(trials: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def contains_fallback(space: dict[str, list[int]]) -> bool:
-    return all(FALLBACK[name] in values for name, values in space.items())
-
-
 def fit_orders(
     packed: DataFrame,
     orders: DataFrame | dict[str, int],
     keys: list[str],
     n_exog: int,
-    warmup: int | None = None,
     s: int = SEASON,
 ) -> DataFrame:
     """Fit one given order per series: the same for all, or a table with the keys and the
-    order columns."""
+    order columns. Tasks follow the number of series; ``packed`` is best written before."""
     series = packed.select(*keys, "y", "x")
+    names = [*ORDER_COLS, "intercept"]
     if isinstance(orders, dict):
-        values = [F.lit(orders.get(c, 0)) for c in ORDER_COLS]
-        rows = series.withColumn("trials", F.array(F.array(F.lit(0), *values, F.lit(0))))
+        values = [F.lit(orders.get(c, 0)) for c in names]
+        rows = series.withColumn("trials", F.array(F.array(F.lit(0), *values)))
     else:
-        values = [F.col(c).cast("int") for c in ORDER_COLS]
-        trial = F.array(F.array(F.lit(0), *values, F.lit(0))).alias("trials")
-        rows = series.join(orders.select(*keys, trial), keys)
-    skip = search_warmup(s=s) if warmup is None else warmup
-    return fit_trials(rows, n_exog, skip, s).drop("trial_id")
+        values = [F.col(c).cast("int") if c in orders.columns else F.lit(0) for c in names]
+        rows = series.join(orders.select(*keys, F.array(F.array(F.lit(0), *values)).alias("trials")), keys)
+    return fit_trials(rows.repartition(task_count(series)), n_exog, None, s).drop("trial_id")
+
+
+def refit_best(packed: DataFrame, best: DataFrame, keys: list[str], n_exog: int, s: int = SEASON) -> DataFrame:
+    """The chosen order of every series, estimated on all its days.
+
+    The sample that trials share only ranks them. Where the order cannot be fitted to the whole
+    series, parameters stay null.
+    """
+    again = fit_orders(packed, best, keys, n_exog, s)
+    own = ["n_obs", "sigma2", "params", "at_iteration_limit"]
+    return best.drop(*own).join(again.select(*keys, *own), keys, "left")
 
 
 # Bounds of the stepwise search, its four first orders
@@ -261,10 +293,6 @@ STEP_STARTS = [
 ]
 
 
-def stepwise_warmup(s: int = SEASON) -> int:
-    return css.warmup(*(STEP_BOUNDS[n] for n in ("p", "d", "seasonal_p", "seasonal_d")), s)
-
-
 def _moves() -> list[tuple[int, ...]]:
     """One order up or down, both orders of the same kind of lag together, or the intercept."""
     names = list(STEP_BOUNDS)
@@ -285,7 +313,6 @@ def stepwise_search(
     n_exog: int,
     blocks: int = 1,
     s: int = SEASON,
-    max_rounds: int = 40,
 ) -> DataFrame:
     """Walk from four first orders to the neighbour with the lowest AIC, all series at once.
 
@@ -294,14 +321,16 @@ def stepwise_search(
     One Spark round per step: expand the neighbours of the series that improved, drop those
     tried before with an anti join, fit the rest, update the incumbents. Rounds are cut by
     checkpoints of the small trial table; the packed series are persisted, not moved again
-    once a series has settled. Returns all trials, numbered in the order they were made.
+    once a series has settled. The walk ends when no series has an untried neighbour of a better
+    order left; orders are finite, so it does. Returns all trials, numbered in the order they
+    were made.
     """
     from demandloom.operators.runs import checkpointed  # runs builds on this module
 
     names = list(STEP_BOUNDS)
     order_struct = lambda t: F.struct(*[F.lit(v).alias(n) for n, v in zip(names, t)])
-    skip = stepwise_warmup(s)
-    packed = packed.select(*keys, "y", "x").persist()
+    sample = search_sample({n: list(range(top + 1)) for n, top in STEP_BOUNDS.items()}, n_exog, s)
+    packed = checkpointed(packed.select(*keys, "y", "x"))
     parts = task_count(packed, blocks)
 
     def fit_round(orders: DataFrame, offset: int) -> DataFrame:
@@ -309,13 +338,13 @@ def stepwise_search(
         block = F.pmod("trial_id", F.lit(blocks)).alias("block")
         wanted = orders.groupBy(*keys, block).agg(F.collect_list(row).alias("trials"))
         spread = packed.join(wanted.drop("block"), keys).repartition(parts)
-        fitted = fit_trials(spread, n_exog, skip, s)
+        fitted = fit_trials(spread, n_exog, sample, s)
         return checkpointed(fitted.withColumn("round", F.lit(offset)))
 
     first = F.posexplode(F.array(*[order_struct(t) for t in STEP_STARTS])).alias("trial_id", "o")
     trials = fit_round(packed.select(*keys, first).select(*keys, "trial_id", "o.*"), 0)
     deltas = F.array(*[order_struct(t) for t in _moves()])
-    for turn in range(1, max_rounds):
+    for turn in count(1):
         finite = trials.where(is_finite(F.col("aic")))
         incumbent = finite.groupBy(*keys).agg(
             F.min_by(F.struct("round", *names), F.struct("aic", "trial_id")).alias("b")
@@ -333,7 +362,5 @@ def stepwise_search(
         fresh = neighbours.join(trials.select(*keys, *names), [*keys, *names], "left_anti")
         made = fit_round(fresh, turn)
         if made.isEmpty():
-            break
+            return trials
         trials = trials.unionByName(made)
-    packed.unpersist()
-    return trials

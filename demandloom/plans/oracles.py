@@ -184,18 +184,24 @@ _SELECTS = {
     "disaggregate": "SELECT * FROM scored",
     "submission": "SELECT id, sales FROM scored",
     "reconcile": """SELECT (SELECT COUNT(*) FROM req) AS input_rows, COUNT(*) AS prediction_count,
-        COUNT(*) AS output_rows, 0::BIGINT AS ids_without_output, 0::BIGINT AS unexpected_ids FROM scored""",
+        CAST(COUNT_IF(id % 5 <> 0) AS BIGINT) AS output_rows,
+        (SELECT COUNT(*) FROM req) - CAST(COUNT_IF(id % 5 <> 0 AND id % 11 <> 0) AS BIGINT) AS ids_without_output,
+        CAST(COUNT_IF(id % 5 <> 0 AND id % 11 = 0) AS BIGINT) AS unexpected_ids FROM scored WHERE id % 7 <> 0""",
+    "request_rejects": """SELECT id AS line, k AS pos, reason FROM panel JOIN (VALUES
+        (1, NULL, 'body has no list of instances'), (2, NULL, 'body has no list of instances'),
+        (3, NULL, 'body has no list of instances'), (4, 0, 'id is not a number'),
+        (5, 0, 'date is not a date'), (5, 1, 'item is neither object nor list')) r(kind, k, reason) ON id % 6 = kind""",
     "ols_exog_fit": f"""SELECT store_nbr, family, CAST(n AS INTEGER) AS n_obs, ROUND(beta, 3) AS beta,
         ROUND(m * ({_LN2PI}) + 2 * 2, 4) AS aic, ROUND(m * ({_LN2PI}) + 2 * LN(m), 4) AS bic
         FROM (SELECT store_nbr, family, n, beta, COUNT(*) AS m, SUM((y - beta * x) * (y - beta * x)) AS sse
           FROM (SELECT *, SUM(x * y) OVER (PARTITION BY store_nbr, family)
               / SUM(x * x) OVER (PARTITION BY store_nbr, family) AS beta
-            FROM numbered WHERE rn > 17) GROUP BY store_nbr, family, n, beta)""",
+            FROM numbered) GROUP BY store_nbr, family, n, beta)""",
     "ar1_fit": f"""SELECT store_nbr, family, ROUND(phi, 6) AS phi, ROUND(m * ({_LN2PI}) + 2 * 2, 4) AS aic
         FROM (SELECT store_nbr, family, phi, COUNT(*) AS m, SUM((y - phi * y1) * (y - phi * y1)) AS sse
           FROM (SELECT *, SUM(y * y1) OVER (PARTITION BY store_nbr, family)
               / SUM(y1 * y1) OVER (PARTITION BY store_nbr, family) AS phi
-            FROM numbered WHERE rn > 17) GROUP BY store_nbr, family, phi)""",
+            FROM numbered WHERE rn > 1) GROUP BY store_nbr, family, phi)""",
     "last_week_model": """SELECT v.store_nbr, v.family, CAST(v.step AS INTEGER) AS step, v.date, ROUND(t.sales, 4) AS forecast
         FROM val v LEFT JOIN train t ON v.store_nbr = t.store_nbr AND v.family = t.family
           AND t.rn = t.n - 7 + ((v.step - 1) % 7) + 1""",
@@ -229,16 +235,19 @@ _SELECTS = {
         UNION ALL SELECT id, 0, id, CAST(sales AS DOUBLE) FROM panel WHERE id % 5 IN (2, 4)
         UNION ALL SELECT id, 1, id, CAST(sales AS DOUBLE) FROM panel WHERE id % 5 = 4""",
     "quarantined": "SELECT id AS line FROM panel WHERE id % 5 IN (1, 3)",
-    "submission_by_position": "SELECT id + 1 AS id, CAST(sales AS DOUBLE) AS sales FROM panel",
+    "submission_by_position": """SELECT i.id + 1 AS id, sales FROM
+        (SELECT CAST(sales AS DOUBLE) AS sales, ROW_NUMBER() OVER (ORDER BY id) AS k FROM panel) v
+        JOIN (SELECT id, ROW_NUMBER() OVER (ORDER BY id) AS k FROM panel WHERE id % 3 <> 0) i USING (k)""",
     "data_profile": """SELECT COUNT(*) AS rows, 6 AS columns, CAST(COUNT_IF(id IS NULL) AS BIGINT) AS nulls_id,
         CAST(COUNT_IF(date IS NULL) AS BIGINT) AS nulls_date, CAST(COUNT_IF(store_nbr IS NULL) AS BIGINT) AS nulls_store_nbr,
-        CAST(COUNT_IF(family IS NULL) AS BIGINT) AS nulls_family, CAST(COUNT_IF(sales IS NULL) AS BIGINT) AS nulls_sales,
+        CAST(COUNT_IF(id % 11 = 0) AS BIGINT) AS nulls_family, CAST(COUNT_IF(sales IS NULL) AS BIGINT) AS nulls_sales,
         CAST(COUNT_IF(onpromotion IS NULL) AS BIGINT) AS nulls_onpromotion, CAST(MIN(sales) AS DOUBLE) AS min,
         CAST(MAX(sales) AS DOUBLE) AS max, ROUND(AVG(CAST(sales AS DOUBLE)), 4) AS mean,
-        ROUND(STDDEV_SAMP(CAST(sales AS DOUBLE)), 4) AS std FROM panel""",
+        ROUND(STDDEV_SAMP(CAST(sales AS DOUBLE)), 4) AS std
+        FROM (SELECT * REPLACE (CASE WHEN id % 7 <> 0 THEN sales END AS sales) FROM panel)""",
     "oil_profile": """SELECT COUNT(*) AS rows, 2 AS columns, CAST(COUNT_IF(date IS NULL) AS BIGINT) AS nulls_date,
-        CAST(COUNT_IF(dcoilwtico IS NULL) AS BIGINT) AS nulls_dcoilwtico, MIN(dcoilwtico) AS min, MAX(dcoilwtico) AS max
-        FROM oil_raw""",
+        CAST(COUNT_IF(dcoilwtico IS NULL) AS BIGINT) AS nulls_dcoilwtico, MIN(dcoilwtico) AS min, MAX(dcoilwtico) AS max,
+        ROUND(AVG(dcoilwtico), 4) AS mean, ROUND(STDDEV_SAMP(dcoilwtico), 4) AS std FROM oil_raw""",
     "date_range": "SELECT MIN(date) AS first_date, MAX(date) AS last_date FROM panel",
     "negatives_floored": """SELECT COUNT(*) AS forecast_length, CAST(COUNT_IF(s1 < 0) AS BIGINT) AS negative_values_floored
         FROM (SELECT CAST(sales AS DOUBLE)
@@ -248,7 +257,7 @@ _SELECTS = {
         FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey
             ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) AS place FROM orders) WHERE place = 1""",
     "log_fetch": """SELECT event_id, user_id, event_type, value FROM events
-        WHERE event_type = 'error' AND user_id = 8 ORDER BY ts, event_id LIMIT 50""",
+        WHERE event_type = 'error' ORDER BY ts, event_id LIMIT 50""",
     "hash_split": """SELECT vec_id, label, bucket, CASE WHEN bucket < 800 THEN 'train'
           WHEN bucket < 900 THEN 'validation' ELSE 'test' END AS split
         FROM (SELECT vec_id, label,

@@ -24,10 +24,6 @@ from demandloom.schemas import EXOG, HORIZON, PAIR
 from demandloom.sources import requests, star
 
 TARGET = (1, "PROMO")
-SMALL_SPACE = {
-    "p": [1], "d": [0, 1], "q": [1], "seasonal_p": [0, 1], "seasonal_d": [0, 1], "seasonal_q": [1],
-}
-
 
 def _tables(spark, sf):
     return [f(spark, sf) for f in (star.sales_panel, star.oil, star.holidays)]
@@ -38,7 +34,7 @@ def _past(spark, sf):
 
 
 def _asked(spark, sf):
-    return [f(spark, sf) for f in (star.history, star.request, star.oil, star.holidays)]
+    return [*star.history_and_request(spark, sf), star.oil(spark, sf), star.holidays(spark, sf)]
 
 
 # --- calendars and features ---------------------------------------------------------------
@@ -141,6 +137,26 @@ def request_parse(spark, sf):
     return requests.parse_instances(_bodies(spark, sf))
 
 
+def request_rejects(spark, sf):
+    """One body per panel row, four of five broken in some way."""
+    rows = star.sales_panel(spark, sf)
+    number = F.col("id").cast("string")
+    item = F.concat(
+        F.lit('{"instances": [{"id": '), number, F.lit(', "date": "2020-01-02", "store_nbr": 1, "family": "A", "day_of_week": 2}')
+    )
+    kind = F.pmod(F.col("id"), F.lit(6))
+    body = (
+        F.when(kind == 0, F.concat(item, F.lit("]}")))
+        .when(kind == 1, item)
+        .when(kind == 2, F.lit("not JSON"))
+        .when(kind == 3, F.lit('{"other": []}'))
+        .when(kind == 4, F.lit('{"instances": [{"id": "x", "date": "2020-01-02", "store_nbr": 1}]}'))
+        .otherwise(F.lit('{"instances": [[5, "2020-13-41", 1, "A"], 7]}'))
+    )
+    made = rows.select(F.col("id").alias("line"), body.alias("body"))
+    return requests.rejected_instances(made).select("line", "pos", "reason")
+
+
 def request_lists(spark, sf):
     days = features.pair_days(star.sales_panel(spark, sf))
     step = F.array(
@@ -162,8 +178,7 @@ def request_lists(spark, sf):
 
 
 def proportions(spark, sf):
-    last = star.last_day(spark, sf)
-    return shares.trailing_shares(star.sales_panel(spark, sf), last=last)
+    return shares.trailing_shares(star.sales_panel(spark, sf), recent=star.recent_days(spark, sf))
 
 
 def proportions_uniform(spark, sf):
@@ -183,8 +198,8 @@ def seasonal_lag_forecast(spark, sf):
 
 
 def disaggregate(spark, sf):
-    last = star.history_last_day(spark, sf)
-    return topdown.seasonal_top_down(*_asked(spark, sf), last=last)
+    recent = star.recent_days(spark, sf, h=HORIZON)
+    return topdown.seasonal_top_down(*_asked(spark, sf), recent=recent)
 
 
 def submission(spark, sf):
@@ -192,10 +207,13 @@ def submission(spark, sf):
 
 
 def reconcile(spark, sf):
-    scored = disaggregate(spark, sf)
-    return predictions.reconcile(
-        star.request(spark, sf), scored, predictions.submission(scored)
-    )
+    """Counts where every seventh id has no prediction, every fifth a null one, and every
+    eleventh prediction is for an id nobody asked for."""
+    number = F.col("id")
+    made = disaggregate(spark, sf).where(number % 7 != 0)
+    made = made.withColumn("sales", F.when(number % 5 != 0, F.col("sales")))
+    made = made.withColumn("id", F.when(number % 11 == 0, -number).otherwise(number))
+    return predictions.reconcile(star.request(spark, sf), made)
 
 
 # --- models with a closed form ------------------------------------------------------------
@@ -203,7 +221,7 @@ def reconcile(spark, sf):
 
 def ols_exog_fit(spark, sf):
     days = features.pair_days(star.sales_panel(spark, sf))
-    packed = series.pack_series(days, PAIR, "sales", ["onpromotion"])
+    packed = runs.checkpointed(series.pack_series(days, PAIR, "sales", ["onpromotion"]))
     fit = tuning.fit_orders(packed, {}, PAIR, 1)
     return fit.select(
         *PAIR,
@@ -216,7 +234,7 @@ def ols_exog_fit(spark, sf):
 
 def ar1_fit(spark, sf):
     days = features.pair_days(star.sales_panel(spark, sf))
-    packed = series.pack_series(days, PAIR, "sales", [])
+    packed = runs.checkpointed(series.pack_series(days, PAIR, "sales", []))
     fit = tuning.fit_orders(packed, {"p": 1}, PAIR, 0)
     return fit.select(
         *PAIR, F.round(F.get("params", F.lit(0)), 6).alias("phi"), F.round("aic", 4).alias("aic")
@@ -225,7 +243,7 @@ def ar1_fit(spark, sf):
 
 def _fixed_forecast(spark, sf, order):
     tagged = split.tag_holdout(features.pair_days(star.sales_panel(spark, sf)), HORIZON, PAIR)
-    packed = series.pack_series(tagged, PAIR, "sales", []).persist()
+    packed = runs.checkpointed(series.pack_series(tagged, PAIR, "sales", []))
     model = tuning.fit_orders(series.train_part(packed), order, PAIR, 0)
     return forecast.forecast_holdout(model, packed, PAIR, 0)
 
@@ -335,42 +353,42 @@ def grid_total(spark, sf):
     """All 144 orders on the day totals."""
     days = total.keyed(features.total_features(*_past(spark, sf)))
     train = split.train_rows(split.tag_holdout(days, HORIZON))
-    packed = series.pack_series(train, total.KEY, "total_cashflow", EXOG).persist()
+    packed = runs.checkpointed(series.pack_series(train, total.KEY, "total_cashflow", EXOG))
     cores = spark.sparkContext.defaultParallelism
     return tuning.grid_search(packed, total.KEY, len(EXOG), blocks=cores).drop("params")
 
 
 def grid_best(spark, sf):
-    """Best of a small grid for every pair."""
+    """Best of all 144 orders for every pair."""
     tagged = split.tag_holdout(features.pair_features(*_past(spark, sf)), HORIZON, PAIR)
-    packed = series.pack_series(split.train_rows(tagged), PAIR, "sales", EXOG).persist()
-    trials = tuning.grid_search(packed, PAIR, len(EXOG), SMALL_SPACE)
+    packed = runs.checkpointed(series.pack_series(split.train_rows(tagged), PAIR, "sales", EXOG))
+    trials = tuning.grid_search(packed, PAIR, len(EXOG))
     return tuning.best_trials(trials, PAIR).drop("params")
 
 
 def pair_fit(spark, sf):
     """One given order with all regressors for every pair."""
     days = features.pair_features(*_past(spark, sf))
-    packed = series.pack_series(days, PAIR, "sales", EXOG)
+    packed = runs.checkpointed(series.pack_series(days, PAIR, "sales", EXOG))
     order = {"p": 1, "q": 1, "seasonal_d": 1, "seasonal_q": 1}
     return tuning.fit_orders(packed, order, PAIR, len(EXOG)).drop("params")
 
 
 def pair_forecast(spark, sf):
-    return pairs.pair_forecasts(*_asked(spark, sf), space=SMALL_SPACE)["forecast"]
+    return pairs.pair_forecasts(*_asked(spark, sf))["forecast"]
 
 
 def pair_forecast_train_history(spark, sf):
-    return pairs.pair_forecasts(*_asked(spark, sf), space=SMALL_SPACE, history="train")["forecast"]
+    return pairs.pair_forecasts(*_asked(spark, sf), history="train")["forecast"]
 
 
 def pair_evaluation(spark, sf):
-    return pairs.pair_forecasts(*_asked(spark, sf), space=SMALL_SPACE)["metrics"]
+    return pairs.pair_forecasts(*_asked(spark, sf))["metrics"]
 
 
 def tuned_submission(spark, sf):
-    last = star.history_last_day(spark, sf)
-    return topdown.top_down(*_asked(spark, sf), space=SMALL_SPACE, last=last)["submission"]
+    recent = star.recent_days(spark, sf, h=HORIZON)
+    return topdown.top_down(*_asked(spark, sf), recent=recent)["submission"]
 
 
 def auto_order(spark, sf):
@@ -420,20 +438,28 @@ def submission_by_position(spark, sf):
     values = star.sales_panel(spark, sf).select(
         F.col("id").alias("line"), F.col("sales").cast("double").alias("sales")
     )
-    ids = star.sales_panel(spark, sf).select((F.col("id") + 1).alias("id"))
+    ids = star.sales_panel(spark, sf).where(F.col("id") % 3 != 0).select((F.col("id") + 1).alias("id"))
     matched = predictions.match_by_position(values, ["line"], ids, ["id"])
     return predictions.submission(matched)
 
 
 def data_profile(spark, sf):
-    out = profile.profile(star.sales_panel(spark, sf), "sales")
+    number = F.col("id")
+    gaps = star.sales_panel(spark, sf).withColumns(
+        {
+            "sales": F.when(number % 7 != 0, F.col("sales")),
+            "family": F.when(number % 11 != 0, F.col("family")),
+        }
+    )
+    out = profile.profile(gaps, "sales")
     rounded = [F.round(c, 4).alias(c) for c in ("mean", "std")]
     return out.select(*[c for c in out.columns if c not in ("mean", "std")], *rounded)
 
 
 def oil_profile(spark, sf):
     out = profile.profile(star.oil(spark, sf), "dcoilwtico")
-    return out.select(*[c for c in out.columns if c not in ("mean", "std")])
+    rounded = [F.round(c, 4).alias(c) for c in ("mean", "std")]
+    return out.select(*[c for c in out.columns if c not in ("mean", "std")], *rounded)
 
 
 def date_range(spark, sf):
@@ -457,7 +483,7 @@ def latest_model(spark, sf):
 
 def log_fetch(spark, sf):
     events = star.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    found = runs.fetch_log(events, {"event_type": "error", "user_id": 8}, ["ts", "event_id"])
+    found = runs.fetch_log(events, {"event_type": "error"}, ["ts", "event_id"])
     return found.select("event_id", "user_id", "event_type", "value")
 
 
@@ -487,7 +513,7 @@ QUERIES = {
         daily_totals, oil_filled, holiday_flags, features_total, features_calendar, features_pair,
         target_series, holdout_split, holdout_split_pair, future_calendar, differenced_series,
         latest_days, batch_input, batch_input_pair, request_daily_exog, request_parse,
-        request_lists, proportions, proportions_uniform, share_check, seasonal_lag_forecast,
+        request_lists, request_rejects, proportions, proportions_uniform, share_check, seasonal_lag_forecast,
         disaggregate, submission, reconcile, ols_exog_fit, ar1_fit, last_week_model,
         evaluate_metrics, seasonal_lag_metrics, run_leaderboard, trial_plan, trial_selection, run_log, run_summary,
         grid_total, grid_best, pair_fit, pair_forecast, pair_forecast_train_history,

@@ -10,6 +10,7 @@ from demandloom.operators.predictions import (
     reconcile,
     submission,
 )
+from demandloom.operators.runs import checkpointed
 from demandloom.sources.requests import flatten_results, read_result_lines
 
 FILE_ORDER = ["file_path", "file_block_start", "line", "place"]
@@ -24,14 +25,13 @@ def results_to_submission(
 ) -> dict[str, DataFrame]:
     """``submission``, ``quarantine`` and ``counts``.
 
-    Results without ids take those of ``instances``, row for row in file order.
+    The files are parsed once and the rows written. Results without ids take those of ``instances``, row for row in file order.
     """
-    flat = flatten_results(read_result_lines(spark, directory))
+    flat = checkpointed(flatten_results(read_result_lines(spark, directory)))
     if not with_ids:
-        flat = match_by_position(flat, FILE_ORDER, instances, instance_order)
-    out = submission(flat)
+        flat = checkpointed(match_by_position(flat, FILE_ORDER, instances, instance_order))
     return {
-        "submission": out,
+        "submission": submission(flat),
         "quarantine": quarantine(flat),
-        "counts": reconcile(instances, flat, out),
+        "counts": reconcile(instances, flat),
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.columns import non_negative
@@ -15,6 +15,7 @@ from demandloom.operators.features import (
 )
 from demandloom.operators.forecast import day_totals, forecast_holdout, forecast_series
 from demandloom.operators.predictions import submission
+from demandloom.operators.runs import checkpointed
 from demandloom.operators.series import (
     pack_series,
     seasonal_lag_forecast,
@@ -48,19 +49,19 @@ def top_down(
     h: int = HORIZON,
     space: dict[str, list[int]] = SPACE,
     history: str = "full",
-    last: Column | None = None,
+    recent: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Grid-tuned day totals split by trailing shares: ``model``, ``metrics``, ``scored``,
-    ``submission``. ``last`` is the newest day of ``sales``, if known."""
+    ``submission``. ``recent`` is the trailing window of ``sales``, if cut at the scan."""
     tagged = keyed(tag_holdout(total_features(sales, oil, holidays), h))
-    packed = pack_series(tagged, KEY, "total_cashflow", EXOG).persist()
+    packed = checkpointed(pack_series(tagged, KEY, "total_cashflow", EXOG))
     train = train_part(packed)
     cores = packed.sparkSession.sparkContext.defaultParallelism
     model = tune(train, KEY, len(EXOG), space, blocks=min(cores, grid_size(space)))
     on_holdout = forecast_holdout(model, packed, KEY, len(EXOG))
-    instances = request_instances(request.persist(), oil, holidays)
+    instances = request_instances(checkpointed(request), oil, holidays)
     past = packed if history == "full" else train
-    scored = score_request(model, past, instances, trailing_shares(sales, last=last))
+    scored = score_request(model, past, instances, trailing_shares(sales, recent=recent))
     return {
         "model": model,
         "metrics": error_metrics(on_holdout.where(F.col("step") <= h), KEY),
@@ -74,11 +75,11 @@ def seasonal_top_down(
     request: DataFrame,
     oil: DataFrame,
     holidays: DataFrame,
-    last: Column | None = None,
+    recent: DataFrame | None = None,
 ) -> DataFrame:
     """The same split with the last week repeated as the day totals: no fitting."""
-    request = request.persist()
+    request = checkpointed(request)
     ahead = seasonal_lag_forecast(daily_totals(sales), request, "total_cashflow")
     instances = request_instances(request, oil, holidays)
     totals = ahead.select("date", non_negative(F.col("forecast")).alias("predicted_total"))
-    return disaggregate(instances, totals, trailing_shares(sales, last=last))
+    return disaggregate(instances, totals, trailing_shares(sales, recent=recent))

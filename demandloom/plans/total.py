@@ -15,9 +15,8 @@ from demandloom.operators.split import tag_holdout
 from demandloom.operators.tuning import (
     SPACE,
     best_trials,
-    contains_fallback,
-    fit_orders,
     grid_search,
+    refit_best,
     stepwise_search,
 )
 from demandloom.schemas import CALENDAR_EXOG, HORIZON
@@ -37,21 +36,11 @@ def tune(
     space: dict[str, list[int]] = SPACE,
     blocks: int = 1,
 ) -> DataFrame:
-    """Best model per series with its parameters. Trials are materialised: they are dear.
-
-    A series without any finite trial gets the fallback order, fitted here unless the grid
-    has tried it already.
-    """
+    """Best model per series, estimated on all its days. Trials and models are materialised:
+    they are dear. A series without any finite trial gets the fallback order, as far as it can
+    be fitted."""
     best = best_trials(checkpointed(grid_search(packed, keys, n_exog, space, blocks)), keys)
-    if contains_fallback(space):
-        return best
-    refit = fit_orders(packed, best.where("params IS NULL"), keys, n_exog)
-    extra = refit.select(*keys, F.col("params").alias("fallback_params"))
-    return (
-        best.join(extra, keys, "left")
-        .withColumn("params", F.coalesce("params", "fallback_params"))
-        .drop("fallback_params")
-    )
+    return checkpointed(refit_best(packed, checkpointed(best), keys, n_exog))
 
 
 def total_forecast(
@@ -65,15 +54,15 @@ def total_forecast(
 
     ``history="train"`` runs ahead from the end of the training days instead of the last day.
     """
-    days = keyed(total_features(sales, oil, holidays, with_dow=False)).persist()
+    days = checkpointed(keyed(total_features(sales, oil, holidays, with_dow=False)))
     exog = CALENDAR_EXOG
-    packed = pack_series(tag_holdout(days, h), KEY, "total_cashflow", exog).persist()
+    packed = checkpointed(pack_series(tag_holdout(days, h), KEY, "total_cashflow", exog))
     train = train_part(packed)
     cores = days.sparkSession.sparkContext.defaultParallelism
     trials = stepwise_search(train, KEY, len(exog), blocks=cores)
-    model = checkpointed(best_trials(trials, KEY))
+    model = checkpointed(refit_best(train, checkpointed(best_trials(trials, KEY)), KEY, len(exog)))
     on_holdout = forecast_holdout(model, packed, KEY, len(exog))
-    calendar = future_calendar(days, oil, holidays, h).persist()
+    calendar = checkpointed(future_calendar(days, oil, holidays, h))
     asked = pack_series(keyed(calendar), KEY, None, exog)
     past = packed if history == "full" else train
     future = forecast_series(model, past, asked, KEY, len(exog))

@@ -2,61 +2,96 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.functions.columns import as_double, as_integer
 from demandloom.schemas import EXOG, INSTANCE
 
 
-def _required(c: Column, name: str, to: str) -> Column:
-    return F.coalesce(c, F.raise_error(F.lit(f"{name} is not a number")).cast(to))
-
-
-def parse_instances(requests: DataFrame, body: str = "body") -> DataFrame:
-    """Typed rows of ``{"instances": [...]}`` texts, given as objects or as positional lists.
-
-    Integers that are no numbers raise; other numbers that do not parse become NaN.
-    """
+def _judged_items(requests: DataFrame, body: str) -> DataFrame:
+    """Every item of every body with its typed values and, if it is no good, the reason."""
     names = INSTANCE.names
-    item = (
-        requests.select(F.from_json(body, "instances array<string>").alias("r"))
-        .select(F.explode("r.instances").alias("item"))
-        .withColumn("listed", F.col("item").startswith("["))
-        .withColumn("by_name", F.when(~F.col("listed"), F.from_json("item", "map<string,string>")))
-        .withColumn("by_place", F.when(F.col("listed"), F.from_json("item", "array<string>")))
+    others = [c for c in requests.columns if c != body]
+    items = requests.select(
+        *others, body, F.from_json(body, "instances array<string>")["instances"].alias("__items")
+    )
+    # an empty list asks for nothing; a body without a list keeps one row, to be rejected
+    item = items.where("__items is null or size(__items) > 0").select(
+        *others, body, F.col("__items").isNull().alias("__broken"), F.posexplode_outer("__items").alias("pos", "item")
+    )
+    listed = F.col("item").startswith("[")
+    parsed = item.withColumns(
+        {
+            "__by_name": F.when(~listed, F.from_json("item", "map<string,string>")),
+            "__by_place": F.when(listed, F.from_json("item", "array<string>")),
+        }
     )
-    raw = item.select(
-        *[
-            F.when(F.col("listed"), F.get("by_place", F.lit(i)))
-            .otherwise(F.try_element_at("by_name", F.lit(name)))
-            .alias(name)
+    raw = parsed.withColumns(
+        {
+            f"__{name}": F.coalesce(
+                F.try_element_at("__by_name", F.lit(name)), F.get("__by_place", F.lit(i))
+            )
             for i, name in enumerate(names)
-        ]
+        }
     )
-    typed = []
+    typed, faults = {}, []
     for field in INSTANCE:
-        c, to = F.col(field.name), field.dataType.simpleString()
+        c, to = F.col(f"__{field.name}"), field.dataType.simpleString()
         if to in ("bigint", "int"):
-            c = _required(as_integer(c, to), field.name, to)
+            typed[field.name] = as_integer(c, to)
+            faults.append(F.when(typed[field.name].isNull(), f"{field.name} is not a number"))
         elif to == "double":
-            c = as_double(c)
+            typed[field.name] = as_double(c)
         else:
-            c = c.cast(to)
-        typed.append(c.alias(field.name))
-    return raw.select(*typed)
+            typed[field.name] = c.try_cast(to)
+            faults.append(F.when(c.isNotNull() & typed[field.name].isNull(), f"{field.name} is not a {to}"))
+    shape = F.col("__by_name").isNull() & F.col("__by_place").isNull()
+    reason = F.coalesce(
+        F.when(F.col("__broken"), "body has no list of instances"),
+        F.when(shape, "item is neither object nor list"),
+        *faults,
+    )
+    return raw.select(*others, body, "pos", "item", reason.alias("reason"), *(c.alias(f"__typed_{n}") for n, c in typed.items()))
+
+
+def parse_instances(requests: DataFrame, body: str = "body") -> DataFrame:
+    """Typed rows of ``{"instances": [...]}`` texts, given as objects or as positional lists.
+
+    Doubles that do not parse become NaN. Bodies and items that cannot be read, among them those
+    whose integers are no numbers, are left to :func:`rejected_instances`.
+    """
+    good = _judged_items(requests, body).where("reason is null")
+    return good.select(*(F.col(f"__typed_{n}").alias(n) for n in INSTANCE.names))
+
+
+def rejected_instances(requests: DataFrame, body: str = "body") -> DataFrame:
+    """What :func:`parse_instances` could not read, with the reason: the request's columns, and
+    the place and text of the item (null if the whole body is broken)."""
+    others = [c for c in requests.columns if c != body]
+    return _judged_items(requests, body).where("reason is not null").select(*others, body, "pos", "item", "reason")
 
 
 def parse_exog_lists(requests: DataFrame, body: str = "body") -> DataFrame:
-    """Steps of ``{"instances": [[...], ...]}`` texts that list the regressors alone."""
-    listed = F.posexplode(F.from_json(body, "instances array<array<double>>")["instances"])
+    """Steps of ``{"instances": [[...], ...]}`` texts that list the regressors alone.
+
+    A value that is no number becomes NaN and leaves the rest of its body alone. Bodies without
+    such a list are left to :func:`rejected_bodies`.
+    """
+    listed = F.posexplode(F.from_json(body, "instances array<array<string>>")["instances"])
     others = [c for c in requests.columns if c != body]
-    values = [F.get("v", F.lit(i)).alias(c) for i, c in enumerate(EXOG)]
+    values = [as_double(F.get("v", F.lit(i))).alias(c) for i, c in enumerate(EXOG)]
     return requests.select(*others, listed.alias("pos", "v")).select(
         *others, (F.col("pos") + 1).alias("step"), *values
     )
 
 
+def rejected_bodies(requests: DataFrame, body: str = "body") -> DataFrame:
+    """Requests that :func:`parse_exog_lists` cannot read."""
+    listed = F.from_json(body, "instances array<array<string>>")["instances"]
+    return requests.where(listed.isNull()).withColumn("reason", F.lit("body has no list of lists"))
+
+
 def read_result_lines(spark: SparkSession, directory: str) -> DataFrame:
     """Lines of the result files of a scoring job, with the place each came from.
 

@@ -6,9 +6,10 @@ prices shipped that day.
 
 from __future__ import annotations
 
+from datetime import date, datetime, time, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from demandloom.functions.columns import monday_based
 from demandloom.schemas import HORIZON, PAIR
@@ -17,24 +18,35 @@ from demandloom.schemas import HORIZON, PAIR
 FAMILIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
-_schemas: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table; its footer schema is read once per path, not by a job per use."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def sales_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per day, store and family. Ids are composed, so no global sort numbers them."""
-    line = table(spark, sf_dir, "lineitem")
+def _matched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("family"))
     supplier = table(spark, sf_dir, "supplier").select(
         "s_suppkey", F.col("s_nationkey").cast("int").alias("store_nbr")
     )
+    return (
+        table(spark, sf_dir, "lineitem")
+        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+    )
+
+
+def sales_panel(
+    spark: SparkSession, sf_dir: str, after: date | None = None, until: date | None = None
+) -> DataFrame:
+    """One row per day, store and family. Ids are composed, so no global sort numbers them.
+
+    ``after`` (not included) and ``until`` bound the days on the raw column, so that they reach
+    the scan.
+    """
+    lines = _matched_lines(spark, sf_dir)
+    if after is not None:
+        lines = lines.where(F.col("l_shipdate") >= F.lit(datetime.combine(after + timedelta(1), time())))
+    if until is not None:
+        lines = lines.where(F.col("l_shipdate") < F.lit(datetime.combine(until + timedelta(1), time())))
     amount = (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")
     promoted = F.when(F.col("l_discount") >= 0.05, 1).otherwise(0)
     code = F.coalesce(
@@ -42,37 +54,52 @@ def sales_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     day = F.datediff("date", F.lit("1990-01-01").cast("date"))
     return (
-        line.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy(F.col("l_shipdate").cast("date").alias("date"), *PAIR)
+        lines.groupBy(F.col("l_shipdate").cast("date").alias("date"), *PAIR)
         .agg(F.sum(amount).alias("sales"), F.sum(promoted).cast("bigint").alias("onpromotion"))
         .withColumn("id", (day * 1000 + F.col("store_nbr") * 10 + code).cast("bigint"))
         .select("id", "date", *PAIR, "sales", "onpromotion")
     )
 
 
-def last_day(spark: SparkSession, sf_dir: str) -> Column:
-    """Newest day of the panel, from one column of the fact table."""
-    line = table(spark, sf_dir, "lineitem")
-    return line.agg(F.max(F.col("l_shipdate").cast("date")).alias("last")).scalar()
+def newest_day(spark: SparkSession, sf_dir: str, before: date | None = None) -> date | None:
+    """Newest day of the panel (before ``before``), from the rows that the panel is made of: a
+    line without supplier or part does not move it. One date is fetched."""
+    lines = _matched_lines(spark, sf_dir)
+    if before is not None:
+        lines = lines.where(F.col("l_shipdate") < F.lit(datetime.combine(before, time())))
+    return lines.agg(F.max("l_shipdate").cast("date").alias("d")).first()["d"]
 
 
-def history_last_day(spark: SparkSession, sf_dir: str, h: int = HORIZON) -> Column:
-    """Newest day of :func:`history`."""
-    day = F.col("l_shipdate").cast("date")
-    line = table(spark, sf_dir, "lineitem")
-    known = line.where(day <= F.date_sub(last_day(spark, sf_dir), h))
-    return known.agg(F.max(day).alias("last")).scalar()
+def history_and_request(
+    spark: SparkSession, sf_dir: str, h: int = HORIZON
+) -> tuple[DataFrame, DataFrame]:
+    """The panel up to ``h`` days before its newest day, and what came later without its sales."""
+    last = newest_day(spark, sf_dir)
+    if last is None:
+        panel = sales_panel(spark, sf_dir)
+        return panel, panel.drop("sales")
+    cutoff = last - timedelta(h)
+    return sales_panel(spark, sf_dir, until=cutoff), sales_panel(spark, sf_dir, after=cutoff).drop("sales")
 
 
 def history(spark: SparkSession, sf_dir: str, h: int = HORIZON) -> DataFrame:
-    cutoff = F.date_sub(last_day(spark, sf_dir), h)
-    return sales_panel(spark, sf_dir).where(F.col("date") <= cutoff)
+    return history_and_request(spark, sf_dir, h)[0]
 
 
 def request(spark: SparkSession, sf_dir: str, h: int = HORIZON) -> DataFrame:
-    cutoff = F.date_sub(last_day(spark, sf_dir), h)
-    return sales_panel(spark, sf_dir).where(F.col("date") > cutoff).drop("sales")
+    return history_and_request(spark, sf_dir, h)[1]
+
+
+def recent_days(spark: SparkSession, sf_dir: str, days: int = 30, h: int = 0) -> DataFrame:
+    """The trailing window that shares are taken from, of the panel without its last ``h`` days,
+    cut at the scan."""
+    last = newest_day(spark, sf_dir)
+    if last is None:
+        return sales_panel(spark, sf_dir)
+    until = last - timedelta(h)
+    if h:
+        last = newest_day(spark, sf_dir, before=until + timedelta(1)) or until
+    return sales_panel(spark, sf_dir, after=last - timedelta(days + 1), until=until)
 
 
 def _due_day() -> Column:

@@ -68,10 +68,11 @@ def test_fill_sees_joined_days_only(spark, sales, holidays):
     assert by(out, "date", "day_of_week")[day(1)] == 1  # a Tuesday, Monday is 0
 
 
-def test_duplicate_quotes_fan_out(spark, sales, holidays):
-    quotes = frame(spark, OIL, [("2017-08-01", 1.0), ("2017-08-01", 2.0), ("2017-08-02", 3.0)])
-    assert features.total_features(sales, quotes, holidays).count() == 4
-    assert features.pair_features(sales, quotes, holidays).count() == 16
+def test_lowest_of_duplicate_quotes_counts(spark, sales, holidays):
+    quotes = frame(spark, OIL, [("2017-08-01", 2.0), ("2017-08-01", 1.0), ("2017-08-02", 3.0)])
+    total = features.total_features(sales, quotes, holidays)
+    assert total.count() == 3 and by(total, "date", "oil_price")[day(1)] == 1.0
+    assert features.pair_features(sales, quotes, holidays).count() == 12
 
 
 def test_pair_features_fill_within_pair(spark, oil, holidays):

@@ -64,7 +64,7 @@ def test_division_by_lag_polynomials():
 def test_recovers_known_parameters():
     y, x = simulate(3000)
     order = np.array([[1, 0, 1, 1, 0, 1, 0]])
-    params, sse, ok, lay = css.fit(y[:, None], x[:, None, :], order, np.array([17]))
+    params, sse, ok, _, lay = css.fit(y[:, None], x[:, None, :], order, np.array([17]))
     assert ok.all()
     assert params[0, lay.at["beta"]] == pytest.approx([2, -1], abs=0.02)
     for name, want in (("ar", 0.6), ("sar", 0.5), ("ma", 0.4), ("sma", 0.3)):
@@ -76,7 +76,7 @@ def test_recovers_known_parameters():
 def test_fit_is_a_minimum_of_the_written_out_sum(order):
     y, x = simulate(300, seed=3)
     orders = np.array([[*order, 0]])
-    params, sse, ok, lay = css.fit(y[:, None], x[:, None, :], orders, np.array([17]))
+    params, sse, ok, _, lay = css.fit(y[:, None], x[:, None, :], orders, np.array([17]))
 
     def total(vector):
         parts = [vector[lay.at[n]] for n in ("beta", "ar", "sar", "ma", "sma")]
@@ -94,20 +94,20 @@ def test_lanes_do_not_influence_each_other():
     y, x = simulate(250, seed=5)
     grid = np.array([(p, d, q, 1, 0, 1, 0) for p, d, q in product(range(3), range(2), range(2))])
     lanes = len(grid)
-    _, together, _, _ = css.fit(
+    _, together, *_ = css.fit(
         np.repeat(y[:, None], lanes, 1), np.repeat(x[:, None], lanes, 1), grid, np.full(lanes, 17)
     )
     for i in range(lanes):
-        _, alone, _, _ = css.fit(y[:, None], x[:, None, :], grid[[i]], np.array([17]))
+        _, alone, *_ = css.fit(y[:, None], x[:, None, :], grid[[i]], np.array([17]))
         assert alone[0] == pytest.approx(together[i], rel=1e-4)
 
 
 def test_padded_lane_equals_unpadded():
     y, x = simulate(120, seed=6)
     order = np.array([[1, 1, 1, 0, 1, 1, 0]])
-    _, want, _, _ = css.fit(y[:, None], x[:, None, :], order, np.array([17]))
+    _, want, *_ = css.fit(y[:, None], x[:, None, :], order, np.array([17]))
     yy, xx, pad = tuning.stack_lanes([y, np.zeros(200)], [x.T, np.zeros((2, 200))], 2)
-    _, got, _, _ = css.fit(yy[:, :1], xx[:, :1], order, pad[:1] + 17)
+    _, got, *_ = css.fit(yy[:, :1], xx[:, :1], order, pad[:1] + 17)
     assert pad.tolist() == [80, 0] and got[0] == pytest.approx(want[0], rel=1e-9)
 
 

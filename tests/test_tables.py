@@ -96,9 +96,16 @@ def test_request_parsing(spark):
     assert out[7].store_nbr == 1 and out[7].onpromotion == 2.0 and out[7].oil_price != out[7].oil_price
     assert tuple(out[8]) == (8, date(2017, 8, 17), 2, "B", 1.0, 50.5, 1.0, 3)
     broken = json.dumps({"instances": [by_name | {"id": "x"}]})
-    with pytest.raises(Exception, match="id is not a number"):
-        requests.parse_instances(spark.createDataFrame([(broken,)], "body string")).collect()
+    bodies = [(k, b) for k, b in enumerate([broken, body[:-5], "no JSON", "{}", body, None])]
+    mixed = spark.createDataFrame(bodies, "line int, body string")
+    assert sorted(r.id for r in requests.parse_instances(mixed).collect()) == [7, 8]
+    bad = {(r.line, r.pos): r.reason for r in requests.rejected_instances(mixed).collect()}
+    missing = "body has no list of instances"
+    assert bad == {(0, 0): "id is not a number"} | {(k, None): missing for k in (1, 2, 3, 5)}
     lists = json.dumps({"instances": [[0, 50.0, 0, 1], [3, 51.0, 1, 2]]})
+    odd = spark.createDataFrame([('{"instances": [[1, "x", 0, 2], [4, 5, 6, 7]]}',), ("[",)], "body string")
+    assert [r.oil_price == r.oil_price for r in requests.parse_exog_lists(odd).collect()] == [False, True]
+    assert [r.body for r in requests.rejected_bodies(odd).collect()] == ["["]
     steps = requests.parse_exog_lists(spark.createDataFrame([(lists,)], "body string")).collect()
     assert [tuple(r) for r in steps] == [(1, 0.0, 50.0, 0.0, 1.0), (2, 3.0, 51.0, 1.0, 2.0)]
 
@@ -160,8 +167,9 @@ def test_position_is_global(spark):
 
 
 def test_reconcile(spark):
-    side = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id bigint")
-    row = predictions.reconcile(side(1, 2, 3), side(1, 2, 9), side(1, 9)).first()
+    asked = spark.createDataFrame([(1,), (2,), (3,)], "id bigint")
+    made = spark.createDataFrame([(1, 1.0), (2, None), (9, 2.0)], "id bigint, sales double")
+    row = predictions.reconcile(asked, made).first()
     assert tuple(row) == (3, 3, 2, 2, 1)
 
 
