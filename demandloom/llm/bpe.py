@@ -73,16 +73,19 @@ class Automaton:
         self.left: dict[int, int] = {}
         self.right: dict[int, int] = {}
         self.removed: dict[tuple[int, int], int] = {}
+        self.reachable = {s: i for s, i in self.ids.items() if len(s) == 1}
         for rank, pair in enumerate(model["merges"]):
             first, second = pair if isinstance(pair, list) else pair.split(" ")
             self._gadget(rank, *(bytes(alphabet[c] for c in s) for s in (first, second)))
-        self.reachable = {s: i for s, i in self.ids.items() if len(s) == 1 or i in self.born}
         self.arcs: dict[tuple[int, int], bool] = {}
 
     def _gadget(self, rank: int, first: bytes, second: bytes) -> None:
         a, b, c = self.ids[first], self.ids[second], self.ids[first + second]
         if c in self.born:
             raise ValueError("two merges make the same token")
+        if not {first, second} <= self.reachable.keys() or not self._resolve(a, b):
+            return  # earlier merges never leave a next to b, so no path has this token
+        self.reachable[first + second] = c
         self.born[c], self.left[c], self.right[c] = rank, a, b
         self.removed[a, b] = rank
 

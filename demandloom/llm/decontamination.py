@@ -47,24 +47,22 @@ def _hashes(coded: Column, masks: list[str]) -> Column:
     return F.concat(*(hashed(k, mask) for k, mask in enumerate(masks)))
 
 
-def _place(pos: Column, n: Column, masks: list[str]) -> Column:
-    """Position in the text of the ``pos``-th hash of a text with ``n`` tokens."""
-    before, found = F.lit(0), F.lit(None).cast("int")
-    starts = []
-    for mask in masks:
-        starts.append(before)
-        before = before + F.greatest(n - len(mask) + 1, F.lit(0))
-    for start in starts:  # the last start that is not behind pos wins
-        found = F.when(pos >= start, pos - start).otherwise(found)
-    return found
+def _located(pos: Column, n: Column, masks: list[str]) -> tuple[Column, Column]:
+    """Mask number, and position in the text, of the ``pos``-th hash of a text of ``n`` tokens."""
+    before, mask, place = F.lit(0), F.lit(None).cast("int"), F.lit(None).cast("int")
+    for k, own in enumerate(masks):  # the last mask that does not start behind pos wins
+        mask, place = F.when(pos >= before, k).otherwise(mask), F.when(pos >= before, pos - before).otherwise(place)
+        before = before + F.greatest(n - len(own) + 1, F.lit(0))
+    return mask, place
 
 
 def _positions(rows: DataFrame, keys: list[str], masks: list[str]) -> DataFrame:
-    """``keys``, hash and place of every mask at every position of the column ``own``."""
+    """``keys``, hash, mask and place of every mask at every position of the column ``own``."""
     # n stands beside the array, so that the spread rows do not carry the array along
     coded = rows.select(*keys, F.size("own").alias("n"), F.transform("own", lambda t: F.xxhash64(t)).alias("coded"))
     spread = coded.select(*keys, "n", F.posexplode(_hashes(F.col("coded"), masks)).alias("pos", "hash"))
-    return spread.select(*keys, "hash", _place(F.col("pos"), F.col("n"), masks).alias("place"))
+    mask, place = _located(F.col("pos"), F.col("n"), masks)
+    return spread.select(*keys, "hash", mask.alias("mask"), place.alias("place"))
 
 
 def overlaps(
@@ -87,7 +85,13 @@ def overlaps(
     shortest = bench.agg(F.min(F.size("own"))).first()[0] or max(map(len, MASKS))
     masks = _masks(shortest)
     named = bench.select("item", F.size("own").alias("n_item"), F.xxhash64("own").alias("code"), "own")
-    seeds = _positions(named, ["item", "n_item", "code"], masks).withColumnRenamed("place", "item_place")
+    # a short run stands for items of just its length
+    length = F.get(F.array(*(F.lit(len(m)) for m in masks)), F.col("mask"))
+    seeds = (
+        _positions(named, ["item", "n_item", "code"], masks)
+        .filter((F.col("mask") < len(MASKS)) | (F.col("n_item") == length))
+        .select("item", "n_item", "code", "hash", F.col("place").alias("item_place"))
+    )
     texts = docs.select(*row_key(docs, key, text), F.col(text).alias("__whole"))
     hits = _positions(
         texts.select("__key", "__text", tokens(F.col("__whole")).alias("own")), ["__key", "__text"], masks

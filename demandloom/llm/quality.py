@@ -94,11 +94,11 @@ def judge(docs: DataFrame, weights: list[float], text: str = "text") -> DataFram
     table = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")
     own = docs.select(*kept, words(F.col(text)).alias("__own"))
     counts = base_counts(F.col("__own"), F.col(text))
-    ratios = F.transform(features(F.col("__own")), lambda b: F.get(table, b.cast("int")))
+    ratio = F.aggregate(features(F.col("__own")), F.lit(0.0), lambda a, b: a + F.get(table, b.cast("int")))
     out = own.select(
         *kept,
         *(c.alias("__windows" if n == "windows" else n) for n, c in counts.items()),
-        (F.aggregate(ratios, F.lit(0.0), lambda a, x: a + x) / F.greatest(2 * F.size("__own") - 1, F.lit(1))).alias("ratio"),
+        (ratio / F.greatest(2 * F.size("__own") - 1, F.lit(1))).alias("ratio"),
     )
     # Only texts that repeat a window are sorted.
     out = out.withColumn(
