@@ -6,12 +6,15 @@ sets agree in at least one whole segment. What a set holds in a segment, hashed,
 sets that share a signature are candidates, and candidates are verified exactly.
 
 Segments that tell little are passed over, and paid for (cost-based allocation). A passed segment
-takes one from the m - 1 - H spare ones; where none is left, the set gets another segment looked up
-with one difference allowed, through its one-deletion neighbourhood (the signature of the segment
+takes one from the m - 1 - H spare ones; where none is left, another segment is looked up with
+one difference allowed, through its one-deletion neighbourhood (the signatures of the segment
 without one of its elements). Passed over are empty segments, and *hot* ones, whose signature still
 joins many components after the first round. A pair found only in passed segments has to be short
 of spare segments on both sides, so only such sets need neighbourhoods.
 
+Candidates are first held against sketches (one bit per element or so), which rule out nearly all
+that only share a passage; only what is left moves whole sets.
+
 Large groups of near copies never give all their pairs: a round first verifies every member of a
 signature against one leader, and afterwards only members of different components meet.
 """
@@ -129,21 +132,49 @@ def signature(band: int, numbers: np.ndarray, sums: np.ndarray) -> np.ndarray:
     return _mix(sums + _mix(numbers.astype(np.uint64) + (_U(band + 1) << _U(40)))).astype(np.int64)
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """Parities of how many elements fall on each of at least as many bits as there are elements.
+    Every element in which two sets differ flips one bit, so sketches never differ in more bits
+    than the sets in elements."""
+    bits = 1 << max(6, (len(own) - 1).bit_length())
+    hit = (_mix(own ^ _U(7)) & _U(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(hit, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(data: bytes, size: int) -> int:
+    """A sketch of ``size`` bytes from a longer one: the bits that fall together add up."""
+    while len(data) > size:
+        half = len(data) // 2
+        data = (int.from_bytes(data[:half], "little") ^ int.from_bytes(data[half:], "little")).to_bytes(half, "little")
+    return int.from_bytes(data, "little")
+
+
+def least_different(a: bytes, b: bytes) -> int:
+    """Elements in which the sets behind two sketches differ at least."""
+    size = min(len(a), len(b))
+    return (_folded(a, size) ^ _folded(b, size)).bit_count()
+
+
 def _coded(text: str) -> Column:
     return F.transform(words(F.translate(F.col(text), UPPER, LOWER)), lambda w: F.xxhash64(w))
 
 
-def _sets(column: pa.Array) -> Iterator[np.ndarray]:
+def _values(column: pa.Array) -> Iterator[np.ndarray]:
     values = column.values.to_numpy(zero_copy_only=False).view(np.uint64)
     offsets = column.offsets.to_numpy()
     for a, b in zip(offsets[:-1], offsets[1:]):
-        yield shingle_set(values[a:b])
+        yield values[a:b]
+
+
+def _sets(column: pa.Array) -> Iterator[np.ndarray]:
+    return map(shingle_set, _values(column))
 
 
 def _signatures(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """sig, doc, info. For every row one *set* row (info >= 0: size, and more of the set's hash in
-    the high bits; sig is the set's hash), then its signatures (info = -size). A set with too few
-    spare segments for its empty ones also gets a mark (info = -size - MARK)."""
+    """sig, doc, info, sketch. For every row one *set* row (info >= 0: size, and more of the set's
+    hash in the high bits; sig is the set's hash; with the sketch), then its signatures
+    (info = -size, no sketch). A set with too few spare segments for its empty ones also gets a
+    mark (info = -size - MARK)."""
 
     def hashed(doc: int | None) -> np.ndarray:
         return _mix(np.array([doc or 0], np.int64).view(np.uint64)).view(np.int64)
@@ -153,35 +184,43 @@ def _signatures(docs: DataFrame, text: str, key: str) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)
-                out: list[tuple[np.ndarray, int | None, int]] = []  # signatures, doc, info
+                out: list[tuple[np.ndarray, int | None, int, bytes]] = []  # signatures, doc, info, sketch
                 for doc, own in zip(batch.column(0).to_pylist(), _sets(batch.column(1))):
                     n = len(own)
                     if not n:
-                        out.append((hashed(doc), doc, 0))
+                        out.append((hashed(doc), doc, 0, b""))
                         continue
                     first = int(_mix(own ^ _U(1)).sum(dtype=np.uint64).view(np.int64))
                     second = int(_mix(own ^ _U(2)).sum(dtype=np.uint64)) >> (1 + SIZE_BITS)
                     mark = (first, second << SIZE_BITS | n)
-                    out.append((np.array([first]), doc, mark[1]))
+                    out.append((np.array([first]), doc, mark[1], sketch(own)))
                     if doc is None or mark in seen:
                         continue
                     seen.add(mark)
                     for band in bands_of(n):
                         _, _, numbers, _, sums = cut(own, band)
-                        out.append((signature(band, numbers, sums), doc, -n))
+                        out.append((signature(band, numbers, sums), doc, -n, b""))
                         if segments(band) - len(numbers) > spare(n, band):
-                            out.append((hashed(doc), doc, -n - MARK))
-                sizes = [len(s) for s, _, _ in out]
-                docs_ = np.repeat(np.array([-1 if d is None else d for _, d, _ in out], np.int64), sizes)
-                no_doc = np.repeat(np.array([d is None for _, d, _ in out]), sizes)
-                infos = np.repeat(np.array([i for _, _, i in out], np.int64), sizes)
-                sigs = np.concatenate([s for s, _, _ in out])
+                            out.append((hashed(doc), doc, -n - MARK, b""))
+                sigs, docs_, infos, sketches = zip(*out)
+                sizes = [len(x) for x in sigs]
+                ids = np.repeat(np.array([-1 if d is None else d for d in docs_], np.int64), sizes)
+                no_doc = np.repeat(np.array([d is None for d in docs_]), sizes)
+                ends = np.repeat(np.cumsum([len(x) for x in sketches]), sizes).astype(np.int32)
+                data = pa.py_buffer(b"".join(sketches))
+                offsets = pa.py_buffer(np.r_[np.int32(0), ends])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sigs), pa.array(docs_, mask=no_doc), pa.array(infos)], ["sig", "doc", "info"]
+                    [
+                        pa.array(np.concatenate(sigs)),
+                        pa.array(ids, mask=no_doc),
+                        pa.array(np.repeat(np.array(infos, np.int64), sizes)),
+                        pa.Array.from_buffers(pa.binary(), len(ids), [None, offsets, data]),
+                    ],
+                    ["sig", "doc", "info", "sketch"],
                 )
 
     return docs.select(F.col(key).cast("long").alias("doc"), _coded(text).alias("own")).mapInArrow(
-        run, "sig long, doc long, info long"
+        run, "sig long, doc long, info long, sketch binary"
     )
 
 
@@ -206,6 +245,21 @@ def _texts(docs: DataFrame, ids: DataFrame, text: str, key: str) -> DataFrame:
     return coded.mapInArrow(run, schema)
 
 
+def _plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the pairs (u, v) that their sketches leave possible; none that links is lost."""
+    a = sets.select(F.col("doc").alias("u"), F.col("n").alias("u_n"), F.col("sketch").alias("u_sketch"))
+    b = sets.select(F.col("doc").alias("v"), F.col("n").alias("v_n"), F.col("sketch").alias("v_sketch"))
+    both = pairs.join(a, "u").join(b, "v").select("u", "v", "u_n", "v_n", "u_sketch", "v_sketch")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5)))
+            near = [least_different(x, y) <= most_different(m, n) for m, n, x, y in sizes]
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["u", "v"]).filter(pa.array(near, pa.bool_()))
+
+    return both.mapInArrow(run, "u long, v long").distinct()
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, text: str, key: str) -> DataFrame:
     """Those of the pairs (u, v) that link. The sets of v move to u; u's set joins them there."""
     members = pairs.groupBy(F.col("v").alias("doc")).agg(F.collect_set("u").alias("partners"))
@@ -225,41 +279,71 @@ def _sizes_fit(a: str, b: str) -> Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
+def _shortage(own: np.ndarray, passed: set[int], band: int):
+    """How many segments a set of this band is short of, its cut, and which segments it looks up
+    with one difference allowed: the first ones that it does not pass over and that hold two
+    elements or more."""
+    cut_ = _, _, numbers, starts, sums = cut(own, band)
+    sigs = signature(band, numbers, sums).tolist()
+    ends = np.r_[starts[1:], len(own)]
+    short = segments(band) - len(numbers) + sum(s in passed for s in sigs) - spare(len(own), band)
+    usable = [k for k, s in enumerate(sigs) if s not in passed and ends[k] - starts[k] > 1]
+    return short, cut_, sigs, ends, usable[: max(short, 0)]
+
+
 def _neighbourhoods(docs: DataFrame, hot: DataFrame, text: str, key: str) -> DataFrame:
     """Of the sets that are short of spare segments: doc, n, sig, deleted, probed, lost.
 
-    ``hot`` has doc and its hot signatures. Every segment gives its signature and those of its
-    one-deletion neighbourhood. ``probed`` marks the segments that the set looks up with one
-    difference allowed, as many as it is short of. Passed segments come once more as ``lost``;
-    a set without enough segments to look up looks those up too."""
-    rows = _texts(docs, hot, text, key)
+    ``hot`` has doc and its hot signatures. ``probed`` rows are the segments that a set looks up,
+    as many as it is short of, with their one-deletion neighbourhoods. A pair is found when one
+    side's lookups meet the other's segments; the side that is short of fewer suffices. So a set
+    enters its first segments only, up to the last that any set of its band looks up which is
+    short of as many or fewer. Where a set has too few segments to look up, the sets of its band
+    also enter the segments they pass over, as ``lost``.
+    """
+    rows = written(_texts(docs, hot, text, key))
+
+    def needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: dict[tuple[int, int], int] = {}
+        for batch in batches:
+            for passed, own in zip(batch.column(1).to_pylist(), _values(batch.column(2))):
+                for band in bands_of(len(own)) if len(own) else ():
+                    short, (_, _, numbers, _, _), _, _, probed = _shortage(own, set(passed), band)
+                    if short > 0:
+                        deepest = int(numbers[probed[-1]]) if probed else -1
+                        last[band, short] = max(last.get((band, short), -1), deepest)
+                        if len(probed) < short:
+                            last[band, -1] = 0
+        keys = list(last)
+        columns = [[k[0] for k in keys], [k[1] for k in keys], [last[k] for k in keys]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["band", "short", "last"])
+
+    # a row per band and shortage, however many documents there are
+    found = rows.mapInArrow(needs, "band long, short long, last long").groupBy("band", "short").agg(F.max("last"))
+    deepest = {(r[0], r[1]): r[2] for r in found.collect()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for doc, passed, own in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                own, passed = np.array(own, np.int64).view(np.uint64), set(passed)
+            ids, hot_sigs = (batch.column(i).to_pylist() for i in (0, 1))
+            for doc, passed, own in zip(ids, hot_sigs, _values(batch.column(2))):
                 n = len(own)
                 for band in bands_of(n) if n else ():
-                    part, value, numbers, starts, sums = cut(own, band)
-                    sigs = signature(band, numbers, sums).tolist()
-                    empty = sorted(set(range(segments(band))) - set(numbers.tolist()))
-                    short = len(empty) + sum(s in passed for s in sigs) - spare(n, band)
+                    short, (_, value, numbers, starts, sums), sigs, ends, probed = _shortage(own, set(passed), band)
                     if short <= 0:
                         continue
-                    ends = np.r_[starts[1:], n]
-                    open_ = [k for k, s in enumerate(sigs) if s not in passed]
-                    # the largest segments are the rarest, so they cost least to look up
-                    probed = set(sorted((k for k in open_ if ends[k] - starts[k] > 1), key=lambda k: (starts[k] - ends[k], k))[:short])
-                    lost = len(probed) < short
-                    for k in range(len(sigs)):
+                    reach = max(x for (b, k), x in deepest.items() if b == band and 0 < k <= short)
+                    for k in range(int(np.searchsorted(numbers, reach, "right"))):
                         out.append((doc, n, sigs[k], False, k in probed, False))
                         if ends[k] - starts[k] > 1:
                             rest = sums[k] - value[starts[k] : ends[k]]
                             near = signature(band, np.full(len(rest), numbers[k]), rest)
                             out.extend((doc, n, int(s), True, k in probed, False) for s in near)
-                    nothing = signature(band, np.array(empty, np.int64), np.zeros(len(empty), np.uint64)).tolist()
-                    out.extend((doc, n, s, False, lost, True) for s in [*nothing, *(s for s in sigs if s in passed)])
+                    if (band, -1) in deepest:
+                        empty = np.setdiff1d(np.arange(segments(band)), numbers)
+                        nothing = signature(band, empty, np.zeros(len(empty), np.uint64)).tolist()
+                        lost = len(probed) < short
+                        out.extend((doc, n, s, False, lost, True) for s in [*nothing, *(s for s in sigs if s in set(passed))])
             columns = list(zip(*out)) if out else [[]] * 6
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.bool_())
             yield pa.RecordBatch.from_arrays(
@@ -277,9 +361,9 @@ def links(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[Dat
     raw = _signatures(docs, text, key)
     own = Window.partitionBy("sig")
     met = raw.withColumn("low", F.min("doc").over(own)).withColumn("high", F.max("doc").over(own))
-    kept = written(met.filter((F.col("low") != F.col("high")) | (F.col("info") >= 0) | (F.col("info") <= -MARK)).select("sig", "doc", "info"))
+    kept = written(met.filter((F.col("low") != F.col("high")) | (F.col("info") >= 0) | (F.col("info") <= -MARK)).select("sig", "doc", "info", "sketch"))
     size = F.col("info").bitwiseAND(F.lit((1 << SIZE_BITS) - 1))
-    sets = kept.filter("info >= 0").select("sig", "doc", "info", size.alias("n"))
+    sets = kept.filter("info >= 0").select("sig", "doc", "info", size.alias("n"), "sketch")
 
     named = sets.filter("doc is not null and n > 0")
     groups = written(
@@ -303,7 +387,7 @@ def links(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[Dat
         .select(F.col("leader").alias("u"), F.col("doc").alias("v"))
         .distinct()
     )
-    found = written(_verified(docs, tried, text, key))
+    found = written(_verified(docs, written(_plausible(tried, sets)), text, key))
     edges = found.unionByName(copies.select(F.col("first").alias("u"), F.col("doc").alias("v")))
 
     groups_now = written(components(found))
@@ -347,7 +431,7 @@ def links(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[Dat
         .distinct()
     )
     rest = written(more.unionByName(around).distinct().join(tried, ["u", "v"], "left_anti"))
-    return sets.select("doc", "n"), edges.unionByName(written(_verified(docs, rest, text, key)))
+    return sets.select("doc", "n"), edges.unionByName(written(_verified(docs, written(_plausible(rest, sets)), text, key)))
 
 
 def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

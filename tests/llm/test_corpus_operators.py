@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -239,6 +240,16 @@ def test_one_of_each_group_stays(spark):
     assert jaccard.keep_first(docs.limit(0)).count() == 0
 
 
+def test_sketches_never_overstate():
+    rnd = np.random.default_rng(2)
+    for n in (1, 3, 60, 64, 65, 100, 130, 1000):
+        a = rnd.integers(0, 2**63, n).astype(np.uint64)
+        for m in {n, n * 9 // 10, n * 5 // 4} - {0}:
+            b = np.r_[a[: rnd.integers(0, min(n, m) + 1)], rnd.integers(0, 2**63, m).astype(np.uint64)][:m]
+            apart = len(set(a.tolist()) ^ set(b.tolist()))
+            assert jaccard.least_different(jaccard.sketch(a), jaccard.sketch(b)) <= apart
+
+
 def test_pigeonhole_arithmetic():
     for n in (1, 2, 5, 9, 40, 333, 5000):
         for band in jaccard.bands_of(n):
