@@ -12,11 +12,11 @@ documents, and whole-document dedup is left to decide about them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import row_key, same_row, words
-from demandloom.operators.runs import checkpointed
+from demandloom.functions.columns import checked_broadcast
+from demandloom.llm.common import row_key, same_row, words, written
 
 #: Leading words on the way to a leaf.
 DEPTH = 4
@@ -29,35 +29,39 @@ LEAST_CONSTANT = 0.5
 #: Documents with a larger part of their lines' words in recurring lines are no evidence.
 COPY_SHARE = 0.5
 VARIABLE = "<*>"
+#: Leaves, or documents with lines to drop, that go to every task at most; more join by shuffle.
+BROADCAST_ROWS = 500_000
 
 ROW = ["__key", "__text"]
 LEAF = ["n", "leaf"]
 
 
+def _masked(line: Column) -> Column:
+    """Words of a line, those with a digit as variables."""
+    own = words(line)
+    variable = F.transform(own, lambda w: F.when(w.rlike("[0-9]"), F.lit(VARIABLE)).otherwise(w))
+    return F.when(line.rlike("[0-9]"), variable).otherwise(own)
+
+
 def split_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every line with enough words: row key, line (from 0), n (words), leaf, code, masked.
+    """Every line with enough words: row key, line (from 0), whole, n (words), leaf, code.
 
     ``leaf`` and ``code`` are 64-bit hashes of the leading words and of the whole masked line.
     """
     lines = docs.select(*row_key(docs, key, text), F.posexplode(F.split(F.col(text), "\n")).alias("line", "whole"))
-    own = lines.select(*ROW, "line", "whole", words(F.col("whole")).alias("own")).filter(F.size("own") >= LEAST_WORDS)
-    variable = F.transform("own", lambda w: F.when(w.rlike("[0-9]"), F.lit(VARIABLE)).otherwise(w))
-    masked = own.select(
-        *ROW, "line", F.size("own").alias("n"),
-        F.when(F.col("whole").rlike("[0-9]"), variable).otherwise(F.col("own")).alias("masked"),
-    )
+    masked = lines.withColumn("masked", _masked(F.col("whole"))).filter(F.size("masked") >= LEAST_WORDS)
     return masked.select(
-        *ROW, "line", "n", F.xxhash64(F.slice("masked", 1, DEPTH)).alias("leaf"),
-        F.xxhash64("masked").alias("code"), "masked",
+        *ROW, "line", "whole", F.size("masked").alias("n"),
+        F.xxhash64(F.slice("masked", 1, DEPTH)).alias("leaf"), F.xxhash64("masked").alias("code"),
     )
 
 
 def _templates(lines: DataFrame, codes: DataFrame) -> DataFrame:
     """n, leaf, code -> template of every distinct line whose leaf may hold a recurring one.
 
-    ``lines`` has the words, ``codes`` the same lines without them, written.
+    ``lines`` has the texts, ``codes`` the same lines without them, written.
     """
-    busy = checkpointed(
+    busy = written(
         codes.groupBy(*LEAF).agg(F.count("*").alias("lines")).filter(F.col("lines") >= LEAST_DOCUMENTS).select(*LEAF)
     )
     # one row per distinct line: a very common line is one row from here on
@@ -68,9 +72,9 @@ def _templates(lines: DataFrame, codes: DataFrame) -> DataFrame:
         .groupBy(*LEAF, "code")
         .agg(F.count("*").alias("documents"))
     )
-    named = lines.join(busy, LEAF, "left_semi").groupBy(*LEAF, "code").agg(F.first("masked").alias("masked"))
-    distinct = checkpointed(named.join(documents, [*LEAF, "code"]))
-    places = distinct.select(*LEAF, "code", "documents", F.posexplode("masked").alias("place", "word"))
+    named = lines.select(*LEAF, "code", "whole").join(checked_broadcast(busy, BROADCAST_ROWS), LEAF, "left_semi").groupBy(*LEAF, "code").agg(F.first("whole").alias("whole"))
+    distinct = written(named.join(documents, [*LEAF, "code"]))
+    places = distinct.select(*LEAF, "code", "documents", F.posexplode(_masked(F.col("whole"))).alias("place", "word"))
     constant = (
         places.filter(F.col("word") != VARIABLE)
         .groupBy(*LEAF, "place", "word")
@@ -78,7 +82,7 @@ def _templates(lines: DataFrame, codes: DataFrame) -> DataFrame:
         .filter(F.col("d") >= LEAST_DOCUMENTS)
         .select(*LEAF, "place", "word")
     )
-    kept = places.join(checkpointed(constant), [*LEAF, "place", "word"], "left_semi")
+    kept = places.join(written(constant), [*LEAF, "place", "word"], "left_semi")
     return (
         kept.groupBy(*LEAF, "code")
         .agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("constants"))
@@ -90,19 +94,19 @@ def _templates(lines: DataFrame, codes: DataFrame) -> DataFrame:
 def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Lines to drop: row key and line number, of every line whose template recurs."""
     lines = split_lines(docs, key, text)
-    codes = checkpointed(lines.select(*ROW, "line", *LEAF, "code"))
-    named = checkpointed(_templates(lines, codes))
-    found = checkpointed(codes.join(named, [*LEAF, "code"]).select(*ROW, "line", "n", "template"))
+    codes = written(lines.select(*ROW, "line", *LEAF, "code"))
+    named = written(_templates(lines, codes))
+    found = written(codes.join(named, [*LEAF, "code"]).select(*ROW, "line", "n", "template"))
 
     def recurring(rows: DataFrame) -> DataFrame:
         documents = rows.select("template", *ROW).distinct().groupBy("template").agg(F.count("*").alias("d"))
-        return checkpointed(documents.filter(F.col("d") >= LEAST_DOCUMENTS).select("template"))
+        return written(documents.filter(F.col("d") >= LEAST_DOCUMENTS).select("template"))
 
-    often = checkpointed(found.join(recurring(found), "template", "left_semi"))
+    often = written(found.join(recurring(found), "template", "left_semi"))
     # repeated rows have repeated lines in both sums
     words_in = codes.groupBy(*ROW).agg(F.sum("n").alias("all"))
     recurring_in = often.groupBy(*ROW).agg(F.sum("n").alias("part"))
-    copies = checkpointed(
+    copies = written(
         recurring_in.alias("a")
         .join(words_in.alias("b"), same_row("a", "b"))
         .filter(F.col("part") > COPY_SHARE * F.col("all"))
@@ -123,6 +127,7 @@ def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     gone = (
         recurring_lines(docs, key, text).groupBy(*ROW).agg(F.sort_array(F.collect_set("line")).alias("__gone"))
     )
+    gone = checked_broadcast(written(gone), BROADCAST_ROWS)
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     joined = docs.select(*names, *row_key(docs, key, text)).alias("a").join(gone.alias("b"), same_row("a", "b"), "left")
     parts = F.split(F.col(f"a.{text}"), "\n")
