@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.columns import checked_broadcast
-from demandloom.llm.common import row_key, same_row, words, written
+from demandloom.llm.common import BLANKS, row_key, same_row, words, written
 
 #: Leading words on the way to a leaf.
 DEPTH = 4
@@ -49,7 +49,9 @@ def split_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     ``leaf`` and ``code`` are 64-bit hashes of the leading words and of the whole masked line.
     """
     lines = docs.select(*row_key(docs, key, text), F.posexplode(F.split(F.col(text), "\n")).alias("line", "whole"))
-    masked = lines.withColumn("masked", _masked(F.col("whole"))).filter(F.size("masked") >= LEAST_WORDS)
+    # a search that ends at the third word, where a filter on the words would split every line twice
+    enough = rf"(?:[^\x20\x09-\x0D]+{BLANKS}){{{LEAST_WORDS - 1}}}[^\x20\x09-\x0D]"
+    masked = lines.filter(F.col("whole").rlike(enough)).withColumn("masked", _masked(F.col("whole")))
     return masked.select(
         *ROW, "line", "whole", F.size("masked").alias("n"),
         F.xxhash64(F.slice("masked", 1, DEPTH)).alias("leaf"), F.xxhash64("masked").alias("code"),
