@@ -16,7 +16,8 @@ Candidates are first held against sketches (one bit per element or so), which ru
 that only share a passage; only what is left moves whole sets.
 
 Large groups of near copies never give all their pairs: a round first verifies every member of a
-signature against one leader, and afterwards only members of different components meet.
+signature against one leader, and afterwards only members of different components meet. Where
+many do, their sketches are compared in blocks, and only what the sketches allow becomes a row.
 """
 
 from __future__ import annotations
@@ -40,8 +41,11 @@ SHINGLE = 5
 PERCENT = 80
 #: Width of a size band: wide bands repeat fewer sets in the next band, but cut finer.
 BAND = 1.5625
+#: Signatures with more members than this are compared in blocks of about BLOCK members.
+SMALL = 12
+BLOCK = 1_024
 #: Signatures that join more components than this are looked up by other segments.
-HOT = 48
+HOT = 2_048
 #: Ids of texts that travel to every task at most; more of them join by shuffle.
 BROADCAST_IDS = 1_000_000
 ROWS_AT_ONCE = 500
@@ -260,6 +264,69 @@ def _plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "u long, v long").distinct()
 
 
+def _in_blocks(crowded: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (u, v) of different components that share a signature and that sketches allow.
+
+    ``crowded`` has sig, doc, n and component. The largest component of a signature is not
+    compared within itself; the rest meets it, and itself, block by block, so no task holds more
+    than two blocks and a signature of k members costs k * (k / BLOCK) rows at most.
+    """
+    sizes = crowded.groupBy("sig", "component").agg(F.count("*").alias("c"))
+    layout = sizes.groupBy("sig").agg(
+        F.max_by("component", F.struct("c", "component")).alias("main"),
+        F.max("c").alias("main_size"),
+        (F.sum("c") - F.max("c")).alias("rest_size"),
+    )
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    placed = crowded.join(written(layout), "sig").withColumns(
+        {"m": blocks("main_size"), "r": blocks("rest_size"), "in_main": F.col("component") == F.col("main")}
+    )
+    at = F.pmod(F.xxhash64("doc"), F.when(F.col("in_main"), F.col("m")).otherwise(F.col("r"))).cast("int")
+    upto = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    struct = lambda a, b, main: F.struct(a.alias("a"), b.alias("b"), F.lit(main).alias("with_main"))
+    place = F.col("at")
+    meets = F.when(F.col("in_main"), F.transform(upto("r"), lambda i: struct(i, place, True))).otherwise(
+        F.concat(
+            F.transform(upto("r"), lambda i: struct(F.least(i, place), F.greatest(i, place), False)),
+            F.transform(upto("m"), lambda j: struct(place, j, True)),
+        )
+    )
+    spread = (
+        placed.withColumn("at", at)
+        .select("sig", "doc", "n", "component", "in_main", "at", F.explode(meets).alias("meet"))
+        .select("sig", "doc", "n", "component", "in_main", "at", "meet.*")
+        .join(sets.select("doc", "sketch").distinct(), "doc")
+    )
+
+    def compare(table: pa.Table) -> pa.Table:
+        docs, sizes, groups, main, at, a = (
+            table.column(c).to_numpy() for c in ("doc", "n", "component", "in_main", "at", "a")
+        )
+        with_main = table.column("with_main")[0].as_py()
+        sketches = table.column("sketch").to_pylist()
+        width = min(map(len, sketches))
+        bits = np.frombuffer(b"".join(_folded(x, width).to_bytes(width, "little") for x in sketches), np.uint64)
+        bits = bits.reshape(len(docs), width // 8)
+        # one side against the other; a block that meets itself is both sides
+        left = ~main if with_main else at == a
+        right = main if with_main else (at == table.column("b")[0].as_py())
+        right_at = np.flatnonzero(right)
+        found = []
+        for i in np.flatnonzero(left):
+            j = right_at
+            limit = (sizes[i] + sizes[j]) * (100 - PERCENT) // (100 + PERCENT)
+            apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            near = (apart <= limit) & (groups[j] != groups[i])
+            near &= 100 * np.minimum(sizes[j], sizes[i]) >= PERCENT * np.maximum(sizes[j], sizes[i])
+            found.extend((min(docs[i], x), max(docs[i], x)) for x in docs[j[near]])
+        found = sorted(set(found))
+        return pa.table(
+            {"u": pa.array([x for x, _ in found], pa.int64()), "v": pa.array([y for _, y in found], pa.int64())}
+        )
+
+    return spread.groupBy("sig", "a", "b", "with_main").applyInArrow(compare, "u long, v long").distinct()
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, text: str, key: str) -> DataFrame:
     """Those of the pairs (u, v) that link. The sets of v move to u; u's set joins them there."""
     members = pairs.groupBy(F.col("v").alias("doc")).agg(F.collect_set("u").alias("partners"))
@@ -395,16 +462,19 @@ def links(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[Dat
         groups_now.withColumnRenamed("node", "doc"), "doc", "left"
     ).select("sig", "doc", "n", F.coalesce("component", "doc").alias("component"))
     between = written(
-        placed.select("sig", "component").distinct().groupBy("sig").agg(F.count("*").alias("groups")).filter("groups > 1")
-    )
-    cold = placed.join(between.filter(F.col("groups") <= HOT).select("sig"), "sig")
-    a, b = cold.alias("a"), cold.alias("b")
+        placed.groupBy("sig", "component").agg(F.count("*").alias("c"))
+        .groupBy("sig").agg(F.count("*").alias("groups"), F.sum("c").alias("members")).filter("groups > 1")
+    )
+    few = placed.join(between.filter(F.col("members") <= SMALL).select("sig"), "sig")
+    a, b = few.alias("a"), few.alias("b")
     more = (
         a.join(b, F.col("a.sig") == F.col("b.sig"))
         .filter((F.col("a.component") != F.col("b.component")) & (F.col("a.doc") < F.col("b.doc")) & _sizes_fit("a.n", "b.n"))
         .select(F.col("a.doc").alias("u"), F.col("b.doc").alias("v"))
         .distinct()
     )
+    crowded = between.filter((F.col("members") > SMALL) & (F.col("groups") <= HOT)).select("sig")
+    crowd = written(_in_blocks(placed.join(crowded, "sig"), sets))
 
     hot_sigs = between.filter(F.col("groups") > HOT).select("sig")
     hot = placed.join(hot_sigs, "sig").select("doc", "sig")
@@ -430,7 +500,7 @@ def links(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[Dat
         .select(F.least("p.doc", "q.doc").alias("u"), F.greatest("p.doc", "q.doc").alias("v"))
         .distinct()
     )
-    rest = written(more.unionByName(around).distinct().join(tried, ["u", "v"], "left_anti"))
+    rest = written(more.unionByName(around).unionByName(crowd).distinct().join(tried, ["u", "v"], "left_anti"))
     return sets.select("doc", "n"), edges.unionByName(written(_verified(docs, written(_plausible(rest, sets)), text, key)))
 
 

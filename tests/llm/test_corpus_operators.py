@@ -219,10 +219,11 @@ def corpus(seed, hot=False):
     return rows
 
 
-@pytest.mark.parametrize("seed,hot,threshold", [(1, False, 48), (2, True, 48), (3, True, 1)])
-def test_similar_groups_equal_brute_force(spark, monkeypatch, seed, hot, threshold):
-    """Also with every signature treated as hot, so that the neighbourhoods do the work."""
-    monkeypatch.setattr(jaccard, "HOT", threshold)
+@pytest.mark.parametrize("seed,hot,limits", [(1, False, {}), (2, True, {"SMALL": 2, "BLOCK": 5}), (3, True, {"SMALL": 2, "HOT": 2, "BLOCK": 5})])
+def test_similar_groups_equal_brute_force(spark, monkeypatch, seed, hot, limits):
+    """Also with small blocks, and with most signatures hot, so that neighbourhoods do the work."""
+    for name, value in limits.items():
+        monkeypatch.setattr(jaccard, name, value)
     rows = corpus(seed, hot)
     docs = docs_of(spark, rows).withColumn("n", F.lit("clash")).withColumn("sig", F.lit("clash"))
     out = jaccard.similar_groups(docs).collect()
