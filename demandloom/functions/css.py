@@ -67,13 +67,13 @@ def apply_polynomial(poly: np.ndarray, x: np.ndarray) -> np.ndarray:
     out = np.zeros_like(x)
     tail = (1,) * (x.ndim - 2)
     for k in np.flatnonzero(np.any(poly != 0, axis=0)):
-        out[k:] += poly[:, k].reshape(-1, *tail) * x[: len(x) - k]
+        out[k:] += poly[:, k].reshape(-1, *tail) * x[: max(len(x) - k, 0)]
     return out
 
 
 def shift(x: np.ndarray, k: int) -> np.ndarray:
     out = np.zeros_like(x)
-    out[k:] = x[: len(x) - k]
+    out[k:] = x[: max(len(x) - k, 0)]
     return out
 
 

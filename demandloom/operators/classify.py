@@ -20,15 +20,17 @@ def features_from_columns(df: DataFrame, columns: list[str] = BEAN_FEATURES) ->
     return VectorAssembler(inputCols=columns, outputCol="features").transform(df)
 
 
-def fit_tree(train: DataFrame, label: str = BEAN_LABEL, seed: int = 0) -> PipelineModel:
-    """Grow a tree as deep as Spark ML allows, until its leaves are pure.
+def fit_tree(
+    train: DataFrame, label: str = BEAN_LABEL, seed: int = 0, depth: int = 30
+) -> PipelineModel:
+    """Grow a tree until its leaves are pure, by default as deep as Spark ML allows.
 
     ``train`` has a ``features`` vector and a label of any type.
     """
     text = train.withColumn("label_text", F.col(label).cast("string"))
     indexer = StringIndexer(inputCol="label_text", outputCol="label_index").fit(text)
     tree = DecisionTreeClassifier(
-        labelCol="label_index", featuresCol="features", maxDepth=30, maxBins=128, seed=seed
+        labelCol="label_index", featuresCol="features", maxDepth=depth, maxBins=128, seed=seed
     ).fit(indexer.transform(text))
     names = IndexToString(
         inputCol="prediction", outputCol="predicted_label", labels=indexer.labels

@@ -162,6 +162,11 @@ def compare_runs(runs: DataFrame, metric: str, stage: str | None = None) -> Data
     return rows.withColumn(metric, value).where(F.col(metric).isNotNull()).orderBy(metric, "run_id")
 
 
+def next_versions(registry: DataFrame) -> DataFrame:
+    """The version that each model name gets next."""
+    return registry.groupBy("display_name").agg((F.max("version") + 1).alias("version"))
+
+
 def register_version(
     spark: SparkSession, path: str, name: str, artifact: str, description: str = ""
 ) -> int:
@@ -172,8 +177,8 @@ def register_version(
     except Exception as missing:  # noqa: BLE001
         if "PATH_NOT_FOUND" not in str(missing):
             raise
-    newest = known.where(F.col("display_name") == name).agg(F.max("version")).first()[0]
-    version = (newest or 0) + 1
+    following = next_versions(known.where(F.col("display_name") == name)).first()
+    version = following["version"] if following else 1
     row = spark.range(1).select(
         F.lit(name).alias("display_name"),
         F.lit(version).alias("version"),
@@ -198,7 +203,7 @@ def latest_versions(registry: DataFrame) -> DataFrame:
 def latest_version(registry: DataFrame, name: str) -> dict:
     found = latest_versions(registry.where(F.col("display_name") == name)).first()
     if found is None:
-        raise ValueError(f"Model '{name}' not found in registry.")
+        raise ValueError(f"no version of {name!r} is registered")
     return found.asDict()
 
 

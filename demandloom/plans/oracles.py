@@ -134,6 +134,23 @@ _LABEL = (
 )
 _SAFE = "CASE WHEN {c} IS NOT NULL AND isfinite({c}) THEN {c} ELSE -1.0::DOUBLE END"
 
+_STUMP = """(WITH points AS (
+    SELECT CAST(l_linenumber AS INTEGER) AS number, CAST(ROUND(l_discount * 100) AS INTEGER) AS discount,
+      CASE WHEN l_linenumber * 3 + l_quantity > 30 THEN 'large' ELSE 'small' END AS label FROM lineitem),
+  cuts AS (
+    SELECT 'number' AS f, number AS c FROM points GROUP BY 2 UNION ALL SELECT 'discount', discount FROM points GROUP BY 2),
+  tried AS (
+    SELECT f, c, COUNT_IF(low) AS a, COUNT_IF(low AND label = 'large') AS al,
+      COUNT_IF(NOT low) AS b, COUNT_IF(NOT low AND label = 'large') AS bl
+    FROM (SELECT f, c, label, CASE WHEN f = 'number' THEN number ELSE discount END <= c AS low FROM points CROSS JOIN cuts)
+    GROUP BY f, c),
+  best AS (
+    SELECT *, CASE WHEN 2 * al > a THEN 'large' ELSE 'small' END AS inner_label,
+      CASE WHEN 2 * bl > b THEN 'large' ELSE 'small' END AS outer_label
+    FROM tried WHERE a > 0 AND b > 0 ORDER BY al * (a - al) / a + bl * (b - bl) / b LIMIT 1)
+  SELECT p.*, CASE WHEN f = 'number' THEN number ELSE discount END <= c AS inside, inner_label, outer_label
+  FROM points p CROSS JOIN best)"""
+
 _SELECTS = {
     "daily_totals": "SELECT date, total_cashflow, onpromotion FROM daily",
     "oil_filled": "SELECT date, oil_price FROM oil",
@@ -248,6 +265,37 @@ _SELECTS = {
     "oil_profile": """SELECT COUNT(*) AS rows, 2 AS columns, CAST(COUNT_IF(date IS NULL) AS BIGINT) AS nulls_date,
         CAST(COUNT_IF(dcoilwtico IS NULL) AS BIGINT) AS nulls_dcoilwtico, MIN(dcoilwtico) AS min, MAX(dcoilwtico) AS max,
         ROUND(AVG(dcoilwtico), 4) AS mean, ROUND(STDDEV_SAMP(dcoilwtico), 4) AS std FROM oil_raw""",
+    "orders_round_trip": "SELECT store_nbr, family, p, d, q, seasonal_p, seasonal_d, seasonal_q, aic FROM chosen",
+    "forecast_given_model": f"""SELECT store_nbr, family, CAST(t - n AS INTEGER) AS step, ROUND(z, 4) AS forecast FROM (
+        WITH RECURSIVE walk AS (
+          SELECT store_nbr, family, n, 1 AS t, y AS z, [0, 0, 0, 0, 0, 0, 0, 0]::DOUBLE[] AS e FROM numbered WHERE rn = 1
+          UNION ALL
+          SELECT store_nbr, family, n, t + 1, COALESCE(y, ahead),
+            list_prepend(COALESCE(y - ahead, 0), e)[1:8]
+          FROM (SELECT w.*, m.y, 0.5 * w.z + 0.3 * w.e[1] + 0.2 * w.e[7] + 0.06 * w.e[8] AS ahead
+            FROM walk w LEFT JOIN numbered m
+              ON m.store_nbr = w.store_nbr AND m.family = w.family AND m.rn = w.t + 1)
+          WHERE t < n + {HORIZON})
+        SELECT * FROM walk WHERE t > n)""",
+    "pair_submission_complete": f"""SELECT basis, COUNT(*) AS rows, COUNT(DISTINCT id) AS ids, COUNT(*) AS answered
+        FROM (SELECT r.id, CASE WHEN k.days IS NULL THEN 'none' WHEN k.train - 7 > 5 AND q.priced THEN 'model' ELSE 'mean' END AS basis
+          FROM req r JOIN (SELECT store_nbr, family, BOOL_OR(oil_price IS NOT NULL) AS priced
+            FROM req LEFT JOIN oil USING (date) GROUP BY store_nbr, family) q
+            ON r.store_nbr = q.store_nbr AND r.family = q.family LEFT JOIN (
+            SELECT store_nbr, family, COUNT(*) AS days, COUNT_IF(date <= last - {HORIZON}) AS train
+            FROM (SELECT *, MAX(date) OVER (PARTITION BY store_nbr, family) AS last FROM hist
+              WHERE store_nbr % 5 > 1 OR (store_nbr % 5 = 0 AND date > (SELECT MAX(date) FROM hist) - 25))
+            GROUP BY store_nbr, family) k ON r.store_nbr = k.store_nbr AND r.family = k.family) GROUP BY basis""",
+    "next_version": "SELECT 'model-' || o_custkey AS display_name, MAX(o_orderkey) + 1 AS version FROM orders GROUP BY o_custkey",
+    "registration_log": """SELECT 'model-registration-model-' || o_custkey || '-' || o_orderkey AS run_id,
+        'registration' AS stage, 'orders/' || o_orderkey AS artifact FROM orders""",
+    "batch_log": """SELECT 'batch-total-2' AS run_id, 'batch_inference' AS stage,
+        CAST((SELECT COUNT(*) FROM req) AS DOUBLE) AS input_rows, CAST(COUNT_IF(id % 5 <> 0) AS DOUBLE) AS output_rows
+        FROM scored WHERE id % 7 <> 0""",
+    "tree_stump": f"""SELECT DISTINCT number, discount, CASE WHEN inside THEN inner_label ELSE outer_label END AS predicted_label
+        FROM {_STUMP}""",
+    "stump_accuracy": f"""SELECT COUNT(*) AS rows, AVG(CASE WHEN label =
+        CASE WHEN inside THEN inner_label ELSE outer_label END THEN 1.0 ELSE 0.0 END)::DOUBLE AS accuracy FROM {_STUMP}""",
     "date_range": "SELECT MIN(date) AS first_date, MAX(date) AS last_date FROM panel",
     "negatives_floored": """SELECT COUNT(*) AS forecast_length, CAST(COUNT_IF(s1 < 0) AS BIGINT) AS negative_values_floored
         FROM (SELECT CAST(sales AS DOUBLE)

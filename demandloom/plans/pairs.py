@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.functions.columns import non_negative
+from demandloom.functions.columns import is_finite, non_negative
 from demandloom.operators.evaluate import error_metrics
 from demandloom.operators.features import pair_features, pair_request_instances
 from demandloom.operators.forecast import forecast_holdout, forecast_series
@@ -31,7 +31,8 @@ def pair_forecasts(
     ``sales`` and ``request`` (and more ``blocks``, to spread its grid).
 
     Every request row gets sales. ``basis`` says from what: the pair's model; the mean of its
-    history where no order could be fitted; none, so 0, for pairs without a history.
+    history where no order could be fitted or a regressor of the request is unknown; none, so 0,
+    for pairs without a history.
 
     ``history="train"`` runs ahead from the end of the training days instead of the last day.
     """
@@ -48,20 +49,21 @@ def pair_forecasts(
         *[F.max(c).alias(c) for c in EXOG[1:]],
     )
     ahead = forecast_series(model, past, pack_series(days, PAIR, None, EXOG), PAIR, len(EXOG))
-    known = past.select(*PAIR, F.aggregate("y", F.lit(0.0), lambda a, y: a + y, lambda a: a / F.size("y")).alias("mean"))
+    mean = F.aggregate("y", F.lit(0.0), lambda a, y: a + y, lambda a: a / F.size("y"))
+    known = past.select(*PAIR, F.when(F.size("y") > 0, mean).alias("mean"))
     named = (
         instances.select("id", *PAIR, "date")
         .join(ahead, [*PAIR, "date"], "left")
         .join(known, PAIR, "left")
         .withColumn(
             "basis",
-            F.when(F.col("forecast").isNotNull(), "model").when(F.col("mean").isNotNull(), "mean").otherwise("none"),
+            F.when(is_finite(F.col("forecast")), "model").when(F.col("mean").isNotNull(), "mean").otherwise("none"),
         )
     )
     return {
         "model": model,
         "metrics": error_metrics(on_holdout.where(F.col("step") <= h), PAIR),
-        "forecast": named.withColumn("sales", non_negative(F.coalesce("forecast", "mean"))).select(
+        "forecast": named.withColumn("sales", non_negative(F.when(F.col("basis") == "model", F.col("forecast")).otherwise(F.col("mean")))).select(
             "id", "date", *PAIR, "step", "sales", "basis"
         ),
     }

@@ -21,7 +21,7 @@ from demandloom.operators import (
 )
 from demandloom.plans import pairs, topdown, total
 from demandloom.schemas import EXOG, HORIZON, PAIR
-from demandloom.sources import requests, star
+from demandloom.sources import requests, sinks, star
 
 TARGET = (1, "PROMO")
 
@@ -349,6 +349,12 @@ def run_summary(spark, sf):
     )
 
 
+def orders_round_trip(spark, sf):
+    """Chosen orders as JSON text and back."""
+    best = tuning.best_trials(_made_trials(spark, sf), PAIR)
+    return sinks.orders_from_json(sinks.orders_json(best, PAIR), PAIR).drop("bic")
+
+
 def grid_total(spark, sf):
     """All 144 orders on the day totals."""
     days = total.keyed(features.total_features(*_past(spark, sf)))
@@ -403,6 +409,36 @@ def auto_order(spark, sf):
     return best.withColumn("n_params", F.size("params")).drop("params")
 
 
+def forecast_given_model(spark, sf):
+    """Fifteen days ahead of every pair with one given seasonal ARMA model."""
+    days = features.pair_days(star.sales_panel(spark, sf))
+    packed = runs.checkpointed(series.pack_series(days, PAIR, "sales", []))
+    orders = {"p": 1, "q": 1, "seasonal_q": 1}
+    model = packed.select(
+        *PAIR, *[F.lit(orders.get(c, 0)).alias(c) for c in (*tuning.ORDER_COLS, "intercept")],
+        F.array(F.lit(0.5), F.lit(0.3), F.lit(0.2)).alias("params"),
+    )
+    last = F.array_max("dates")
+    ahead = F.sequence(F.date_add(last, 1), F.date_add(last, HORIZON))
+    asked = packed.select(*PAIR, ahead.alias("dates"), F.array().cast("array<array<double>>").alias("x"))
+    out = forecast.forecast_series(model, packed, asked, PAIR, 0)
+    return out.select(*PAIR, "step", F.round("forecast", 4).alias("forecast"))
+
+
+def pair_submission_complete(spark, sf):
+    """What the sales of a request rest on, where some pairs have a short history or none, and
+    some no price on any day they ask for."""
+    history, request, oil, holidays = _asked(spark, sf)
+    kind = F.pmod("store_nbr", F.lit(5))
+    cutoff = F.lit(history.agg(F.max("date")).first()[0])
+    cut = history.where((kind > 1) | ((kind == 0) & (F.col("date") > F.date_sub(cutoff, 25))))
+    space = dict.fromkeys(tuning.ORDER_COLS, [0]) | {"seasonal_d": [1]}
+    out = pairs.pair_forecasts(cut, request, oil, holidays, space=space)["forecast"]
+    return out.groupBy("basis").agg(
+        F.count("*").alias("rows"), F.countDistinct("id").alias("ids"), F.count("sales").alias("answered")
+    )
+
+
 def total_forecast(spark, sf):
     return total.total_forecast(*_past(spark, sf))["forecast"]
 
@@ -471,14 +507,34 @@ def negatives_floored(spark, sf):
     return forecast.floored_count(series.difference(days, PAIR, "sales", [1]), "sales")
 
 
-def latest_model(spark, sf):
-    registry = star.table(spark, sf, "orders").select(
+def _registry(spark, sf) -> DataFrame:
+    return star.table(spark, sf, "orders").select(
         F.concat(F.lit("model-"), F.col("o_custkey").cast("string")).alias("display_name"),
         F.col("o_orderkey").alias("version"),
         F.concat(F.lit("orders/"), F.col("o_orderkey").cast("string")).alias("artifact"),
         F.col("o_orderdate").cast("date").alias("create_time"),
     )
-    return runs.latest_versions(registry)
+
+
+def latest_model(spark, sf):
+    return runs.latest_versions(_registry(spark, sf))
+
+
+def next_version(spark, sf):
+    return runs.next_versions(_registry(spark, sf))
+
+
+def registration_log(spark, sf):
+    logged = runs.registration_runs(_registry(spark, sf), "registry")
+    return logged.select(
+        "run_id", "stage", F.try_element_at("params", F.lit("artifact_uri")).alias("artifact")
+    )
+
+
+def batch_log(spark, sf):
+    logged = runs.batch_runs(reconcile(spark, sf), "batch", "total", 2)
+    counts = [F.try_element_at("metrics", F.lit(c)).alias(c) for c in ("input_rows", "output_rows")]
+    return logged.select("run_id", "stage", *counts)
 
 
 def log_fetch(spark, sf):
@@ -503,6 +559,25 @@ def tree_scores(spark, sf):
     return scored.select("vec_id", F.col("label").cast("string").alias("label"), "predicted_label")
 
 
+def _stump_scores(spark, sf):
+    line = star.table(spark, sf, "lineitem").select(
+        F.col("l_linenumber").cast("int").alias("number"),
+        F.round(F.col("l_discount") * 100).cast("int").alias("discount"),
+        F.when(F.col("l_linenumber") * 3 + F.col("l_quantity") > 30, "large").otherwise("small").alias("label"),
+    )
+    rows = classify.features_from_columns(line, ["number", "discount"])
+    return classify.score_tree(classify.fit_tree(rows, "label", depth=1), rows)
+
+
+def tree_stump(spark, sf):
+    """A tree of one split, where every split can be tried."""
+    return _stump_scores(spark, sf).select("number", "discount", "predicted_label").distinct()
+
+
+def stump_accuracy(spark, sf):
+    return evaluate.accuracy(_stump_scores(spark, sf), "label", "predicted_label")
+
+
 def tree_accuracy(spark, sf):
     return evaluate.accuracy(tree_scores(spark, sf), "label", "predicted_label")
 
@@ -520,5 +595,7 @@ QUERIES = {
         pair_evaluation, tuned_submission, auto_order, total_forecast, jsonl_flatten,
         quarantined, submission_by_position, data_profile, oil_profile, date_range,
         negatives_floored, latest_model, log_fetch, hash_split, tree_scores, tree_accuracy,
+        orders_round_trip, forecast_given_model, pair_submission_complete, next_version,
+        registration_log, batch_log, tree_stump, stump_accuracy,
     )
 }

@@ -115,7 +115,7 @@ def test_forecast_follows_the_written_out_recursion():
     y, x = simulate(200, seed=8)
     order = (2, 1, 1, 1, 1, 1)
     orders = np.array([[*order, 0]])
-    params, _, _, lay = css.fit(y[:, None], x[:, None, :], orders, np.array([17]))
+    params, *_, lay = css.fit(y[:, None], x[:, None, :], orders, np.array([17]))
     x_future = np.ones((15, 2))
     got = css.forecast(y[:, None], x[:, None], x_future[:, None], params, orders, np.array([17]), lay)
     parts = [params[0, lay.at[n]] for n in ("beta", "ar", "sar", "ma", "sma")]
@@ -132,7 +132,7 @@ def test_intercept_and_drift():
     rng = np.random.default_rng(2)
     y = 5.0 + 0.5 * np.arange(300) + rng.normal(size=300) * 0.01
     orders = np.array([[0, 1, 0, 0, 0, 0, 1]])
-    params, _, _, lay = css.fit(y[:, None], np.zeros((300, 1, 0)), orders, np.array([9]))
+    params, *_, lay = css.fit(y[:, None], np.zeros((300, 1, 0)), orders, np.array([9]))
     assert params[0, lay.at["const"]] == pytest.approx([0.5], abs=0.01)
     out = css.forecast(y[:, None], np.zeros((300, 1, 0)), np.zeros((10, 1, 0)), params, orders, np.array([9]), lay)
     assert out[:, 0] == pytest.approx(y[-1] + 0.5 * np.arange(1, 11), abs=0.1)
@@ -257,12 +257,47 @@ def test_short_and_broken_series_fail_quietly(spark):
     packed = series.pack_series(df, KEY, "y", ["x"])
     space = dict.fromkeys(tuning.ORDER_COLS, [0]) | {"p": [0, 1]}
     best = {r.series: r for r in tuning.best_trials(tuning.grid_search(packed, KEY, 1, space), KEY).collect()}
-    assert not best["short"].converged and not best["gap"].converged and best["flat"].converged
-    model = tuning.best_trials(tuning.grid_search(packed, KEY, 1, space), KEY)
+    assert best["short"].converged and not best["gap"].converged and best["flat"].converged
+    model = tuning.refit_best(packed, tuning.best_trials(tuning.grid_search(packed, KEY, 1, space), KEY), KEY, 1)
     asked = df.groupBy("series").agg(F.date_add(F.max("date"), 1).alias("date")).withColumn("x", F.lit(0.0))
     out = forecast.forecast_series(model, packed, series.pack_series(asked, KEY, None, ["x"]), KEY, 1)
     got = {r.series: r.forecast for r in out.collect()}
-    assert got["short"] is None and got["gap"] is None and got["flat"] is not None
+    assert got["short"] is not None and got["gap"] is None and got["flat"] is not None
+
+
+def test_short_series_are_searched_and_refitted(spark):
+    """Orders are refused only where no more days than parameters are left."""
+    rng = np.random.default_rng(8)
+    rows = [(f"n{n}", date(2017, 1, 1) + timedelta(t), float(10 + rng.normal())) for n in (3, 10, 21, 30) for t in range(n)]
+    packed = series.pack_series(spark.createDataFrame(rows, "series string, date date, y double"), KEY, "y", [])
+    trials = tuning.grid_search(packed, KEY, 0)
+    by_series = {r.series: r for r in trials.groupBy("series").agg(F.count("aic").alias("n")).collect()}
+    assert by_series["n3"].n < by_series["n10"].n < by_series["n21"].n <= by_series["n30"].n == 144
+    best = tuning.best_trials(trials, KEY)
+    model = {r.series: r for r in tuning.refit_best(packed, best, KEY, 0).collect()}
+    chosen = {r.series: r for r in best.collect()}
+    for name in ("n10", "n21", "n30"):
+        order = [chosen[name][c] for c in tuning.ORDER_COLS]
+        assert model[name].params is not None and model[name].n_obs == int(name[1:])
+        assert [model[name][c] for c in tuning.ORDER_COLS] == order
+        assert model[name].at_iteration_limit in (True, False)
+
+
+def test_a_fit_uses_all_days_but_those_of_its_own_lags(spark):
+    rows = [("a", date(2017, 1, 1) + timedelta(t), float(t % 5 + t % 3)) for t in range(60)]
+    packed = series.pack_series(spark.createDataFrame(rows, "series string, date date, y double"), KEY, "y", [])
+    y = np.array([r[2] for r in rows])
+    fitted = tuning.fit_orders(packed, {"p": 1}, KEY, 0).first()
+    phi = (y[1:] * y[:-1]).sum() / (y[:-1] ** 2).sum()
+    assert fitted.params[0] == pytest.approx(phi, rel=1e-6)
+    assert fitted.sigma2 == pytest.approx(((y[1:] - phi * y[:-1]) ** 2).mean(), rel=1e-6)
+
+
+def test_fits_are_spread_over_the_cores(spark):
+    rows = [(f"s{n}", date(2017, 1, 1) + timedelta(t), float(t % 4 + n)) for n in range(150) for t in range(12)]
+    packed = series.pack_series(spark.createDataFrame(rows, "series string, date date, y double"), KEY, "y", [])
+    fitted = tuning.fit_orders(packed, {"p": 1}, KEY, 0)
+    assert fitted.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
 
 
 def test_stepwise_reaches_a_local_best(packed):
@@ -362,7 +397,7 @@ def test_pair_plan(shop):
     assert len(rows) == request.count()
     known = [r for r in rows if r.store_nbr != 9]
     assert all(abs(r.sales - 20 * r.store_nbr) < 15 for r in known)
-    assert [r.sales for r in rows if r.store_nbr == 9] == [None]
+    assert [(r.sales, r.basis) for r in rows if r.store_nbr == 9] == [(0.0, "none")]
     assert out["metrics"].count() == 4
     one = pairs.pair_forecasts(
         sales.where("store_nbr = 1 AND family = 'A'"), request.where("store_nbr = 1 AND family = 'A'"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from demandloom.operators import features, runs, series, shares, split, tuning
 from demandloom.schemas import PAIR
+from demandloom.sources import star
 
 SF = "/root/testdata/sf0.001"
 
@@ -106,6 +107,26 @@ def test_no_cross_joins(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def _plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_days_are_cut_at_the_scan(spark):
+    past, asked = star.history_and_request(spark, SF)
+    for frame in (past, asked, star.recent_days(spark, SF), star.recent_days(spark, SF, h=15)):
+        pushed = [x for x in _plan(frame).split("PushedFilters") if "l_shipdate" in x]
+        assert pushed and any("ThanOrEqual(l_shipdate" in x or "LessThan(l_shipdate" in x for x in pushed)
+
+
+def test_lines_without_a_part_do_not_move_the_newest_day(spark, tmp_path):
+    for name in ("part", "supplier"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    line = spark.read.parquet(f"{SF}/lineitem.parquet")
+    late = line.limit(1).withColumns({"l_partkey": F.lit(-5).cast("long"), "l_shipdate": F.col("l_shipdate") + F.expr("interval 20 years")})
+    line.unionByName(late).write.parquet(str(tmp_path / "lineitem.parquet"))
+    assert star.newest_day(spark, str(tmp_path)) == star.newest_day(spark, SF)
+
+
 def test_scans_read_only_what_they_need(spark):
     plan = contract.queries()["daily_totals"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "l_tax" not in plan and "p_name" not in plan and "s_acctbal" not in plan

@@ -194,7 +194,7 @@ def test_runs_and_registry(spark, tmp_path):
     assert newest["version"] == 2 and newest["artifact"] == "m/1"
     logged = runs.registration_runs(registry.where("version = 2"), "models").first()
     assert logged.params["artifact_uri"] == "m/1" and logged.metrics == {}
-    with pytest.raises(ValueError, match="not found"):
+    with pytest.raises(ValueError, match="missing"):
         runs.latest_version(registry, "missing")
 
 
