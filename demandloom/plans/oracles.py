@@ -151,6 +151,25 @@ _STUMP = """(WITH points AS (
   SELECT p.*, CASE WHEN f = 'number' THEN number ELSE discount END <= c AS inside, inner_label, outer_label
   FROM points p CROSS JOIN best)"""
 
+_LINEAR = """(WITH z AS (
+    SELECT store_nbr, family, date, 0 AS d, CAST(sales AS DOUBLE) AS z FROM panel
+    UNION ALL SELECT store_nbr, family, date, 1, CAST(sales AS DOUBLE) - LAG(CAST(sales AS DOUBLE)) OVER w FROM panel
+      WINDOW w AS (PARTITION BY store_nbr, family ORDER BY date)),
+  lagged AS (
+    SELECT *, ROW_NUMBER() OVER w AS spot, LAG(z, 1) OVER w AS l1, LAG(z, 2) OVER w AS l2, LAG(z, 7) OVER w AS l7 FROM z
+    WINDOW w AS (PARTITION BY store_nbr, family, d ORDER BY date)),
+  s AS (
+    SELECT store_nbr, family, d, COUNT(z) AS n_obs, SUM(z * z) AS zz, SUM(l1 * z) AS s1, SUM(l1 * l1) AS s11,
+      SUM(l2 * z) AS s2, SUM(l2 * l2) AS s22, SUM(l1 * l2) AS s12, SUM(l7 * z) AS s7, SUM(l7 * l7) AS s77
+    FROM lagged WHERE spot > 8 GROUP BY store_nbr, family, d),
+  fits AS (
+    SELECT store_nbr, family, d, n_obs, 0 AS p, 0 AS seasonal_p, NULL::DOUBLE AS first, zz AS sse, 1 AS k FROM s
+    UNION ALL SELECT store_nbr, family, d, n_obs, 1, 0, s1 / s11, zz - s1 * s1 / s11, 2 FROM s
+    UNION ALL SELECT store_nbr, family, d, n_obs, 2, 0, (s1 * s22 - s2 * s12) / (s11 * s22 - s12 * s12),
+      zz - (s1 * s22 - s2 * s12) / (s11 * s22 - s12 * s12) * s1 - (s2 * s11 - s1 * s12) / (s11 * s22 - s12 * s12) * s2, 3 FROM s
+    UNION ALL SELECT store_nbr, family, d, n_obs, 0, 1, s7 / s77, zz - s7 * s7 / s77, 2 FROM s)
+  SELECT *, CASE WHEN n_obs > k AND sse > 0 THEN 2 * k + n_obs * (LN(2 * PI() * sse / n_obs) + 1) END AS aic FROM fits)"""
+
 _SELECTS = {
     "daily_totals": "SELECT date, total_cashflow, onpromotion FROM daily",
     "oil_filled": "SELECT date, oil_price FROM oil",
@@ -296,6 +315,10 @@ _SELECTS = {
         FROM {_STUMP}""",
     "stump_accuracy": f"""SELECT COUNT(*) AS rows, AVG(CASE WHEN label =
         CASE WHEN inside THEN inner_label ELSE outer_label END THEN 1.0 ELSE 0.0 END)::DOUBLE AS accuracy FROM {_STUMP}""",
+    "linear_grid": f"""SELECT store_nbr, family, p, d, seasonal_p, n_obs, ROUND(first, 6) AS first, ROUND(aic, 4) AS aic
+        FROM {_LINEAR}""",
+    "linear_best": f"""SELECT store_nbr, family, p, d, seasonal_p FROM (SELECT *, ROW_NUMBER() OVER (
+        PARTITION BY store_nbr, family ORDER BY aic NULLS LAST, p, d, seasonal_p) AS place FROM {_LINEAR}) WHERE place = 1""",
     "date_range": "SELECT MIN(date) AS first_date, MAX(date) AS last_date FROM panel",
     "negatives_floored": """SELECT COUNT(*) AS forecast_length, CAST(COUNT_IF(s1 < 0) AS BIGINT) AS negative_values_floored
         FROM (SELECT CAST(sales AS DOUBLE)

@@ -11,6 +11,7 @@ from demandloom.operators import (
     evaluate,
     features,
     forecast,
+    linear,
     predictions,
     profile,
     runs,
@@ -439,6 +440,21 @@ def pair_submission_complete(spark, sf):
     )
 
 
+def _linear_trials(spark, sf) -> DataFrame:
+    return linear.linear_trials(features.pair_days(star.sales_panel(spark, sf)), PAIR)
+
+
+def linear_grid(spark, sf):
+    """All orders without moving averages for every pair, by Spark alone."""
+    trials = _linear_trials(spark, sf)
+    first = F.round(F.get("params", F.lit(0)), 6).alias("first")
+    return trials.select(*PAIR, "p", "d", "seasonal_p", "n_obs", first, F.round("aic", 4).alias("aic"))
+
+
+def linear_best(spark, sf):
+    return linear.linear_best(_linear_trials(spark, sf), PAIR).drop("aic")
+
+
 def total_forecast(spark, sf):
     return total.total_forecast(*_past(spark, sf))["forecast"]
 
@@ -596,6 +612,6 @@ QUERIES = {
         quarantined, submission_by_position, data_profile, oil_profile, date_range,
         negatives_floored, latest_model, log_fetch, hash_split, tree_scores, tree_accuracy,
         orders_round_trip, forecast_given_model, pair_submission_complete, next_version,
-        registration_log, batch_log, tree_stump, stump_accuracy,
+        registration_log, batch_log, tree_stump, stump_accuracy, linear_grid, linear_best,
     )
 }

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandloom.functions import css
-from demandloom.operators import evaluate, forecast, runs, series, tuning
+from demandloom.operators import evaluate, forecast, linear, runs, series, tuning
 from demandloom.plans import pairs, topdown, total
 from demandloom.schemas import EXOG, PAIR
 
@@ -293,6 +293,20 @@ def test_a_fit_uses_all_days_but_those_of_its_own_lags(spark):
     assert fitted.sigma2 == pytest.approx(((y[1:] - phi * y[:-1]) ** 2).mean(), rel=1e-6)
 
 
+def test_closed_forms_equal_the_kernel(spark):
+    """Spark's normal equations against the kernel, on the days the trials share."""
+    rng = np.random.default_rng(4)
+    y = np.cumsum(rng.normal(size=80)) + 5
+    rows = [("a", date(2017, 1, 1) + timedelta(t), float(v)) for t, v in enumerate(y)]
+    trials = linear.linear_trials(spark.createDataFrame(rows, "series string, date date, sales double"), KEY).collect()
+    assert len(trials) == 8
+    for r in trials:
+        orders = np.array([[r.p, r.d, 0, r.seasonal_p, 0, 0, 0]])
+        params, sse, *_, lay = css.fit(y[:, None], np.zeros((80, 1, 0)), orders, np.array([linear.SKIPPED]))
+        assert r.sse == pytest.approx(sse[0], rel=1e-6) and r.n_obs == 80 - linear.SKIPPED
+        assert r.params == pytest.approx(params[0][lay.free(orders)[0]], abs=1e-5)
+
+
 def test_fits_are_spread_over_the_cores(spark):
     rows = [(f"s{n}", date(2017, 1, 1) + timedelta(t), float(t % 4 + n)) for n in range(150) for t in range(12)]
     packed = series.pack_series(spark.createDataFrame(rows, "series string, date date, y double"), KEY, "y", [])
