@@ -15,9 +15,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: The key of the pseudonyms is the caller's secret; the queries use a fixed one.
 PSEUDONYM_KEY = "demandloom check key"
-#: A text is toxic from this expected severity on. On held-out labels clean texts stay below 0.03
-#: and nearly all toxic ones above 0.4, so the bound lies between and favours catching.
-TOXIC_FROM = 0.25
+#: A text is toxic from this expected severity on. On held-out labels of check_s, of 1,337 toxic
+#: texts 5 lie below 0.15 and the rest above 0.54; clean ones stay below 0.01.
+TOXIC_FROM = 0.5
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:

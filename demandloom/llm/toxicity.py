@@ -76,7 +76,8 @@ def _sigmoid(x):
 def fit_words(texts: list[list[str]], grades: np.ndarray, n_grades: int) -> Model:
     """Proximal gradient with momentum on the mean negative log-likelihood.
 
-    Only features whose presence depends on the grade (G test against grade 0) take part.
+    Only features that are more frequent above grade 0 take part (by a G test), and weights do
+    not fall below zero: a text is toxic for what it has, not clean for what else it has.
     """
     seen = Counter(w for words in texts for w in words)
     toxic = Counter(w for words, g in zip(texts, grades) if g for w in words)
@@ -84,7 +85,9 @@ def fit_words(texts: list[list[str]], grades: np.ndarray, n_grades: int) -> Mode
     picked = {
         w: g
         for w, count in seen.items()
-        if count >= MIN_DOCUMENTS and (g := _g_test(toxic[w], count, n_toxic, n)) >= LEAST_G
+        if count >= MIN_DOCUMENTS
+        and toxic[w] * n > count * n_toxic
+        and (g := _g_test(toxic[w], count, n_toxic, n)) >= LEAST_G
     }
     vocabulary = sorted(sorted(picked, key=lambda w: (-picked[w], w))[:MAX_FEATURES])
     place = {w: i for i, w in enumerate(vocabulary)}
@@ -122,8 +125,7 @@ def fit_words(texts: list[list[str]], grades: np.ndarray, n_grades: int) -> Mode
     look_w, look_c = weights, cuts
     for _ in range(ROUNDS):
         by_w, by_c, now = gradient(look_w, look_c)
-        moved = look_w - step * by_w
-        new_w = np.sign(moved) * np.maximum(np.abs(moved) - step * PENALTY, 0)
+        new_w = np.maximum(look_w - step * (by_w + PENALTY), 0)
         new_c = np.maximum.accumulate(look_c - step * by_c + 1e-6 * np.arange(n_grades - 1))
         if now > loss:  # overshot: momentum starts anew
             momentum = 1.0
