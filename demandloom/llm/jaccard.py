@@ -44,6 +44,8 @@ BAND = 1.5625
 #: Signatures with more members than this are compared in blocks of about BLOCK members.
 SMALL = 12
 BLOCK = 1_024
+#: Sketch words that one step of a comparison holds.
+CELLS = 2_000_000
 #: Signatures that join more components than this are looked up by other segments.
 HOT = 2_048
 #: Ids of texts that travel to every task at most; more of them join by shuffle.
@@ -268,8 +270,9 @@ def _in_blocks(crowded: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (u, v) of different components that share a signature and that sketches allow.
 
     ``crowded`` has sig, doc, n and component. The largest component of a signature is not
-    compared within itself; the rest meets it, and itself, block by block, so no task holds more
-    than two blocks and a signature of k members costs k * (k / BLOCK) rows at most.
+    compared within itself; the rest meets it, and itself, block by block, so no comparison holds
+    more than two blocks and a signature of k members costs k * (k / BLOCK) rows at most. A pair
+    that shares several signatures comes out of the first of them only.
     """
     sizes = crowded.groupBy("sig", "component").agg(F.count("*").alias("c"))
     layout = sizes.groupBy("sig").agg(
@@ -277,54 +280,78 @@ def _in_blocks(crowded: DataFrame, sets: DataFrame) -> DataFrame:
         F.max("c").alias("main_size"),
         (F.sum("c") - F.max("c")).alias("rest_size"),
     )
+    layout = written(layout.withColumn("number", F.monotonically_increasing_id()))
     blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
-    placed = crowded.join(written(layout), "sig").withColumns(
+    placed = crowded.join(layout, "sig").withColumns(
         {"m": blocks("main_size"), "r": blocks("rest_size"), "in_main": F.col("component") == F.col("main")}
     )
+    numbers = placed.groupBy("doc").agg(F.collect_set("number").alias("numbers"))
     at = F.pmod(F.xxhash64("doc"), F.when(F.col("in_main"), F.col("m")).otherwise(F.col("r"))).cast("int")
     upto = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
-    struct = lambda a, b, main: F.struct(a.alias("a"), b.alias("b"), F.lit(main).alias("with_main"))
+    meet = lambda a, b, main: F.struct(a.alias("a"), b.alias("b"), F.lit(main).alias("with_main"))
     place = F.col("at")
-    meets = F.when(F.col("in_main"), F.transform(upto("r"), lambda i: struct(i, place, True))).otherwise(
+    meets = F.when(F.col("in_main"), F.transform(upto("r"), lambda i: meet(i, place, True))).otherwise(
         F.concat(
-            F.transform(upto("r"), lambda i: struct(F.least(i, place), F.greatest(i, place), False)),
-            F.transform(upto("m"), lambda j: struct(place, j, True)),
+            F.transform(upto("r"), lambda i: meet(F.least(i, place), F.greatest(i, place), False)),
+            F.transform(upto("m"), lambda j: meet(place, j, True)),
         )
     )
+    group = ["number", "a", "b", "with_main"]
     spread = (
         placed.withColumn("at", at)
-        .select("sig", "doc", "n", "component", "in_main", "at", F.explode(meets).alias("meet"))
-        .select("sig", "doc", "n", "component", "in_main", "at", "meet.*")
+        .select("number", "doc", "n", "component", "in_main", "at", F.explode(meets).alias("meet"))
+        .select("number", "doc", "n", "component", "in_main", "at", "meet.*")
         .join(sets.select("doc", "sketch").distinct(), "doc")
+        .join(numbers, "doc")
+        .repartition(*group)
+        .sortWithinPartitions(*group)
     )
 
-    def compare(table: pa.Table) -> pa.Table:
+    def compare(table: pa.Table) -> Iterator[tuple[int, int]]:
         docs, sizes, groups, main, at, a = (
             table.column(c).to_numpy() for c in ("doc", "n", "component", "in_main", "at", "a")
         )
-        with_main = table.column("with_main")[0].as_py()
+        number, b, with_main = (table.column(c)[0].as_py() for c in ("number", "b", "with_main"))
+        shared = [set(x) for x in table.column("numbers").to_pylist()]
         sketches = table.column("sketch").to_pylist()
         width = min(map(len, sketches))
         bits = np.frombuffer(b"".join(_folded(x, width).to_bytes(width, "little") for x in sketches), np.uint64)
         bits = bits.reshape(len(docs), width // 8)
         # one side against the other; a block that meets itself is both sides
-        left = ~main if with_main else at == a
-        right = main if with_main else (at == table.column("b")[0].as_py())
-        right_at = np.flatnonzero(right)
-        found = []
-        for i in np.flatnonzero(left):
-            j = right_at
-            limit = (sizes[i] + sizes[j]) * (100 - PERCENT) // (100 + PERCENT)
-            apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
-            near = (apart <= limit) & (groups[j] != groups[i])
-            near &= 100 * np.minimum(sizes[j], sizes[i]) >= PERCENT * np.maximum(sizes[j], sizes[i])
-            found.extend((min(docs[i], x), max(docs[i], x)) for x in docs[j[near]])
-        found = sorted(set(found))
-        return pa.table(
-            {"u": pa.array([x for x, _ in found], pa.int64()), "v": pa.array([y for _, y in found], pa.int64())}
-        )
+        left = np.flatnonzero(~main if with_main else at == a)
+        right = np.flatnonzero(main if with_main else at == b)
+        rows = max(1, CELLS // max(1, len(right) * bits.shape[1]))
+        for start in range(0, len(left), rows):
+            i = left[start : start + rows][:, None]
+            limit = (sizes[i] + sizes[right]) * (100 - PERCENT) // (100 + PERCENT)
+            apart = np.bitwise_count(bits[i] ^ bits[right]).sum(axis=2, dtype=np.int64)
+            near = (apart <= limit) & (groups[i] != groups[right])
+            near &= 100 * np.minimum(sizes[i], sizes[right]) >= PERCENT * np.maximum(sizes[i], sizes[right])
+            for x, y in zip(*np.nonzero(near)):
+                x, y = left[start + x], right[y]
+                if min(shared[x] & shared[y]) == number:
+                    yield min(int(docs[x]), int(docs[y])), max(int(docs[x]), int(docs[y]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs(parts: Iterator[pa.Table]) -> pa.RecordBatch:
+            found = sorted({pair for part in parts for pair in compare(part)})
+            columns = [pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)]
+            return pa.RecordBatch.from_arrays(columns, ["u", "v"])
 
-    return spread.groupBy("sig", "a", "b", "with_main").applyInArrow(compare, "u long, v long").distinct()
+        held = None  # the group that may go on in the next batch
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table]).combine_chunks()
+            if not table.num_rows:
+                continue
+            keys = np.stack([table.column(c).to_numpy().astype(np.int64) for c in group])
+            starts = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
+            yield pairs(table.slice(x, y - x) for x, y in zip(starts, starts[1:]))
+            held = table.slice(starts[-1])
+        if held is not None and held.num_rows:
+            yield pairs([held])
+
+    return spread.mapInArrow(run, "u long, v long").distinct()
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, text: str, key: str) -> DataFrame:
