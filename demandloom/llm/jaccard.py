@@ -271,8 +271,9 @@ def _in_blocks(crowded: DataFrame, sets: DataFrame) -> DataFrame:
 
     ``crowded`` has sig, doc, n and component. The largest component of a signature is not
     compared within itself; the rest meets it, and itself, block by block, so no comparison holds
-    more than two blocks and a signature of k members costs k * (k / BLOCK) rows at most. A pair
-    that shares several signatures comes out of the first of them only.
+    more than two blocks and a signature of k members costs k * (k / BLOCK) rows at most. What a
+    document meets in one comparison is one row; a pair that shares several signatures is made one
+    by merging those rows.
     """
     sizes = crowded.groupBy("sig", "component").agg(F.count("*").alias("c"))
     layout = sizes.groupBy("sig").agg(
@@ -280,12 +281,10 @@ def _in_blocks(crowded: DataFrame, sets: DataFrame) -> DataFrame:
         F.max("c").alias("main_size"),
         (F.sum("c") - F.max("c")).alias("rest_size"),
     )
-    layout = written(layout.withColumn("number", F.monotonically_increasing_id()))
     blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
-    placed = crowded.join(layout, "sig").withColumns(
+    placed = crowded.join(written(layout), "sig").withColumns(
         {"m": blocks("main_size"), "r": blocks("rest_size"), "in_main": F.col("component") == F.col("main")}
     )
-    numbers = placed.groupBy("doc").agg(F.collect_set("number").alias("numbers"))
     at = F.pmod(F.xxhash64("doc"), F.when(F.col("in_main"), F.col("m")).otherwise(F.col("r"))).cast("int")
     upto = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
     meet = lambda a, b, main: F.struct(a.alias("a"), b.alias("b"), F.lit(main).alias("with_main"))
@@ -296,13 +295,12 @@ def _in_blocks(crowded: DataFrame, sets: DataFrame) -> DataFrame:
             F.transform(upto("m"), lambda j: meet(place, j, True)),
         )
     )
-    group = ["number", "a", "b", "with_main"]
+    group = ["sig", "a", "b", "with_main"]
     spread = (
         placed.withColumn("at", at)
-        .select("number", "doc", "n", "component", "in_main", "at", F.explode(meets).alias("meet"))
-        .select("number", "doc", "n", "component", "in_main", "at", "meet.*")
+        .select("sig", "doc", "n", "component", "in_main", "at", F.explode(meets).alias("meet"))
+        .select("sig", "doc", "n", "component", "in_main", "at", "meet.*")
         .join(sets.select("doc", "sketch").distinct(), "doc")
-        .join(numbers, "doc")
         .repartition(*group)
         .sortWithinPartitions(*group)
     )
@@ -311,8 +309,7 @@ def _in_blocks(crowded: DataFrame, sets: DataFrame) -> DataFrame:
         docs, sizes, groups, main, at, a = (
             table.column(c).to_numpy() for c in ("doc", "n", "component", "in_main", "at", "a")
         )
-        number, b, with_main = (table.column(c)[0].as_py() for c in ("number", "b", "with_main"))
-        shared = [set(x) for x in table.column("numbers").to_pylist()]
+        b, with_main = (table.column(c)[0].as_py() for c in ("b", "with_main"))
         sketches = table.column("sketch").to_pylist()
         width = min(map(len, sketches))
         bits = np.frombuffer(b"".join(_folded(x, width).to_bytes(width, "little") for x in sketches), np.uint64)
@@ -327,16 +324,18 @@ def _in_blocks(crowded: DataFrame, sets: DataFrame) -> DataFrame:
             apart = np.bitwise_count(bits[i] ^ bits[right]).sum(axis=2, dtype=np.int64)
             near = (apart <= limit) & (groups[i] != groups[right])
             near &= 100 * np.minimum(sizes[i], sizes[right]) >= PERCENT * np.maximum(sizes[i], sizes[right])
-            for x, y in zip(*np.nonzero(near)):
-                x, y = left[start + x], right[y]
-                if min(shared[x] & shared[y]) == number:
-                    yield min(int(docs[x]), int(docs[y])), max(int(docs[x]), int(docs[y]))
+            x, y = np.nonzero(near)
+            x, y = docs[left[start + x]], docs[right[y]]
+            yield from zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(parts: Iterator[pa.Table]) -> pa.RecordBatch:
-            found = sorted({pair for part in parts for pair in compare(part)})
-            columns = [pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)]
-            return pa.RecordBatch.from_arrays(columns, ["u", "v"])
+            found: dict[int, set[int]] = {}
+            for part in parts:
+                for u, v in compare(part):
+                    found.setdefault(u, set()).add(v)
+            columns = [pa.array(list(found), pa.int64()), pa.array([sorted(v) for v in found.values()], pa.list_(pa.int64()))]
+            return pa.RecordBatch.from_arrays(columns, ["u", "vs"])
 
         held = None  # the group that may go on in the next batch
         for batch in batches:
@@ -351,7 +350,9 @@ def _in_blocks(crowded: DataFrame, sets: DataFrame) -> DataFrame:
         if held is not None and held.num_rows:
             yield pairs([held])
 
-    return spread.mapInArrow(run, "u long, v long").distinct()
+    met = spread.mapInArrow(run, "u long, vs array<long>")
+    merged = met.groupBy("u").agg(F.array_distinct(F.flatten(F.collect_list("vs"))).alias("vs"))
+    return merged.select("u", F.explode("vs").alias("v"))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, text: str, key: str) -> DataFrame:
