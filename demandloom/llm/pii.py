@@ -97,15 +97,14 @@ def _ip(key: bytes, text: str) -> str | None:
 
 
 def _phone(key: bytes, text: str) -> str | None:
-    """All digits but a country code move; area codes do not start with 0 or 1."""
+    """All digits but a country code move."""
     head = re.match(r"\+\d{1,3}(?=[ .(-])", text)
     cut = head.end() if head else 0
     digits = re.sub(r"\D", "", text[cut:])
-    if not 7 <= len(digits) <= 12 or digits[0] in "01":
+    if not 7 <= len(digits) <= 12:
         return None
-    size = 8 * 10 ** (len(digits) - 1)
-    value = permute(key, f"phone{len(digits)}", int(digits) - 2 * 10 ** (len(digits) - 1), size)
-    return text[:cut] + _refill(text[cut:], str(value + 2 * 10 ** (len(digits) - 1)))
+    value = permute(key, f"phone{len(digits)}", int(digits), 10 ** len(digits))
+    return text[:cut] + _refill(text[cut:], str(value).zfill(len(digits)))
 
 
 def _ssn(key: bytes, text: str) -> str | None:
