@@ -96,12 +96,17 @@ def _ip(key: bytes, text: str) -> str | None:
     return ".".join(map(str, value.to_bytes(4, "big")))
 
 
+#: Calling codes of one and of two digits; all others have three.
+CALLING_CODE = r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+
+
 def _phone(key: bytes, text: str) -> str | None:
-    """All digits but a country code move."""
-    head = re.match(r"\+\d{1,3}(?=[ .(-])", text)
+    """All digits but a country code, or the zero before an area code, move."""
+    head = re.match(rf"(?:\+\d{{1,3}}(?=[ .(-])|{CALLING_CODE})(?:[ .-]?\(0\))?", text) or re.match(r"\(?0(?=[1-9])", text)
     cut = head.end() if head else 0
     digits = re.sub(r"\D", "", text[cut:])
-    if not 7 <= len(digits) <= 12:
+    least = 5 if text[0] == "+" else 8 if head else 7
+    if not least <= len(digits) <= 14 or sum(map(str.isdigit, text)) > 15:
         return None
     value = permute(key, f"phone{len(digits)}", int(digits), 10 ** len(digits))
     return text[:cut] + _refill(text[cut:], str(value).zfill(len(digits)))
@@ -183,17 +188,68 @@ def _secret(key: bytes, text: str) -> str:
     return text[:cut] + _hex(key, text[cut:])
 
 
+#: Three, three and four digits, with or without a country code; then a country code with the rest
+#: in one piece or in groups; a zero and area code before groups, nine digits at least; ten digits
+#: in one piece as North America writes them. Behind a group of over four digits a number ends.
+PHONE = (
+    r"(?<![\w.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])"
+    r"|(?<![\w.+])\+[1-9][0-9]{7,14}(?![\w-])"
+    r"|(?<![\w.+])\+[1-9][0-9]{0,2}(?:[ .-]?\(0\))?(?:[ .-]?\([0-9]{1,5}\)|[ .-]?[0-9]{1,5})(?![0-9])(?:[ ./-][0-9]{2,4}(?![0-9])){0,4}(?:[ ./-]|(?<=\)))[0-9]{2,8}(?![\w-])"
+    r"|(?<![\w.+/-])(?:\(0[1-9][0-9]{0,3}\)|0[1-9][0-9]{0,3})(?:(?: ?[/-] ?| )[0-9]{2,4}(?![0-9])){0,4}(?: ?[/-] ?| |(?<=\)))[0-9]{2,8}(?![\w-])"
+    r"|(?<![\w.+-])[2-9][0-9]{2}[2-9][0-9]{6}(?![\w-])"
+)
+
+
+def _card_ends(value: str) -> Iterator[int]:
+    """Where a card may end in a run of 13 to 19 digits: an unbroken run of that length is one for
+    itself, then 16 and 15 digits, then the longest."""
+    runs = [m.span() for m in re.finditer("[0-9]+", value)]
+    whole = [(a, b) for a, b in runs if 13 <= b - a <= 19]
+    if whole and whole[0][0] > 0 and _luhn(value[whole[0][0] : whole[0][1]]) % 10 == 0:
+        return  # it begins further on
+    count, ends = 0, {}
+    for a, b in runs:
+        count += b - a
+        if 13 <= count <= 19:
+            ends[count] = b
+    first = [runs[0][1]] if whole and whole[0][0] == 0 else []
+    yield from dict.fromkeys([*first, *(ends[n] for n in (16, 15) if n in ends), *(ends[n] for n in sorted(ends, reverse=True))])
+
+
+#: Length of an IBAN by country; others are tried from the longest on.
+IBAN_LENGTHS = {
+    code: length
+    for length, codes in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN",
+        21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM TL SO",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for code in codes.split()
+}
+
+
+def _iban_ends(value: str) -> Iterator[int]:
+    """Where an IBAN may end: behind the length of its country, then behind any group."""
+    ends = {len(value[:b].replace(" ", "")): b for b in (m.end() for m in re.finditer("[A-Z0-9]+", value))}
+    own = IBAN_LENGTHS.get(value[:2])
+    yield from dict.fromkeys([*([ends[own]] if own in ends else []), *(ends[n] for n in sorted(ends, reverse=True))])
+
+
+#: Kinds whose pattern may take what follows, and where their values may end instead.
+ENDS: dict[str, Callable[[str], Iterator[int]]] = {"card": _card_ends, "iban": _iban_ends}
+
 #: Patterns by kind, the earlier one wins where two start at the same place.
 PATTERNS: dict[str, tuple[str, Callable[[bytes, str], str | None]]] = {
     "email": (r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", _email),
     "secret": (r"\b(?:password|passwd|token|secret|api_key)\s*[=:]\s*[\"']?[0-9a-f]{16,}\b", _secret),
     "access_key": (r"\bAKIA[A-Z0-9]{16}\b", _access_key),
     "iban": (r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", _iban),
-    "date": (r"(?<![\w.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![\w-])", _date),
+    "date": (r"(?<![\w.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?=[Tt][0-9]{2})|(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![\w-]))", _date),
     "ssn": (r"(?<![\w.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])", _ssn),
     "ip": (r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\w|\.[0-9])", _ip),
     "card": (r"(?<![\w-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])", _card),
-    "phone": (r"(?<![\w.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])", _phone),
+    "phone": (PHONE, _phone),
 }
 
 
@@ -209,31 +265,40 @@ class Pseudonyms:
     def _one(self, kind: str, text: str) -> str | None:
         return PATTERNS[kind][1](self.key, text)
 
+    def _first(self, kind: str, value: str) -> tuple[int, str | None]:
+        """Length and pseudonym of the first of a kind's possible values that passes its check."""
+        for end in ENDS[kind](value) if kind in ENDS else (len(value),):
+            if (fresh := self.one(kind, value[:end])) is not None:
+                return end, fresh
+        return 0, None
+
     def replace(self, text: str) -> tuple[str, list[dict]]:
         """The text with pseudonyms, and (kind, start, length) of each in the new text."""
         if not self.may.search(text):
             return text, []
         out, spans, done, size, at = [], [], 0, 0, 0
         while found := self.pattern.search(text, at):
-            kind, value = found.lastgroup, found[0]
-            fresh = self.one(kind, value)
+            kind, start = found.lastgroup, found.start()
+            end, fresh = self._first(kind, found[0])
             if fresh is None:  # another kind may begin at the same place
                 for other, (pattern, _) in PATTERNS.items():
-                    again = re.compile(pattern).match(text, found.start()) if other in self.pattern.groupindex else None
-                    if again and other != kind and (fresh := self.one(other, again[0])) is not None:
-                        found, kind = again, other
-                        break
+                    again = re.compile(pattern).match(text, start) if other in self.pattern.groupindex else None
+                    if again and other != kind:
+                        end, fresh = self._first(other, again[0])
+                        if fresh is not None:
+                            kind = other
+                            break
                 else:
-                    at = found.start() + 1
+                    at = start + 1
                     while at < len(text) and text[at].isdigit():
                         at += 1
                     continue
-            before = text[done : found.start()]
+            before = text[done:start]
             size += len(before)
             spans.append({"kind": kind, "start": size, "length": len(fresh)})
             out += [before, fresh]
             size += len(fresh)
-            done = at = found.end()
+            done = at = start + end
         return "".join([*out, text[done:]]) if out else text, spans
 
 
@@ -249,7 +314,7 @@ def pseudonymise(
     One pass, no shuffle. Null texts stay null with nothing found, empty texts stay empty;
     repeated rows come out repeated; an empty table gives an empty table; further columns are
     left behind. Texts are searched whole. Values that fail their check (Luhn, mod 97, number
-    ranges, calendar) stay as they are.
+    ranges, calendar) stay as they are; where a shorter value at the same place passes, it goes.
     """
     if not key:
         raise ValueError("a key is needed")

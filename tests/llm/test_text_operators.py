@@ -173,6 +173,51 @@ def test_invalid_values_stay(text):
     assert pii.Pseudonyms(KEY, tuple(pii.PATTERNS)).replace(text) == (text, [])
 
 
+@pytest.mark.parametrize(
+    "text, kinds, alone",
+    [
+        ("4111111111111111 12/27", ["card"], "4111111111111111"),
+        ("4111 1111 1111 1111 123", ["card"], "4111 1111 1111 1111"),
+        ("4111111111111111 10.0.0.1", ["card", "ip"], "4111111111111111"),
+        ("123 4111111111111111", ["card"], "4111111111111111"),
+        ("BE68 5390 0754 7034 IBAN", ["iban"], "BE68 5390 0754 7034"),
+        ("2021-03-04T10:00:00Z", ["date"], "2021-03-04"),
+        ("+14155550123", ["phone"], "+14155550123"),
+        ("+49 30 901820", ["phone"], "+49 30 901820"),
+        ("+49 30 901820 12 items", ["phone"], "+49 30 901820"),
+        ("+44 (0) 20 7946 0958", ["phone"], "+44 (0) 20 7946 0958"),
+        ("030 901820", ["phone"], "030 901820"),
+        ("01 23 45 67 89", ["phone"], "01 23 45 67 89"),
+        ("4155550123", ["phone"], "4155550123"),
+    ],
+)
+def test_values_beside_other_text_are_found(text, kinds, alone):
+    own = pii.Pseudonyms(KEY, tuple(pii.PATTERNS))
+    fresh, spans = own.replace(text)
+    assert [s["kind"] for s in spans] == kinds and alone not in fresh
+    # the same pseudonym as where the value stands alone
+    assert own.replace(alone)[0] in fresh
+
+
+def test_chance_checksums_do_not_take_what_follows():
+    own = pii.Pseudonyms(KEY, tuple(pii.PATTERNS))
+    alone = own.replace("4111111111111111")[0]
+    for k in range(100):  # every tenth of these is a valid number of 18 digits
+        assert own.replace(f"4111111111111111 {k:02d}")[0] == f"{alone} {k:02d}"
+
+
+def test_phones_stay_linked_across_formats():
+    own = pii.Pseudonyms(KEY, tuple(pii.PATTERNS))
+    digits = {re.sub(r"\D", "", own.replace(t)[0])[-10:] for t in ("+14155550123", "+1 (415) 555-0123", "4155550123", "415-555-0123")}
+    assert len(digits) == 1
+    assert own.replace("+49 30 901820")[0].split()[1:] == [x.lstrip("0") for x in own.replace("030 901820")[0].split()]
+
+
+@pytest.mark.parametrize("text", ["1614852000", "01-02-2021", "2021-03-04-05", "0.123 456", "10 20 30 40", "2021-03-04Tea"])
+def test_other_numbers_stay(text):
+    assert pii.Pseudonyms(KEY, tuple(pii.PATTERNS)).replace(text) == (text, [])
+
+
 def test_pseudonyms_on_odd_rows(odd):
     out = pii.pseudonymise(odd, "key").collect()
     assert Counter((r.doc_id, r.text) for r in out) == Counter(ODD) and not any(r.found for r in out)
