@@ -25,6 +25,8 @@ MAX_RULES = 2_000
 CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 REFRESH = r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*\burl\s*=\s*[\"']?([^\"'\s>;]+)"
 
+BASE = r"(?is)<base\b[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
+
 
 def host(url: Column) -> Column:
     return F.translate(F.coalesce(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), F.lit("")), UPPER, LOWER)
@@ -54,14 +56,48 @@ def address(url: Column) -> Column:
     return F.when(F.contains(url, F.lit("://")), plain)
 
 
+def _plain_path(path: Column) -> Column:
+    """A path that begins with '/', without its segments '.' and '..'."""
+    parts = F.split(path, "/")
+    kept = F.aggregate(
+        F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"),
+        lambda done, part: F.when(part == ".", done)
+        .when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .otherwise(F.concat(done, F.array(part))),
+    )
+    return F.concat(F.lit("/"), F.array_join(kept, "/"))
+
+
+def resolve(target: Column, base: Column) -> Column:
+    """The absolute address that a link on the page ``base`` leads to; null for schemes without
+    ``://`` and for a base without one. Absolute targets stay as they are."""
+    root = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
+    own = F.regexp_extract(target, r"(?s)^([^?#]*)", 1)
+    rest = F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
+    folder = F.concat(F.lit("/"), F.regexp_extract(path(base), r"(?s)^/(.*/)", 1))
+    return (
+        F.when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:") | ~F.contains(base, F.lit("://")), None)
+        .when(target.startswith("//"), F.concat(F.regexp_extract(base, r"(?s)^(.*?:)//", 1), target))
+        .when(target.startswith("/"), F.concat(root, _plain_path(own), rest))
+        .when(own != "", F.concat(root, _plain_path(F.concat(folder, own)), rest))
+        .when(rest.startswith("?"), F.concat(root, path(base), rest))
+        .otherwise(base)
+    )
+
+
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Edges (u, v) of addresses: canonical links and refresh redirects in the pages' HTML, to
-    absolute targets. Pages without any give none."""
-    targets = F.array(*(F.regexp_extract(F.col(html), p, 1) for p in (CANONICAL, REFRESH)))
+    """Edges (u, v) of addresses: all canonical links and refresh redirects in the pages' HTML.
+    Relative targets are resolved against the page's first ``<base>``, else against its own
+    address. Pages without any give none."""
+    found = F.concat(*(F.regexp_extract_all(F.col(html), F.lit(p), 1) for p in (CANONICAL, REFRESH)))
+    linked = pages.filter(F.col(html).rlike("(?i)canonical|refresh")).select(
+        F.col(url).alias("page"), F.regexp_extract(F.col(html), BASE, 1).alias("base"), F.explode(found).alias("target")
+    )
+    base = F.when(F.col("base") == "", F.col("page")).otherwise(F.coalesce(resolve(F.col("base"), F.col("page")), "page"))
     return (
-        pages.filter(F.col(html).rlike("(?i)canonical|refresh"))
-        .select(address(F.col(url)).alias("u"), F.explode(targets).alias("target"))
-        .select("u", address("target").alias("v"))
+        linked.select("page", "target", base.alias("base"))
+        .select(address(F.col("page")).alias("u"), address(resolve(F.col("target"), F.col("base"))).alias("v"))
         .filter("u is not null and v is not null and u <> v")
     )
 

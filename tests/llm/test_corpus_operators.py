@@ -84,6 +84,32 @@ def test_url_verdicts(spark):
     assert urls.judge(pages.limit(0), urls.page_links(pages.limit(0))).count() == 0
 
 
+def test_relative_and_further_links_are_edges(spark):
+    link = '<link rel="canonical" href="{}">'.format
+    refresh = '<meta http-equiv="refresh" content="0; url={}">'.format
+    rows = [
+        page(1, "https://shop.com/de/1"), page(2, "http://a.net/de/x"), page(3, "http://blocked.example.org/en/1"),
+        page(10, "http://shop.com/1", link("/de/1")), page(11, "https://m.net/1", link("//shop.com/de/1")),
+        page(12, "http://shop.com/it/a/b?q", link("../../de/1")), page(13, "http://shop.com/de", refresh("./de/1")),
+        page(14, "http://b.net/1", link("http://else.net/") + link("https://shop.com/de/1")),
+        page(15, "http://c.net/1", refresh("/none") + refresh("https://shop.com/de/1")),
+        page(16, "http://d.net/1", '<base href="https://shop.com/de/">' + link("1")),
+        page(17, "http://e.net/1", link("/de/1")), page(18, "http://f.net/1", link("mailto:x@shop.com")),
+        page(19, "no scheme", link("/de/1")), page(20, "http://g.net/1", link("?next=https://shop.com/de/1")),
+        page(21, "http://h.net/1", link("#top")),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, component string")
+    edges = {(r.u, r.v) for r in urls.page_links(pages).collect()}
+    assert edges == {
+        ("shop.com/1", "shop.com/de/1"), ("m.net/1", "shop.com/de/1"), ("shop.com/it/a/b?q", "shop.com/de/1"),
+        ("shop.com/de", "shop.com/de/1"), ("b.net/1", "else.net"), ("b.net/1", "shop.com/de/1"), ("c.net/1", "c.net/none"),
+        ("c.net/1", "shop.com/de/1"), ("d.net/1", "shop.com/de/1"), ("e.net/1", "e.net/de/1"),
+        ("g.net/1", "g.net/1?next=https://shop.com/de/1"),
+    }
+    got = {r.page_id: r.verdict for r in urls.judge(pages, urls.page_links(pages)).collect()}
+    assert {k for k, v in got.items() if v == "block"} == {1, 3, 10, 11, 12, 13, 14, 15, 16}
+
+
 # --- lines --------------------------------------------------------------------------------
 
 
