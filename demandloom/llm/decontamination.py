@@ -16,6 +16,9 @@ from demandloom.llm.common import row_key, runs, same_row, written
 
 #: Fixed masks, six tokens each: a plain run, and two spaced ones. 1 is picked, 0 is ignored.
 MASKS = ("111111", "1101011001", "1001101011")
+#: With these, for items of (from, to) tokens, every pattern of substitutions that still counts leaves
+#: some mask untouched: one for the longer items, two for shorter ones, two for five tokens.
+MORE_MASKS = (("1100010100011", 15, None), ("1111", 6, 14), ("110011", 6, 14), ("111", 5, 5), ("11011", 5, 5))
 #: An overlap counts if this many neighbouring tokens (or the whole item, if it is shorter) ...
 WINDOW = 16
 #: ... agree in at least this percentage of places.
@@ -31,10 +34,10 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def _masks(shortest: int) -> list[str]:
-    """The fixed masks, and for items shorter than they are one plain run of each length."""
-    least = min(len(m) for m in MASKS)
-    return [*MASKS, *("1" * n for n in range(max(shortest, 1), least))]
+def _masks(lengths: list[int]) -> list[tuple[str, int, int | None]]:
+    """The masks that items of these lengths need, with the least and the greatest length each is for."""
+    fixed = [(m, 1, None) for m in MASKS] + [*MORE_MASKS, *(("1" * n, n, n) for n in range(1, 5))]
+    return [m for m in fixed if m[0] in MASKS or any(m[1] <= n <= (m[2] or n) for n in lengths)]
 
 
 def _hashes(coded: Column, masks: list[str]) -> Column:
@@ -76,20 +79,21 @@ def overlaps(
     """Every overlap: __key and __text of the document row, item, place (where the item's first
     token lies in the document, in tokens), matched (agreeing tokens in the best window), window.
 
-    A null text has no tokens and overlaps nothing, items and documents alike. Items shorter than
-    the shortest mask must agree whole. Repeated items and a null item key count as items of
+    A null text has no tokens and overlaps nothing, items and documents alike. Items of fewer
+    than five tokens must agree whole. Repeated items and a null item key count as items of
     their own. Empty tables give no rows; further columns do not matter. No position and no
     candidate is left out, however common a passage is.
     """
     bench = items.select(F.col(item_key).alias("item"), tokens(F.col(item_text)).alias("own")).filter(F.size("own") > 0)
-    shortest = bench.agg(F.min(F.size("own"))).first()[0] or max(map(len, MASKS))
-    masks = _masks(shortest)
+    ranges = _masks(bench.agg(F.collect_set(F.least(F.size("own"), F.lit(WINDOW)))).first()[0])
+    masks = [m for m, _, _ in ranges]
     named = bench.select("item", F.size("own").alias("n_item"), F.xxhash64("own").alias("code"), "own")
-    # a short run stands for items of just its length
-    length = F.get(F.array(*(F.lit(len(m)) for m in masks)), F.col("mask"))
+    low, high = (
+        F.get(F.array(*(F.lit(r[k]).cast("int") for r in ranges)), F.col("mask")) for k in (1, 2)
+    )
     seeds = (
         _positions(named, ["item", "n_item", "code"], masks)
-        .filter((F.col("mask") < len(MASKS)) | (F.col("n_item") == length))
+        .filter(F.col("n_item").between(low, F.coalesce(high, F.col("n_item"))))
         .select("item", "n_item", "code", "hash", F.col("place").alias("item_place"))
     )
     texts = docs.select(*row_key(docs, key, text), F.col(text).alias("__whole"))

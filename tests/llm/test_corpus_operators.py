@@ -1,5 +1,6 @@
 """Operators over the whole corpus: components, URL aliases, lines, decontamination, similarity."""
 
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
@@ -197,6 +198,39 @@ def test_substituted_passages_are_found(spark):
     assert decontamination.overlaps(docs.limit(0), bench).count() == 0
 
 
+def test_masks_hit_every_pattern_that_counts():
+    """Whichever tokens are substituted, some mask lies on agreeing ones only."""
+    for n in range(1, 17):
+        masks = [m for m, _, _ in decontamination._masks([n])]
+        least = -(-decontamination.LEAST_PERCENT * n // 100)
+        places = [{i + j for j, c in enumerate(m) if c == "1"} for m in masks for i in range(n - len(m) + 1)]
+        for gone in itertools.combinations(range(n), n - least):
+            assert any(not p.intersection(gone) for p in places), (n, gone)
+
+
+def test_substitutions_at_any_place_are_found_without_seeds(spark):
+    """Against an alignment that tries every place."""
+    rnd = random.Random(9)
+    items = [(n, [word(rnd, 100_000) for _ in range(n)]) for n in (*range(4, 13), 15, 16, 24)]
+    rows, want = [], {}
+    for n, own in items:
+        width = min(n, decontamination.WINDOW)
+        lose = width - -(-decontamination.LEAST_PERCENT * width // 100)
+        patterns = list(itertools.combinations(range(width), lose)) + list(itertools.combinations(range(width), lose + 1))
+        for gone in rnd.sample(patterns, min(len(patterns), 60)):
+            passage = [f"other{k}" if k in gone or k >= width else w for k, w in enumerate(own)]
+            doc = [word(rnd, 100_000) for _ in range(5)] + passage + ["end"]
+            best = 0
+            for place in range(-n, len(doc)):
+                agree = [int(0 <= place + k < len(doc) and doc[place + k] == w) for k, w in enumerate(own)]
+                best = max([best, *(sum(agree[s : s + width]) for s in range(n - width + 1))])
+            want[len(rows)] = 100 * best // width if 100 * best >= decontamination.LEAST_PERCENT * width else 0
+            rows.append((len(rows), " ".join(doc)))
+    docs, bench = docs_of(spark, rows), spark.createDataFrame([(n, " ".join(w)) for n, w in items], "item_id long, text string")
+    out = decontamination.mark(docs, decontamination.overlaps(docs, bench)).collect()
+    assert {r.doc_id: r.best_match for r in out} == want
+
+
 # --- similarity ---------------------------------------------------------------------------
 
 
