@@ -5,18 +5,21 @@ where words with a digit count as a variable. At the leaf, a word stays constant
 enough documents have it there, else the place becomes variable; what remains is the line's
 template. Templates that recur in enough documents are boilerplate, and their lines are dropped.
 
-A copied document repeats all its lines without any of them being boilerplate. So documents that
-consist mostly of recurring lines do not count as evidence; they keep what recurs only in such
-documents, and whole-document dedup is left to decide about them.
+A copied document repeats all its lines without any of them being boilerplate. So a template's
+documents count as evidence only as far as they are no copies of one another, by the measure of
+whole-document dedup (5-word Jaccard): documents that it joins are one piece of evidence. What
+recurs only among them stays, and whole-document dedup is left to decide about them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from demandloom.functions.columns import checked_broadcast
-from demandloom.llm.common import BLANKS, row_key, same_row, words, written
+from demandloom.llm.common import BLANKS, row_key, runs, same_row, words, written
+from demandloom.llm.components import components
 
 #: Leading words on the way to a leaf.
 DEPTH = 4
@@ -26,8 +29,13 @@ LEAST_WORDS = 3
 LEAST_DOCUMENTS = 5
 #: Part of a template's places that must be constant.
 LEAST_CONSTANT = 0.5
-#: Documents with a larger part of their lines' words in recurring lines are no evidence.
-COPY_SHARE = 0.5
+#: Words of a shingle, and the percentage of shared shingles from which two texts are copies.
+SHINGLE = 5
+COPY_PERCENT = 80
+#: Two texts that are copies of the same third one share this percentage at least.
+APART_PERCENT = 60
+#: Documents of a template that are compared with one another, or with all others, at a time.
+SAMPLE = 8
 VARIABLE = "<*>"
 #: Leaves, or documents with lines to drop, that go to every task at most; more join by shuffle.
 BROADCAST_ROWS = 500_000
@@ -44,16 +52,16 @@ def _masked(line: Column) -> Column:
 
 
 def split_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every line with enough words: row key, line (from 0), whole, n (words), leaf, code.
+    """Every line with enough words: row key, body (a hash of the text), line (from 0), whole, n (words), leaf, code.
 
     ``leaf`` and ``code`` are 64-bit hashes of the leading words and of the whole masked line.
     """
-    lines = docs.select(*row_key(docs, key, text), F.posexplode(F.split(F.col(text), "\n")).alias("line", "whole"))
+    lines = docs.select(*row_key(docs, key, text), F.xxhash64(text).alias("body"), F.posexplode(F.split(F.col(text), "\n")).alias("line", "whole"))
     # a search that ends at the third word, where a filter on the words would split every line twice
     enough = rf"(?:[^\x20\x09-\x0D]+{BLANKS}){{{LEAST_WORDS - 1}}}[^\x20\x09-\x0D]"
     masked = lines.filter(F.col("whole").rlike(enough)).withColumn("masked", _masked(F.col("whole")))
     return masked.select(
-        *ROW, "line", "whole", F.size("masked").alias("n"),
+        *ROW, "body", "line", "whole", F.size("masked").alias("n"),
         F.xxhash64(F.slice("masked", 1, DEPTH)).alias("leaf"), F.xxhash64("masked").alias("code"),
     )
 
@@ -93,29 +101,82 @@ def _templates(lines: DataFrame, codes: DataFrame) -> DataFrame:
     )
 
 
+def _shingles(docs: DataFrame, text: str, bodies: DataFrame) -> DataFrame:
+    """body, n and own (the distinct hashed shingles) of the texts with these hashes, written."""
+    folded = F.translate(F.col(text), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    texts = docs.select(F.xxhash64(text).alias("body"), folded.alias("folded")).join(bodies, "body", "left_semi")
+    coded = texts.dropDuplicates(["body"]).select("body", F.transform(words(F.col("folded")), lambda w: F.xxhash64(w)).alias("coded"))
+    c = F.col("coded")
+    every = runs(c, SHINGLE, lambda i: F.xxhash64(*(F.get(c, i + k) for k in range(SHINGLE))))
+    own = F.array_distinct(F.when(F.size(c) < SHINGLE, F.array(F.xxhash64(c))).otherwise(every))
+    return written(coded.select("body", own.alias("own")).select("body", F.size("own").alias("n"), "own"))
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the distinct pairs (u, v) whose shingles' Jaccard has the percentage, written."""
+    sizes = sets.select("body", "n")
+    for end in ("u", "v"):
+        pairs = pairs.join(sizes.select(F.col("body").alias(end), F.col("n").alias(f"n_{end}")), end)
+    fit = written(pairs.filter(100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v")))
+    for end in ("u", "v"):
+        fit = fit.join(sets.select(F.col("body").alias(end), F.col("own").alias(f"own_{end}")), end)
+    both = F.size(F.array_intersect("own_u", "own_v"))
+    return written(fit.filter(100 * both >= percent * (F.col("n_u") + F.col("n_v") - both)).select("u", "v"))
+
+
+def _picked(held: DataFrame) -> DataFrame:
+    """A few texts of every template, those with the smallest hashes."""
+    place = Window.partitionBy("template").orderBy("body")
+    return written(held.select("template", "need", "body").withColumn("place", F.row_number().over(place)).filter(F.col("place") <= SAMPLE).drop("place"))
+
+
+def _independent(held: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """The templates of ``held`` (template, need, body: distinct) that are in ``need`` texts which are no
+    copies of one another.
+
+    Most templates show that in the first few texts. For the others these are compared with all
+    texts of the template, copies are joined to groups, and further texts are taken from outside
+    the groups seen so far, until there are enough groups or no texts left.
+    """
+    some = _picked(held)
+    sets = _shingles(docs, text, written(held.select("body").distinct()))
+    a, b = some.alias("a"), some.alias("b")
+    two = a.join(b, F.col("a.template") == F.col("b.template")).filter(F.col("a.body") < F.col("b.body"))
+    two = two.select("a.template", "a.need", F.col("a.body").alias("u"), F.col("b.body").alias("v"))
+    near = _alike(two.select("u", "v").distinct(), sets, APART_PERCENT)
+    later = two.join(near, ["u", "v"], "left_semi").select("template", F.col("v").alias("body")).distinct()
+    apart = some.join(later, ["template", "body"], "left_anti").groupBy("template", "need").agg(F.count("*").alias("d"))
+    accepted = written(apart.filter("d >= need").select("template"))
+    rest = written(held.join(checked_broadcast(accepted, BROADCAST_ROWS), "template", "left_anti"))
+    leaders, links = some.join(rest.select("template").distinct(), "template", "left_semi"), None
+    while not leaders.isEmpty():
+        one = checked_broadcast(leaders.select("template", F.col("body").alias("one")), BROADCAST_ROWS)
+        pairs = rest.join(one, "template").filter("body <> one")
+        fresh = _alike(pairs.select(F.least("body", "one").alias("u"), F.greatest("body", "one").alias("v")).distinct(), sets, COPY_PERCENT)
+        links = fresh if links is None else written(links.unionByName(fresh).distinct())
+        named = rest.join(written(components(links)).withColumnRenamed("node", "body"), "body", "left")
+        named = written(named.withColumn("group", F.coalesce("component", "body")).drop("component"))
+        seen = written(named.join(checked_broadcast(leaders.select("template", "body"), BROADCAST_ROWS), ["template", "body"], "left_semi").select("template", "need", "group").distinct())
+        enough = written(seen.groupBy("template", "need").agg(F.count("*").alias("d")).filter("d >= need").select("template"))
+        accepted = written(accepted.unionByName(enough))
+        outside = named.join(checked_broadcast(enough, BROADCAST_ROWS), "template", "left_anti")
+        outside = written(outside.join(checked_broadcast(seen.select("template", "group"), BROADCAST_ROWS), ["template", "group"], "left_anti"))
+        more = written(outside.select("template").distinct())
+        rest = written(rest.join(checked_broadcast(more, BROADCAST_ROWS), "template", "left_semi"))
+        leaders = written(leaders.join(more, "template", "left_semi").unionByName(_picked(outside)))
+    return accepted
+
+
 def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Lines to drop: row key and line number, of every line whose template recurs."""
     lines = split_lines(docs, key, text)
-    codes = written(lines.select(*ROW, "line", *LEAF, "code"))
+    codes = written(lines.select(*ROW, "body", "line", *LEAF, "code"))
     named = written(_templates(lines, codes))
-    found = written(codes.join(named, [*LEAF, "code"]).select(*ROW, "line", "n", "template"))
-
-    def recurring(rows: DataFrame) -> DataFrame:
-        documents = rows.select("template", *ROW).distinct().groupBy("template").agg(F.count("*").alias("d"))
-        return written(documents.filter(F.col("d") >= LEAST_DOCUMENTS).select("template"))
-
-    often = written(found.join(recurring(found), "template", "left_semi"))
-    # repeated rows have repeated lines in both sums
-    words_in = codes.groupBy(*ROW).agg(F.sum("n").alias("all"))
-    recurring_in = often.groupBy(*ROW).agg(F.sum("n").alias("part"))
-    copies = written(
-        recurring_in.alias("a")
-        .join(words_in.alias("b"), same_row("a", "b"))
-        .filter(F.col("part") > COPY_SHARE * F.col("all"))
-        .select("a.__key", "a.__text")
-    )
-    evidence = often.alias("a").join(copies.alias("b"), same_row("a", "b"), "left_anti")
-    return often.join(recurring(evidence), "template", "left_semi").select(*ROW, "line")
+    found = written(codes.join(named, [*LEAF, "code"]).select(*ROW, "body", "line", "template"))
+    held = found.select("template", F.lit(LEAST_DOCUMENTS).alias("need"), "body").distinct()
+    often = written(held.groupBy("template", "need").agg(F.count("*").alias("d")).filter("d >= need").select("template"))
+    dropped = _independent(written(held.join(often, "template", "left_semi")), docs, text)
+    return found.join(dropped, "template", "left_semi").select(*ROW, "line")
 
 
 def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -143,6 +143,28 @@ def test_templates_recur_and_copies_do_not_count(spark):
     assert lines.drop_lines(docs.limit(0)).count() == 0
 
 
+def letters(rnd, n):
+    """Words without digits, which templates would take for variables."""
+    return prose(rnd, n).translate(str.maketrans("0123456789", "abcdefghij"))
+
+
+def test_pages_that_are_mostly_boilerplate_are_evidence(spark):
+    """One shared line of 60 words over 50 words of their own: no copies by any measure."""
+    rnd = random.Random(4)
+    shared = letters(rnd, 60)
+    rows = [(k, f"{shared}\n{letters(rnd, 50)}") for k in range(40)]
+    # near copies of one text, each with two of its lines edited, stay whole
+    lines_of = [letters(rnd, 40) for _ in range(12)]
+    for k in range(30):
+        own = list(lines_of)
+        for j in rnd.sample(range(12), 2):
+            own[j] = own[j].rsplit(" ", 1)[0] + f" {letters(rnd, 1)}y"
+        rows.append((100 + k, "\n".join(own)))
+    out = {r.doc_id: (r.text, r.n_dropped) for r in lines.drop_lines(docs_of(spark, rows)).collect()}
+    for k, text in rows:
+        assert out[k] == ((text.split("\n")[1], 1) if k < 100 else (text, 0)), k
+
+
 # --- decontamination ----------------------------------------------------------------------
 
 
