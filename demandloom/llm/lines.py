@@ -23,8 +23,17 @@ from demandloom.llm.components import components
 
 #: Leading words on the way to a leaf.
 DEPTH = 4
-#: Shorter lines are never templates.
+#: Lines with fewer words are templates only if they have that many characters, or letters of a
+#: script that sets no blanks.
 LEAST_WORDS = 3
+LEAST_CHARS = 10
+LEAST_LETTERS = 6
+#: Lines of more words, characters or letters of such a script are dropped from two documents on.
+LONG_WORDS = 20
+LONG_CHARS = 100
+LONG_LETTERS = 40
+LEAST_DOCUMENTS_LONG = 2
+NO_BLANKS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
 #: Documents that a word needs in its place, and that a template needs.
 LEAST_DOCUMENTS = 5
 #: Part of a template's places that must be constant.
@@ -45,24 +54,36 @@ LEAF = ["n", "leaf"]
 
 
 def _masked(line: Column) -> Column:
-    """Words of a line, those with a digit as variables."""
+    """Words of a line, those with a digit as variables; too few words are one, with variable digits."""
     own = words(line)
+    whole = F.array(F.regexp_replace(F.btrim(line, F.lit(" \t\n\x0b\f\r")), "[0-9]+", VARIABLE))
     variable = F.transform(own, lambda w: F.when(w.rlike("[0-9]"), F.lit(VARIABLE)).otherwise(w))
-    return F.when(line.rlike("[0-9]"), variable).otherwise(own)
+    return F.when(F.size(own) < LEAST_WORDS, whole).when(line.rlike("[0-9]"), variable).otherwise(own)
+
+
+def _letters(least: int) -> str:
+    """A line with that many letters of scripts without blanks."""
+    return rf"(?:[{NO_BLANKS}][^{NO_BLANKS}]*+){{{least}}}"
 
 
 def split_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every line with enough words: row key, body (a hash of the text), line (from 0), whole, n (words), leaf, code.
+    """Every line with enough words: row key, body (a hash of the text), line (from 0), whole, n (words), leaf, code, long.
 
-    ``leaf`` and ``code`` are 64-bit hashes of the leading words and of the whole masked line.
+    ``long`` lines are templates for themselves. ``leaf`` and ``code`` are 64-bit hashes of the leading words and of the whole masked line.
     """
     lines = docs.select(*row_key(docs, key, text), F.xxhash64(text).alias("body"), F.posexplode(F.split(F.col(text), "\n")).alias("line", "whole"))
     # a search that ends at the third word, where a filter on the words would split every line twice
     enough = rf"(?:[^\x20\x09-\x0D]+{BLANKS}){{{LEAST_WORDS - 1}}}[^\x20\x09-\x0D]"
-    masked = lines.filter(F.col("whole").rlike(enough)).withColumn("masked", _masked(F.col("whole")))
+    wide = rf"(?s)[^\x20\x09-\x0D].{{{LEAST_CHARS - 2},}}[^\x20\x09-\x0D]"
+    whole = F.col("whole")
+    taken = whole.rlike(enough) | whole.rlike(wide) | whole.rlike(_letters(LEAST_LETTERS))
+    masked = lines.filter(taken).withColumn("masked", _masked(whole))
+    n, constant = F.size("masked"), F.size(F.filter("masked", lambda w: w != VARIABLE))
+    long = (n > LONG_WORDS) | (F.length("whole") > LONG_CHARS) | whole.rlike(_letters(LONG_LETTERS))
     return masked.select(
         *ROW, "body", "line", "whole", F.size("masked").alias("n"),
         F.xxhash64(F.slice("masked", 1, DEPTH)).alias("leaf"), F.xxhash64("masked").alias("code"),
+        (long & (constant >= n * LEAST_CONSTANT)).alias("long"),
     )
 
 
@@ -170,13 +191,17 @@ def _independent(held: DataFrame, docs: DataFrame, text: str) -> DataFrame:
 def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Lines to drop: row key and line number, of every line whose template recurs."""
     lines = split_lines(docs, key, text)
-    codes = written(lines.select(*ROW, "body", "line", *LEAF, "code"))
+    codes = written(lines.select(*ROW, "body", "line", *LEAF, "code", "long"))
     named = written(_templates(lines, codes))
-    found = written(codes.join(named, [*LEAF, "code"]).select(*ROW, "body", "line", "template"))
-    held = found.select("template", F.lit(LEAST_DOCUMENTS).alias("need"), "body").distinct()
+    found = codes.join(named, [*LEAF, "code"]).select(*ROW, "body", "line", "template", F.lit(LEAST_DOCUMENTS).alias("need"))
+    whole = codes.filter("long").select(
+        *ROW, "body", "line", F.xxhash64(F.lit("long"), *LEAF, "code").alias("template"), F.lit(LEAST_DOCUMENTS_LONG).alias("need")
+    )
+    found = written(found.unionByName(whole))
+    held = found.select("template", "need", "body").distinct()
     often = written(held.groupBy("template", "need").agg(F.count("*").alias("d")).filter("d >= need").select("template"))
     dropped = _independent(written(held.join(often, "template", "left_semi")), docs, text)
-    return found.join(dropped, "template", "left_semi").select(*ROW, "line")
+    return found.join(dropped, "template", "left_semi").select(*ROW, "line").distinct()
 
 
 def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

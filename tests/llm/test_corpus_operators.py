@@ -165,6 +165,24 @@ def test_pages_that_are_mostly_boilerplate_are_evidence(spark):
         assert out[k] == ((text.split("\n")[1], 1) if k < 100 else (text, 0)), k
 
 
+def test_long_lines_recur_from_two_documents_on(spark):
+    rnd = random.Random(6)
+    own = lambda: letters(rnd, 40)
+    long, short = letters(rnd, 30), letters(rnd, 8)
+    footer, passage = "版权所有，保留一切权利2021。", "这是一个没有空格的很长的段落" * 4
+    rows = [(k, f"{own()}\n{long}\n{own()}\n{short}") for k in range(2)]
+    rows += [(10 + k, f"{own()}\n{footer.replace('2021', str(2000 + k))}\nContact us\nyes") for k in range(6)]
+    rows += [(20 + k, f"{own()}\n{passage}\n{own()}\n{own()}") for k in range(2)]
+    # two near copies share long lines and stay whole
+    shared = "\n".join(own() for _ in range(10))
+    rows += [(30 + k, f"{shared}\n{letters(rnd, 22)}") for k in range(2)]
+    out = {r.doc_id: r.text.split("\n") for r in lines.drop_lines(docs_of(spark, rows)).collect()}
+    for k, text in rows:
+        parts = text.split("\n")
+        gone = [1] if k < 2 or 20 <= k < 30 else [1, 2] if k < 20 else []
+        assert out[k] == [p for i, p in enumerate(parts) if i not in gone], k
+
+
 # --- decontamination ----------------------------------------------------------------------
 
 
