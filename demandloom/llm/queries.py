@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from demandloom.llm import bpe, chat, decontamination, jaccard, langid, lines, pii, quality, toxicity, urls
+from demandloom.llm import bpe, chat, decontamination, jaccard, langid, lines, pii, quality, search_queries, toxicity, urls
 from demandloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -305,6 +305,7 @@ QUERIES: dict[str, Query] = {
     "op8_bpe": op8_bpe,
     "op9_pseudonyms": op9_pseudonyms,
     "op10_jaccard": op10_jaccard,
+    **search_queries.QUERIES,
 }
 
 ORACLES: dict[str, str] = {
@@ -313,4 +314,5 @@ ORACLES: dict[str, str] = {
     "op6_urls": OP6_SQL,
     "op7_decontamination": OP7_SQL,
     "op10_jaccard": OP10_SQL,
+    **search_queries.ORACLES,
 }
