@@ -18,9 +18,10 @@ gives at most BINS rows a node to the driver, however many documents there are;
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -68,11 +69,11 @@ class _Node:
         return self.below
 
 
-def _place(node: _Node) -> Column:
-    """First shard of the lowest node that a point has reached."""
+def _place(node: _Node, at: Callable[[_Node], Column] = lambda n: F.lit(n.first)) -> Column:
+    """``at`` of the lowest node that a point has reached, by default its first shard."""
     if not node.below:
-        return F.lit(node.first)
-    left, right = (_place(n) for n in node.below)
+        return at(node)
+    left, right = (_place(n, at) for n in node.below)
     if node.cut is None:
         return right
     value, code, piece = node.cut
@@ -93,9 +94,10 @@ class _Search:
     low: int = 0
     width: int = 1
 
-    def row(self) -> str:
-        numbers = (self.node.first, self.node.dimension, self.stage, self.value, self.low, self.width)
-        return f"({', '.join(f'{x}L' for x in numbers)})"
+    def state(self) -> Column:
+        own = F.col(DIMENSIONS[self.node.dimension]).cast("long")
+        numbers = {"node": self.node.first, "stage": self.stage, "value": self.value, "low": self.low, "width": self.width}
+        return F.struct(*(F.lit(x).cast("long").alias(k) for k, x in numbers.items()), own.alias("own"))
 
     def narrow(self, bins: list) -> bool:
         """Take one round's (bin, bytes, least and greatest hash, units) in order; whether the split is found."""
@@ -130,23 +132,16 @@ class _Search:
         return True
 
 
-def _round(spark: SparkSession, points: DataFrame, root: _Node, searches: list[_Search]) -> dict[int, list]:
+def _round(points: DataFrame, root: _Node, searches: list[_Search]) -> dict[int, list]:
     """One histogram for every open search, by node."""
-    state = F.broadcast(  # a row a node of one level, fewer than there are shards
-        spark.sql(
-            f"select * from values {', '.join(s.row() for s in searches)} as s(node, dimension, stage, value, low, width)"
-        )
-    )
-    own = F.coalesce(*(F.when(F.col("dimension") == d, F.col(c)) for d, c in enumerate(DIMENSIONS)))
+    searched = {s.node.first: s.state() for s in searches}
     offset = F.col("code") - F.col("low")
+    inside = F.when(F.col("stage") == 1, (offset >= 0) & (offset < F.col("width") * BINS)).otherwise(offset == 0)
     open_rows = (
-        points.withColumn("node", _place(root).cast("long"))
-        .join(state, "node")
-        .withColumn("own", own)
-        .filter(
-            (F.col("stage") == 0)
-            | ((F.col("own") == F.col("value")) & F.when(F.col("stage") == 1, (offset >= 0) & (offset < F.col("width") * BINS)).otherwise(offset == 0))
-        )
+        points.withColumn("search", _place(root, lambda n: searched.get(n.first, F.lit(None))))
+        .filter("search is not null")
+        .select("code", "piece", "pieces", "size", "search.*")
+        .filter((F.col("stage") == 0) | ((F.col("own") == F.col("value")) & inside))
     )
     key = F.when(F.col("stage") == 0, F.col("own")).when(F.col("stage") == 1, F.expr("(code - low) div width")).otherwise(F.col("piece"))
     found = (
@@ -165,7 +160,7 @@ def _round(spark: SparkSession, points: DataFrame, root: _Node, searches: list[_
 
 def _grow(points: DataFrame, shards: int) -> _Node:
     """The tree over written points: code, piece, pieces, size and the dimensions."""
-    spark, root = points.sparkSession, _Node(0, shards)
+    root = _Node(0, shards)
     level, spread = [root], None
     while any(n.shards > 1 for n in level):
         ends = [f(c).alias(f"{c}_{f.__name__}") for c in DIMENSIONS for f in (F.min, F.max)]
@@ -182,7 +177,7 @@ def _grow(points: DataFrame, shards: int) -> _Node:
             node.dimension = parts.index(max(parts))
             searches.append(_Search(node, r.bytes))
         while searches:
-            bins = _round(spark, points, root, searches)
+            bins = _round(points, root, searches)
             searches = [s for s in searches if not s.narrow(bins[s.node.first])]
         level = [child for n in level if n.shards > 1 for child in n.split()]
     return root
