@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,6 +43,21 @@ def same_row(left: str, right: str) -> Column:
     )
 
 
+def text_code(text: Column) -> Column:
+    """The first 60 bits of a text's MD5, a non-negative long; null counts as empty."""
+    return F.conv(F.substring(F.md5(F.coalesce(text, F.lit(""))), 1, 15), 16, 10).cast("long")
+
+
+def packed(docs: DataFrame, names: list[str], **more: Column) -> DataFrame:
+    """The columns as one struct ``row``, so that no name of theirs meets a name of ours."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), *(v.alias(k) for k, v in more.items()))
+
+
+def unpacked(names: list[str], new: dict[str, Column] | None = None) -> list[Column]:
+    """The columns of ``row`` again, some of them replaced."""
+    return [(new or {}).get(c, F.col("row").getField(c)).alias(c) for c in names]
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, ``spark.checkpoint.dir``; one of our own in local mode."""
     context = spark.sparkContext
@@ -54,9 +70,34 @@ def shared_folder(spark: SparkSession) -> str:
     return shared
 
 
+#: Where ``written`` notes its tables, innermost last.
+_owners: list[list[str]] = []
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write a table as Parquet in the shared folder and read it again: a cut in the lineage that
     survives lost executors and is smaller than a checkpoint of rows."""
     path = f"{shared_folder(df.sparkSession)}/table-{uuid4().hex}"
+    for owner in _owners[-1:]:
+        owner.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def owned() -> Iterator[list[str]]:
+    """The paths of all tables written meanwhile; ``discard`` them when nothing reads them any more."""
+    paths: list[str] = []
+    _owners.append(paths)
+    try:
+        yield paths
+    finally:
+        _owners.remove(paths)
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that ``written`` made, and forget them."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(conf).delete(path, True)

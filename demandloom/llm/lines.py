@@ -3,22 +3,23 @@
 A line goes down a tree of fixed depth: first by its number of words, then by its leading words,
 where words with a digit count as a variable. At the leaf, a word stays constant in its place if
 enough documents have it there, else the place becomes variable; what remains is the line's
-template. Templates that recur in enough documents are boilerplate, and their lines are dropped.
+template. A line that repeats as a whole is a template too, and needs fewer documents the more it
+holds (``needed``). Templates that recur in enough documents are boilerplate, and their lines go.
 
 A copied document repeats all its lines without any of them being boilerplate. So a template's
-documents count as evidence only as far as they are no copies of one another, by the measure of
-whole-document dedup (5-word Jaccard): documents that it joins are one piece of evidence. What
-recurs only among them stays, and whole-document dedup is left to decide about them.
+documents are counted in units: equal texts are one document, and documents that share at least half of
+their phrases are joined, however many they are and over others too. Phrases are what punctuation
+and words that end in ``n`` cut a line into, so an edit changes one of many. Every document is compared
+with the first and the last document, by hash, of each phrase that it shares, where these hold an
+eighth of its phrases; so the comparisons grow with the documents, not with the pairs.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from demandloom.functions.columns import checked_broadcast
-from demandloom.llm.common import BLANKS, row_key, runs, same_row, words, written
+from demandloom.llm.common import packed, text_code, unpacked, words, written
 from demandloom.llm.components import components
 
 #: Leading words on the way to a leaf.
@@ -28,84 +29,84 @@ DEPTH = 4
 LEAST_WORDS = 3
 LEAST_CHARS = 10
 LEAST_LETTERS = 6
-#: Lines of more words, characters or letters of such a script are dropped from two documents on.
-LONG_WORDS = 20
-LONG_CHARS = 100
-LONG_LETTERS = 40
-LEAST_DOCUMENTS_LONG = 2
+#: Characters, and letters of such a script, that count as much as a word (see ``needed``).
+CHARS_A_WORD = 5
+LETTERS_A_WORD = 2
 NO_BLANKS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-#: Documents that a word needs in its place, and that a template needs.
+#: Documents that a word needs in its place, and that a template with variable places needs.
 LEAST_DOCUMENTS = 5
 #: Part of a template's places that must be constant.
 LEAST_CONSTANT = 0.5
-#: Words of a shingle, and the percentage of shared shingles from which two texts are copies.
-SHINGLE = 5
-COPY_PERCENT = 80
-#: Two texts that are copies of the same third one share this percentage at least.
-APART_PERCENT = 60
-#: Documents of a template that are compared with one another, or with all others, at a time.
-SAMPLE = 8
+#: What separates phrases, beside words that end in ``n``, and the bytes that a phrase has at least.
+BETWEEN_PHRASES = "[.,;:!?。，、！？；：]+"
+PHRASE_BYTES = 8
+#: A document is compared with those that lead this part of its phrases, one in ...
+LED = 8
 VARIABLE = "<*>"
-#: Leaves, or documents with lines to drop, that go to every task at most; more join by shuffle.
-BROADCAST_ROWS = 500_000
+#: Leaves that go to every task at most, of 12 bytes each; more of them join by shuffle.
+BROADCAST_LEAVES = 200_000
 
-ROW = ["__key", "__text"]
 LEAF = ["n", "leaf"]
 
 
-def _masked(line: Column) -> Column:
+def needed(weight: Column) -> Column:
+    """Documents that a line of this many words must recur in: 5 below 10 words, 2 from 20 on."""
+    return F.least(F.lit(LEAST_DOCUMENTS), F.greatest(F.lit(2), 6 - F.floor(weight / 5))).cast("int")
+
+
+def _script_letters(line: Column) -> Column:
+    """Letters of scripts without blanks; plain ASCII lines are not searched."""
+    return F.when(F.octet_length(line) > F.length(line), F.regexp_count(line, F.lit(f"[{NO_BLANKS}]"))).otherwise(0)
+
+
+def _masked(line: Column, own: Column) -> Column:
     """Words of a line, those with a digit as variables; too few words are one, with variable digits."""
-    own = words(line)
     whole = F.array(F.regexp_replace(F.btrim(line, F.lit(" \t\n\x0b\f\r")), "[0-9]+", VARIABLE))
     variable = F.transform(own, lambda w: F.when(w.rlike("[0-9]"), F.lit(VARIABLE)).otherwise(w))
     return F.when(F.size(own) < LEAST_WORDS, whole).when(line.rlike("[0-9]"), variable).otherwise(own)
 
 
-def _letters(least: int) -> str:
-    """A line with that many letters of scripts without blanks."""
-    return rf"(?:[{NO_BLANKS}][^{NO_BLANKS}]*+){{{least}}}"
+def _taken(own: Column, line: Column) -> Column:
+    trimmed = F.length(F.btrim(line, F.lit(" \t\n\x0b\f\r")))
+    return (F.size(own) >= LEAST_WORDS) | (trimmed >= LEAST_CHARS) | (_script_letters(line) >= LEAST_LETTERS)
 
 
-def split_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every line with enough words: row key, body (a hash of the text), line (from 0), whole, n (words), leaf, code, long.
+def split_lines(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Every line with enough words: body (a hash of the text), line (from 0), whole, n (words), leaf, code, need and solid.
 
-    ``long`` lines are templates for themselves. ``leaf`` and ``code`` are 64-bit hashes of the leading words and of the whole masked line.
+    ``leaf`` and ``code`` are 64-bit hashes of the leading words and of the whole masked line; ``solid`` lines
+    have enough constant places to be a template by themselves, which needs ``need`` documents.
     """
-    lines = docs.select(*row_key(docs, key, text), F.xxhash64(text).alias("body"), F.posexplode(F.split(F.col(text), "\n")).alias("line", "whole"))
-    # a search that ends at the third word, where a filter on the words would split every line twice
-    enough = rf"(?:[^\x20\x09-\x0D]+{BLANKS}){{{LEAST_WORDS - 1}}}[^\x20\x09-\x0D]"
-    wide = rf"(?s)[^\x20\x09-\x0D].{{{LEAST_CHARS - 2},}}[^\x20\x09-\x0D]"
-    whole = F.col("whole")
-    taken = whole.rlike(enough) | whole.rlike(wide) | whole.rlike(_letters(LEAST_LETTERS))
-    masked = lines.filter(taken).withColumn("masked", _masked(whole))
+    # each step of a line is computed once, inside the array, before the lines become rows
+    split = F.transform(F.split(F.col(text), "\n"), lambda x, k: F.struct(k.alias("line"), x.alias("whole"), words(x).alias("own")))
+    taken = F.filter(split, lambda x: _taken(x["own"], x["whole"]))
+    masked = F.transform(taken, lambda x: F.struct(x["line"].alias("line"), x["whole"].alias("whole"), _masked(x["whole"], x["own"]).alias("masked")))
+    rows = docs.select(text_code(F.col(text)).alias("body"), F.explode(masked).alias("x")).select("body", "x.*")
     n, constant = F.size("masked"), F.size(F.filter("masked", lambda w: w != VARIABLE))
-    long = (n > LONG_WORDS) | (F.length("whole") > LONG_CHARS) | whole.rlike(_letters(LONG_LETTERS))
-    return masked.select(
-        *ROW, "body", "line", "whole", F.size("masked").alias("n"),
-        F.xxhash64(F.slice("masked", 1, DEPTH)).alias("leaf"), F.xxhash64("masked").alias("code"),
-        (long & (constant >= n * LEAST_CONSTANT)).alias("long"),
+    weight = F.greatest(
+        n, F.floor(F.length("whole") / CHARS_A_WORD), F.floor(_script_letters(F.col("whole")) / LETTERS_A_WORD)
+    )
+    return rows.select(
+        "body", "line", "whole", n.alias("n"), F.xxhash64(F.slice("masked", 1, DEPTH)).alias("leaf"),
+        F.xxhash64("masked").alias("code"), needed(weight).alias("need"), (constant >= n * LEAST_CONSTANT).alias("solid"),
     )
 
 
-def _templates(lines: DataFrame, codes: DataFrame) -> DataFrame:
-    """n, leaf, code -> template of every distinct line whose leaf may hold a recurring one.
-
-    ``lines`` has the texts, ``codes`` the same lines without them, written.
-    """
-    busy = written(
-        codes.groupBy(*LEAF).agg(F.count("*").alias("lines")).filter(F.col("lines") >= LEAST_DOCUMENTS).select(*LEAF)
-    )
+def _templates(lines: DataFrame) -> DataFrame:
+    """n, leaf, code -> template of every distinct line whose leaf may hold a recurring one."""
+    busy = written(lines.groupBy(*LEAF).agg(F.count("*").alias("lines")).filter(F.col("lines") >= LEAST_DOCUMENTS).select(*LEAF))
+    side = F.broadcast(busy) if busy.count() <= BROADCAST_LEAVES else busy
     # one row per distinct line: a very common line is one row from here on
-    documents = (
-        codes.join(busy, LEAF, "left_semi")
-        .select(*ROW, *LEAF, "code")
-        .distinct()
+    distinct = written(
+        lines.select("body", *LEAF, "code", "whole")
+        .join(side, LEAF, "left_semi")
+        .groupBy("body", *LEAF, "code")
+        .agg(F.any_value("whole").alias("whole"))
         .groupBy(*LEAF, "code")
-        .agg(F.count("*").alias("documents"))
+        .agg(F.any_value("whole").alias("whole"), F.count("*").alias("documents"))
     )
-    named = lines.select(*LEAF, "code", "whole").join(checked_broadcast(busy, BROADCAST_ROWS), LEAF, "left_semi").groupBy(*LEAF, "code").agg(F.first("whole").alias("whole"))
-    distinct = written(named.join(documents, [*LEAF, "code"]))
-    places = distinct.select(*LEAF, "code", "documents", F.posexplode(_masked(F.col("whole"))).alias("place", "word"))
+    own = words(F.col("whole"))
+    places = distinct.select(*LEAF, "code", "documents", F.posexplode(_masked(F.col("whole"), own)).alias("place", "word"))
     constant = (
         places.filter(F.col("word") != VARIABLE)
         .groupBy(*LEAF, "place", "word")
@@ -122,109 +123,73 @@ def _templates(lines: DataFrame, codes: DataFrame) -> DataFrame:
     )
 
 
-def _shingles(docs: DataFrame, text: str, bodies: DataFrame) -> DataFrame:
-    """body, n and own (the distinct hashed shingles) of the texts with these hashes, written."""
-    folded = F.translate(F.col(text), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    texts = docs.select(F.xxhash64(text).alias("body"), folded.alias("folded")).join(bodies, "body", "left_semi")
-    coded = texts.dropDuplicates(["body"]).select("body", F.transform(words(F.col("folded")), lambda w: F.xxhash64(w)).alias("coded"))
-    c = F.col("coded")
-    every = runs(c, SHINGLE, lambda i: F.xxhash64(*(F.get(c, i + k) for k in range(SHINGLE))))
-    own = F.array_distinct(F.when(F.size(c) < SHINGLE, F.array(F.xxhash64(c))).otherwise(every))
-    return written(coded.select("body", own.alias("own")).select("body", F.size("own").alias("n"), "own"))
-
-
-def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the distinct pairs (u, v) whose shingles' Jaccard has the percentage, written."""
-    sizes = sets.select("body", "n")
-    for end in ("u", "v"):
-        pairs = pairs.join(sizes.select(F.col("body").alias(end), F.col("n").alias(f"n_{end}")), end)
-    fit = written(pairs.filter(100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v")))
-    for end in ("u", "v"):
-        fit = fit.join(sets.select(F.col("body").alias(end), F.col("own").alias(f"own_{end}")), end)
-    both = F.size(F.array_intersect("own_u", "own_v"))
-    return written(fit.filter(100 * both >= percent * (F.col("n_u") + F.col("n_v") - both)).select("u", "v"))
-
-
-def _picked(held: DataFrame) -> DataFrame:
-    """A few texts of every template, those with the smallest hashes."""
-    place = Window.partitionBy("template").orderBy("body")
-    return written(held.select("template", "need", "body").withColumn("place", F.row_number().over(place)).filter(F.col("place") <= SAMPLE).drop("place"))
-
+def _phrases(docs: DataFrame, text: str) -> DataFrame:
+    """body and the distinct hashed phrases of every text, as one array."""
+    cut = F.split(F.regexp_replace(F.replace(F.col(text), F.lit("n "), F.lit("n.")), "\n", "."), BETWEEN_PHRASES)
+    long = F.filter(cut, lambda p: F.octet_length(p) >= PHRASE_BYTES)
+    return docs.select(
+        text_code(F.col(text)).alias("body"), F.array_distinct(F.transform(long, lambda p: F.xxhash64(p))).alias("own")
+    )
 
-def _independent(held: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """The templates of ``held`` (template, need, body: distinct) that are in ``need`` texts which are no
-    copies of one another.
 
-    Most templates show that in the first few texts. For the others these are compared with all
-    texts of the template, copies are joined to groups, and further texts are taken from outside
-    the groups seen so far, until there are enough groups or no texts left.
-    """
-    some = _picked(held)
-    sets = _shingles(docs, text, written(held.select("body").distinct()))
-    a, b = some.alias("a"), some.alias("b")
-    two = a.join(b, F.col("a.template") == F.col("b.template")).filter(F.col("a.body") < F.col("b.body"))
-    two = two.select("a.template", "a.need", F.col("a.body").alias("u"), F.col("b.body").alias("v"))
-    near = _alike(two.select("u", "v").distinct(), sets, APART_PERCENT)
-    later = two.join(near, ["u", "v"], "left_semi").select("template", F.col("v").alias("body")).distinct()
-    apart = some.join(later, ["template", "body"], "left_anti").groupBy("template", "need").agg(F.count("*").alias("d"))
-    accepted = written(apart.filter("d >= need").select("template"))
-    rest = written(held.join(checked_broadcast(accepted, BROADCAST_ROWS), "template", "left_anti"))
-    leaders, links = some.join(rest.select("template").distinct(), "template", "left_semi"), None
-    while not leaders.isEmpty():
-        one = checked_broadcast(leaders.select("template", F.col("body").alias("one")), BROADCAST_ROWS)
-        pairs = rest.join(one, "template").filter("body <> one")
-        fresh = _alike(pairs.select(F.least("body", "one").alias("u"), F.greatest("body", "one").alias("v")).distinct(), sets, COPY_PERCENT)
-        links = fresh if links is None else written(links.unionByName(fresh).distinct())
-        named = rest.join(written(components(links)).withColumnRenamed("node", "body"), "body", "left")
-        named = written(named.withColumn("group", F.coalesce("component", "body")).drop("component"))
-        seen = written(named.join(checked_broadcast(leaders.select("template", "body"), BROADCAST_ROWS), ["template", "body"], "left_semi").select("template", "need", "group").distinct())
-        enough = written(seen.groupBy("template", "need").agg(F.count("*").alias("d")).filter("d >= need").select("template"))
-        accepted = written(accepted.unionByName(enough))
-        outside = named.join(checked_broadcast(enough, BROADCAST_ROWS), "template", "left_anti")
-        outside = written(outside.join(checked_broadcast(seen.select("template", "group"), BROADCAST_ROWS), ["template", "group"], "left_anti"))
-        more = written(outside.select("template").distinct())
-        rest = written(rest.join(checked_broadcast(more, BROADCAST_ROWS), "template", "left_semi"))
-        leaders = written(leaders.join(more, "template", "left_semi").unionByName(_picked(outside)))
-    return accepted
-
-
-def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Lines to drop: row key and line number, of every line whose template recurs."""
-    lines = split_lines(docs, key, text)
-    codes = written(lines.select(*ROW, "body", "line", *LEAF, "code", "long"))
-    named = written(_templates(lines, codes))
-    found = codes.join(named, [*LEAF, "code"]).select(*ROW, "body", "line", "template", F.lit(LEAST_DOCUMENTS).alias("need"))
-    whole = codes.filter("long").select(
-        *ROW, "body", "line", F.xxhash64(F.lit("long"), *LEAF, "code").alias("template"), F.lit(LEAST_DOCUMENTS_LONG).alias("need")
+def units(docs: DataFrame, bodies: DataFrame, text: str = "text") -> DataFrame:
+    """body and unit of those of the texts with these hashes that share half of their phrases with others."""
+    sets = written(
+        _phrases(docs, text).join(bodies, "body", "left_semi").groupBy("body").agg(F.any_value("own").alias("own")).withColumn("n", F.size("own"))
+    )
+    shared = sets.select("body", "n", F.explode("own").alias("phrase"))
+    ends = shared.groupBy("phrase").agg(F.min("body").alias("first"), F.max("body").alias("last")).filter("first < last")
+    led = shared.join(written(ends), "phrase").select("body", "n", F.explode(F.array("first", "last")).alias("leader"))
+    tried = (
+        led.filter("body <> leader")
+        .groupBy("body", "n", "leader")
+        .agg(F.count("*").alias("c"))
+        .filter(F.col("c") * LED >= F.col("n"))
+        .select(F.least("body", "leader").alias("u"), F.greatest("body", "leader").alias("v"))
     )
-    found = written(found.unionByName(whole))
+    pairs = written(tried.distinct())
+    for end in ("u", "v"):
+        pairs = pairs.join(sets.select(F.col("body").alias(end), F.col("own").alias(f"own_{end}")), end)
+    half = 3 * F.size(F.array_intersect("own_u", "own_v")) >= F.size("own_u") + F.size("own_v")
+    return components(written(pairs.filter(half).select("u", "v"))).select(F.col("node").alias("body"), F.col("component").alias("unit"))
+
+
+def recurring_lines(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Lines to drop: body (``text_code``) and line number, of every line whose template recurs."""
+    lines = written(split_lines(docs, text))
+    codes = lines.select("body", "line", *LEAF, "code", "need", "solid")
+    by_tree = codes.join(written(_templates(lines)), [*LEAF, "code"]).select("body", "line", "template", F.lit(LEAST_DOCUMENTS).alias("need"))
+    alone = codes.filter(F.col("solid") & (F.col("need") < LEAST_DOCUMENTS))
+    alone = alone.select("body", "line", F.xxhash64(F.lit("alone"), *LEAF, "code").alias("template"), "need")
+    found = by_tree.unionByName(alone)
+    # every template's texts; most lines recur nowhere and end here
     held = found.select("template", "need", "body").distinct()
-    often = written(held.groupBy("template", "need").agg(F.count("*").alias("d")).filter("d >= need").select("template"))
-    dropped = _independent(written(held.join(often, "template", "left_semi")), docs, text)
-    return found.join(dropped, "template", "left_semi").select(*ROW, "line").distinct()
+    often = written(held.groupBy("template").agg(F.count("*").alias("d"), F.min("need").alias("need")).filter("d >= need").select("template"))
+    found = written(found.join(often, "template", "left_semi"))
+    bodies = written(found.select("body").distinct())
+    joined = written(units(docs, bodies, text))
+    evidence = found.select("template", "need", "body").distinct().join(joined, "body", "left")
+    evidence = evidence.select("template", "need", F.coalesce("unit", "body").alias("unit")).distinct()
+    dropped = evidence.groupBy("template").agg(F.count("*").alias("d"), F.min("need").alias("need")).filter("d >= need").select("template")
+    return found.join(written(dropped), "template", "left_semi").select("body", "line").distinct()
 
 
-def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the recurring lines, plus n_lines and n_dropped.
 
     All rows stay, a text may end up empty. A null text stays null with 0 lines, an empty text
-    has one line; repeated rows are treated alike and count as one document; null keys are fine.
-    An empty table gives an empty table. Columns stay, but for those with one of the new names.
-    Lines are split at ``\\n`` only; what is kept stays as it was.
+    has one line; rows of equal text are treated alike and count as one document. An empty table
+    gives an empty table. Columns of any name stay, but for those with one of the new names.
+    Lines are split at ``\\n`` only; what is kept stays as it was. A line of any length is read whole.
     """
-    gone = (
-        recurring_lines(docs, key, text).groupBy(*ROW).agg(F.sort_array(F.collect_set("line")).alias("__gone"))
-    )
-    gone = checked_broadcast(written(gone), BROADCAST_ROWS)
+    gone = written(recurring_lines(docs, text).groupBy("body").agg(F.collect_list("line").alias("gone")))
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    joined = docs.select(*names, *row_key(docs, key, text)).alias("a").join(gone.alias("b"), same_row("a", "b"), "left")
-    parts = F.split(F.col(f"a.{text}"), "\n")
-    kept = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains("__gone", i)), "\n")
+    joined = packed(docs, names, body=text_code(F.col(text))).join(gone, "body", "left")
+    own = F.col("row").getField(text)
+    parts = F.split(own, "\n")
+    kept = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains("gone", i)), "\n")
     return joined.select(
-        *(
-            (F.when(F.col("__gone").isNull(), F.col(f"a.{c}")).otherwise(kept).alias(c) if c == text else F.col(f"a.{c}"))
-            for c in names
-        ),
+        *unpacked(names, {text: F.when(F.col("gone").isNull(), own).otherwise(kept)}),
         F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("n_lines"),
-        F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long").alias("n_dropped"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )

@@ -82,46 +82,74 @@ def op2_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP2_SQL = r"""
-with docs as (select distinct doc_id, text from documents),
-raw as (
-  select doc_id, text, unnest(string_split(text, chr(10))) as own, generate_subscripts(string_split(text, chr(10)), 1) as line
-  from docs
+with recursive texts as (
+  select distinct text, ('0x' || md5(text)[1:15])::bigint as body from documents where text is not null
+), raw as (
+  select body, unnest(string_split(text, chr(10))) as whole, generate_subscripts(string_split(text, chr(10)), 1) as line from texts
 ), worded as (
-  select doc_id, text, line, list_filter(regexp_split_to_array(own, '[\x20\x09-\x0D]+'), lambda w: w <> '') as own from raw
+  select body, line, whole, list_filter(regexp_split_to_array(whole, '[\x20\x09-\x0D]+'), lambda w: w <> '') as own,
+    regexp_replace(whole, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') as trimmed,
+    length(regexp_replace(whole, '[^\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]', '', 'g')) as letters
+  from raw
 ), masked as (
-  select doc_id, text, line, len(own) as n,
-    list_transform(own, lambda w: case when regexp_matches(w, '[0-9]') then '<*>' else w end) as masked
-  from worded where len(own) >= 3
-), lines as (select *, masked[1:4] as leaf from masked),
-busy as (select n, leaf from lines group by all having count(*) >= 5),
-distinct_lines as (
-  select n, leaf, masked, count(distinct (doc_id, text)) as documents
-  from lines semi join busy using (n, leaf) group by all
+  select body, line, whole, letters, case
+    when len(own) < 3 then [regexp_replace(trimmed, '[0-9]+', '<*>', 'g')]
+    else list_transform(own, lambda w: case when regexp_matches(w, '[0-9]') then '<*>' else w end) end as masked
+  from worded where len(own) >= 3 or length(trimmed) >= 10 or letters >= 6
+), lines as (
+  select body, line, len(masked) as n, masked[1:4] as leaf, masked,
+    least(5, greatest(2, 6 - greatest(len(masked), length(whole) // 5, letters // 2) // 5)) as need,
+    len(list_filter(masked, lambda w: w <> '<*>')) >= 0.5 * len(masked) as solid
+  from masked
+), distinct_lines as (
+  select n, leaf, masked, count(distinct body) as documents from lines group by all
 ), places as (
   select n, leaf, masked, documents, unnest(masked) as word, generate_subscripts(masked, 1) as place from distinct_lines
 ), constant as (
   select n, leaf, place, word from places where word <> '<*>' group by all having sum(documents) >= 5
 ), named as (
   select n, leaf, masked, list((place, word) order by place) as template
-  from places semi join constant using (n, leaf, place, word) group by all
+  from places semi join constant using (n, leaf, place, word) group by all having count(*) >= 0.5 * n
 ), found as (
-  select doc_id, text, line, n, (n, leaf, template) as template
-  from lines join named using (n, leaf, masked) where len(template) >= 0.5 * n
+  select body, line, (n, leaf, template, null::varchar[]) as template, 5 as need from lines join named using (n, leaf, masked)
+  union all
+  select body, line, (n, null, null, masked), need from lines where solid and need < 5
 ), often as (
-  select * from found where template in (select template from found group by 1 having count(distinct (doc_id, text)) >= 5)
-), sizes as (select doc_id, text, sum(n) as n_all from lines group by all),
-copies as (
-  select doc_id, text from often join sizes using (doc_id, text) group by all having sum(n) > 0.5 * any_value(n_all)
-), final as (
-  select template from often anti join copies using (doc_id, text) group by 1 having count(distinct (doc_id, text)) >= 5
+  select * from found
+  where template in (select template from found group by 1 having count(distinct body) >= min(need))
+), phrases as (
+  select distinct body, phrase
+  from (select body, unnest(regexp_split_to_array(replace(replace(text, 'n ', 'n.'), chr(10), '.'), '[.,;:!?。，、！？；：]+')) as phrase
+    from texts where body in (select body from often))
+  where strlen(phrase) >= 8
+), sizes as (select body, count(*) as n from phrases group by 1),
+ends as (
+  select phrase, unnest([min(body), max(body)]) as leader from phrases group by 1 having count(*) > 1
+), tried as (
+  select body, leader from phrases join ends using (phrase) join sizes using (body)
+  where body <> leader group by body, leader, n having 8 * count(*) >= n
+), links as (
+  select t.body as u, leader as v
+  from tried t join phrases a on a.body = t.body join phrases b on b.body = t.leader and a.phrase = b.phrase
+    join sizes m on m.body = t.body join sizes n on n.body = t.leader
+  group by t.body, leader, m.n, n.n having 3 * count(*) >= m.n + n.n
+), both_ways as (select u, v from links union select v, u from links),
+reach as (
+  select distinct u as body, u as now from both_ways
+  union
+  select body, v from reach join both_ways on now = u
+), units as (select body, min(now) as unit from reach group by 1),
+dropped as (
+  select template from often left join units using (body) group by 1 having count(distinct coalesce(unit, body)) >= min(need)
 ), gone as (
-  select doc_id, text, list(line) as gone from often where template in (select template from final) group by all
+  select text, list(distinct line) as gone
+  from often join texts using (body) where template in (select template from dropped) group by 1
 )
 select d.doc_id,
   case when gone is null then d.text else array_to_string(
     list_filter(string_split(d.text, chr(10)), lambda l, i: not list_contains(gone, i)), chr(10)) end as text,
   coalesce(len(string_split(d.text, chr(10))), 0) as n_lines, coalesce(len(gone), 0) as n_dropped
-from documents d left join gone g on d.doc_id is not distinct from g.doc_id and d.text = g.text
+from documents d left join gone g on d.text = g.text
 """
 
 

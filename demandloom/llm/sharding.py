@@ -18,14 +18,13 @@ gives at most BINS rows a node to the driver, however many documents there are;
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from demandloom.llm.common import written
+from demandloom.llm.common import text_code, written
 
 #: A text is whole within a shard unless all its copies hold more than this part of a shard.
 PIECES = 50
@@ -33,16 +32,11 @@ PIECES = 50
 BINS = 1024
 #: Documents that are numbered in one task, on average.
 NUMBERED_AT_ONCE = 65_536
-#: Bits of the hashes that order points: 15 hexadecimal digits of an MD5.
+#: Bits of ``text_code``, which orders points.
 HASH_BITS = 60
 DIMENSIONS = ("c0", "c1", "c2")
 
 
-def _hash(c: Column) -> Column:
-    """The first 60 bits of the MD5, a non-negative long."""
-    return F.conv(F.substring(F.md5(c), 1, HASH_BITS // 4), 16, 10).cast("long")
-
-
 def _category(c: Column) -> Column:
     """0 to 255 by hash, and -1 for null: equal values stay together, order means nothing."""
     return F.coalesce(F.conv(F.substring(F.md5(c.cast("string")), 1, 2), 16, 10).cast("int"), F.lit(-1))
@@ -69,11 +63,11 @@ class _Node:
         return self.below
 
 
-def _place(node: _Node, at: Callable[[_Node], Column] = lambda n: F.lit(n.first)) -> Column:
-    """``at`` of the lowest node that a point has reached, by default its first shard."""
+def _place(node: _Node) -> Column:
+    """The first shard of the lowest node that a point has reached."""
     if not node.below:
-        return at(node)
-    left, right = (_place(n, at) for n in node.below)
+        return F.lit(node.first)
+    left, right = (_place(n) for n in node.below)
     if node.cut is None:
         return right
     value, code, piece = node.cut
@@ -94,10 +88,9 @@ class _Search:
     low: int = 0
     width: int = 1
 
-    def state(self) -> Column:
-        own = F.col(DIMENSIONS[self.node.dimension]).cast("long")
-        numbers = {"node": self.node.first, "stage": self.stage, "value": self.value, "low": self.low, "width": self.width}
-        return F.struct(*(F.lit(x).cast("long").alias(k) for k, x in numbers.items()), own.alias("own"))
+    def row(self) -> str:
+        numbers = (self.node.first, self.node.dimension, self.stage, self.value, self.low, self.width)
+        return f"({', '.join(f'{x}L' for x in numbers)})"
 
     def narrow(self, bins: list) -> bool:
         """Take one round's (bin, bytes, least and greatest hash, units) in order; whether the split is found."""
@@ -134,14 +127,22 @@ class _Search:
 
 def _round(points: DataFrame, root: _Node, searches: list[_Search]) -> dict[int, list]:
     """One histogram for every open search, by node."""
-    searched = {s.node.first: s.state() for s in searches}
+    state = F.broadcast(  # a row a node of one level, fewer than there are shards
+        points.sparkSession.sql(
+            f"select * from values {', '.join(s.row() for s in searches)} as s(node, dimension, stage, value, low, width)"
+        )
+    )
+    own = F.coalesce(*(F.when(F.col("dimension") == d, F.col(c)) for d, c in enumerate(DIMENSIONS)))
     offset = F.col("code") - F.col("low")
-    inside = F.when(F.col("stage") == 1, (offset >= 0) & (offset < F.col("width") * BINS)).otherwise(offset == 0)
     open_rows = (
-        points.withColumn("search", _place(root, lambda n: searched.get(n.first, F.lit(None))))
-        .filter("search is not null")
-        .select("code", "piece", "pieces", "size", "search.*")
-        .filter((F.col("stage") == 0) | ((F.col("own") == F.col("value")) & inside))
+        # sizes are never negative: at the root this keeps the join one of equal keys
+        points.withColumn("node", F.when(F.col("size") < 0, -1).otherwise(_place(root)).cast("long"))
+        .join(state, "node")
+        .withColumn("own", own)
+        .filter(
+            (F.col("stage") == 0)
+            | ((F.col("own") == F.col("value")) & F.when(F.col("stage") == 1, (offset >= 0) & (offset < F.col("width") * BINS)).otherwise(offset == 0))
+        )
     )
     key = F.when(F.col("stage") == 0, F.col("own")).when(F.col("stage") == 1, F.expr("(code - low) div width")).otherwise(F.col("piece"))
     found = (
@@ -189,9 +190,9 @@ def points_of(docs: DataFrame, shards: int, key: str, text: str, categories: tup
     narrow = written(
         docs.select(
             F.col(key).alias("doc_id"), (F.octet_length(body).cast("long") + 16).alias("size"),
-            F.crc32(body.cast("binary")).alias("text_crc32"), _hash(body).alias("code"),
+            F.crc32(body.cast("binary")).alias("text_crc32"), text_code(body).alias("code"),
             *(_category(F.col(c)).alias(f"c{k + 1}") for k, c in enumerate(categories)),
-        ).withColumn("row", _hash(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("code").cast("string"))))
+        ).withColumn("row", text_code(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("code").cast("string"))))
     )
     groups = written(
         narrow.groupBy("code").agg(F.sum("size").alias("bytes"), F.max("size").alias("size"), F.min("c1").alias("c1"), F.min("c2").alias("c2"))

@@ -183,6 +183,37 @@ def test_long_lines_recur_from_two_documents_on(spark):
         assert out[k] == [p for i, p in enumerate(parts) if i not in gone], k
 
 
+def test_a_chain_of_near_copies_is_one_unit(spark):
+    """Neighbours of the chain are near copies, its ends are not; twelve other documents do share the line."""
+    rnd = random.Random(12)
+    line, spread = letters(rnd, 25), letters(rnd, 25)
+    own, rows = [letters(rnd, 12) for _ in range(20)], []
+    for k in range(12):
+        rows.append((k, "\n".join([*own[:10], line, *own[10:]])))
+        own[3 * k % 20], own[(3 * k + 1) % 20] = letters(rnd, 12), letters(rnd, 12)
+    rows += [(100 + k, f"{letters(rnd, 30)}\n{spread}\n{letters(rnd, 30)}") for k in range(12)]
+    rows += [(200, " ".join(letters(rnd, 30) for _ in range(2000)) + f"\n{spread}\n" + "\n".join(letters(rnd, 6) for _ in range(3000)))]
+    out = {r.doc_id: (r.text, r.n_dropped) for r in lines.drop_lines(docs_of(spark, rows)).collect()}
+    for k, text in rows:
+        assert out[k] == ((text, 0) if k < 100 else (text.replace(f"\n{spread}", ""), 1)), k
+
+
+def test_needed_documents_fall_step_by_step(spark):
+    got = [r[0] for r in spark.range(0, 40).select(lines.needed(F.col("id"))).collect()]
+    assert got == [5] * 10 + [4] * 5 + [3] * 5 + [2] * 20
+
+
+@pytest.mark.parametrize("names", [("body", "gone", "row"), ("line", "template", "n"), ("__key", "__text", "__gone"), ("n_lines", "unit", "own")])
+def test_lines_of_tables_with_clashing_names(spark, names):
+    rows = [(k, f"own text {'abcdefghij'[k]} here\nAll rights are reserved by somebody") for k in range(6)]
+    docs = docs_of(spark, rows)
+    for name in names:
+        docs = docs.withColumn(name, F.lit("clash"))
+    out = lines.drop_lines(docs).collect()
+    assert {r.n_dropped for r in out} == {1} and all(r[c] == "clash" for r in out for c in names if c != "n_lines")
+    assert lines.drop_lines(docs.limit(0)).count() == 0
+
+
 # --- decontamination ----------------------------------------------------------------------
 
 
