@@ -101,3 +101,12 @@ def discard(spark: SparkSession, paths: list[str]) -> None:
     while paths:
         path = jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(conf).delete(path, True)
+
+
+def kept_only(make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` returns, written; the tables written on the way are deleted."""
+    with owned() as paths:
+        made = make()
+    out = written(made)
+    discard(out.sparkSession, paths)
+    return out

@@ -8,7 +8,7 @@ holds (``needed``). Templates that recur in enough documents are boilerplate, an
 
 A copied document repeats all its lines without any of them being boilerplate. So a template's
 documents are counted in units: equal texts are one document, and documents that share at least half of
-their phrases are joined, however many they are and over others too. Phrases are what punctuation
+their phrases are joined, however many they are and over others too. Phrases are what full stops
 and words that end in ``n`` cut a line into, so an edit changes one of many. Every document is compared
 with the first and the last document, by hash, of each phrase that it shares, where these hold an
 eighth of its phrases; so the comparisons grow with the documents, not with the pairs.
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import packed, text_code, unpacked, words, written
+from demandloom.llm.common import BLANKS, kept_only, packed, text_code, unpacked, written
 from demandloom.llm.components import components
 
 #: Leading words on the way to a leaf.
@@ -37,8 +37,8 @@ NO_BLANKS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer
 LEAST_DOCUMENTS = 5
 #: Part of a template's places that must be constant.
 LEAST_CONSTANT = 0.5
-#: What separates phrases, beside words that end in ``n``, and the bytes that a phrase has at least.
-BETWEEN_PHRASES = "[.,;:!?。，、！？；：]+"
+#: A phrase ends at a full stop or at one of these, and has that many bytes at least.
+PHRASE_ENDS = ("n ", "\n", "。", "，")
 PHRASE_BYTES = 8
 #: A document is compared with those that lead this part of its phrases, one in ...
 LED = 8
@@ -59,54 +59,65 @@ def _script_letters(line: Column) -> Column:
     return F.when(F.octet_length(line) > F.length(line), F.regexp_count(line, F.lit(f"[{NO_BLANKS}]"))).otherwise(0)
 
 
-def _masked(line: Column, own: Column) -> Column:
-    """Words of a line, those with a digit as variables; too few words are one, with variable digits."""
-    whole = F.array(F.regexp_replace(F.btrim(line, F.lit(" \t\n\x0b\f\r")), "[0-9]+", VARIABLE))
-    variable = F.transform(own, lambda w: F.when(w.rlike("[0-9]"), F.lit(VARIABLE)).otherwise(w))
-    return F.when(F.size(own) < LEAST_WORDS, whole).when(line.rlike("[0-9]"), variable).otherwise(own)
-
-
-def _taken(own: Column, line: Column) -> Column:
-    trimmed = F.length(F.btrim(line, F.lit(" \t\n\x0b\f\r")))
-    return (F.size(own) >= LEAST_WORDS) | (trimmed >= LEAST_CHARS) | (_script_letters(line) >= LEAST_LETTERS)
-
-
 def split_lines(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Every line with enough words: body (a hash of the text), line (from 0), whole, n (words), leaf, code, need and solid.
+    """Every line with enough words: body (a hash of the text), line (from 0), masked, n (words), leaf, code, need and solid.
 
-    ``leaf`` and ``code`` are 64-bit hashes of the leading words and of the whole masked line; ``solid`` lines
+    ``masked`` has the words, those with a digit as variables, with one blank between them; too few words are one, with
+    variable digits. ``leaf`` and ``code`` are 64-bit hashes of its leading words and of all of it; ``solid`` lines
     have enough constant places to be a template by themselves, which needs ``need`` documents.
     """
-    # each step of a line is computed once, inside the array, before the lines become rows
-    split = F.transform(F.split(F.col(text), "\n"), lambda x, k: F.struct(k.alias("line"), x.alias("whole"), words(x).alias("own")))
-    taken = F.filter(split, lambda x: _taken(x["own"], x["whole"]))
-    masked = F.transform(taken, lambda x: F.struct(x["line"].alias("line"), x["whole"].alias("whole"), _masked(x["whole"], x["own"]).alias("masked")))
-    rows = docs.select(text_code(F.col(text)).alias("body"), F.explode(masked).alias("x")).select("body", "x.*")
-    n, constant = F.size("masked"), F.size(F.filter("masked", lambda w: w != VARIABLE))
-    weight = F.greatest(
-        n, F.floor(F.length("whole") / CHARS_A_WORD), F.floor(_script_letters(F.col("whole")) / LETTERS_A_WORD)
-    )
-    return rows.select(
-        "body", "line", "whole", n.alias("n"), F.xxhash64(F.slice("masked", 1, DEPTH)).alias("leaf"),
-        F.xxhash64("masked").alias("code"), needed(weight).alias("need"), (constant >= n * LEAST_CONSTANT).alias("solid"),
+    # the text ends here: behind the generator it would go along with every line
+    texts = docs.select(text_code(F.col(text)).alias("body"), F.split(F.col(text), "\n").alias("lines"))
+    rows = texts.select("body", F.posexplode("lines").alias("line", "whole"))
+    trimmed = F.btrim("whole", F.lit(" \t\n\x0b\f\r"))
+    uneven = F.lit(False)
+    for blank in ("  ", "\t", "\x0b", "\f", "\r"):
+        uneven = uneven | F.contains("trimmed", F.lit(blank))
+    even = F.when(uneven, F.regexp_replace("trimmed", BLANKS, " ")).otherwise(F.col("trimmed"))
+    blanks = F.octet_length("even") - F.octet_length(F.replace("even", F.lit(" ")))
+    number = F.when(F.col("even") == "", 0).otherwise(blanks + 1)
+    digits = F.col("even").rlike("[0-9]")
+    masked = F.when(F.col("words") >= LEAST_WORDS, F.when(digits, F.regexp_replace("even", "[^ ]*[0-9][^ ]*", VARIABLE)).otherwise(F.col("even")))
+    few = F.when(digits, F.regexp_replace("trimmed", "[0-9]+", VARIABLE)).otherwise(F.col("trimmed"))
+    weight = F.greatest("n", F.floor(F.length("whole") / CHARS_A_WORD), F.floor(F.col("letters") / LETTERS_A_WORD))
+    variable = F.when(
+        F.contains("masked", F.lit(VARIABLE)), F.size(F.filter(_places(), lambda w: w == VARIABLE))
+    ).otherwise(0)
+    return (
+        rows.select("body", "line", "whole", trimmed.alias("trimmed"))
+        .withColumn("even", even)
+        .withColumn("words", number)
+        .withColumn("letters", _script_letters(F.col("whole")))
+        .withColumn("masked", F.coalesce(masked, few))
+        .withColumn("n", F.when(F.col("words") >= LEAST_WORDS, F.col("words")).otherwise(1))
+        .select(
+            "body", "line", "masked", "n",
+            F.xxhash64(F.when(F.col("n") > 1, F.substring_index("masked", " ", DEPTH)).otherwise(F.col("masked"))).alias("leaf"),
+            F.xxhash64("masked").alias("code"), needed(weight).alias("need"),
+            (F.col("n") - variable >= F.col("n") * LEAST_CONSTANT).alias("solid"),
+            ((F.col("words") >= LEAST_WORDS) | (F.length("trimmed") >= LEAST_CHARS) | (F.col("letters") >= LEAST_LETTERS)).alias("taken"),
+        )
     )
 
 
+def _places() -> Column:
+    """The words of a masked line."""
+    return F.when(F.col("n") > 1, F.split("masked", " ")).otherwise(F.array("masked"))
+
+
 def _templates(lines: DataFrame) -> DataFrame:
     """n, leaf, code -> template of every distinct line whose leaf may hold a recurring one."""
     busy = written(lines.groupBy(*LEAF).agg(F.count("*").alias("lines")).filter(F.col("lines") >= LEAST_DOCUMENTS).select(*LEAF))
     side = F.broadcast(busy) if busy.count() <= BROADCAST_LEAVES else busy
     # one row per distinct line: a very common line is one row from here on
     distinct = written(
-        lines.select("body", *LEAF, "code", "whole")
+        lines.select("body", *LEAF, "code", "masked")
         .join(side, LEAF, "left_semi")
-        .groupBy("body", *LEAF, "code")
-        .agg(F.any_value("whole").alias("whole"))
-        .groupBy(*LEAF, "code")
-        .agg(F.any_value("whole").alias("whole"), F.count("*").alias("documents"))
+        .distinct()
+        .groupBy(*LEAF, "code", "masked")
+        .agg(F.count("*").alias("documents"))
     )
-    own = words(F.col("whole"))
-    places = distinct.select(*LEAF, "code", "documents", F.posexplode(_masked(F.col("whole"), own)).alias("place", "word"))
+    places = distinct.select(*LEAF, "code", "documents", F.posexplode(_places()).alias("place", "word"))
     constant = (
         places.filter(F.col("word") != VARIABLE)
         .groupBy(*LEAF, "place", "word")
@@ -125,8 +136,10 @@ def _templates(lines: DataFrame) -> DataFrame:
 
 def _phrases(docs: DataFrame, text: str) -> DataFrame:
     """body and the distinct hashed phrases of every text, as one array."""
-    cut = F.split(F.regexp_replace(F.replace(F.col(text), F.lit("n "), F.lit("n.")), "\n", "."), BETWEEN_PHRASES)
-    long = F.filter(cut, lambda p: F.octet_length(p) >= PHRASE_BYTES)
+    marked = F.col(text)
+    for end in PHRASE_ENDS:
+        marked = F.replace(marked, F.lit(end), F.lit(f"{end.strip()}."))
+    long = F.filter(F.split(marked, r"\."), lambda p: F.octet_length(p) >= PHRASE_BYTES)
     return docs.select(
         text_code(F.col(text)).alias("body"), F.array_distinct(F.transform(long, lambda p: F.xxhash64(p))).alias("own")
     )
@@ -156,7 +169,7 @@ def units(docs: DataFrame, bodies: DataFrame, text: str = "text") -> DataFrame:
 
 def recurring_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     """Lines to drop: body (``text_code``) and line number, of every line whose template recurs."""
-    lines = written(split_lines(docs, text))
+    lines = written(split_lines(docs, text)).filter("taken")
     codes = lines.select("body", "line", *LEAF, "code", "need", "solid")
     by_tree = codes.join(written(_templates(lines)), [*LEAF, "code"]).select("body", "line", "template", F.lit(LEAST_DOCUMENTS).alias("need"))
     alone = codes.filter(F.col("solid") & (F.col("need") < LEAST_DOCUMENTS))
@@ -182,9 +195,10 @@ def drop_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     gives an empty table. Columns of any name stay, but for those with one of the new names.
     Lines are split at ``\\n`` only; what is kept stays as it was. A line of any length is read whole.
     """
-    gone = written(recurring_lines(docs, text).groupBy("body").agg(F.collect_list("line").alias("gone")))
+    gone = kept_only(lambda: recurring_lines(docs, text).groupBy("body").agg(F.collect_list("line").alias("gone")))
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    joined = packed(docs, names, body=text_code(F.col(text))).join(gone, "body", "left")
+    # by shuffle at every size: the lines to drop grow with the documents
+    joined = packed(docs, names, body=text_code(F.col(text))).join(gone.hint("merge"), "body", "left")
     own = F.col("row").getField(text)
     parts = F.split(own, "\n")
     kept = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains("gone", i)), "\n")

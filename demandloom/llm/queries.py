@@ -119,7 +119,7 @@ with recursive texts as (
   where template in (select template from found group by 1 having count(distinct body) >= min(need))
 ), phrases as (
   select distinct body, phrase
-  from (select body, unnest(regexp_split_to_array(replace(replace(text, 'n ', 'n.'), chr(10), '.'), '[.,;:!?。，、！？；：]+')) as phrase
+  from (select body, unnest(string_split(replace(replace(replace(replace(text, 'n ', 'n.'), chr(10), '.'), '。', '。.'), '，', '，.'), '.')) as phrase
     from texts where body in (select body from often))
   where strlen(phrase) >= 8
 ), sizes as (select body, count(*) as n from phrases group by 1),
