@@ -12,15 +12,17 @@ library's encoding of its bytes when every arc on its path exists. Writing all a
 need the square of the vocabulary, so a gadget is kept as what it changed (parent states and the
 removed arc, each with its rank) and an arc is resolved through the gadgets when first used.
 
-Encoding reads a word once from left to right. Every prefix has exactly one path, so per position
-one arc is kept: the token that ends there and may follow the token that ends before it.
-Decoding emits the arc labels.
+Encoding reads a word once from left to right through a transition table over bytes. Its states are the
+prefixes of the labels, a transition leads to the longest one that the bytes read so far end in, and a
+state lists the labels that end there, longest first. Every prefix of a word has exactly one path, so per position one arc is
+kept: the first label of the state's list that may follow the token before it. Decoding emits the arc labels.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
 from pathlib import Path
@@ -36,8 +38,10 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 #: Fixed value: how byte-level BPE splits text before merging.
 PRE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words kept with their ids per Python worker; the table starts anew when it is full.
+#: Words kept with their ids per Python worker; the oldest half goes when they are twice as many.
 CACHED_WORDS = 400_000
+#: Arcs, and table entries beside those of the labels themselves, kept per Python worker.
+CACHED_ENTRIES = 1_000_000
 #: Texts encoded before a batch goes back, so that long texts do not pile up.
 ROWS_AT_ONCE = 1_000
 
@@ -68,7 +72,6 @@ class Automaton:
         self.labels = {i: s for s, i in self.ids.items()}
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.labels |= {i: s.encode() for s, i in self.special.items()}
-        self.longest = max(map(len, self.ids))
         self.born: dict[int, int] = {}
         self.left: dict[int, int] = {}
         self.right: dict[int, int] = {}
@@ -77,7 +80,8 @@ class Automaton:
         for rank, pair in enumerate(model["merges"]):
             first, second = pair if isinstance(pair, list) else pair.split(" ")
             self._gadget(rank, *(bytes(alphabet[c] for c in s) for s in (first, second)))
-        self.arcs: dict[tuple[int, int], bool] = {}
+        self.arcs: dict[int, bool] = {}
+        self._tabulate()
 
     def _gadget(self, rank: int, first: bytes, second: bytes) -> None:
         a, b, c = self.ids[first], self.ids[second], self.ids[first + second]
@@ -89,14 +93,51 @@ class Automaton:
         self.born[c], self.left[c], self.right[c] = rank, a, b
         self.removed[a, b] = rank
 
+    def _tabulate(self) -> None:
+        """The transition table over the labels that some path has: ``trie`` (state and byte to state),
+        ``shorter`` (the longest proper ending that is a state) and ``ends`` (labels that end here)."""
+        self.trie: dict[int, int] = {}
+        self.shorter, self.ends = [0], [()]
+        level, depth = {0: sorted(self.reachable.items())}, 0
+        while level:  # by length, so that a state's endings are there before it
+            deeper: dict[int, list[tuple[bytes, int]]] = {}
+            for state, labels in level.items():
+                for label, token in labels:
+                    key = state << 8 | label[depth]
+                    new = self.trie.get(key)
+                    if new is None:
+                        new = self.trie[key] = len(self.ends)
+                        self.shorter.append(self._follow(self.shorter[state], label[depth]) if state else 0)
+                        self.ends.append(self.ends[self.shorter[new]])
+                    if len(label) == depth + 1:
+                        self.ends[new] = ((token, depth + 1), *self.ends[self.shorter[new]])
+                    else:
+                        deeper.setdefault(new, []).append((label, token))
+            level, depth = deeper, depth + 1
+        self.table = dict(self.trie)
+
+    def _follow(self, state: int, byte: int) -> int:
+        while state and state << 8 | byte not in self.trie:
+            state = self.shorter[state]
+        return self.trie.get(state << 8 | byte, 0)
+
+    def _transition(self, key: int) -> int:
+        """An entry of the table that no label has by itself, filled in when first used."""
+        if len(self.table) >= len(self.trie) + CACHED_ENTRIES:
+            self.table = dict(self.trie)
+        found = self.table[key] = self._follow(key >> 8, key & 255)
+        return found
+
     def arc(self, state: int, token: int) -> bool:
         """Whether ``token`` may follow in ``state``."""
-        known = self.arcs.get((state, token))
-        if known is None:
-            if len(self.arcs) >= CACHED_WORDS:
-                self.arcs.clear()
-            known = self.arcs[state, token] = self._resolve(state, token)
-        return known
+        key = state << 32 | token
+        return self.arcs[key] if key in self.arcs else self._arc(key)
+
+    def _arc(self, key: int) -> bool:
+        if len(self.arcs) >= CACHED_ENTRIES:
+            self.arcs.clear()
+        found = self.arcs[key] = self._resolve(key >> 32, key & 0xFFFFFFFF)
+        return found
 
     def _resolve(self, x: int, y: int) -> bool:
         before = len(self.born) + 1
@@ -112,34 +153,49 @@ class Automaton:
                 before, x = x_born, self.right[x]
 
     def encode_word(self, word: bytes) -> list[int]:
-        table, longest = self.reachable, self.longest
-        last = [-1] * (len(word) + 1)
-        for end in range(1, len(word) + 1):
-            for start in range(max(0, end - longest), end):
-                token = table.get(word[start:end])
-                if token is not None and (not start or self.arc(last[start], token)):
-                    last[end] = token
+        table, ends, arcs = self.table, self.ends, self.arcs
+        last, state = [(-1, 0)] * (len(word) + 1), 0
+        for end, byte in enumerate(word, 1):
+            key = state << 8 | byte
+            state = table.get(key, -1)
+            if state < 0:
+                state = self._transition(key)
+                table = self.table
+            for label in ends[state]:
+                token, length = label
+                if length == end:
+                    last[end] = label
+                    break
+                key = last[end - length][0] << 32 | token
+                follows = arcs.get(key)
+                if follows if follows is not None else self._arc(key):
+                    last[end] = label
                     break
         path, end = [], len(word)
         while end:
-            path.append(last[end])
-            end -= len(self.labels[last[end]])
+            token, length = last[end]
+            path.append(token)
+            end -= length
         return path[::-1]
 
 
 class _Packed(dict):
-    """Word -> its ids as little-endian unsigned 32-bit integers, at most CACHED_WORDS words."""
+    """Word -> its ids as little-endian unsigned 32-bit integers: the last CACHED_WORDS words or more,
+    and as many before them."""
 
     def __init__(self, automaton: Automaton):
         super().__init__()
         self.automaton = automaton
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        ids = self.automaton.encode_word(word.encode())
-        packed = b"".join(i.to_bytes(4, "little") for i in ids)
+        packed = self.before.get(word)
+        if packed is None:
+            packed = array("I", self.automaton.encode_word(word.encode())).tobytes()
         if len(word) < 200:
+            if len(self) >= CACHED_WORDS:
+                self.before = dict(self)
+                self.clear()
             self[word] = packed
         return packed
 

@@ -55,8 +55,9 @@ def needed(weight: Column) -> Column:
 
 
 def _script_letters(line: Column) -> Column:
-    """Letters of scripts without blanks; plain ASCII lines are not searched."""
-    return F.when(F.octet_length(line) > F.length(line), F.regexp_count(line, F.lit(f"[{NO_BLANKS}]"))).otherwise(0)
+    """Letters of scripts without blanks, all from U+0E00 on; lines without any such character are not counted."""
+    far = (F.octet_length(line) > F.length(line)) & line.rlike(r"[\x{E00}-\x{10FFFF}]")
+    return F.when(far, F.regexp_count(line, F.lit(f"[{NO_BLANKS}]"))).otherwise(0)
 
 
 def split_lines(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -105,6 +106,11 @@ def _places() -> Column:
     return F.when(F.col("n") > 1, F.split("masked", " ")).otherwise(F.array("masked"))
 
 
+def _shuffled(df: DataFrame) -> DataFrame:
+    """Written, and joined by shuffle at every size: a side that grows with the documents."""
+    return written(df).hint("merge")
+
+
 def _templates(lines: DataFrame) -> DataFrame:
     """n, leaf, code -> template of every distinct line whose leaf may hold a recurring one."""
     busy = written(lines.groupBy(*LEAF).agg(F.count("*").alias("lines")).filter(F.col("lines") >= LEAST_DOCUMENTS).select(*LEAF))
@@ -148,11 +154,11 @@ def _phrases(docs: DataFrame, text: str) -> DataFrame:
 def units(docs: DataFrame, bodies: DataFrame, text: str = "text") -> DataFrame:
     """body and unit of those of the texts with these hashes that share half of their phrases with others."""
     sets = written(
-        _phrases(docs, text).join(bodies, "body", "left_semi").groupBy("body").agg(F.any_value("own").alias("own")).withColumn("n", F.size("own"))
+        _phrases(docs, text).join(bodies.hint("merge"), "body", "left_semi").groupBy("body").agg(F.any_value("own").alias("own")).withColumn("n", F.size("own"))
     )
     shared = sets.select("body", "n", F.explode("own").alias("phrase"))
     ends = shared.groupBy("phrase").agg(F.min("body").alias("first"), F.max("body").alias("last")).filter("first < last")
-    led = shared.join(written(ends), "phrase").select("body", "n", F.explode(F.array("first", "last")).alias("leader"))
+    led = shared.join(_shuffled(ends), "phrase").select("body", "n", F.explode(F.array("first", "last")).alias("leader"))
     tried = (
         led.filter("body <> leader")
         .groupBy("body", "n", "leader")
@@ -162,7 +168,7 @@ def units(docs: DataFrame, bodies: DataFrame, text: str = "text") -> DataFrame:
     )
     pairs = written(tried.distinct())
     for end in ("u", "v"):
-        pairs = pairs.join(sets.select(F.col("body").alias(end), F.col("own").alias(f"own_{end}")), end)
+        pairs = pairs.join(sets.select(F.col("body").alias(end), F.col("own").alias(f"own_{end}")).hint("merge"), end)
     half = 3 * F.size(F.array_intersect("own_u", "own_v")) >= F.size("own_u") + F.size("own_v")
     return components(written(pairs.filter(half).select("u", "v"))).select(F.col("node").alias("body"), F.col("component").alias("unit"))
 
@@ -171,20 +177,20 @@ def recurring_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     """Lines to drop: body (``text_code``) and line number, of every line whose template recurs."""
     lines = written(split_lines(docs, text)).filter("taken")
     codes = lines.select("body", "line", *LEAF, "code", "need", "solid")
-    by_tree = codes.join(written(_templates(lines)), [*LEAF, "code"]).select("body", "line", "template", F.lit(LEAST_DOCUMENTS).alias("need"))
+    by_tree = codes.join(_shuffled(_templates(lines)), [*LEAF, "code"]).select("body", "line", "template", F.lit(LEAST_DOCUMENTS).alias("need"))
     alone = codes.filter(F.col("solid") & (F.col("need") < LEAST_DOCUMENTS))
     alone = alone.select("body", "line", F.xxhash64(F.lit("alone"), *LEAF, "code").alias("template"), "need")
     found = by_tree.unionByName(alone)
     # every template's texts; most lines recur nowhere and end here
     held = found.select("template", "need", "body").distinct()
     often = written(held.groupBy("template").agg(F.count("*").alias("d"), F.min("need").alias("need")).filter("d >= need").select("template"))
-    found = written(found.join(often, "template", "left_semi"))
+    found = written(found.join(often.hint("merge"), "template", "left_semi"))
     bodies = written(found.select("body").distinct())
-    joined = written(units(docs, bodies, text))
+    joined = _shuffled(units(docs, bodies, text))
     evidence = found.select("template", "need", "body").distinct().join(joined, "body", "left")
     evidence = evidence.select("template", "need", F.coalesce("unit", "body").alias("unit")).distinct()
     dropped = evidence.groupBy("template").agg(F.count("*").alias("d"), F.min("need").alias("need")).filter("d >= need").select("template")
-    return found.join(written(dropped), "template", "left_semi").select("body", "line").distinct()
+    return found.join(_shuffled(dropped), "template", "left_semi").select("body", "line").distinct()
 
 
 def drop_lines(docs: DataFrame, text: str = "text") -> DataFrame:
