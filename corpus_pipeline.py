@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,41 +11,61 @@ from pyspark.sql import functions as F
 
 from demandloom.functions.shipping import ship_package
 from demandloom.llm import bpe, decontamination, jaccard, lines, toxicity
-from demandloom.llm.common import shared_folder, table
+from demandloom.llm.common import discard, owned, shared_folder, table
 from demandloom.llm.queries import TOXIC_FROM, severity_grades, vocabulary_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+#: Tables that the stage called last has written on its way.
+_scratch: list[str] = []
+
+
+def _stage(function: Stage) -> Stage:
+    """A stage's result is written before the next stage is called, so what the stage before left
+    behind in the shared folder is deleted then, and the disk holds one stage's tables at a time."""
+
+    @wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        discard(spark, _scratch)
+        ship_package(spark)
+        with owned() as paths:
+            out = function(spark, docs, sf_dir)
+        _scratch.extend(paths)
+        return out
+
+    return run
+
+
+@_stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose expected severity is below the threshold; columns as they came."""
-    ship_package(spark)
     model = toxicity.fit(docs, severity_grades(table(spark, sf_dir, "labels")))
     return toxicity.score(docs, model).filter(F.col("severity") < TOXIC_FROM).select(*docs.columns)
 
 
+@_stage
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines whose template recurs; every document stays."""
-    ship_package(spark)
     return lines.drop_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+@_stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of similar ones; columns as they came."""
-    ship_package(spark)
     return jaccard.keep_first(docs)
 
 
+@_stage
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark; columns as they came."""
-    ship_package(spark)
     found = decontamination.overlaps(docs, table(spark, sf_dir, "benchmark"))
     return decontamination.mark(docs, found).filter(~F.col("contaminated")).select(*docs.columns)
 
 
+@_stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids (little-endian unsigned 32-bit integers) and n_tokens of every document."""
-    ship_package(spark)
     return bpe.encode(docs, vocabulary_path())
 
 
