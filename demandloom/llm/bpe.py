@@ -22,10 +22,10 @@ from __future__ import annotations
 
 import json
 import re
-from array import array
 from collections.abc import Iterator
 from functools import cache
 from pathlib import Path
+from struct import pack
 from unicodedata import category
 
 import numpy as np
@@ -191,7 +191,8 @@ class _Packed(dict):
     def __missing__(self, word: str) -> bytes:
         packed = self.before.get(word)
         if packed is None:
-            packed = array("I", self.automaton.encode_word(word.encode())).tobytes()
+            ids = self.automaton.encode_word(word.encode())
+            packed = pack(f"<{len(ids)}I", *ids)
         if len(word) < 200:
             if len(self) >= CACHED_WORDS:
                 self.before = dict(self)
