@@ -2,63 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.functions import css
 from demandloom.functions.columns import is_finite, non_negative
+from demandloom.operators.forecast_fold import folded
 from demandloom.operators.series import holdout_rows
-from demandloom.operators.tuning import LANE_CELLS, ORDER_COLS, stack_lanes
+from demandloom.operators.tuning import ORDER_COLS
 from demandloom.schemas import SEASON
 
 
-def _score_block(block: pd.DataFrame, n_exog: int, s: int) -> list:
-    orders = np.array(block["orders"].tolist(), dtype=int)
-    widths = [orders[:, c].max(initial=0) for c in (css.P_, css.Q_, css.SP, css.SQ)]
-    lay = css.Layout(n_exog, *map(int, widths), s)
-    params = np.zeros((len(block), lay.size))
-    params[lay.free(orders)] = np.concatenate(block["params"].to_list())
-    y, x, pad = stack_lanes(block["y"], block["x"], n_exog)
-    steps = block["steps"].to_numpy()
-    ahead = np.zeros((steps.max(), len(block), n_exog))
-    for lane, future in enumerate(block["x_future"]):
-        for k in range(n_exog):
-            ahead[: steps[lane], lane, k] = future[k]
-    needed = css.warmup(*(orders[:, c] for c in (css.P_, css.D_, css.SP, css.SD)), s)
-    out = css.forecast(y, x, ahead, params, orders, pad + needed, lay)
-    return [list(out[:n, lane]) for lane, n in enumerate(steps)]
-
-
 def _score(rows: DataFrame, keys: list[str], n_exog: int, s: int) -> DataFrame:
     """``keys, step, date, forecast`` (and ``actual``, if known) from rows with a history
     ``y, x``, a model ``orders, params`` and the asked ``dates, x_future``."""
 
-    @F.pandas_udf("array<double>")
-    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for columns in batches:
-            names = ("steps", "y", "x", "x_future", "orders", "params")
-            pdf = pd.DataFrame(dict(zip(names, columns))).reset_index(drop=True)
-            out = pd.Series([None] * len(pdf), dtype=object)
-            known = pdf.index[pdf["params"].notna() & pdf["y"].notna()]
-            longest = max((len(y) for y in pdf.loc[known, "y"]), default=1)
-            width = max(1, LANE_CELLS // max(longest, 1))
-            for at in range(0, len(known), width):
-                block = known[at : at + width]
-                out.loc[block] = pd.Series(
-                    _score_block(pdf.loc[block], n_exog, s), index=block, dtype=object
-                )
-            yield out
-
     actual = [F.get("actuals", F.col("pos")).alias("actual")] if "actuals" in rows.columns else []
     # rows are few and small but slow, so they are spread before they could be merged
     rows = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism * 4, *keys)
-    scored = rows.withColumn(
-        "f", score(F.size("dates"), "y", "x", "x_future", "orders", "params")
-    ).drop("y", "x", "x_future", "orders", "params")
+    scored = folded(rows, n_exog, s).drop("y", "x", "x_future", "orders", "params")
     return scored.select("*", F.posexplode("dates").alias("pos", "date")).select(
         *keys,
         (F.col("pos") + 1).alias("step"),

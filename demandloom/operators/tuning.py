@@ -313,9 +313,12 @@ def stepwise_search(
     n_exog: int,
     blocks: int = 1,
     s: int = SEASON,
+    differences: DataFrame | None = None,
 ) -> DataFrame:
     """Walk from four first orders to the neighbour with the lowest AIC, all series at once.
 
+    ``differences`` (keys, d, seasonal_d; a row per series) fixes how often each series is differenced, so that
+    AIC only compares orders of one and the same differenced series; without it the walk moves d and seasonal_d too.
     ``blocks`` tasks share the orders of one series and round, worth it when series are few.
 
     One Spark round per step: expand the neighbours of the series that improved, drop those
@@ -342,8 +345,15 @@ def stepwise_search(
         return checkpointed(fitted.withColumn("round", F.lit(offset)))
 
     first = F.posexplode(F.array(*[order_struct(t) for t in STEP_STARTS])).alias("trial_id", "o")
-    trials = fit_round(packed.select(*keys, first).select(*keys, "trial_id", "o.*"), 0)
-    deltas = F.array(*[order_struct(t) for t in _moves()])
+    starts = packed.select(*keys, first).select(*keys, "trial_id", "o.*")
+    moves = _moves()
+    if differences is not None:
+        fixed = ("d", "seasonal_d")
+        starts = starts.drop(*fixed).join(checkpointed(differences.select(*keys, *fixed)), keys)
+        starts = starts.select(*keys, "trial_id", *names)
+        moves = [m for m in moves if not any(m[names.index(n)] for n in fixed)]
+    trials = fit_round(starts, 0)
+    deltas = F.array(*[order_struct(t) for t in moves])
     for turn in count(1):
         finite = trials.where(is_finite(F.col("aic")))
         incumbent = finite.groupBy(*keys).agg(

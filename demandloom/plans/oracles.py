@@ -151,26 +151,92 @@ _STUMP = """(WITH points AS (
   SELECT p.*, CASE WHEN f = 'number' THEN number ELSE discount END <= c AS inside, inner_label, outer_label
   FROM points p CROSS JOIN best)"""
 
-_LINEAR = """(WITH z AS (
-    SELECT store_nbr, family, date, 0 AS d, CAST(sales AS DOUBLE) AS z FROM panel
-    UNION ALL SELECT store_nbr, family, date, 1, CAST(sales AS DOUBLE) - LAG(CAST(sales AS DOUBLE)) OVER w FROM panel
-      WINDOW w AS (PARTITION BY store_nbr, family ORDER BY date)),
+_LINEAR = """(WITH y AS (SELECT store_nbr, family, date, CAST(sales AS DOUBLE) AS y FROM panel),
+  once AS (
+    SELECT *, 0 AS seasonal_d, y AS u FROM y
+    UNION ALL SELECT *, 1, y - LAG(y, 7) OVER (PARTITION BY store_nbr, family ORDER BY date) FROM y),
+  z AS (
+    SELECT store_nbr, family, date, seasonal_d, 0 AS d, u AS z FROM once
+    UNION ALL SELECT store_nbr, family, date, seasonal_d, 1, u - LAG(u) OVER (PARTITION BY store_nbr, family, seasonal_d ORDER BY date) FROM once),
   lagged AS (
     SELECT *, ROW_NUMBER() OVER w AS spot, LAG(z, 1) OVER w AS l1, LAG(z, 2) OVER w AS l2, LAG(z, 7) OVER w AS l7 FROM z
-    WINDOW w AS (PARTITION BY store_nbr, family, d ORDER BY date)),
+    WINDOW w AS (PARTITION BY store_nbr, family, d, seasonal_d ORDER BY date)),
   s AS (
-    SELECT store_nbr, family, d, COUNT(z) AS n_obs, SUM(z * z) AS zz, SUM(l1 * z) AS s1, SUM(l1 * l1) AS s11,
+    SELECT store_nbr, family, d, seasonal_d, COUNT(z) AS n_obs, SUM(z * z) AS zz, SUM(l1 * z) AS s1, SUM(l1 * l1) AS s11,
       SUM(l2 * z) AS s2, SUM(l2 * l2) AS s22, SUM(l1 * l2) AS s12, SUM(l7 * z) AS s7, SUM(l7 * l7) AS s77
-    FROM lagged WHERE spot > 8 GROUP BY store_nbr, family, d),
+    FROM lagged WHERE spot > 15 GROUP BY store_nbr, family, d, seasonal_d),
   fits AS (
-    SELECT store_nbr, family, d, n_obs, 0 AS p, 0 AS seasonal_p, NULL::DOUBLE AS first, zz AS sse, 1 AS k FROM s
-    UNION ALL SELECT store_nbr, family, d, n_obs, 1, 0, s1 / s11, zz - s1 * s1 / s11, 2 FROM s
-    UNION ALL SELECT store_nbr, family, d, n_obs, 2, 0, (s1 * s22 - s2 * s12) / (s11 * s22 - s12 * s12),
-      zz - (s1 * s22 - s2 * s12) / (s11 * s22 - s12 * s12) * s1 - (s2 * s11 - s1 * s12) / (s11 * s22 - s12 * s12) * s2, 3 FROM s
-    UNION ALL SELECT store_nbr, family, d, n_obs, 0, 1, s7 / s77, zz - s7 * s7 / s77, 2 FROM s)
+    SELECT store_nbr, family, d, seasonal_d, n_obs, 0 AS p, 0 AS seasonal_p, NULL::DOUBLE AS first, zz AS sse, 1 AS k FROM s
+    UNION ALL SELECT store_nbr, family, d, seasonal_d, n_obs, 1, 0, s1 / NULLIF(s11, 0), zz - s1 * s1 / NULLIF(s11, 0), 2 FROM s
+    UNION ALL SELECT store_nbr, family, d, seasonal_d, n_obs, 2, 0, (s1 * s22 - s2 * s12) / NULLIF(s11 * s22 - s12 * s12, 0),
+      zz - (s1 * s22 - s2 * s12) / NULLIF(s11 * s22 - s12 * s12, 0) * s1 - (s2 * s11 - s1 * s12) / NULLIF(s11 * s22 - s12 * s12, 0) * s2, 3 FROM s
+    UNION ALL SELECT store_nbr, family, d, seasonal_d, n_obs, 0, 1, s7 / NULLIF(s77, 0), zz - s7 * s7 / NULLIF(s77, 0), 2 FROM s)
   SELECT *, CASE WHEN n_obs > k AND sse > 0 THEN 2 * k + n_obs * (LN(2 * PI() * sse / n_obs) + 1) END AS aic FROM fits)"""
 
+def _projected(lags: list[str]) -> str:
+    """Regressions of z on x1 to x4 and the lags: each column loses what those before it explain, so the
+    last coefficient and the sum of squares are plain projections. Null where a column depends on others."""
+    group = "PARTITION BY store_nbr, family, d, seasonal_d"
+    columns = ["x1", "x2", "x3", "x4", *lags]
+    sql, rest = "SELECT *, z AS own FROM lagged", [*columns, "z"]
+    for k, c in enumerate(columns):
+        rest = rest[1:]
+        norm = f"SUM({c} * {c}) OVER ({group})"
+        pivot = f"CASE WHEN {norm} > 1e-10 * SUM({c}_raw * {c}_raw) OVER ({group}) THEN {norm} END"
+        left = ", ".join(f"{r} - {c} * (SUM({c} * {r}) OVER ({group}) / {pivot}) AS {r}" for r in rest)
+        last = f", SUM({c} * z) OVER ({group}) / {pivot} AS last" if k == len(columns) - 1 else ""
+        sql = f"SELECT * REPLACE ({left}){last} FROM ({sql})"
+    p, seasonal_p = (0, 1) if lags == ["l7"] else (len(lags), 0)
+    return f"""SELECT store_nbr, family, {p} AS p, d, {seasonal_p} AS seasonal_p, seasonal_d, COUNT(*) AS n_obs,
+      ANY_VALUE(last) AS last, {len(columns) + 1} AS k, SUM(z * z) AS sse FROM ({sql}) GROUP BY store_nbr, family, d, seasonal_d"""
+
+
+def _exog_trials() -> str:
+    names = ["sales", "onpromotion", "oil_price", "is_holiday", "day_of_week"]
+    short = ["z", "x1", "x2", "x3", "x4"]
+    w, wd = "(PARTITION BY store_nbr, family ORDER BY date)", "(PARTITION BY store_nbr, family, seasonal_d ORDER BY date)"
+    first = ", ".join(f"CAST({n} AS DOUBLE) AS {c}" for n, c in zip(names, short))
+    seasonal = ", ".join(f"{c} - LAG({c}, 7) OVER {w}" for c in short)
+    plain = ", ".join(f"{c} - LAG({c}) OVER {wd}" for c in short)
+    raw = ", ".join(f"{c} AS {c}_raw" for c in short[1:])
+    parts = " UNION ALL ".join(map(_projected, ([], ["l1"], ["l1", "l2"], ["l7"])))
+    return f"""(WITH own AS (SELECT store_nbr, family, date, {first} FROM pair_feat),
+  once AS (SELECT *, 0 AS seasonal_d FROM own UNION ALL SELECT store_nbr, family, date, {seasonal}, 1 FROM own),
+  twice AS (SELECT *, 0 AS d FROM once UNION ALL SELECT store_nbr, family, date, {plain}, seasonal_d, 1 FROM once),
+  lagged AS (
+    SELECT *, {raw}, l1 AS l1_raw, l2 AS l2_raw, l7 AS l7_raw FROM (
+      SELECT *, ROW_NUMBER() OVER w AS spot, LAG(z, 1) OVER w AS l1, LAG(z, 2) OVER w AS l2, LAG(z, 7) OVER w AS l7 FROM twice
+      WINDOW w AS (PARTITION BY store_nbr, family, d, seasonal_d ORDER BY date)) WHERE spot > 15)
+  SELECT *, CASE WHEN n_obs > k AND sse > 0 THEN 2 * k + n_obs * (LN(2 * PI() * sse / n_obs) + 1) END AS aic FROM ({parts}))"""
+
+
+_KPSS = """(WITH z AS (
+    SELECT store_nbr, family, 0 AS k, rn AS t, y AS z FROM numbered
+    UNION ALL SELECT store_nbr, family, 1, rn - 1, y - y1 FROM numbered WHERE rn > 1),
+  e AS (SELECT store_nbr, family, k, t, z - AVG(z) OVER w AS e, COUNT(*) OVER w AS n FROM z WINDOW w AS (PARTITION BY store_nbr, family, k)),
+  walked AS (SELECT *, SUM(e) OVER (PARTITION BY store_nbr, family, k ORDER BY t) AS s FROM e),
+  sums AS (
+    SELECT store_nbr, family, k, n, CAST(FLOOR(3 * SQRT(n) / 13) AS INTEGER) AS lags, SUM(s * s) AS q, SUM(e * e) / n AS own
+    FROM walked GROUP BY store_nbr, family, k, n),
+  crossed AS (
+    SELECT a.store_nbr, a.family, a.k, SUM(2 * (1 - (a.t - b.t) / (lags + 1.0)::DOUBLE) * a.e * b.e) / ANY_VALUE(a.n) AS others
+    FROM e a JOIN sums USING (store_nbr, family, k)
+      JOIN e b ON a.store_nbr = b.store_nbr AND a.family = b.family AND a.k = b.k AND b.t BETWEEN a.t - lags AND a.t - 1
+    GROUP BY a.store_nbr, a.family, a.k)
+  SELECT *, q / (n * n) / NULLIF(own + COALESCE(others, 0), 0) AS kpss FROM sums LEFT JOIN crossed USING (store_nbr, family, k))"""
+
 _SELECTS = {
+    "kpss_level": f"""SELECT *, CASE WHEN COALESCE(kpss <= 0.463, TRUE) THEN 0 WHEN COALESCE(kpss_1 <= 0.463, TRUE) THEN 1 ELSE 2 END AS d
+        FROM (SELECT store_nbr, family, CAST(a.n AS INTEGER) AS n_obs, ROUND(a.kpss, 6) AS kpss, ROUND(b.kpss, 6) AS kpss_1
+          FROM {_KPSS} a LEFT JOIN (SELECT * FROM {_KPSS} WHERE k = 1) b USING (store_nbr, family) WHERE a.k = 0)""",
+    "seasonal_strength": """SELECT store_nbr, family, ROUND(strength, 6) AS strength, CASE WHEN strength > 0.64 THEN 1 ELSE 0 END AS seasonal_d
+        FROM (SELECT store_nbr, family, CASE WHEN ANY_VALUE(n) >= 21 THEN GREATEST(0.0, 1 - VAR_POP(v - season) / NULLIF(VAR_POP(v), 0)) END AS strength
+          FROM (SELECT *, AVG(v) OVER (PARTITION BY store_nbr, family, (rn - 1) % 7) AS season
+            FROM (SELECT store_nbr, family, rn, n, CASE WHEN rn > 3 AND rn <= n - 3 THEN y - AVG(y) OVER (
+                PARTITION BY store_nbr, family ORDER BY rn ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) END AS v FROM numbered))
+          GROUP BY store_nbr, family)""",
+    "linear_exog_fit": f"""SELECT store_nbr, family, p, d, seasonal_p, seasonal_d, n_obs, ROUND(last, 5) AS last,
+        ROUND(aic, 4) AS aic FROM {_exog_trials()}""",
     "daily_totals": "SELECT date, total_cashflow, onpromotion FROM daily",
     "oil_filled": "SELECT date, oil_price FROM oil",
     "holiday_flags": "SELECT date, is_holiday FROM holiday",
@@ -315,10 +381,10 @@ _SELECTS = {
         FROM {_STUMP}""",
     "stump_accuracy": f"""SELECT COUNT(*) AS rows, AVG(CASE WHEN label =
         CASE WHEN inside THEN inner_label ELSE outer_label END THEN 1.0 ELSE 0.0 END)::DOUBLE AS accuracy FROM {_STUMP}""",
-    "linear_grid": f"""SELECT store_nbr, family, p, d, seasonal_p, n_obs, ROUND(first, 6) AS first, ROUND(aic, 4) AS aic
+    "linear_grid": f"""SELECT store_nbr, family, p, d, seasonal_p, seasonal_d, n_obs, ROUND(first, 6) AS first, ROUND(aic, 4) AS aic
         FROM {_LINEAR}""",
-    "linear_best": f"""SELECT store_nbr, family, p, d, seasonal_p FROM (SELECT *, ROW_NUMBER() OVER (
-        PARTITION BY store_nbr, family ORDER BY aic NULLS LAST, p, d, seasonal_p) AS place FROM {_LINEAR}) WHERE place = 1""",
+    "linear_best": f"""SELECT store_nbr, family, p, d, seasonal_p, seasonal_d FROM (SELECT *, ROW_NUMBER() OVER (
+        PARTITION BY store_nbr, family ORDER BY aic NULLS LAST, p, d, seasonal_p, seasonal_d) AS place FROM {_LINEAR}) WHERE place = 1""",
     "date_range": "SELECT MIN(date) AS first_date, MAX(date) AS last_date FROM panel",
     "negatives_floored": """SELECT COUNT(*) AS forecast_length, CAST(COUNT_IF(s1 < 0) AS BIGINT) AS negative_values_floored
         FROM (SELECT CAST(sales AS DOUBLE)

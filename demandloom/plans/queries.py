@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from demandloom.operators import (
     calendar,
     classify,
+    diagnostics,
     evaluate,
     features,
     forecast,
@@ -221,12 +222,10 @@ def reconcile(spark, sf):
 
 
 def ols_exog_fit(spark, sf):
-    days = features.pair_days(star.sales_panel(spark, sf))
-    packed = runs.checkpointed(series.pack_series(days, PAIR, "sales", ["onpromotion"]))
-    fit = tuning.fit_orders(packed, {}, PAIR, 1)
+    fit = linear.fit_linear(features.pair_days(star.sales_panel(spark, sf)), PAIR, exog=["onpromotion"])
     return fit.select(
         *PAIR,
-        "n_obs",
+        F.col("n_obs").cast("int").alias("n_obs"),
         F.round(F.get("params", F.lit(0)), 3).alias("beta"),
         F.round("aic", 4).alias("aic"),
         F.round("bic", 4).alias("bic"),
@@ -234,28 +233,26 @@ def ols_exog_fit(spark, sf):
 
 
 def ar1_fit(spark, sf):
-    days = features.pair_days(star.sales_panel(spark, sf))
-    packed = runs.checkpointed(series.pack_series(days, PAIR, "sales", []))
-    fit = tuning.fit_orders(packed, {"p": 1}, PAIR, 0)
+    fit = linear.fit_linear(features.pair_days(star.sales_panel(spark, sf)), PAIR, p=1)
     return fit.select(
         *PAIR, F.round(F.get("params", F.lit(0)), 6).alias("phi"), F.round("aic", 4).alias("aic")
     )
 
 
-def _fixed_forecast(spark, sf, order):
+def _fixed_forecast(spark, sf, **order):
     tagged = split.tag_holdout(features.pair_days(star.sales_panel(spark, sf)), HORIZON, PAIR)
     packed = runs.checkpointed(series.pack_series(tagged, PAIR, "sales", []))
-    model = tuning.fit_orders(series.train_part(packed), order, PAIR, 0)
+    model = linear.fit_linear(split.train_rows(tagged), PAIR, **order)
     return forecast.forecast_holdout(model, packed, PAIR, 0)
 
 
 def last_week_model(spark, sf):
-    ahead = _fixed_forecast(spark, sf, {"seasonal_d": 1})
+    ahead = _fixed_forecast(spark, sf, seasonal_d=1)
     return ahead.drop("actual").withColumn("forecast", F.round("forecast", 4))
 
 
 def _naive_metrics(spark, sf):
-    ahead = _fixed_forecast(spark, sf, {"d": 1})
+    ahead = _fixed_forecast(spark, sf, d=1)
     return evaluate.error_metrics(ahead.where(F.col("step") <= HORIZON), PAIR)
 
 
@@ -404,7 +401,7 @@ def auto_order(spark, sf):
     packed = series.pack_series(train, total.KEY, "total_cashflow", total.CALENDAR_EXOG)
     cores = spark.sparkContext.defaultParallelism
     trials = tuning.stepwise_search(
-        packed, total.KEY, len(total.CALENDAR_EXOG), blocks=cores
+        packed, total.KEY, len(total.CALENDAR_EXOG), blocks=cores, differences=diagnostics.differences(packed, total.KEY)
     )
     best = tuning.best_trials(trials, total.KEY)
     return best.withColumn("n_params", F.size("params")).drop("params")
@@ -448,13 +445,38 @@ def linear_grid(spark, sf):
     """All orders without moving averages for every pair, by Spark alone."""
     trials = _linear_trials(spark, sf)
     first = F.round(F.get("params", F.lit(0)), 6).alias("first")
-    return trials.select(*PAIR, "p", "d", "seasonal_p", "n_obs", first, F.round("aic", 4).alias("aic"))
+    order = ["p", "d", "seasonal_p", "seasonal_d"]
+    return trials.select(*PAIR, *order, "n_obs", first, F.round("aic", 4).alias("aic"))
 
 
 def linear_best(spark, sf):
     return linear.linear_best(_linear_trials(spark, sf), PAIR).drop("aic")
 
 
+def _packed_pairs(spark, sf) -> DataFrame:
+    return series.pack_series(features.pair_days(star.sales_panel(spark, sf)), PAIR, "sales", [])
+
+
+def kpss_level(spark, sf):
+    """The level test of every pair's series and of its first difference, and the differences that follow."""
+    found = diagnostics.level_differences(_packed_pairs(spark, sf), PAIR)
+    rounded = [F.round(c, 6).alias(c) for c in ("kpss", "kpss_1")]
+    return found.select(*PAIR, "n_obs", *rounded, "d")
+
+
+def seasonal_strength(spark, sf):
+    found = diagnostics.season_differences(_packed_pairs(spark, sf), PAIR)
+    return found.select(*PAIR, F.round("strength", 6).alias("strength"), "seasonal_d")
+
+
+def linear_exog_fit(spark, sf):
+    """The same orders with the four regressors: the last coefficient of each regression, and its AIC."""
+    trials = linear.linear_trials(features.pair_features(*_tables(spark, sf)), PAIR, exog=EXOG)
+    last = F.round(F.try_element_at("params", F.lit(-1)), 5).alias("last")
+    order = ["p", "d", "seasonal_p", "seasonal_d"]
+    return trials.select(*PAIR, *order, "n_obs", last, F.round("aic", 4).alias("aic"))
+
+
 def total_forecast(spark, sf):
     return total.total_forecast(*_past(spark, sf))["forecast"]
 
@@ -612,6 +634,6 @@ QUERIES = {
         quarantined, submission_by_position, data_profile, oil_profile, date_range,
         negatives_floored, latest_model, log_fetch, hash_split, tree_scores, tree_accuracy,
         orders_round_trip, forecast_given_model, pair_submission_complete, next_version,
-        registration_log, batch_log, tree_stump, stump_accuracy, linear_grid, linear_best,
+        registration_log, batch_log, tree_stump, stump_accuracy, linear_grid, linear_best, linear_exog_fit, kpss_level, seasonal_strength,
     )
 }

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandloom.functions import css
-from demandloom.operators import evaluate, forecast, linear, runs, series, tuning
+from demandloom.operators import diagnostics, evaluate, forecast, linear, runs, series, tuning
+from demandloom.operators import forecast_fold as folds
 from demandloom.plans import pairs, topdown, total
 from demandloom.schemas import EXOG, PAIR
 
@@ -299,14 +300,87 @@ def test_closed_forms_equal_the_kernel(spark):
     y = np.cumsum(rng.normal(size=80)) + 5
     rows = [("a", date(2017, 1, 1) + timedelta(t), float(v)) for t, v in enumerate(y)]
     trials = linear.linear_trials(spark.createDataFrame(rows, "series string, date date, sales double"), KEY).collect()
-    assert len(trials) == 8
+    assert len(trials) == 16
     for r in trials:
-        orders = np.array([[r.p, r.d, 0, r.seasonal_p, 0, 0, 0]])
+        orders = np.array([[r.p, r.d, 0, r.seasonal_p, r.seasonal_d, 0, 0]])
         params, sse, *_, lay = css.fit(y[:, None], np.zeros((80, 1, 0)), orders, np.array([linear.SKIPPED]))
         assert r.sse == pytest.approx(sse[0], rel=1e-6) and r.n_obs == 80 - linear.SKIPPED
         assert r.params == pytest.approx(params[0][lay.free(orders)[0]], abs=1e-5)
 
 
+def test_regressions_with_regressors_equal_least_squares(spark):
+    """Every order beside four regressors, two series, one of them with a regressor that depends on the others."""
+    rng = np.random.default_rng(8)
+    rows, own = [], {}
+    for name in ("free", "tied"):
+        x = rng.normal(size=(90, 4))
+        if name == "tied":
+            x[:, 3] = 2 * x[:, 0] - x[:, 1]
+        y = np.cumsum(rng.normal(size=90)) + x @ [3, -1, 0.5, 2]
+        own[name] = y, x
+        rows += [(name, date(2017, 1, 1) + timedelta(t), float(y[t]), *map(float, x[t])) for t in range(90)]
+    rows += [("short", date(2017, 1, 1) + timedelta(t), 1.0, 0.0, 0.0, 0.0, 0.0) for t in range(12)]
+    rows += [("free", date(2019, 1, 1), None, 0.0, 0.0, 0.0, 0.0)]
+    days = spark.createDataFrame(rows, "series string, date date, sales double, a double, b double, c double, e double")
+    trials = linear.linear_trials(days, KEY, exog=["a", "b", "c", "e"]).collect()
+    assert len(trials) == 32 and {r.series for r in trials} == {"free", "tied"}
+    for r in trials:
+        y, x = own[r.series]
+        table = np.column_stack([y, x])
+        for lag in linear.difference_steps(r.d, r.seasonal_d):
+            table = table[lag:] - table[:-lag]
+        lags = [*range(1, r.p + 1), *[7] * r.seasonal_p]
+        at = np.arange(len(table) - 75, len(table))
+        design = np.column_stack([table[at, 1:], *(table[at - lag, 0] for lag in lags)])
+        if r.series == "tied":
+            assert r.aic is None
+            continue
+        want, sse, *_ = np.linalg.lstsq(design, table[at, 0], rcond=None)
+        assert r.n_obs == 75 and r.params == pytest.approx(list(want), rel=1e-6, abs=1e-9)
+        assert r.sse == pytest.approx(sse[0], rel=1e-7)
+
+
+@pytest.mark.parametrize(
+    "order", [(0, 0, 0, 0, 0, 0, 0), (2, 1, 1, 1, 1, 1, 0), (1, 0, 2, 0, 1, 1, 1), (0, 2, 0, 2, 0, 2, 1), (3, 0, 0, 0, 0, 0, 1)]
+)
+def test_folds_equal_the_kernel(spark, order):
+    rng = np.random.default_rng(sum(order))
+    rows, want = [], {}
+    lay = css.Layout(2, order[0], order[2], order[3], order[5], 7)
+    for name, n in (("long", 60), ("short", 5), ("none", 0)):
+        y, x, ahead = rng.normal(size=n) * 5, rng.normal(size=(2, n)), rng.normal(size=(2, 9))
+        params = rng.uniform(-0.4, 0.4, size=int(lay.free(np.array([order]))[0].sum()))
+        full = np.zeros((1, lay.size))
+        full[lay.free(np.array([order]))] = params
+        start = css.warmup(order[0], order[1], order[3], order[4], 7)
+        out = css.forecast(y[:, None], x.T[:, None, :], ahead.T[:, None, :], full, np.array([order]), np.array([start]), lay)
+        want[name] = out[:, 0]
+        dates = [date(2017, 1, 1) + timedelta(t) for t in range(9)]
+        rows.append((name, y.tolist(), x.tolist(), dates, ahead.tolist(), list(order), params.tolist()))
+    rows.append(("no model", [1.0], [[1.0], [1.0]], dates, ahead.tolist(), None, None))
+    kinds = "series string, y array<double>, x array<array<double>>, dates array<date>, x_future array<array<double>>, orders array<int>, params array<double>"
+    for r in folds.folded(spark.createDataFrame(rows, kinds), 2, 7).collect():
+        assert r.f is None if r.series == "no model" else r.f == pytest.approx(list(want[r.series]), rel=1e-9, abs=1e-9)
+
+
+def test_differences_follow_level_and_season(spark):
+    rng = np.random.default_rng(2)
+    noise = rng.normal(size=400)
+    made = {
+        "noise": (noise, (0, 0)), "walk": (np.cumsum(noise), (1, 0)), "twice": (np.cumsum(np.cumsum(noise)), (2, 0)),
+        "season": (noise + 10 * np.sin(np.arange(400) * 2 * np.pi / 7), (0, 1)), "flat": (np.ones(50), (0, 0)), "one": (np.ones(1), (0, 0)),
+    }
+    packed = spark.createDataFrame([(k, v.tolist()) for k, (v, _) in made.items()] + [("empty", [])], "series string, y array<double>")
+    got = {r.series: (r.d, r.seasonal_d) for r in diagnostics.differences(packed, KEY).collect()}
+    assert got == {k: v for k, (_, v) in made.items()} | {"empty": (0, 0)}
+
+
+def test_stepwise_keeps_fixed_differences(spark, packed):
+    fixed = packed.select(*KEY).withColumns({"d": F.lit(0), "seasonal_d": F.lit(1)})
+    trials = tuning.stepwise_search(packed, KEY, len(EXOG), blocks=4, differences=fixed).collect()
+    assert {(r.d, r.seasonal_d) for r in trials} == {(0, 1)} and len(trials) > 4
+
+
 def test_fits_are_spread_over_the_cores(spark):
     rows = [(f"s{n}", date(2017, 1, 1) + timedelta(t), float(t % 4 + n)) for n in range(150) for t in range(12)]
     packed = series.pack_series(spark.createDataFrame(rows, "series string, date date, y double"), KEY, "y", [])
