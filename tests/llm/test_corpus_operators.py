@@ -218,19 +218,13 @@ def test_lines_of_tables_with_clashing_names(spark, names):
 
 
 def brute_overlap(doc, item):
-    """Percent of the best window at any place that shares a masked seed."""
+    """Agreeing tokens of the best window at any place, tried one by one without seeds, and its width."""
     split = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
     d, b = split(doc), split(item)
-    masks = [*decontamination.MASKS, *("1" * n for n in range(max(len(b), 1), 6))][: 3 + (len(b) < 6)]
-    places = set()
-    for mask in masks:
-        picked = [i for i, c in enumerate(mask) if c == "1"]
-        index = defaultdict(list)
-        for j in range(len(b) - len(mask) + 1):
-            index[tuple(b[j + p] for p in picked)].append(j)
-        for i in range(len(d) - len(mask) + 1):
-            places |= {i - j for j in index.get(tuple(d[i + p] for p in picked), [])}
-    best, width = 0, min(len(b), decontamination.WINDOW)
+    best, width, where = 0, min(len(b), decontamination.WINDOW), defaultdict(list)
+    for k, w in enumerate(b):
+        where[w].append(k)
+    places = {i - k for i, w in enumerate(d) for k in where.get(w, [])}
     for place in places:
         agree = [int(0 <= place + k < len(d) and d[place + k] == b[k]) for k in range(len(b))]
         best = max([best, *(sum(agree[s : s + width]) for s in range(len(b) - width + 1))])
