@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandloom.operators.features import instances_text
+from demandloom.operators.runs import with_position
 from demandloom.operators.tuning import ORDER_COLS
 from demandloom.schemas import EXOG, SEASON
 
@@ -20,15 +22,57 @@ def write_latest_forecast(forecast: DataFrame, path: str) -> None:
     forecast.orderBy("date").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
+def _quoted(text: Column) -> Column:
+    return F.concat(F.lit('"'), F.replace(F.coalesce(text, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+def _plain_number(c: Column) -> Column:
+    """A double without an exponent where its digits allow (from 1e7 up to 1e16), as most readers print it."""
+    text = c.cast("string")
+    whole = F.concat(c.cast("decimal(38,0)").cast("string"), F.lit(".0"))
+    exact = c.cast("decimal(38,0)").cast("double") == c
+    return F.when(F.contains(text, F.lit("E")) & (F.abs(c) >= 1e7) & (F.abs(c) < 1e16) & exact, whole).otherwise(text)
+
+
+def csv_lines(df: DataFrame) -> DataFrame:
+    """The rows as lines of a CSV in which only what is no number is quoted, in one column whose name is
+    the header line. Quotes inside a text are doubled; nulls are empty quotes."""
+    parts = []
+    for field in df.schema:
+        c = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.NumericType):
+            number = _plain_number(c) if isinstance(field.dataType, T.DoubleType) else c.cast("string")
+            missing = c.isNull() | F.isnan(c) if isinstance(field.dataType, (T.DoubleType, T.FloatType)) else c.isNull()
+            parts.append(F.when(missing, F.lit('""')).otherwise(number))
+        else:
+            parts.append(_quoted(c.cast("string")))
+    header = ",".join('"' + name.replace('"', '""') + '"' for name in df.columns)
+    return df.select(F.concat_ws(",", *parts).alias(header))
+
+
+def _write_lines(lines: DataFrame, path: str) -> None:
+    """One text column as it is, its name on top of every file: a CSV of one column without any quoting."""
+    options = {"header": True, "quote": "\0", "sep": "\1", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.write.mode("overwrite").options(**options).csv(path)
+
+
 def write_instances(instances: DataFrame, path: str) -> None:
-    """Quoted instance rows for a scorer. Numbers are quoted too; a typed reader undoes that."""
-    instances_text(instances).write.mode("overwrite").options(header=True, quoteAll=True).csv(path)
+    """Instance rows for a scorer: texts and dates quoted, numbers bare."""
+    _write_lines(csv_lines(instances_text(instances)), path)
 
 
-def write_exog_only(instances: DataFrame, path: str) -> None:
-    """Regressor columns alone, sorted by date; the caller keeps the ids."""
-    rows = instances.orderBy("date").select(*EXOG)
-    rows.write.mode("overwrite").option("header", True).csv(path)
+def write_exog_only(instances: DataFrame, path: str, ids_path: str | None = None) -> None:
+    """Regressor columns alone, sorted by date and id. With ``ids_path``, a table of position (a line's number over all
+    files in order, from 0) and id goes beside them, so that answers by line find their ids by a join."""
+    rows = with_position(instances.select("id", "date", *EXOG), ["date", "id"])
+    rows.select(*EXOG).write.mode("overwrite").option("header", True).csv(path)
+    if ids_path is not None:
+        rows.select("position", "id").write.mode("overwrite").parquet(ids_path)
+
+
+def with_ids(answers: DataFrame, ids_path: str) -> DataFrame:
+    """Answers with a ``position`` (the line they are for) get their id back, without a sort of either side by order."""
+    return answers.join(answers.sparkSession.read.parquet(ids_path), "position").drop("position")
 
 
 def write_submission(submission: DataFrame, path: str) -> None:

@@ -1,3 +1,5 @@
+import csv
+import io
 import json
 from datetime import date, datetime
 
@@ -77,6 +79,30 @@ def test_instance_files(spark, request_rows, oil, holidays, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "e")).columns == EXOG
 
 
+def test_only_texts_are_quoted(spark, tmp_path):
+    """Byte for byte what Python's writer gives with QUOTE_NONNUMERIC."""
+    rows = [
+        (1, "plain", 2.5, "2017-08-16"), (2, 'has "quotes", commas', -0.0, None), (-3, "", 12345678.0, "2017-08-17"),
+        (4, " blanks kept ", 0.001, "x"), (5, "\\ back\\slash", 1e15, "ü"),
+    ]
+    kinds = "id bigint, `a \"name\"` string, value double, date string"
+    sinks._write_lines(sinks.csv_lines(spark.createDataFrame(rows, kinds).coalesce(1)), str(tmp_path / "q"))
+    want = io.StringIO()
+    out = csv.writer(want, quoting=csv.QUOTE_NONNUMERIC, lineterminator="\n")
+    out.writerows([("id", 'a "name"', "value", "date"), *rows])
+    assert next((tmp_path / "q").glob("part-*.csv")).read_bytes().decode() == want.getvalue()
+
+
+def test_ids_come_back_by_line(spark, tmp_path):
+    rows = [(900 - k, f"2017-08-{10 + k % 7}", *[float(k + 10 * j) for j in range(3)], k % 7) for k in range(50)]
+    kinds = "id bigint, date string, onpromotion double, oil_price double, is_holiday double, day_of_week int"
+    sinks.write_exog_only(spark.createDataFrame(rows, kinds).repartition(4), str(tmp_path / "e"), str(tmp_path / "ids"))
+    lines = [l for part in sorted((tmp_path / "e").glob("part-*.csv")) for l in part.read_text().splitlines()[1:]]
+    answers = spark.createDataFrame([(k, line) for k, line in enumerate(lines)], "position long, line string")
+    got = {r.id: float(r.line.split(",")[0]) for r in sinks.with_ids(answers, str(tmp_path / "ids")).collect()}
+    assert got == {r[0]: r[2] for r in rows}
+
+
 def test_version_tables(spark, tmp_path):
     props = spark.createDataFrame([(1, "A", 1.0)], "store_nbr int, family string, proportion double")
     sinks.write_version_table(props, str(tmp_path), "total", 3)
