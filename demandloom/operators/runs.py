@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from hashlib import sha256
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -151,8 +153,21 @@ def batch_runs(counts: DataFrame, experiment: str, name: str, version: int) -> D
 
 
 def append_rows(rows: DataFrame, path: str) -> None:
-    """Append runs or registry rows to their table."""
-    rows.write.mode("append").parquet(path)
+    """Append runs or registry rows to their table, beside any number of other writers.
+
+    The rows are written to a folder of their own, which readers pass over, and its files are moved in. Appends of
+    Spark itself share one temporary folder, which whoever ends first deletes.
+    """
+    context = rows.sparkSession.sparkContext
+    place, mark = context._jvm.org.apache.hadoop.fs.Path, uuid4().hex
+    own = place(f"{path}/_new-{mark}")
+    rows.write.parquet(str(own))
+    files = own.getFileSystem(context._jsc.hadoopConfiguration())
+    for made in files.listStatus(own):
+        name = made.getPath().getName()
+        if name.startswith("part-") and not files.rename(made.getPath(), place(f"{path}/{name}")):
+            raise OSError(f"could not move {name} to {path}")
+    files.delete(own, True)
 
 
 def compare_runs(runs: DataFrame, metric: str, stage: str | None = None) -> DataFrame:
@@ -167,18 +182,44 @@ def next_versions(registry: DataFrame) -> DataFrame:
     return registry.groupBy("display_name").agg((F.max("version") + 1).alias("version"))
 
 
+def _claimed(spark: SparkSession, path: str, name: str, version: int) -> bool:
+    """Whether this writer, and no other, now holds a version: a folder with our mark is moved to the version's place.
+
+    A move never replaces a folder that is not empty; it fails or ends up inside, and then our mark is not where it
+    would be. Spark's readers pass over names with an underscore.
+    """
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path
+    claims = f"{path}/_claims/{sha256(name.encode()).hexdigest()}"
+    mark, own, wanted = uuid4().hex, place(f"{claims}/new-{uuid4().hex}"), place(f"{claims}/{version}")
+    files = own.getFileSystem(context._jsc.hadoopConfiguration())
+    files.create(place(own, mark), False).close()
+    try:
+        if not files.exists(wanted):
+            files.rename(own, wanted)
+        return files.exists(place(wanted, mark))
+    finally:
+        for left in (own, place(wanted, own.getName())):
+            files.delete(left, True)
+
+
 def register_version(
     spark: SparkSession, path: str, name: str, artifact: str, description: str = ""
 ) -> int:
-    """Add the next version of a model. One writer at a time."""
+    """Add the next version of a model, beside any number of other writers.
+
+    A version is claimed before its row is written; who loses a version to another writer tries the next one.
+    A writer that dies in between leaves a number without a row, never a number with two.
+    """
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
     known = spark.createDataFrame([], REGISTRY)
-    try:
+    if place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place):
         known = spark.read.schema(REGISTRY).parquet(path)
-    except Exception as missing:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
     following = next_versions(known.where(F.col("display_name") == name)).first()
     version = following["version"] if following else 1
+    while not _claimed(spark, path, name, version):
+        version += 1
     row = spark.range(1).select(
         F.lit(name).alias("display_name"),
         F.lit(version).alias("version"),

@@ -1,6 +1,7 @@
 import csv
 import io
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 import pytest
@@ -256,3 +257,17 @@ def test_beans(spark, tmp_path):
 def test_null_ids_are_not_lost_from_sales(spark):
     rows = [(None, "2017-08-01", 1, "A", 1.0, 0)]
     assert features.daily_totals(frame(spark, SALES, rows)).count() == 1
+
+
+def test_writers_beside_each_other_lose_and_double_no_version(spark, tmp_path):
+    path = str(tmp_path / "registry")
+
+    def add(writer):
+        return [runs.register_version(spark, path, "total", f"m/{writer}/{k}") for k in range(4)]
+
+    with ThreadPoolExecutor(4) as pool:
+        given = [v for versions in pool.map(add, range(4)) for v in versions]
+    assert sorted(given) == list(range(1, 17))
+    rows = spark.read.parquet(path).collect()
+    assert sorted(r.version for r in rows) == list(range(1, 17)) and len({r.artifact for r in rows}) == 16
+    assert runs.register_version(spark, path, "other", "m/x") == 1
