@@ -4,6 +4,7 @@ import itertools
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -416,5 +417,21 @@ def test_pipeline_stages(spark):
     assert last.count() == len(kept[3])
 
 
+def test_written_stages_delete_what_those_before_left(spark, tmp_path):
+    import corpus_pipeline
+
+    from demandloom.llm.common import shared_folder
+
+    sf, tables = "/root/testdata/sf0.001", lambda: {p.name for p in Path(shared_folder(spark)).glob("table-*")}
+    docs, before = spark.read.parquet(f"{sf}/documents.parquet"), tables()
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[1:3]):
+        stage(spark, docs, sf).write.parquet(str(tmp_path / str(k)))
+        docs = spark.read.parquet(str(tmp_path / str(k)))
+    assert corpus_pipeline._is_a_table(docs) and not corpus_pipeline._is_a_table(docs.union(docs))
+    left = tables() - before
+    corpus_pipeline.discard(spark, corpus_pipeline._scratch)
+    assert left and not tables() - before
+
+
 def test_queries_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
