@@ -17,17 +17,27 @@ from demandloom.llm.queries import TOXIC_FROM, severity_grades, vocabulary_path
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-#: Tables that the stage called last has written on its way.
+#: Tables that stages have written on their way.
 _scratch: list[str] = []
 
 
+def _is_a_table(docs: DataFrame) -> bool:
+    """Whether ``docs`` is a table read from files that no stage left behind, not a plan over such tables."""
+    leaves = docs._jdf.queryExecution().analyzed().collectLeaves()
+    if leaves.size() != 1 or leaves.head().getClass().getSimpleName() != "LogicalRelation":
+        return False
+    read = leaves.head().relation().location().rootPaths().mkString("\n")
+    return not any(path in read for path in _scratch)
+
+
 def _stage(function: Stage) -> Stage:
-    """A stage's result is written before the next stage is called, so what the stage before left
-    behind in the shared folder is deleted then, and the disk holds one stage's tables at a time."""
+    """A stage whose ``docs`` is a table again needs nothing of what the stages before left in the shared
+    folder: it is deleted then, and the disk holds one stage's tables at a time."""
 
     @wraps(function)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        discard(spark, _scratch)
+        if _is_a_table(docs):
+            discard(spark, _scratch)
         ship_package(spark)
         with owned() as paths:
             out = function(spark, docs, sf_dir)
