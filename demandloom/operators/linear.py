@@ -6,6 +6,9 @@ any subset of columns from the same matrix, so each order is a list of pivots. N
 JVM, and a series moves once, however many orders are tried.
 
 With regressors the lags stand beside them in one regression: ``z = lags + x``, both differenced alike.
+
+Moving averages take two regressions (``two_stage_trials``): a long autoregression leaves residuals, and
+their lags stand beside those of the series in the second one.
 """
 
 from __future__ import annotations
@@ -26,6 +29,10 @@ LAG_ORDERS = [(0, 0), (1, 0), (2, 0), (0, 1)]
 DIFFERENCES = [(0, 0), (1, 0), (0, 1), (1, 1)]
 #: Days that every trial skips, so that all are scored on the same ones.
 SKIPPED = 2 * SEASON + 1
+#: (q, seasonal_q) of the orders with moving averages, in two regressions.
+AVERAGE_ORDERS = [(0, 0), (1, 0), (2, 0), (0, 1), (1, 1), (2, 1)]
+#: Lags of the long autoregression that stands for the unknown innovations.
+LONG = SEASON + 1
 #: A column counts as a combination of the others if less than this part of its squares is left.
 SINGULAR = 1e-10
 
@@ -73,16 +80,16 @@ def grams(
         )
         for (d, seasonal_d), w in zip(differences, weights)
     ]
-    m = 1 + len(lags) + len(exog)
+    spread = rows.select(*keys, F.explode(F.array(*variants)).alias("x")).select(*keys, "x.*")
+    return _product_sums(spread, [*keys, "d", "seasonal_d"], 1 + len(lags) + len(exog))
+
+
+def _product_sums(rows: DataFrame, by: list[str], m: int) -> DataFrame:
+    """n_obs and ``gram`` of the arrays ``v`` of length m, by the given columns."""
     product_sums = {(i, j): F.sum(F.get("v", F.lit(i)) * F.get("v", F.lit(j))).alias(f"s{i}_{j}") for i, j in product(range(m), repeat=2) if i <= j}
-    summed = (
-        rows.select(*keys, F.explode(F.array(*variants)).alias("x"))
-        .select(*keys, "x.*")
-        .groupBy(*keys, "d", "seasonal_d")
-        .agg(F.count("*").alias("n_obs"), *product_sums.values())
-    )
+    summed = rows.groupBy(*by).agg(F.count("*").alias("n_obs"), *product_sums.values())
     flat = F.array(*(F.col(f"s{min(i, j)}_{max(i, j)}") for i, j in product(range(m), repeat=2)))
-    return summed.select(*keys, "d", "seasonal_d", "n_obs", flat.alias("gram"))
+    return summed.select(*by, "n_obs", flat.alias("gram"))
 
 
 def swept(gram: Column, pivots: Column, m: int) -> Column:
@@ -148,9 +155,67 @@ def linear_trials(days: DataFrame, keys: list[str], target: str = "sales", exog:
     )
 
 
-def linear_best(trials: DataFrame, keys: list[str]) -> DataFrame:
+def innovations(days: DataFrame, keys: list[str], target: str = "sales", d: int = 0, seasonal_d: int = 0) -> DataFrame:
+    """Keys, date, z (the differenced target) and e: what an autoregression on the last ``LONG`` days leaves of z.
+
+    The first days of a series, which have no such lags, are left out, and so are days with an unknown target. A
+    series whose lags depend on one another (a constant one) has a null e. The model of a series is one row,
+    joined by the keys that the lags are partitioned by already.
+    """
+    by_time = W.partitionBy(*keys).orderBy("date")
+    weights = _weights(difference_steps(d, seasonal_d))
+    value = F.col(target).cast("double")
+    z = reduce(lambda a, b: a + b, (F.lag(value, k).over(by_time) * n if k else value * n for k, n in weights.items() if n))
+    known = days.where(F.col(target).isNotNull()).select(*keys, "date", F.row_number().over(by_time).alias("at"), z.alias("z"))
+    back = {f"z{k}": F.lag("z", k).over(by_time) for k in range(1, LONG + 1)}
+    rows = known.withColumns(back).where(F.col("at") > max(weights) + LONG)
+    lags = F.array(*back)
+    sums = _product_sums(rows.select(*keys, F.concat(F.array("z"), lags).alias("v")), keys, 1 + LONG)
+    pivots = F.sequence(F.lit(1), F.lit(LONG))
+    solved = sums.select(*keys, swept(F.col("gram"), pivots, 1 + LONG).alias("s"))
+    model = solved.select(*keys, F.transform(pivots, lambda i: F.get("s", i * (1 + LONG))).alias("phi"))
+    explained = F.aggregate(F.zip_with("phi", lags, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    return rows.join(model, keys).select(*keys, "date", "z", (F.col("z") - explained).alias("e"))
+
+
+def two_stage_trials(
+    days: DataFrame, keys: list[str], target: str = "sales", d: int = 0, seasonal_d: int = 0
+) -> DataFrame:
+    """All 24 orders with q up to 2 and one seasonal average, at one differencing: p, q, seasonal_p, seasonal_q, n_obs,
+    params, sse and aic.
+
+    Two regressions (Hannan and Rissanen): ``innovations``, then z on its own lags and those of the
+    innovations. ``params`` lists the lags 1, 2 and ``SEASON`` of z, then of the innovations, as far as the order
+    has them; with q and seasonal_q the product of both polynomials is left out. All orders of a series are
+    scored on the same days. Orders that these do not determine have a null aic, and series of no more days
+    than the lags of both regressions need have no rows.
+    """
+    shifts = [1, 2, SEASON]
+    by_time = W.partitionBy(*keys).orderBy("date")
+    own = [F.lag(c, k).over(by_time) for c in ("z", "e") for k in shifts]
+    left = innovations(days, keys, target, d, seasonal_d)
+    rows = left.select(*keys, F.row_number().over(by_time).alias("at"), F.array("z", *own).alias("v")).where(F.col("at") > SEASON)
+    m = 1 + 2 * len(shifts)
+    sums = _product_sums(rows, keys, m)
+
+    def columns(short: int, seasonal: int, start: int) -> list[int]:
+        return [*range(start, start + short), *[start + 2] * seasonal]
+
+    orders = F.array(
+        *(
+            F.struct(
+                F.lit(p).alias("p"), F.lit(q).alias("q"), F.lit(seasonal_p).alias("seasonal_p"), F.lit(seasonal_q).alias("seasonal_q"),
+                F.array(*map(F.lit, [*columns(p, seasonal_p, 1), *columns(q, seasonal_q, 1 + len(shifts))])).cast("array<int>").alias("pivots"),
+            )
+            for (p, seasonal_p), (q, seasonal_q) in product(LAG_ORDERS, AVERAGE_ORDERS)
+        )
+    )
+    spread = sums.select("*", F.explode(orders).alias("o")).select(*sums.columns, "o.*")
+    return _criteria(spread, m).select(*keys, "p", "q", "seasonal_p", "seasonal_q", "n_obs", "params", "sse", "aic")
+
+
+def linear_best(trials: DataFrame, keys: list[str], order: tuple[str, ...] = ("p", "d", "seasonal_p", "seasonal_d")) -> DataFrame:
     """The order with the lowest AIC of every series; ties go to the smaller order."""
-    order = ["p", "d", "seasonal_p", "seasonal_d"]
     best = F.min_by(F.struct(*order, "aic"), F.when(F.col("aic").isNotNull(), F.struct("aic", *order)))
     return trials.groupBy(*keys).agg(best.alias("b")).select(*keys, "b.*")
 

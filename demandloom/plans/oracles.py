@@ -225,7 +225,48 @@ _KPSS = """(WITH z AS (
     GROUP BY a.store_nbr, a.family, a.k)
   SELECT *, q / (n * n) / NULLIF(own + COALESCE(others, 0), 0) AS kpss FROM sums LEFT JOIN crossed USING (store_nbr, family, k))"""
 
+def _without(source: str, own: str, columns: list[str]) -> str:
+    """``own`` and what the regressions on each of the columns in turn leave of it and of the later ones."""
+    w = "(PARTITION BY store_nbr, family)"
+    for i, x in enumerate(columns):
+        left = ", ".join(f"{c} - {x} * SUM({c} * {x}) OVER {w} / SUM({x} * {x}) OVER {w} AS {c}" for c in (own, *columns[i + 1 :]))
+        # the last column stays, so that its coefficient can be had
+        kept = f", {x} AS x_last, {own} AS z_last" if x == columns[-1] else ""
+        source = f"SELECT * REPLACE ({left}){kept} FROM ({source})"
+    return source
+
+
+def _two_stage() -> str:
+    w = "(PARTITION BY store_nbr, family ORDER BY date)"
+    back = ", ".join(f"LAG(z, {k}) OVER {w} AS z{k}" for k in range(1, 9))
+    long = _without("SELECT *, z AS e FROM own WHERE spot > 9", "e", [f"z{k}" for k in range(1, 9)])
+    shifts = ", ".join(f"LAG({c}, {k}) OVER {w} AS {c}{k}" for c in ("z", "e") for k in (1, 2, 7))
+    parts = []
+    for p, seasonal_p in ((0, 0), (1, 0), (2, 0), (0, 1)):
+        for q in (0, 1, 2):
+            for seasonal_q in (0, 1):
+                columns = ["z1", "z2"][:p] + ["z7"] * seasonal_p + ["e1", "e2"][:q] + ["e7"] * seasonal_q
+                last = "SUM(z_last * x_last) / NULLIF(SUM(x_last * x_last), 0)" if columns else "NULL::DOUBLE"
+                parts.append(f"""SELECT store_nbr, family, {p} AS p, {q} AS q, {seasonal_p} AS seasonal_p, {seasonal_q} AS seasonal_q,
+                  COUNT(*) AS n_obs, {len(columns) + 1} AS k, SUM(z * z) AS sse, {last} AS last
+                  FROM ({_without("SELECT * FROM second", "z", columns)}) GROUP BY store_nbr, family""")
+    return f"""(WITH steps AS (
+    SELECT store_nbr, family, date, CAST(sales AS DOUBLE) - LAG(CAST(sales AS DOUBLE)) OVER {w} AS z, ROW_NUMBER() OVER {w} AS spot FROM panel),
+  own AS (SELECT *, {back} FROM steps),
+  residuals AS MATERIALIZED (SELECT store_nbr, family, date, z, e FROM ({long})),
+  second AS MATERIALIZED (
+    SELECT * FROM (SELECT *, ROW_NUMBER() OVER {w} AS place, {shifts} FROM residuals) WHERE place > 7)
+  SELECT * REPLACE (CASE WHEN n_obs > k AND sse > 0 THEN last END AS last),
+    CASE WHEN n_obs > k AND sse > 0 THEN 2 * k + n_obs * (LN(2 * PI() * sse / n_obs) + 1) END AS aic FROM ({" UNION ALL ".join(parts)}))"""
+
+
+_TWO_STAGE = _two_stage()
+
 _SELECTS = {
+    "ma_two_stage": f"""SELECT store_nbr, family, p, q, seasonal_p, seasonal_q, n_obs, ROUND(last, 5) AS last, ROUND(aic, 4) AS aic
+        FROM {_TWO_STAGE}""",
+    "ma_two_stage_best": f"""SELECT store_nbr, family, p, q, seasonal_p, seasonal_q FROM (SELECT *, ROW_NUMBER() OVER (
+        PARTITION BY store_nbr, family ORDER BY aic NULLS LAST, p, q, seasonal_p, seasonal_q) AS place FROM {_TWO_STAGE}) WHERE place = 1""",
     "kpss_level": f"""SELECT *, CASE WHEN COALESCE(kpss <= 0.463, TRUE) THEN 0 WHEN COALESCE(kpss_1 <= 0.463, TRUE) THEN 1 ELSE 2 END AS d
         FROM (SELECT store_nbr, family, CAST(a.n AS INTEGER) AS n_obs, ROUND(a.kpss, 6) AS kpss, ROUND(b.kpss, 6) AS kpss_1
           FROM {_KPSS} a LEFT JOIN (SELECT * FROM {_KPSS} WHERE k = 1) b USING (store_nbr, family) WHERE a.k = 0)""",

@@ -437,6 +437,9 @@ def pair_submission_complete(spark, sf):
     )
 
 
+AVERAGE_ORDER = ("p", "q", "seasonal_p", "seasonal_q")
+
+
 def _linear_trials(spark, sf) -> DataFrame:
     return linear.linear_trials(features.pair_days(star.sales_panel(spark, sf)), PAIR)
 
@@ -453,6 +456,21 @@ def linear_best(spark, sf):
     return linear.linear_best(_linear_trials(spark, sf), PAIR).drop("aic")
 
 
+def _two_stage_trials(spark, sf) -> DataFrame:
+    return linear.two_stage_trials(features.pair_days(star.sales_panel(spark, sf)), PAIR, d=1)
+
+
+def ma_two_stage(spark, sf):
+    """Moving averages of every pair's first difference in two regressions: the last coefficient and the AIC of each order."""
+    trials = _two_stage_trials(spark, sf)
+    last = F.when(F.col("aic").isNotNull(), F.round(F.try_element_at("params", F.lit(-1)), 5)).alias("last")
+    return trials.select(*PAIR, *AVERAGE_ORDER, "n_obs", last, F.round("aic", 4).alias("aic"))
+
+
+def ma_two_stage_best(spark, sf):
+    return linear.linear_best(_two_stage_trials(spark, sf), PAIR, AVERAGE_ORDER).drop("aic")
+
+
 def _packed_pairs(spark, sf) -> DataFrame:
     return series.pack_series(features.pair_days(star.sales_panel(spark, sf)), PAIR, "sales", [])
 
@@ -635,5 +653,6 @@ QUERIES = {
         negatives_floored, latest_model, log_fetch, hash_split, tree_scores, tree_accuracy,
         orders_round_trip, forecast_given_model, pair_submission_complete, next_version,
         registration_log, batch_log, tree_stump, stump_accuracy, linear_grid, linear_best, linear_exog_fit, kpss_level, seasonal_strength,
+        ma_two_stage, ma_two_stage_best,
     )
 }

@@ -340,6 +340,59 @@ def test_regressions_with_regressors_equal_least_squares(spark):
         assert r.sse == pytest.approx(sse[0], rel=1e-7)
 
 
+def test_two_stage_averages_equal_least_squares(spark):
+    """Both regressions by least squares, a known moving average found again, and series that allow none."""
+    rng = np.random.default_rng(6)
+    shocks = rng.normal(size=1500)
+    own = {"short": rng.normal(size=60).cumsum(), "long": np.cumsum(shocks[1:] + 0.6 * shocks[:-1])}
+    rows = [(name, date(2010, 1, 1) + timedelta(t), float(v)) for name, y in own.items() for t, v in enumerate(y)]
+    rows += [("flat", date(2010, 1, 1) + timedelta(t), 5.0) for t in range(40)]
+    rows += [("brief", date(2010, 1, 1) + timedelta(t), float(t * t)) for t in range(16)]
+    rows += [("long", date(2020, 1, 1), None)]
+    days = spark.createDataFrame(rows, "series string, date date, sales double")
+    trials = linear.two_stage_trials(days, KEY, d=1)
+    found = trials.collect()
+    assert len(found) == 72 and {r.series for r in found} == {"short", "long", "flat"}
+    for r in found:
+        if r.series == "flat":
+            assert r.aic is None
+            continue
+        z = np.diff(own[r.series])
+        at = np.arange(8, len(z))
+        lags = np.column_stack([z[at - k] for k in range(1, 9)])
+        e = np.zeros(len(z))
+        e[at] = z[at] - lags @ np.linalg.lstsq(lags, z[at], rcond=None)[0]
+        at = np.arange(15, len(z))
+        back = [*((z, k) for k in range(1, r.p + 1)), *[(z, 7)] * r.seasonal_p]
+        back += [*((e, k) for k in range(1, r.q + 1)), *[(e, 7)] * r.seasonal_q]
+        design = np.column_stack([v[at - k] for v, k in back]) if back else np.zeros((len(at), 0))
+        want = np.linalg.lstsq(design, z[at], rcond=None)[0]
+        sse = ((z[at] - design @ want) ** 2).sum()
+        assert r.n_obs == len(at) and r.params == pytest.approx(list(want), rel=1e-6, abs=1e-9)
+        assert r.sse == pytest.approx(sse, rel=1e-9)
+        assert r.aic == pytest.approx(2 * (len(back) + 1) + len(at) * (np.log(2 * np.pi * sse / len(at)) + 1))
+        if r.series == "long" and (r.p, r.q, r.seasonal_p, r.seasonal_q) == (0, 1, 0, 0):
+            assert r.params[0] == pytest.approx(0.6, abs=0.06)
+    best = {r.series: r for r in linear.linear_best(trials, KEY, ("p", "q", "seasonal_p", "seasonal_q")).collect()}
+    assert best["long"].q > 0 and best["flat"].q is None
+
+
+def test_two_stage_shuffles_the_days_once(spark):
+    schema = "series string, date date, sales double"
+    days = spark.createDataFrame([("a", date(2020, 1, 1), 1.0)], schema)
+    plain = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in plain}
+    try:
+        for k, v in plain.items():
+            spark.conf.set(k, v)
+        plan = linear.two_stage_trials(days, KEY, d=1)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert plan.count(" Exchange ") == 1 and plan.count("ReusedExchange") == 1 and "SortMergeJoin" in plan
+    assert linear.two_stage_trials(spark.createDataFrame([], schema), KEY).count() == 0
+
+
 @pytest.mark.parametrize(
     "order", [(0, 0, 0, 0, 0, 0, 0), (2, 1, 1, 1, 1, 1, 0), (1, 0, 2, 0, 1, 1, 1), (0, 2, 0, 2, 0, 2, 1), (3, 0, 0, 0, 0, 0, 1)]
 )
