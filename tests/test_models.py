@@ -389,7 +389,7 @@ def test_two_stage_shuffles_the_days_once(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    assert plan.count(" Exchange ") == 1 and plan.count("ReusedExchange") == 1 and "SortMergeJoin" in plan
+    assert plan.count("+- Exchange ") == 1 and plan.count("ReusedExchange") == 1 and "SortMergeJoin" in plan
     assert linear.two_stage_trials(spark.createDataFrame([], schema), KEY).count() == 0
 
 
