@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.columns import non_negative
-from demandloom.operators.runs import with_position
+from demandloom.operators.runs import with_file_position, with_position
 
 
 def submission(predictions: DataFrame) -> DataFrame:
@@ -34,6 +34,17 @@ def match_by_position(
     return values.select("position", "sales").join(ids.select("position", "id"), "position")
 
 
+def match_in_file_order(predictions: DataFrame, block: list[str], instances: DataFrame, instance_order: list[str]) -> DataFrame:
+    """The same for predictions as they were read: their files' order is known without a sort.
+
+    ``block`` names file and split (see :func:`with_file_position`).
+    """
+    others = [c for c in instance_order if c != "id"]
+    ids = with_position(instances.select("id", *others), instance_order)
+    values = with_file_position(predictions.select("sales", *block), block)
+    return values.select("position", "sales").join(ids.select("position", "id"), "position")
+
+
 def reconcile(instances: DataFrame, predictions: DataFrame) -> DataFrame:
     """Row counts of a request, its predictions and its submission, and ids on one side only.
 

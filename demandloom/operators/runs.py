@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from demandloom.functions.columns import logged_metric
+from demandloom.functions.columns import checked_broadcast, logged_metric
 from demandloom.operators.tuning import ORDER_COLS
 from demandloom.schemas import SEASON
 
@@ -24,19 +24,25 @@ REGISTRY = (
 )
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the cluster's shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder.
 
     A folder of our own is made only in local mode, and only when none is configured.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             shared = tempfile.mkdtemp(prefix="checkpoints-")
         context.setCheckpointDir(shared)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the cluster's shared checkpoint folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -277,3 +283,18 @@ def with_position(df: DataFrame, order: list[str]) -> DataFrame:
         .withColumn("position", place)
         .drop("__part", "__at", "__before")
     )
+
+
+def with_file_position(rows: DataFrame, block: list[str]) -> DataFrame:
+    """Global position of each row, from 0, of rows as they were read from files.
+
+    ``block`` names the file and the place in it that a row's input split starts at. A split is read by one
+    task from front to back, so a row's place in its split is a difference of two running numbers; the
+    splits' counts add up in their order. Rows are neither sorted nor moved, if the splits are few enough to broadcast.
+    """
+    tagged = checkpointed(rows.withColumn("__at", F.monotonically_increasing_id()))
+    sizes = tagged.groupBy(*block).agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(W.orderBy(*block).rowsBetween(W.unboundedPreceding, -1))
+    offsets = checkpointed(sizes.select(*block, (F.coalesce(before, F.lit(0)) - F.col("__first")).alias("__offset")))
+    placed = tagged.join(checked_broadcast(offsets), block)
+    return placed.withColumn("position", F.col("__at") + F.col("__offset")).drop("__at", "__offset")

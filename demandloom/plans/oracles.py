@@ -381,6 +381,13 @@ _SELECTS = {
     "submission_by_position": """SELECT i.id + 1 AS id, sales FROM
         (SELECT CAST(sales AS DOUBLE) AS sales, ROW_NUMBER() OVER (ORDER BY id) AS k FROM panel) v
         JOIN (SELECT id, ROW_NUMBER() OVER (ORDER BY id) AS k FROM panel WHERE id % 3 <> 0) i USING (k)""",
+    "results_submission": """SELECT i.id + 1 AS id, sales FROM (
+          SELECT ROW_NUMBER() OVER (ORDER BY line, place) AS k, sales FROM (
+            SELECT id AS line, place, CASE WHEN id % 5 = 3 OR (id % 5 = 1 AND place = 1) THEN NULL
+              WHEN id % 5 = 1 AND place = 2 THEN 7.0 ELSE CAST(sales AS DOUBLE) END AS sales
+            FROM panel JOIN (SELECT UNNEST([0, 1, 2]) AS place)
+              ON place < CASE id % 5 WHEN 1 THEN 3 WHEN 4 THEN 2 ELSE 1 END)) v
+        JOIN (SELECT id, ROW_NUMBER() OVER (ORDER BY id) AS k FROM panel WHERE id % 3 <> 0) i USING (k) WHERE sales IS NOT NULL""",
     "data_profile": """SELECT COUNT(*) AS rows, 6 AS columns, CAST(COUNT_IF(id IS NULL) AS BIGINT) AS nulls_id,
         CAST(COUNT_IF(date IS NULL) AS BIGINT) AS nulls_date, CAST(COUNT_IF(store_nbr IS NULL) AS BIGINT) AS nulls_store_nbr,
         CAST(COUNT_IF(id % 11 = 0) AS BIGINT) AS nulls_family, CAST(COUNT_IF(sales IS NULL) AS BIGINT) AS nulls_sales,

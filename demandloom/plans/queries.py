@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from demandloom.operators import (
     split,
     tuning,
 )
-from demandloom.plans import pairs, topdown, total
+from demandloom.plans import pairs, results, topdown, total
 from demandloom.schemas import EXOG, HORIZON, PAIR
 from demandloom.sources import requests, sinks, star
 
@@ -535,6 +537,14 @@ def submission_by_position(spark, sf):
     return predictions.submission(matched)
 
 
+def results_submission(spark, sf):
+    """Result lines of all shapes written to files and read again; predictions take the ids of a request in file order."""
+    folder = f"{runs.shared_folder(spark)}/results-{uuid4().hex}"
+    _result_lines(spark, sf).sort("line").select("value").write.text(folder)
+    ids = star.sales_panel(spark, sf).where(F.col("id") % 3 != 0).select((F.col("id") + 1).alias("id"))
+    return results.results_to_submission(spark, folder, ids, ["id"], with_ids=False, files="part-*")["submission"]
+
+
 def data_profile(spark, sf):
     number = F.col("id")
     gaps = star.sales_panel(spark, sf).withColumns(
@@ -653,6 +663,6 @@ QUERIES = {
         negatives_floored, latest_model, log_fetch, hash_split, tree_scores, tree_accuracy,
         orders_round_trip, forecast_given_model, pair_submission_complete, next_version,
         registration_log, batch_log, tree_stump, stump_accuracy, linear_grid, linear_best, linear_exog_fit, kpss_level, seasonal_strength,
-        ma_two_stage, ma_two_stage_best,
+        ma_two_stage, ma_two_stage_best, results_submission,
     )
 }

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from demandloom.operators.predictions import (
-    match_by_position,
+    match_in_file_order,
     quarantine,
     reconcile,
     submission,
 )
 from demandloom.operators.runs import checkpointed
-from demandloom.sources.requests import flatten_results, read_result_lines
+from demandloom.sources.requests import RESULT_FILES, flatten_results, read_result_lines
 
-FILE_ORDER = ["file_path", "file_block_start", "line", "place"]
+FILE_BLOCK = ["file_path", "file_block_start"]
 
 
 def results_to_submission(
@@ -22,14 +22,14 @@ def results_to_submission(
     instances: DataFrame,
     instance_order: list[str],
     with_ids: bool = True,
+    files: str = RESULT_FILES,
 ) -> dict[str, DataFrame]:
     """``submission``, ``quarantine`` and ``counts``.
 
     The files are parsed once and the rows written. Results without ids take those of ``instances``, row for row in file order.
     """
-    flat = checkpointed(flatten_results(read_result_lines(spark, directory)))
-    if not with_ids:
-        flat = checkpointed(match_by_position(flat, FILE_ORDER, instances, instance_order))
+    flat = flatten_results(read_result_lines(spark, directory, files))
+    flat = checkpointed(flat if with_ids else match_in_file_order(flat, FILE_BLOCK, instances, instance_order))
     return {
         "submission": submission(flat),
         "quarantine": quarantine(flat),

@@ -92,13 +92,17 @@ def rejected_bodies(requests: DataFrame, body: str = "body") -> DataFrame:
     return requests.where(listed.isNull()).withColumn("reason", F.lit("body has no list of lists"))
 
 
-def read_result_lines(spark: SparkSession, directory: str) -> DataFrame:
+#: Names of the files that a scoring job writes its results to.
+RESULT_FILES = "*prediction.results*"
+
+
+def read_result_lines(spark: SparkSession, directory: str, files: str = RESULT_FILES) -> DataFrame:
     """Lines of the result files of a scoring job, with the place each came from.
 
     Lines of one block are read in order, so ``line`` rises with the place in it.
     """
     return (
-        spark.read.option("pathGlobFilter", "*prediction.results*")
+        spark.read.option("pathGlobFilter", files)
         .option("recursiveFileLookup", True)
         .text(directory)
         .select(

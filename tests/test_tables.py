@@ -193,6 +193,30 @@ def test_position_is_global(spark):
     assert [r.position for r in rows] == list(range(1000))
 
 
+def test_file_positions_need_no_sort(spark, tmp_path):
+    """Small splits, so that files have many and a task reads several; blank lines and long lines among them."""
+    want = []
+    for k in range(4):
+        lines = [f"{k}-{i}-" + "x" * (i % 90) if i % 7 else "" for i in range(300 - 70 * k)]
+        (tmp_path / f"prediction.results-{k}").write_text("\n".join(lines) + "\n")
+        want += lines
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        lines = requests.read_result_lines(spark, str(tmp_path))
+        assert lines.select("file_path", "file_block_start").distinct().count() > 20
+        placed = runs.with_file_position(lines, results.FILE_BLOCK)
+        plan = placed._jdf.queryExecution().sparkPlan().toString()
+        got = placed.orderBy("position").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [r.position for r in got] == list(range(len(want))) and [r.value for r in got] == want
+    assert "Sort" not in plan and "BroadcastHashJoin" in plan
+    assert runs.with_file_position(lines.limit(0), results.FILE_BLOCK).count() == 0
+
+
 def test_reconcile(spark):
     asked = spark.createDataFrame([(1,), (2,), (3,)], "id bigint")
     made = spark.createDataFrame([(1, 1.0), (2, None), (9, 2.0)], "id bigint, sales double")
