@@ -25,7 +25,7 @@ from demandloom.operators import (
 )
 from demandloom.plans import pairs, results, topdown, total
 from demandloom.schemas import EXOG, HORIZON, PAIR
-from demandloom.sources import requests, sinks, star
+from demandloom.sources import requests, rollup, sinks, star
 
 TARGET = (1, "PROMO")
 
@@ -37,8 +37,10 @@ def _past(spark, sf):
     return [f(spark, sf) for f in (star.history, star.oil, star.holidays)]
 
 
-def _asked(spark, sf):
-    return [*star.history_and_request(spark, sf), star.oil(spark, sf), star.holidays(spark, sf)]
+def _asked(spark, sf, rolled=None):
+    """History, request and calendars, all days from one written rollup of the facts."""
+    rolled = star.rolled_panel(spark, sf) if rolled is None else rolled
+    return [*star.history_and_request(spark, sf, rolled=rolled), star.oil(spark, sf), star.holidays(spark, sf)]
 
 
 # --- calendars and features ---------------------------------------------------------------
@@ -182,7 +184,8 @@ def request_lists(spark, sf):
 
 
 def proportions(spark, sf):
-    return shares.trailing_shares(star.sales_panel(spark, sf), recent=star.recent_days(spark, sf))
+    rolled = star.rolled_panel(spark, sf)
+    return shares.trailing_shares(rollup.between(rolled), recent=star.recent_days(spark, sf, rolled=rolled))
 
 
 def proportions_uniform(spark, sf):
@@ -201,9 +204,13 @@ def seasonal_lag_forecast(spark, sf):
     )
 
 
+def _disaggregated(spark, sf, rolled) -> DataFrame:
+    recent = star.recent_days(spark, sf, h=HORIZON, rolled=rolled)
+    return topdown.seasonal_top_down(*_asked(spark, sf, rolled), recent=recent)
+
+
 def disaggregate(spark, sf):
-    recent = star.recent_days(spark, sf, h=HORIZON)
-    return topdown.seasonal_top_down(*_asked(spark, sf), recent=recent)
+    return _disaggregated(spark, sf, star.rolled_panel(spark, sf))
 
 
 def submission(spark, sf):
@@ -214,10 +221,11 @@ def reconcile(spark, sf):
     """Counts where every seventh id has no prediction, every fifth a null one, and every
     eleventh prediction is for an id nobody asked for."""
     number = F.col("id")
-    made = disaggregate(spark, sf).where(number % 7 != 0)
+    rolled = star.rolled_panel(spark, sf)
+    made = _disaggregated(spark, sf, rolled).where(number % 7 != 0)
     made = made.withColumn("sales", F.when(number % 5 != 0, F.col("sales")))
     made = made.withColumn("id", F.when(number % 11 == 0, -number).otherwise(number))
-    return predictions.reconcile(star.request(spark, sf), made)
+    return predictions.reconcile(star.request(spark, sf, rolled=rolled), made)
 
 
 # --- models with a closed form ------------------------------------------------------------
@@ -393,8 +401,9 @@ def pair_evaluation(spark, sf):
 
 
 def tuned_submission(spark, sf):
-    recent = star.recent_days(spark, sf, h=HORIZON)
-    return topdown.top_down(*_asked(spark, sf), recent=recent)["submission"]
+    rolled = star.rolled_panel(spark, sf)
+    recent = star.recent_days(spark, sf, h=HORIZON, rolled=rolled)
+    return topdown.top_down(*_asked(spark, sf, rolled), recent=recent)["submission"]
 
 
 def auto_order(spark, sf):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from demandloom.functions.columns import monday_based
 from demandloom.schemas import HORIZON, PAIR
+from demandloom.sources import rollup
 
 # Code of each family within a row id.
 FAMILIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -70,15 +71,25 @@ def newest_day(spark: SparkSession, sf_dir: str, before: date | None = None) ->
     return lines.agg(F.max("l_shipdate").cast("date").alias("d")).first()["d"]
 
 
+def rolled_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel, made of the facts once and written, for flows that cut several parts from it."""
+    return rollup.write_rollup(sales_panel(spark, sf_dir))
+
+
 def history_and_request(
-    spark: SparkSession, sf_dir: str, h: int = HORIZON
+    spark: SparkSession, sf_dir: str, h: int = HORIZON, rolled: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """The panel up to ``h`` days before its newest day, and what came later without its sales."""
-    last = newest_day(spark, sf_dir)
+    """The panel up to ``h`` days before its newest day, and what came later without its sales.
+
+    Both are cut from a ``rolled_panel``, if there is one, else from the facts.
+    """
+    last = newest_day(spark, sf_dir) if rolled is None else rollup.newest_day(rolled)
     if last is None:
         panel = sales_panel(spark, sf_dir)
         return panel, panel.drop("sales")
     cutoff = last - timedelta(h)
+    if rolled is not None:
+        return rollup.between(rolled, until=cutoff), rollup.between(rolled, after=cutoff).drop("sales")
     return sales_panel(spark, sf_dir, until=cutoff), sales_panel(spark, sf_dir, after=cutoff).drop("sales")
 
 
@@ -86,20 +97,27 @@ def history(spark: SparkSession, sf_dir: str, h: int = HORIZON) -> DataFrame:
     return history_and_request(spark, sf_dir, h)[0]
 
 
-def request(spark: SparkSession, sf_dir: str, h: int = HORIZON) -> DataFrame:
-    return history_and_request(spark, sf_dir, h)[1]
+def request(spark: SparkSession, sf_dir: str, h: int = HORIZON, rolled: DataFrame | None = None) -> DataFrame:
+    return history_and_request(spark, sf_dir, h, rolled)[1]
 
 
-def recent_days(spark: SparkSession, sf_dir: str, days: int = 30, h: int = 0) -> DataFrame:
+def recent_days(
+    spark: SparkSession, sf_dir: str, days: int = 30, h: int = 0, rolled: DataFrame | None = None
+) -> DataFrame:
     """The trailing window that shares are taken from, of the panel without its last ``h`` days,
-    cut at the scan."""
-    last = newest_day(spark, sf_dir)
+    cut at the scan of the facts or of a ``rolled_panel``."""
+
+    def newest(before: date | None = None) -> date | None:
+        return newest_day(spark, sf_dir, before) if rolled is None else rollup.newest_day(rolled, before)
+
+    last = newest()
     if last is None:
         return sales_panel(spark, sf_dir)
     until = last - timedelta(h)
     if h:
-        last = newest_day(spark, sf_dir, before=until + timedelta(1)) or until
-    return sales_panel(spark, sf_dir, after=last - timedelta(days + 1), until=until)
+        last = newest(until + timedelta(1)) or until
+    after = last - timedelta(days + 1)
+    return sales_panel(spark, sf_dir, after=after, until=until) if rolled is None else rollup.between(rolled, after, until)
 
 
 def _due_day() -> Column:

@@ -1,5 +1,7 @@
 """Hot keys, whole results and plan shapes."""
 
+from datetime import date, timedelta
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from demandloom.operators import features, runs, series, shares, split, tuning
 from demandloom.schemas import PAIR
-from demandloom.sources import star
+from demandloom.sources import rollup, star
 
 SF = "/root/testdata/sf0.001"
 
@@ -118,6 +120,37 @@ def test_days_are_cut_at_the_scan(spark):
         assert pushed and any("ThanOrEqual(l_shipdate" in x or "LessThan(l_shipdate" in x for x in pushed)
 
 
+@pytest.mark.parametrize("name", ["disaggregate", "proportions", "batch_input", "reconcile"])
+def test_flows_read_the_facts_once(spark, name, monkeypatch):
+    """The rollup is all that reads line items; parts of it read their months."""
+    made, parts, write, cut = [], [], rollup.write_rollup, rollup.between
+
+    def between(rolled, after=None, until=None):
+        part = cut(rolled, after, until)
+        parts.extend([part] if after or until else [])
+        return part
+
+    monkeypatch.setattr(rollup, "write_rollup", lambda panel: made.append(panel) or write(panel))
+    monkeypatch.setattr(rollup, "between", between)
+    plan = _plan(contract.queries()[name](spark, SF))
+    assert len(made) == 1 and "l_shipdate" in _plan(made[0]) and "l_shipdate" not in plan
+    assert parts and all("PartitionFilters: [isnotnull(month_number" in _plan(part) for part in parts)
+
+
+def test_parts_of_a_rollup(spark, tmp_path):
+    first = date(2020, 1, 30)
+    rows = [(first + timedelta(k), k) for k in range(40)] + [(None, -1)]
+    panel = spark.createDataFrame(rows, "date date, n int")
+    rolled = rollup.write_rollup(panel, str(tmp_path / "days"))
+    assert sorted(r.n for r in rollup.between(rolled).collect()) == [-1, *range(40)]
+    assert sorted(r.n for r in rollup.between(rolled, after=first, until=first + timedelta(3)).collect()) == [1, 2, 3]
+    assert rollup.newest_day(rolled) == first + timedelta(39)
+    assert rollup.newest_day(rolled, before=date(2020, 3, 1)) == date(2020, 2, 29)
+    assert rollup.newest_day(rolled, before=first) is None
+    none = rollup.write_rollup(panel.limit(0), str(tmp_path / "none"))
+    assert rollup.newest_day(none) is None and rollup.between(none, after=first).count() == 0
+
+
 def test_lines_without_a_part_do_not_move_the_newest_day(spark, tmp_path):
     for name in ("part", "supplier"):
         spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
