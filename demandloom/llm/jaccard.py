@@ -18,6 +18,10 @@ that only share a passage; only what is left moves whole sets.
 Large groups of near copies never give all their pairs: a round first verifies every member of a
 signature against one leader, and afterwards only members of different components meet. Where
 many do, their sketches are compared in blocks, and only what the sketches allow becomes a row.
+
+No group is gathered anywhere. Signatures that stand alone fall out of a sort by range, which cuts
+a signature that very many sets share into as many ranges as it needs; leaders are partial minima
+that join back; partners of one document travel in pieces.
 """
 
 from __future__ import annotations
@@ -33,7 +37,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from demandloom.functions.columns import checked_broadcast
-from demandloom.llm.common import words, written
+from demandloom.llm.common import discard, owned, packed, unpacked, words, written
 from demandloom.llm.components import components
 from demandloom.llm.urls import LOWER, UPPER
 
@@ -50,11 +54,14 @@ CELLS = 2_000_000
 HOT = 2_048
 #: Ids of texts that travel to every task at most; more of them join by shuffle.
 BROADCAST_IDS = 1_000_000
+#: About how many partners travel beside one set.
+PARTNERS = 1_024
 ROWS_AT_ONCE = 500
 
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
 SIZE_BITS = 27
+CODE_BYTES = 8
 MARK = 1 << 40
 
 
@@ -178,9 +185,9 @@ def _sets(column: pa.Array) -> Iterator[np.ndarray]:
 
 def _signatures(docs: DataFrame, text: str, key: str) -> DataFrame:
     """sig, doc, info, sketch. For every row one *set* row (info >= 0: size, and more of the set's
-    hash in the high bits; sig is the set's hash; with the sketch), then its signatures
-    (info = -size, no sketch). A set with too few spare segments for its empty ones also gets a
-    mark (info = -size - MARK)."""
+    hash in the high bits; sketch is the set's hash, CODE_BYTES long, and its sketch), then its
+    signatures (info = -size, no sketch). A set with too few spare segments for its empty ones also
+    gets a mark (info = -size - MARK)."""
 
     def hashed(doc: int | None) -> np.ndarray:
         return _mix(np.array([doc or 0], np.int64).view(np.uint64)).view(np.int64)
@@ -196,10 +203,10 @@ def _signatures(docs: DataFrame, text: str, key: str) -> DataFrame:
                     if not n:
                         out.append((hashed(doc), doc, 0, b""))
                         continue
-                    first = int(_mix(own ^ _U(1)).sum(dtype=np.uint64).view(np.int64))
+                    first = int(_mix(own ^ _U(1)).sum(dtype=np.uint64))
                     second = int(_mix(own ^ _U(2)).sum(dtype=np.uint64)) >> (1 + SIZE_BITS)
                     mark = (first, second << SIZE_BITS | n)
-                    out.append((np.array([first]), doc, mark[1], sketch(own)))
+                    out.append((hashed(doc), doc, mark[1], first.to_bytes(CODE_BYTES, "little") + sketch(own)))
                     if doc is None or mark in seen:
                         continue
                     seen.add(mark)
@@ -230,10 +237,38 @@ def _signatures(docs: DataFrame, text: str, key: str) -> DataFrame:
     )
 
 
-def _texts(docs: DataFrame, ids: DataFrame, text: str, key: str) -> DataFrame:
-    """Columns of ``ids`` (with a column doc) and the set of that document."""
+def _shared(signatures: DataFrame) -> DataFrame:
+    """Of the rows sig, doc, n those whose signature stands in another row too. The first and the
+    last signature of a range stay, for they may go on in the range beside it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, held_stays, first = None, False, None  # the last row so far, and whether it is known to stay
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            if not rows.num_rows:
+                continue
+            sig = rows.column("sig").to_numpy()
+            first = sig[0] if first is None else first
+            same = sig[1:] == sig[:-1]
+            stays = sig == first
+            stays[1:] |= same
+            stays[:-1] |= same
+            stays[0] |= held_stays
+            yield from rows.slice(0, len(sig) - 1).filter(pa.array(stays[:-1])).to_batches()
+            held, held_stays = rows.slice(len(sig) - 1), stays[-1]
+        if held is not None:
+            yield from held.to_batches()
+
+    ranges = signatures.repartitionByRange("sig", "doc").sortWithinPartitions("sig", "doc")
+    return ranges.mapInArrow(run, "sig long, doc long, n long")
+
+
+def _texts(docs: DataFrame, ids: DataFrame, text: str, key: str, small: bool) -> DataFrame:
+    """Columns of ``ids`` (with a column doc) and the set of that document. ``small``: ``ids``, with
+    what its arrays hold, was counted to be at most BROADCAST_IDS numbers."""
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")).join(
-        checked_broadcast(ids, BROADCAST_IDS), "doc"
+        F.broadcast(ids) if small else ids, "doc"
     )
     coded = rows.select(*ids.columns, _coded("text").alias("own"))
     at = len(ids.columns)
@@ -273,7 +308,7 @@ def _in_blocks(crowded: DataFrame, sets: DataFrame) -> DataFrame:
     compared within itself; the rest meets it, and itself, block by block, so no comparison holds
     more than two blocks and a signature of k members costs k * (k / BLOCK) rows at most. What a
     document meets in one comparison is one row; a pair that shares several signatures is made one
-    by merging those rows.
+    afterwards.
     """
     sizes = crowded.groupBy("sig", "component").agg(F.count("*").alias("c"))
     layout = sizes.groupBy("sig").agg(
@@ -350,16 +385,20 @@ def _in_blocks(crowded: DataFrame, sets: DataFrame) -> DataFrame:
         if held is not None and held.num_rows:
             yield pairs([held])
 
-    met = spread.mapInArrow(run, "u long, vs array<long>")
-    merged = met.groupBy("u").agg(F.array_distinct(F.flatten(F.collect_list("vs"))).alias("vs"))
-    return merged.select("u", F.explode("vs").alias("v"))
+    return spread.mapInArrow(run, "u long, vs array<long>").select("u", F.explode("vs").alias("v")).distinct()
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, text: str, key: str) -> DataFrame:
-    """Those of the pairs (u, v) that link. The sets of v move to u; u's set joins them there."""
-    members = pairs.groupBy(F.col("v").alias("doc")).agg(F.collect_set("u").alias("partners"))
-    right = _texts(docs, members, text, key).select(F.explode("partners").alias("u"), F.col("doc").alias("v"), "own")
-    left = _texts(docs, pairs.select(F.col("u").alias("doc")).distinct(), text, key)
+    """Those of the written pairs (u, v) that link. The sets of v move to u, in pieces of about
+    PARTNERS of them; u's set joins them there."""
+    small = pairs.count() <= BROADCAST_IDS
+    pieces = F.ceil(F.count("*") / PARTNERS).alias("pieces")
+    many = pairs.groupBy("v").agg(pieces).filter("pieces > 1")
+    piece = F.pmod(F.xxhash64("u"), F.coalesce("pieces", F.lit(1)))
+    members = pairs.join(many, "v", "left").groupBy(F.col("v").alias("doc"), piece.alias("piece"))
+    members = members.agg(F.collect_set("u").alias("partners")).drop("piece")
+    right = _texts(docs, members, text, key, small).select(F.explode("partners").alias("u"), F.col("doc").alias("v"), "own")
+    left = _texts(docs, pairs.select(F.col("u").alias("doc")).distinct(), text, key, small)
     left = left.select(F.col("doc").alias("u"), F.col("own").alias("other"))
     both = F.size(F.array_intersect("own", "other"))
     return (
@@ -396,7 +435,8 @@ def _neighbourhoods(docs: DataFrame, hot: DataFrame, text: str, key: str) -> Dat
     short of as many or fewer. Where a set has too few segments to look up, the sets of its band
     also enter the segments they pass over, as ``lost``.
     """
-    rows = written(_texts(docs, hot, text, key))
+    held = hot.agg(F.sum(F.size("passed") + 1)).first()[0] or 0
+    rows = written(_texts(docs, hot, text, key, held <= BROADCAST_IDS))
 
     def needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: dict[tuple[int, int], int] = {}
@@ -453,30 +493,34 @@ def links(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[Dat
     documents: copies to the first of them, and verified pairs between first copies. Every two
     similar documents lie in one component of the edges, and no edge joins documents that are not
     joined by links."""
-    raw = _signatures(docs, text, key)
-    own = Window.partitionBy("sig")
-    met = raw.withColumn("low", F.min("doc").over(own)).withColumn("high", F.max("doc").over(own))
-    kept = written(met.filter((F.col("low") != F.col("high")) | (F.col("info") >= 0) | (F.col("info") <= -MARK)).select("sig", "doc", "info", "sketch"))
-    size = F.col("info").bitwiseAND(F.lit((1 << SIZE_BITS) - 1))
-    sets = kept.filter("info >= 0").select("sig", "doc", "info", size.alias("n"), "sketch")
+    info = F.col("info")
+    with owned() as passing:
+        raw = written(_signatures(docs, text, key))
+    once = written(raw.filter((info >= 0) | (info <= -MARK)).select("doc", "info", "sketch"))
+    kept = written(_shared(raw.filter((info < 0) & (info > -MARK)).select("sig", "doc", (-info).alias("n"))))
+    discard(docs.sparkSession, passing)
+    size = info.bitwiseAND(F.lit((1 << SIZE_BITS) - 1))
+    code, rest = F.substring("sketch", 1, CODE_BYTES), F.expr(f"substring(sketch, {CODE_BYTES + 1})")
+    sets = once.filter("info >= 0").select(code.alias("code"), "doc", "info", size.alias("n"), rest.alias("sketch"))
 
     named = sets.filter("doc is not null and n > 0")
     groups = written(
-        named.groupBy("sig", "info").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first <> last")
+        named.groupBy("code", "info").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first <> last")
     )
     copies = written(
-        named.join(groups.select("sig", "info", "first"), ["sig", "info"]).filter("doc <> first").select("doc", "first").distinct()
+        named.join(groups.select("code", "info", "first"), ["code", "info"]).filter("doc <> first").select("doc", "first").distinct()
     )
 
-    shared = kept.filter((F.col("info") < 0) & (F.col("info") > -MARK)).join(copies, "doc", "left")
-    shared = shared.select("sig", F.coalesce("first", "doc").alias("doc"), (-F.col("info")).alias("n")).distinct()
-    leader = F.min(F.struct("doc", "n")).over(own)
-    entries = written(
-        shared.withColumn("leader", leader)
-        .withColumn("last", F.max("doc").over(own))
+    shared = written(
+        kept.join(copies, "doc", "left").select("sig", F.coalesce("first", "doc").alias("doc"), "n").distinct()
+    )
+    leaders = written(
+        shared.groupBy("sig")
+        .agg(F.min(F.struct("doc", "n")).alias("leader"), F.max("doc").alias("last"))
         .filter(F.col("leader.doc") != F.col("last"))
-        .select("sig", "doc", "n", F.col("leader.doc").alias("leader"), F.col("leader.n").alias("leader_n"))
+        .select("sig", F.col("leader.doc").alias("leader"), F.col("leader.n").alias("leader_n"))
     )
+    entries = written(shared.join(leaders, "sig"))
     tried = written(
         entries.filter((F.col("doc") != F.col("leader")) & _sizes_fit("n", "leader_n"))
         .select(F.col("leader").alias("u"), F.col("doc").alias("v"))
@@ -507,7 +551,7 @@ def links(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[Dat
     hot_sigs = between.filter(F.col("groups") > HOT).select("sig")
     hot = placed.join(hot_sigs, "sig").select("doc", "sig")
     marked = (
-        kept.filter(F.col("info") <= -MARK)
+        once.filter(F.col("info") <= -MARK)
         .join(copies, "doc", "left")
         .select(F.coalesce("first", "doc").alias("doc"), F.lit(None).cast("long").alias("sig"))
     )
@@ -550,15 +594,14 @@ def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row of every group of similar documents, the one with the smallest key; columns as
     they came. Of rows that share a key, the least text stays (null before others). Rows with a
-    null key stay."""
+    null key stay, and an empty table gives an empty table."""
     groups = written(similar_groups(docs, text, key))
     again = groups.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows")).filter("rows > 1")
     gone = groups.filter(F.col(key) != F.col("component_id")).select(key).distinct()
     again = written(again.join(gone, key, "left_anti").select(key))
     touched = written(gone.unionByName(again))
     alone = docs.join(checked_broadcast(touched, BROADCAST_IDS), key, "left_anti")
-    order = Window.partitionBy(key).orderBy(text)
-    first = docs.join(checked_broadcast(again, BROADCAST_IDS), key, "left_semi").withColumn(
-        "__place", F.row_number().over(order)
-    )
-    return alone.unionByName(first.filter("__place = 1").drop("__place")).select(*docs.columns)
+    doubled = docs.join(checked_broadcast(again, BROADCAST_IDS), key, "left_semi")
+    place = F.row_number().over(Window.partitionBy(key).orderBy(text))
+    first = packed(doubled, docs.columns, place=place).filter("place = 1").select(*unpacked(docs.columns))
+    return alone.unionByName(first).select(*docs.columns)
