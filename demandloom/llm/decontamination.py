@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.columns import checked_broadcast
-from demandloom.llm.common import row_key, runs, same_row, written
+from demandloom.llm.common import packed, row_key, runs, same_row, unpacked, written
 
 #: Fixed masks, six tokens each: a plain run, and two spaced ones. 1 is picked, 0 is ignored.
 MASKS = ("111111", "1101011001", "1001101011")
@@ -27,6 +27,8 @@ LEAST_PERCENT = 80
 BROADCAST_HASHES = 2_000_000
 #: Marked documents that go to every task at most; more of them join by shuffle.
 BROADCAST_ROWS = 500_000
+#: About how many hits of a text lie in one row.
+HITS_A_ROW = 1_024
 
 
 def tokens(text: Column) -> Column:
@@ -101,7 +103,12 @@ def overlaps(
         texts.select("__key", "__text", tokens(F.col("__whole")).alias("own")), ["__key", "__text"], masks
     ).join(checked_broadcast(seeds.distinct(), BROADCAST_HASHES), "hash")
     hit = F.struct("item", "code", "n_item", (F.col("place") - F.col("item_place")).alias("place"))
-    per_text = hits.groupBy("__key", "__text").agg(F.collect_set(hit).alias("hits"))
+    # a text's hits travel in pieces, so that no row holds all of a text that repeats a passage
+    single = written(hits.select("__key", "__text", hit.alias("hit")).distinct())
+    many = single.groupBy("__text").agg(F.ceil(F.count("*") / HITS_A_ROW).alias("pieces")).filter("pieces > 1")
+    piece = F.pmod(F.xxhash64("hit"), F.coalesce("pieces", F.lit(1))).alias("piece")
+    per_text = single.join(many, "__text", "left").groupBy("__key", "__text", piece)
+    per_text = per_text.agg(F.collect_set("hit").alias("hits"))
     part = F.transform(
         "hits",
         lambda h: F.struct(
@@ -121,10 +128,7 @@ def overlaps(
     own_tokens = bench.select(
         F.col("item").alias("i"), F.xxhash64("own").alias("c"), F.col("own").alias("whole")
     ).distinct()
-    aligned = cut.join(
-        checked_broadcast(own_tokens, BROADCAST_HASHES // 50),
-        F.col("item").eqNullSafe(F.col("i")) & (F.col("code") == F.col("c")),
-    )
+    aligned = cut.join(own_tokens, F.col("item").eqNullSafe(F.col("i")) & (F.col("code") == F.col("c")))
     agree = F.transform(
         "whole",
         lambda t, k: F.when(F.get(F.col("part"), k + F.least(F.col("place"), F.lit(0))).eqNullSafe(t), 1).otherwise(0),
@@ -146,7 +150,7 @@ def mark(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "te
     """``docs`` with n_items, first_item, best_match (percent) and contaminated, row by row.
 
     Documents without an overlap have 0 items, null first_item, 0 percent. Repeated rows stay,
-    columns of ``docs`` stay but for those with one of the new names.
+    columns of ``docs`` stay but for those with one of the new names, whatever they are called.
     """
     new = ["n_items", "first_item", "best_match", "contaminated"]
     sums = found.groupBy("__key", "__text").agg(
@@ -157,12 +161,13 @@ def mark(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "te
     )
     kept = [c for c in docs.columns if c not in new]
     sums = checked_broadcast(written(sums), BROADCAST_ROWS)
+    own_key, own_text = row_key(docs, key, text)
     return (
-        docs.select(*kept, *row_key(docs, key, text))
+        packed(docs, kept, __key=own_key, __text=own_text)
         .alias("a")
         .join(sums.alias("b"), same_row("a", "b"), "left")
         .select(
-            *(F.col(f"a.{c}") for c in kept),
+            *unpacked(kept),
             F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
             "first_item",
             F.coalesce("best_match", F.lit(0)).cast("long").alias("best_match"),

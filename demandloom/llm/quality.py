@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import runs, words
+from demandloom.llm.common import packed, runs, unpacked, words
 
 BUCKETS = 16_384
 #: Trusted documents that the target multinomial is fitted on, those with the smallest key hash.
@@ -90,34 +90,34 @@ def judge(docs: DataFrame, weights: list[float], text: str = "text") -> DataFram
     gives an empty table. Texts are read whole, and no shuffle happens.
     """
     new = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "ratio", "base_failed", "kept"]
-    kept = [F.col(c) for c in docs.columns if c not in new]
+    names = [c for c in docs.columns if c not in new]
     table = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")
-    own = docs.select(*kept, words(F.col(text)).alias("__own"))
-    counts = base_counts(F.col("__own"), F.col(text))
-    ratio = F.aggregate(features(F.col("__own")), F.lit(0.0), lambda a, b: a + F.get(table, b.cast("int")))
+    own = packed(docs, names, own=words(F.col(text)), whole=F.col(text))
+    counts = base_counts(F.col("own"), F.col("whole"))
+    ratio = F.aggregate(features(F.col("own")), F.lit(0.0), lambda a, b: a + F.get(table, b.cast("int")))
     out = own.select(
-        *kept,
-        *(c.alias("__windows" if n == "windows" else n) for n, c in counts.items()),
-        (ratio / F.greatest(2 * F.size("__own") - 1, F.lit(1))).alias("ratio"),
+        "row",
+        *(c.alias(n) for n, c in counts.items()),
+        (ratio / F.greatest(2 * F.size("own") - 1, F.lit(1))).alias("ratio"),
     )
     # Only texts that repeat a window are sorted.
     out = out.withColumn(
-        "__placed",
+        "placed",
         F.when(
-            F.size(F.array_distinct("__windows")) < F.size("__windows"),
-            F.sort_array(F.transform("__windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
+            F.size(F.array_distinct("windows")) < F.size("windows"),
+            F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
         ),
     )
     again = F.transform(
-        "__placed",
+        "placed",
         lambda w, k: F.when(
-            F.get("__placed", k - 1)["h"].eqNullSafe(w["h"]) | F.get("__placed", k + 1)["h"].eqNullSafe(w["h"]), w["i"]
+            F.get("placed", k - 1)["h"].eqNullSafe(w["h"]) | F.get("placed", k + 1)["h"].eqNullSafe(w["h"]), w["i"]
         ),
     )
     covered = F.array_distinct(
         F.flatten(F.transform(F.array_compact(again), lambda i: F.array(i, i + 1, i + 2)))
     )
-    n_repeat = F.when(F.col("__placed").isNull(), 0).otherwise(F.size(covered)).cast("long")
+    n_repeat = F.when(F.col("placed").isNull(), 0).otherwise(F.size(covered)).cast("long")
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")
     )
@@ -125,5 +125,5 @@ def judge(docs: DataFrame, weights: list[float], text: str = "text") -> DataFram
         out.withColumn("n_repeat_words", n_repeat)
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & (F.col("ratio") >= LEAST_RATIO))
-        .select(*kept, *new)
+        .select(*unpacked(names), *new)
     )

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from demandloom.llm import bpe, chat, decontamination, jaccard, langid, lines, pii, quality, search_queries, toxicity, urls
 from demandloom.llm.common import table
+from demandloom.llm.url_sql import OP6_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -180,53 +181,6 @@ def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, urls.page_links(pages)).select("page_id", "host", "path", "rule", "verdict")
 
 
-OP6_SQL = r"""
-with recursive named as (
-  select page_id, html,
-    coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'),
-      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
-    coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') as path,
-    case when contains(url, '://') then url end as url
-  from pages
-), ruled as (
-  select *,
-    case
-      when (host = 'example.org' or host like '%.example.org') and starts_with(path, '/en/1') then 'example.org/en/1'
-      when (host = 'example.org' or host like '%.example.org') and starts_with(path, '/es/') then 'example.org/es/'
-      when (host = 'com' or host like '%.com') and starts_with(path, '/de/') then 'com/de/'
-      when (host = 'com' or host like '%.com') and starts_with(path, '/fr/') then 'com/fr/'
-      when (host = 'org' or host like '%.org') and starts_with(path, '/') then 'org/'
-    end as rule,
-    regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '')
-      || regexp_extract(url, '^[^?#]*(\?[^#]*)', 1, 's') as address
-  from named
-), found as (
-  select address, unnest([
-    regexp_extract(regexp_extract(html, '<link[^>]*rel\s*=\s*["'']?canonical[^>]*>', 0, 'is'),
-      'href\s*=\s*["'']?([^"''\s>]+)', 1, 'is'),
-    regexp_extract(regexp_extract(html, '<meta[^>]*http-equiv\s*=\s*["'']?refresh[^>]*>', 0, 'is'),
-      'url\s*=\s*["'']?([^"''\s>;]+)', 1, 'is')]) as target
-  from ruled
-), links as (
-  select address as u,
-    regexp_replace(translate(regexp_extract(target, '^.*?://([^/?#]*)', 1, 's'),
-      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '^www\.', '')
-    || regexp_replace(regexp_extract(target, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '/+$', '')
-    || regexp_extract(target, '^[^?#]*(\?[^#]*)', 1, 's') as v
-  from found where address is not null and contains(target, '://')
-), both_ways as (select u, v from links union select v, u from links),
-reach as (
-  select distinct address as start, address as now from ruled where rule in ('com/de/', 'example.org/es/', 'example.org/en/1')
-  union
-  select start, v from reach join both_ways on now = u
-), blocked as (select distinct now as address from reach)
-select page_id, host, path, rule,
-  case when rule in ('org/', 'com/fr/') then 'allow' when rule is not null then 'block'
-    when address in (select address from blocked) then 'block' else 'allow' end as verdict
-from ruled
-"""
-
-
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontamination.overlaps(docs, items)

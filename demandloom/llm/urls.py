@@ -22,10 +22,12 @@ RULES = [
     ("com/de/", "block"),
 ]
 MAX_RULES = 2_000
-CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-REFRESH = r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*\burl\s*=\s*[\"']?([^\"'\s>;]+)"
-
-BASE = r"(?is)<base\b[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
+#: What browsers do not read as tags.
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(?:script|style|textarea|title)\b.*?(?:</(?:script|style|textarea|title)\b|\z)"
+TAGS = r"(?is)<(?:link|meta)[\s/][^>]*>"
+BASE = r"(?is)<base[\s/](?:[^>]*[\s\"'/])?href\s*=[^>]*>"
+#: Entities that can stand in an address, but for numbers; ``&amp;`` comes last.
+ENTITIES = [("&quot;", '"'), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
 
 
 def host(url: Column) -> Column:
@@ -49,10 +51,12 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column
 
 
 def address(url: Column) -> Column:
-    """One spelling per address: no scheme, no ``www.``, no fragment, no slash at the path's end.
-    Null if there is no ``://``."""
+    """One spelling per address: no scheme, no ``www.``, no port that the scheme has anyway, no
+    fragment, no slash at the path's end. Null if there is no ``://``."""
     query = F.regexp_extract(url, r"(?s)^[^?#]*(\?[^#]*)", 1)
-    plain = F.concat(F.regexp_replace(host(url), r"^www\.", ""), F.regexp_replace(path(url), "/+$", ""), query)
+    port = F.when(url.rlike("(?i)^https:"), ":(443)?$").when(url.rlike("(?i)^http:"), ":(80)?$").otherwise(":$")
+    named = F.regexp_replace(F.regexp_replace(host(url), r"^www\.", ""), port, F.lit(""))
+    plain = F.concat(named, F.regexp_replace(path(url), "/+$", ""), query)
     return F.when(F.contains(url, F.lit("://")), plain)
 
 
@@ -86,14 +90,64 @@ def resolve(target: Column, base: Column) -> Column:
     )
 
 
+def unquoted(value: Column) -> Column:
+    """What stands within the quotes that a text begins with; other texts as they are."""
+    return (
+        F.when(value.startswith('"'), F.regexp_extract(value, '(?s)^"([^"]*)', 1))
+        .when(value.startswith("'"), F.regexp_extract(value, "(?s)^'([^']*)", 1))
+        .otherwise(value)
+    )
+
+
+def decoded(text: Column) -> Column:
+    """A text with its character references resolved: numbers, and the five that XML names. Others stay."""
+
+    def number(entity: Column) -> Column:
+        digits = F.regexp_extract(entity, "[0-9A-Fa-f]+", 0)
+        return F.when(entity.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("int")
+
+    def resolved(now: Column, entity: Column) -> Column:
+        n = number(entity)
+        character = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        return F.when(n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF), F.replace(now, entity, character)).otherwise(now)
+
+    found = F.regexp_extract_all(text, F.lit("(&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});)"))
+    plain = F.aggregate(F.array_distinct(found), text, resolved)
+    for entity, character in ENTITIES:
+        plain = F.replace(plain, F.lit(entity), F.lit(character))
+    return plain
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """The value of the first attribute of that name in a tag, decoded and trimmed; empty if there is none."""
+    found = F.regexp_extract(tag, rf"""(?is)[\s"'/]{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)""", 1)
+    return F.btrim(decoded(unquoted(found)), F.lit(" \t\n\f\r"))
+
+
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Edges (u, v) of addresses: all canonical links and refresh redirects in the pages' HTML.
-    Relative targets are resolved against the page's first ``<base>``, else against its own
-    address. Pages without any give none."""
-    found = F.concat(*(F.regexp_extract_all(F.col(html), F.lit(p), 1) for p in (CANONICAL, REFRESH)))
-    linked = pages.filter(F.col(html).rlike("(?i)canonical|refresh")).select(
-        F.col(url).alias("page"), F.regexp_extract(F.col(html), BASE, 1).alias("base"), F.explode(found).alias("target")
+
+    Comments, scripts, styles and titles are no HTML here. Attribute values may stand in either
+    kind of quotes, which may hold the other kind, or in none; a ``>`` ends a tag even in quotes.
+    ``rel`` may list further words. Relative targets are resolved against the page's first
+    ``<base>``, else against its own address. Null HTML, and pages without any link, give none.
+    """
+    shown = pages.filter(F.col(html).rlike("(?i)canonical|refresh")).select(
+        F.col(url).alias("page"), F.regexp_replace(F.col(html), HIDDEN, " ").alias("shown")
     )
+    tags = shown.select(
+        "page", F.regexp_extract("shown", BASE, 0).alias("base_tag"),
+        F.explode(F.regexp_extract_all("shown", F.lit(TAGS), 0)).alias("tag"),
+    ).filter(F.col("tag").rlike("(?i)canonical|refresh"))
+    tag, base = F.col("tag"), attribute(F.col("base_tag"), "href")
+    is_link = tag.rlike("(?i)^<link") & F.array_contains(F.split(F.lower(attribute(tag, "rel")), r"\s+"), "canonical")
+    is_turn = tag.rlike("(?i)^<meta") & (F.lower(attribute(tag, "http-equiv")) == "refresh")
+    content = F.regexp_replace(attribute(tag, "content"), r"\s+", " ")
+    turn = F.regexp_extract(content, r"(?i)^[0-9.]* ?[;, ] ?(?:url ?= ?)?(.*)$", 1)
+    linked = tags.select(
+        "page", base.alias("base"),
+        F.when(is_link, attribute(tag, "href")).when(is_turn, F.btrim(unquoted(turn))).alias("target"),
+    ).filter("target <> ''")
     base = F.when(F.col("base") == "", F.col("page")).otherwise(F.coalesce(resolve(F.col("base"), F.col("page")), "page"))
     return (
         linked.select("page", "target", base.alias("base"))

@@ -6,11 +6,13 @@ import re
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from demandloom.llm import components, decontamination, jaccard, lines, queries, urls
+from demandloom.llm import components, decontamination, jaccard, lines, quality, queries, urls
+from tests.oracle_check import differences
 
 
 def docs_of(spark, rows):
@@ -112,6 +114,70 @@ def test_relative_and_further_links_are_edges(spark):
     assert {k for k, v in got.items() if v == "block"} == {1, 3, 10, 11, 12, 13, 14, 15, 16}
 
 
+def odd_pages():
+    """Pages whose links are written in ways that must, or must not, reach the blocked ones."""
+    link, refresh = "<link rel={} href={}>".format, "<meta http-equiv={} content={}>".format
+    aliases = [
+        link('"canonical"', '"http://shop.com/de/q?a=1&amp;b=2"'), link("canonical", "http://shop.com/de/q?a=1&b=2"),
+        link("'CANONICAL'", "'http://shop.com/de/q?a=1&#38;b=2'"), link('"alternate canonical"', '"http://shop.com/de/q?a=1&#x26;b=2"'),
+        link('"canonical"', '"https://shop.com/de/o\'neil"'), "<LINK\nHREF = 'http://shop.com:80/de/o&#39;neil/'\n rel=canonical >",
+        link("canonical", "https://SHOP.com:443/de/o'neil#x"), '<link href="https://www.shop.com:/de/o\'neil" data-x="1" rel="canonical"/>',
+        refresh("refresh", '"0; URL=https://shop.com/de/o&apos;neil"'), refresh("'Refresh'", "' 5 , https://shop.com/de/o&#0039;neil'"),
+        refresh("refresh", "'0;url=\"https://shop.com/de/caf&#233;&#x1F600;\"'"), link("canonical", '"https://shop.com/de/café😀"'),
+        '<base target=_top><base href="https://shop.com/fr/x/">' + link("canonical", "'../../de/./o&#39;neil'"),
+        '<base href="//shop.com/de/">' + link("canonical", '"o\'neil"'), "<!-- a --><!-- b -->" + link("canonical", '"//shop.com/de/o\'neil"'),
+    ]
+    others = [
+        "<!-- " + link("canonical", '"https://shop.com/de/o\'neil"') + " -->", "<!-- " + link("canonical", '"https://shop.com/de/o\'neil"'),
+        "<script>x = '" + link("canonical", '"https://shop.com/de/q?a=1&b=2"') + "'</script>", link("alternate", '"https://shop.com/de/o\'neil" title=canonical'),
+        '<link data-rel="canonical" href="https://shop.com/de/o\'neil">', link("canonical", '""'), refresh("refresh", "30"), refresh("refresh", '"0;"'),
+        link("canonical", '"http://shop.com:443/de/o\'neil"'), link("canonical", '"https://shop.com:8443/de/o\'neil"'), "canonical refresh", "", None,
+        link("canonical", '"https://shop.com/de/q?a=1&amp;amp;b=2"'), link("canonical", '"https://shop.com/de/q?a=1&#0;b=2&#xD800;"'),
+    ]
+    blocked = ["http://shop.com/de/q?a=1&b=2", "https://shop.com/de/o'neil", "https://shop.com/de/café😀", "https://shop.com/de/"]
+    rows = [page(k, u) for k, u in enumerate(blocked)] + [page(4, "http://m.com/fr/1", aliases[0]), page(5, None, aliases[0]), page(6, "none", aliases[0])]
+    rows += [page(100 + k, f"http://a{k}.net/p/q", html) for k, html in enumerate(aliases)]
+    rows += [page(200 + k, f"http://o{k}.net:8080/p/q", html) for k, html in enumerate(others)]
+    return rows, {0, 1, 2, 3, *range(100, 100 + len(aliases))}
+
+
+def test_links_of_any_spelling_equal_sql(spark, tmp_path):
+    """Also over a chain of links, and beside a column that is called like one of the operator's."""
+    rows, blocked = odd_pages()
+    chain = [page(300 + i, f"http://c{i}.net/", f"<link rel=canonical href=http://c{i + 1}.net>") for i in range(6)]
+    chain += [page(306, "http://c6.net", "<link rel=canonical href=http://a0.net/p/q>")]
+    pages = spark.createDataFrame(rows + chain, "page_id long, url string, html string, tag string")
+    pages.withColumn("base", F.lit("clash")).write.parquet(f"{tmp_path}/pages.parquet")
+    got = queries.op6_urls(spark, str(tmp_path)).toPandas()
+    con = duckdb.connect()
+    con.execute(f"create view pages as from read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    assert differences(got, con.execute(queries.OP6_SQL).fetch_df()) is None
+    assert set(got.page_id[got.verdict == "block"]) == blocked | {p[0] for p in chain}
+
+
+@pytest.mark.parametrize("names", [("__key", "__text", "__place", "own"), ("row", "place", "hits", "windows")])
+def test_columns_with_clashing_names_come_back(spark, names):
+    """In every operator that returns the caller's columns, with nulls, repeated rows and a long text."""
+    rnd = random.Random(5)
+    item, long = prose(rnd, 30), prose(rnd, 20_000)
+    rows = [(1, None), (2, ""), (3, f"{prose(rnd, 9)} {item}"), (3, f"{prose(rnd, 9)} {item}"), (4, long), (5, f"{long} end"), (None, long)]
+    docs = docs_of(spark, rows)
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.coalesce("doc_id", F.lit(0))))
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    marked = decontamination.mark(docs, decontamination.overlaps(docs, bench))
+    judged = quality.judge(docs, [0.0] * quality.BUCKETS)
+    first = jaccard.keep_first(docs)
+    for out, keys in ((marked, [r[0] for r in rows]), (judged, [r[0] for r in rows]), (first, [1, 2, 3, 4, None])):
+        got = out.collect()
+        assert Counter(r.doc_id for r in got) == Counter(keys)
+        assert all(r[n] == f"{n}{r.doc_id or 0}" for r in got for n in names)
+    assert {r.doc_id for r in marked.filter("contaminated").collect()} == {3}
+    assert {r.n_words for r in judged.filter("doc_id = 5").collect()} == {20_001}
+    none = docs.limit(0)
+    assert decontamination.mark(none, decontamination.overlaps(none, bench)).count() == quality.judge(none, [0.0] * quality.BUCKETS).count() == 0
+
+
 # --- lines --------------------------------------------------------------------------------
 
 
