@@ -56,6 +56,8 @@ HOT = 2_048
 BROADCAST_IDS = 1_000_000
 #: About how many partners travel beside one set.
 PARTNERS = 1_024
+#: Partners of one document that blocks find are merged by pieces of about so many documents of the whole table.
+PIECE = 65_536
 ROWS_AT_ONCE = 500
 
 _U = np.uint64
@@ -307,9 +309,10 @@ def _in_blocks(crowded: DataFrame, sets: DataFrame) -> DataFrame:
     ``crowded`` has sig, doc, n and component. The largest component of a signature is not
     compared within itself; the rest meets it, and itself, block by block, so no comparison holds
     more than two blocks and a signature of k members costs k * (k / BLOCK) rows at most. What a
-    document meets in one comparison is one row; a pair that shares several signatures is made one
-    afterwards.
+    document meets in one comparison is one row for every piece of the table; a pair that shares
+    several signatures is made one by merging those rows, each of which holds a piece at most.
     """
+    pieces = -(-sets.count() // PIECE) or 1
     sizes = crowded.groupBy("sig", "component").agg(F.count("*").alias("c"))
     layout = sizes.groupBy("sig").agg(
         F.max_by("component", F.struct("c", "component")).alias("main"),
@@ -365,12 +368,13 @@ def _in_blocks(crowded: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(parts: Iterator[pa.Table]) -> pa.RecordBatch:
-            found: dict[int, set[int]] = {}
+            found: dict[tuple[int, int], set[int]] = {}
             for part in parts:
                 for u, v in compare(part):
-                    found.setdefault(u, set()).add(v)
-            columns = [pa.array(list(found), pa.int64()), pa.array([sorted(v) for v in found.values()], pa.list_(pa.int64()))]
-            return pa.RecordBatch.from_arrays(columns, ["u", "vs"])
+                    found.setdefault((u, (v * 0x9E3779B1 >> 16) % pieces), set()).add(v)
+            columns = [pa.array([k[i] for k in found], pa.int64()) for i in (0, 1)]
+            columns.append(pa.array([sorted(v) for v in found.values()], pa.list_(pa.int64())))
+            return pa.RecordBatch.from_arrays(columns, ["u", "piece", "vs"])
 
         held = None  # the group that may go on in the next batch
         for batch in batches:
@@ -385,7 +389,9 @@ def _in_blocks(crowded: DataFrame, sets: DataFrame) -> DataFrame:
         if held is not None and held.num_rows:
             yield pairs([held])
 
-    return spread.mapInArrow(run, "u long, vs array<long>").select("u", F.explode("vs").alias("v")).distinct()
+    met = spread.mapInArrow(run, "u long, piece long, vs array<long>")
+    merged = met.groupBy("u", "piece").agg(F.array_distinct(F.flatten(F.collect_list("vs"))).alias("vs"))
+    return merged.select("u", F.explode("vs").alias("v"))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, text: str, key: str) -> DataFrame:

@@ -411,7 +411,7 @@ def corpus(seed, hot=False):
     return rows
 
 
-@pytest.mark.parametrize("seed,hot,limits", [(1, False, {}), (2, True, {"SMALL": 2, "BLOCK": 5}), (3, True, {"SMALL": 2, "HOT": 2, "BLOCK": 5})])
+@pytest.mark.parametrize("seed,hot,limits", [(1, False, {}), (2, True, {"SMALL": 2, "BLOCK": 5, "PIECE": 50, "PARTNERS": 2}), (3, True, {"SMALL": 2, "HOT": 2, "BLOCK": 5})])
 def test_similar_groups_equal_brute_force(spark, monkeypatch, seed, hot, limits):
     """Also with small blocks, and with most signatures hot, so that neighbourhoods do the work."""
     for name, value in limits.items():
