@@ -6,6 +6,9 @@ from datetime import date, datetime
 
 import pytest
 from conftest import SALES, frame
+from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.feature import StringIndexer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from demandloom.operators import classify, evaluate, features, predictions, runs
@@ -278,6 +281,29 @@ def test_beans(spark, tmp_path):
     assert evaluate.accuracy(on_train, "Class", "predicted_label").first().accuracy == 1.0
 
 
+@pytest.mark.parametrize("leaf_rows", [100_000, 40])
+def test_subtrees_are_those_of_spark_ml(spark, monkeypatch, leaf_rows):
+    """Labels without any rule, ties and doubled rows: the tree goes deep. Small leaves make the top grow further."""
+    monkeypatch.setattr(classify, "LEAF_ROWS", leaf_rows)
+    numbers = [F.pmod(F.hash(F.lit(c), F.col("id") % 400), F.lit(m)) for c, m in enumerate((5, 40, 300))]
+    rows = spark.range(900).select(
+        "id", F.array(*numbers, -numbers[2] / 7.0, F.lit(0.0)).cast("array<double>").alias("x"),
+        F.pmod(F.hash(F.lit("label"), F.col("id") % 700), F.lit(4)).alias("label"),
+    )
+    rows = classify.features_from_array(rows, "x").coalesce(2).cache()
+    model = classify.fit_tree(rows, "label")
+    indexer = StringIndexer(inputCol="label_text", outputCol="label_index")
+    text = rows.withColumn("label_text", F.col("label").cast("string"))
+    whole = DecisionTreeClassifier(labelCol="label_index", maxDepth=30, maxBins=128, seed=0)
+    known = indexer.fit(text)
+    tree = whole.fit(known.transform(text))
+    asked = rows.union(rows.withColumn("features", array_to_vector(F.transform("x", lambda v: v * 1.03 - 0.4))))
+    expected = [known.labels[int(r.prediction)] for r in tree.transform(asked).select("prediction").collect()]
+    got = [r.predicted_label for r in classify.score_tree(model, asked).select("predicted_label").collect()]
+    assert got == expected and tree.depth > 12
+    assert len(model.roots) > 5 and model.top.depth <= (8 if leaf_rows > 40 else 16) < tree.depth + 5
+
+
 def test_null_ids_are_not_lost_from_sales(spark):
     rows = [(None, "2017-08-01", 1, "A", 1.0, 0)]
     assert features.daily_totals(frame(spark, SALES, rows)).count() == 1
