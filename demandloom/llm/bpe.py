@@ -40,6 +40,8 @@ from tokenizers.pre_tokenizers import ByteLevel
 PRE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words kept with their ids per Python worker; the oldest half goes when they are twice as many.
 CACHED_WORDS = 400_000
+#: Places for the hashes of words met once, which are not kept yet; emptied when a quarter is taken.
+MET_PLACES = 1 << 22
 #: Arcs, and table entries beside those of the labels themselves, kept per Python worker.
 CACHED_ENTRIES = 1_000_000
 #: Texts encoded before a batch goes back, so that long texts do not pile up.
@@ -181,18 +183,26 @@ class Automaton:
 
 class _Packed(dict):
     """Word -> its ids as little-endian unsigned 32-bit integers: the last CACHED_WORDS words or more,
-    and as many before them."""
+    and as many before them. A word is kept when it comes again, as most words of a large table never do."""
 
     def __init__(self, automaton: Automaton):
         super().__init__()
         self.automaton = automaton
         self.before: dict[str, bytes] = {}
+        self.met, self.n_met = bytearray(MET_PLACES), 0
 
     def __missing__(self, word: str) -> bytes:
         packed = self.before.get(word)
         if packed is None:
             ids = self.automaton.encode_word(word.encode())
             packed = pack(f"<{len(ids)}I", *ids)
+            place = hash(word) % MET_PLACES
+            if not self.met[place]:
+                if self.n_met >= MET_PLACES // 4:
+                    self.met, self.n_met = bytearray(MET_PLACES), 0
+                self.met[place] = 1
+                self.n_met += 1
+                return packed
         if len(word) < 200:
             if len(self) >= CACHED_WORDS:
                 self.before = dict(self)

@@ -59,6 +59,17 @@ def test_encoding_equals_the_library(text):
     assert own.decode(ids) == library.decode(want, skip_special_tokens=False)
 
 
+def test_words_that_come_once_are_not_kept():
+    """A worker holds its words through what runs next, so words that no other text has must not pile up."""
+    own, library = bpe.Codec(PATH), _library()
+    rare = [f"r{k:x}q" for k in range(20_000)]
+    texts = [f"the of {word}\n" for word in rare] + ["the of and", "and then the of"]
+    for text in texts:
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    kept = len(own.packed) + len(own.packed.before)
+    assert {" of", "the", " the"} & own.packed.keys() and kept < 1_000, kept
+
+
 def _library(cache=[]):
     if not cache:
         cache.append(Tokenizer.from_file(PATH))
