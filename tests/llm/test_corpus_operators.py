@@ -141,6 +141,12 @@ def odd_pages():
     return rows, {0, 1, 2, 3, *range(100, 100 + len(aliases))}
 
 
+def test_links_do_not_repeat_their_parts_in_the_plan(spark):
+    """Every step of a link names its input several times; a plan that writes that out fills the driver."""
+    pages = spark.createDataFrame([("http://a.org/x", "<a>")], "url string, html string")
+    assert len(urls.page_links(pages)._jdf.queryExecution().optimizedPlan().toString()) < 200_000
+
+
 def test_links_of_any_spelling_equal_sql(spark, tmp_path):
     """Also over a chain of links, and beside a column that is called like one of the operator's."""
     rows, blocked = odd_pages()
