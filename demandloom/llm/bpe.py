@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
 from pathlib import Path
@@ -39,13 +40,13 @@ from tokenizers.pre_tokenizers import ByteLevel
 #: Fixed value: how byte-level BPE splits text before merging.
 PRE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words kept with their ids per Python worker; the oldest half goes when they are twice as many.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 64_000
 #: Places for the hashes of words met once, which are not kept yet; emptied when a quarter is taken.
 MET_PLACES = 1 << 22
-#: Arcs, and table entries beside those of the labels themselves, kept per Python worker.
-CACHED_ENTRIES = 1_000_000
+#: Arcs, and entries of the transition table, kept per Python worker.
+CACHED_ENTRIES = 170_000
 #: Texts encoded before a batch goes back, so that long texts do not pile up.
-ROWS_AT_ONCE = 1_000
+ROWS_AT_ONCE = 200
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -70,63 +71,69 @@ class Automaton:
         ):
             raise ValueError("not a plain byte-level BPE file")
         alphabet = byte_alphabet()
-        self.ids = {bytes(alphabet[c] for c in s): i for s, i in model["vocab"].items()}
-        self.labels = {i: s for s, i in self.ids.items()}
+        ids = {bytes(alphabet[c] for c in s): i for s, i in model["vocab"].items()}
+        self.labels = {i: s for s, i in ids.items()}
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.labels |= {i: s.encode() for s, i in self.special.items()}
-        self.born: dict[int, int] = {}
-        self.left: dict[int, int] = {}
-        self.right: dict[int, int] = {}
-        self.removed: dict[tuple[int, int], int] = {}
-        self.reachable = {s: i for s, i in self.ids.items() if len(s) == 1}
+        none = array("i", [-1]) * (max(self.labels) + 1)
+        self.born, self.left, self.right = none, none[:], none[:]  # by token
+        self.removed: dict[int, int] = {}
+        self.n_merges = len(model["merges"])
+        reachable = {s for s in ids if len(s) == 1}
         for rank, pair in enumerate(model["merges"]):
             first, second = pair if isinstance(pair, list) else pair.split(" ")
-            self._gadget(rank, *(bytes(alphabet[c] for c in s) for s in (first, second)))
+            self._gadget(rank, *(bytes(alphabet[c] for c in s) for s in (first, second)), ids, reachable)
         self.arcs: dict[int, bool] = {}
-        self._tabulate()
+        self._tabulate(sorted(reachable), ids)
 
-    def _gadget(self, rank: int, first: bytes, second: bytes) -> None:
-        a, b, c = self.ids[first], self.ids[second], self.ids[first + second]
-        if c in self.born:
+    def _gadget(self, rank: int, first: bytes, second: bytes, ids: dict[bytes, int], reachable: set[bytes]) -> None:
+        a, b, c = ids[first], ids[second], ids[first + second]
+        if self.born[c] >= 0:
             raise ValueError("two merges make the same token")
-        if not {first, second} <= self.reachable.keys() or not self._resolve(a, b):
+        if not {first, second} <= reachable or not self._resolve(a, b):
             return  # earlier merges never leave a next to b, so no path has this token
-        self.reachable[first + second] = c
+        reachable.add(first + second)
         self.born[c], self.left[c], self.right[c] = rank, a, b
-        self.removed[a, b] = rank
-
-    def _tabulate(self) -> None:
-        """The transition table over the labels that some path has: ``trie`` (state and byte to state),
-        ``shorter`` (the longest proper ending that is a state) and ``ends`` (labels that end here)."""
-        self.trie: dict[int, int] = {}
-        self.shorter, self.ends = [0], [()]
-        level, depth = {0: sorted(self.reachable.items())}, 0
+        self.removed[a << 32 | b] = rank
+
+    def _tabulate(self, labels: list[bytes], ids: dict[bytes, int]) -> None:
+        """The prefixes of the sorted labels that some path has, as states by length: the states behind state s are
+        ``first[s]`` up to ``first[s + 1]``, by the bytes ``into`` them. ``shorter`` is the longest proper ending that is
+        a state, ``ends`` has the labels that end in a state, and ``table`` the transitions used last."""
+        self.into, self.first = bytearray(1), array("i")
+        self.shorter, self.ends = array("i", [0]), [()]
+        self.table: dict[int, int] = {}
+        level, depth, state = [(0, len(labels))], 0, 0  # of every state the labels that begin with it
         while level:  # by length, so that a state's endings are there before it
-            deeper: dict[int, list[tuple[bytes, int]]] = {}
-            for state, labels in level.items():
-                for label, token in labels:
-                    key = state << 8 | label[depth]
-                    new = self.trie.get(key)
-                    if new is None:
-                        new = self.trie[key] = len(self.ends)
-                        self.shorter.append(self._follow(self.shorter[state], label[depth]) if state else 0)
-                        self.ends.append(self.ends[self.shorter[new]])
-                    if len(label) == depth + 1:
-                        self.ends[new] = ((token, depth + 1), *self.ends[self.shorter[new]])
-                    else:
-                        deeper.setdefault(new, []).append((label, token))
+            deeper = []
+            for start, stop in level:
+                self.first.append(len(self.into))
+                start += start < stop and len(labels[start]) == depth
+                while start < stop:
+                    byte, low = labels[start][depth], start
+                    while start < stop and labels[start][depth] == byte:
+                        start += 1
+                    ending = self._follow(self.shorter[state], byte) if state else 0
+                    self.into.append(byte)
+                    self.shorter.append(ending)
+                    ends, label = self.ends[ending], labels[low]
+                    self.ends.append(((ids[label], depth + 1), *ends) if len(label) == depth + 1 else ends)
+                    deeper.append((low, start))
+                state += 1
             level, depth = deeper, depth + 1
-        self.table = dict(self.trie)
+        self.first.append(len(self.into))
 
     def _follow(self, state: int, byte: int) -> int:
-        while state and state << 8 | byte not in self.trie:
+        """The longest state that ``state`` and then ``byte`` end in."""
+        into, first = self.into, self.first
+        while (found := into.find(byte, first[state], first[state + 1])) < 0 and state:
             state = self.shorter[state]
-        return self.trie.get(state << 8 | byte, 0)
+        return max(found, 0)
 
     def _transition(self, key: int) -> int:
-        """An entry of the table that no label has by itself, filled in when first used."""
-        if len(self.table) >= len(self.trie) + CACHED_ENTRIES:
-            self.table = dict(self.trie)
+        """An entry of the table, filled in when first used."""
+        if len(self.table) >= CACHED_ENTRIES:
+            self.table.clear()
         found = self.table[key] = self._follow(key >> 8, key & 255)
         return found
 
@@ -142,11 +149,11 @@ class Automaton:
         return found
 
     def _resolve(self, x: int, y: int) -> bool:
-        before = len(self.born) + 1
+        before = self.n_merges
         while True:
-            if self.removed.get((x, y), before) < before:
+            if self.removed.get(x << 32 | y, before) < before:
                 return False
-            x_born, y_born = self.born.get(x, -1), self.born.get(y, -1)
+            x_born, y_born = self.born[x], self.born[y]
             if x_born < 0 and y_born < 0:
                 return True
             if y_born >= x_born:  # the arc was copied after its gadget's removal
@@ -162,7 +169,6 @@ class Automaton:
             state = table.get(key, -1)
             if state < 0:
                 state = self._transition(key)
-                table = self.table
             for label in ends[state]:
                 token, length = label
                 if length == end:
@@ -305,6 +311,7 @@ def decode(
             texts = [decode_one(x or b"") for x in batch.column("ids").to_pylist()]
             columns = [batch.column(k) for k in range(len(keys))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], schema.names)
+            pa.default_memory_pool().release_unused()
 
     return kept.mapInArrow(run, schema)
 
@@ -326,5 +333,6 @@ def _mapped(docs: DataFrame, path: str, text: str, keys: tuple[str, ...], decode
                 if decoded:
                     out.append(pa.array([own.decode(i) for i in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(out, schema.names)
+            pa.default_memory_pool().release_unused()  # else it holds several times what is in use
 
     return kept.mapInArrow(run, schema)

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -70,6 +71,29 @@ def test_words_that_come_once_are_not_kept():
     assert {" of", "the", " the"} & own.packed.keys() and kept < 1_000, kept
 
 
+def test_a_worker_stays_small():
+    """What a worker keeps while two of them share an executor with its JVM: vocabulary, arcs and words."""
+    letters = str.maketrans("0123456789", "ghijklmnop")
+    texts = ["".join(f" w{k:x}" for k in range(n, n + 2_000)).translate(letters) for n in range(0, 200_000, 2_000)]
+    tracemalloc.start()
+    own = bpe.Codec(PATH)
+    compiled = tracemalloc.get_traced_memory()[0]
+    for text in texts:
+        own.encode(text), own.encode(text)
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert own.decode(own.encode(texts[-1])) == texts[-1]
+    assert compiled < 36e6 and kept < 56e6, (compiled, kept)
+
+
+def test_endings_follow_when_a_table_is_full(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_ENTRIES", 5)
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 3)
+    own, library = bpe.Codec(PATH), _library()
+    for text in (t for _, t in ODD[2:6] + [(7, "Never-ending stories, re-told; 12 été 你好 aaaaaaa")] * 2):
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def _library(cache=[]):
     if not cache:
         cache.append(Tokenizer.from_file(PATH))
